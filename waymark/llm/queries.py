@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scans, packing, pii, quality_rules, secret_scans, token_counts
+from . import decontamination, kneser_ney, license_scans, lm_scoring, near_dedup, packing, pii, quality_rules, secret_scans, token_counts
 from .shared import count_kind, read_table, scratch_path, span_text
 
 
@@ -16,6 +16,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "failed_rules")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """doc_id, a count for each base kind, base_sha256, spans."""
     base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
@@ -36,6 +40,19 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(pii.find_personal_data(read_table(spark, sf_dir, "documents")), pii.KINDS)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = kneser_ney.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.drop("text_hash")
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.maintain(read_table(spark, sf_dir, "documents"), scratch_path(spark, "token-rollup"))
 
@@ -46,7 +63,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op4_packing, op5_pii, op9_token_counts, op10_license_scans)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_secret_scans, op4_packing, op5_pii, op6_decontamination, op7_quality_classifier, op8_near_dedup, op9_token_counts, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
