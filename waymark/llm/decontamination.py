@@ -34,19 +34,18 @@ def template(word: Column) -> Column:
     return slot.when((word >= "0") & (word < ":"), F.lit("<num>")).otherwise(word)
 
 
-def window_hashes(words: Column) -> Column:
-    """A hash for each run of WINDOW template words, made of those of its halves, and these of theirs."""
-    hashes, n, width = F.transform(words, lambda w: F.xxhash64(template(w))), F.size(words), 1
+def windows(table: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, words, pos, hash: a hash for each run of WINDOW template words, made of those of its halves, and these of theirs; pos counts from 0.
+
+    Each step is a projection of its own, so that no array is worked out twice.
+    """
+    cut = table.select(*keys, marked_words(F.coalesce("text", F.lit(""))).alias("words"))
+    cut = cut.select(*keys, "words", F.transform("words", lambda w: F.xxhash64(template(w))).alias("hashes"))
+    width = 1
     while width < WINDOW:
-        hashes = F.zip_with(hashes, F.slice(hashes, F.lit(width + 1), F.greatest(F.size(hashes) - width, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+        cut = cut.select(*keys, "words", F.zip_with("hashes", F.slice("hashes", F.lit(width + 1), F.size("hashes")), lambda a, b: F.xxhash64(a, b)).alias("hashes"))
         width *= 2
-    return F.slice(hashes, F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(0)))
-
-
-def windows(table: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, words, pos, hash: pos counts from 0."""
-    worded = table.select(*keys, marked_words(F.coalesce("text", F.lit(""))).alias("words"))
-    return worded.select(*keys, "words", F.posexplode(window_hashes(F.col("words"))).alias("pos", "hash"))
+    return cut.select(*keys, "words", F.posexplode(F.slice("hashes", F.lit(1), F.greatest(F.size("hashes") - (WINDOW - 1), F.lit(0)))).alias("pos", "hash"))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
