@@ -5,11 +5,293 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions.parse import merge_reasoning, parse_response, usage_total
+from ..functions.text import equivalent_answer, strip
+from ..operators import canvas, judge, tools, trajectory
+from ..sources import tasks as task_source
+from .fixtures import VIEWS
+
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for table in ("conversations", "events", "pages"):
+        if table in VIEWS[name]:
+            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    return spark.sql(VIEWS[name])
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_response(view(spark, sf_dir, "turns_fx")).withColumn("answers", F.array("gold"))
+
+
+def judged(spark: SparkSession, sf_dir: str, critic: str | None = None) -> DataFrame:
+    return judge.judge(judge.candidates(turns(spark, sf_dir)), critic)
+
+
+def task_prep(spark, sf_dir):
+    raw = view(spark, sf_dir, "tasks_fx").withColumns({"choices": F.array(F.lit("yes"), F.lit("no")), "answers": F.array("gold")})
+    return task_source.prepare_tasks(raw, "/data").select("task_id", "pid", "question", "instruction", "image_path", F.array_join("answers", "|").alias("golds"))
+
+
+def task_slice(spark, sf_dir):
+    return task_source.slice_tasks(view(spark, sf_dir, "tasks_fx"), 10, 40).select("task_id", "pid")
+
+
+def task_shuffle(spark, sf_dir):
+    return task_source.shuffled(view(spark, sf_dir, "tasks_fx").select("task_id"), 7).agg(F.count_distinct("task_id").alias("n_tasks"), F.min("order").alias("first"), F.max("order").alias("last"), F.count_distinct("order").alias("n_orders"))
+
+
+def parse_fields(spark, sf_dir):
+    return turns(spark, sf_dir).select("task_id", F.col("turn").cast("long").alias("turn"), "reasoning", "answer", "boxed", "content", "seed_content", "has_answer_tag", "answer_present", F.size("tool_calls").cast("long").alias("n_calls"), F.col("malformed").cast("long").alias("malformed"))
+
+
+def tool_validation(spark, sf_dir):
+    return tools.tool_results(tools.tool_calls(turns(spark, sf_dir))).select("task_id", F.col("turn").cast("long").alias("turn"), F.col("call").cast("long").alias("call"), "name", "invalid", "result")
+
+
+def turn_tool_response(spark, sf_dir):
+    parsed = turns(spark, sf_dir)
+    return tools.turn_responses(parsed, tools.tool_results(tools.tool_calls(parsed))).withColumn("turn", F.col("turn").cast("long"))
+
+
+def render_carry(spark, sf_dir):
+    out = tools.last_renders(tools.tool_results(tools.tool_calls(turns(spark, sf_dir))))
+    return out.select("task_id", F.col("turn").cast("long").alias("turn"), F.col("call").cast("long").alias("call"), "rendered_path", "last_render")
+
+
+def answer_equivalence(spark, sf_dir):
+    """Every answer against the golds of the tasks that follow: whole, as a decimal and as a fraction."""
+    base = view(spark, sf_dir, "turns_fx").select("task_id", F.col("turn").cast("long").alias("turn"), "gold")
+    forms = F.explode(F.array(F.col("gold"), F.concat(F.lit(" "), "gold", F.lit(".0 ")), F.concat((2 * F.col("gold").cast("int")).cast("string"), F.lit("/2")), F.concat(F.lit("1_"), "gold"), F.concat("gold", F.lit("d")), F.concat("gold", F.lit("/0")))).alias("model")
+    return base.select("task_id", "turn", "gold", forms).withColumn("same", equivalent_answer(F.col("model"), F.col("gold")))
+
+
+def candidate_format(spark, sf_dir):
+    return judge.candidates(turns(spark, sf_dir)).select("task_id", F.col("turn").cast("long").alias("turn"), "candidate", "base_ok", "local_ok")
+
+
+def critic_verdict(spark, sf_dir):
+    out = view(spark, sf_dir, "turns_fx").withColumn("v", judge.verdict_of("critic_raw"))
+    return out.select("task_id", F.col("turn").cast("long").alias("turn"), F.col("v.has_object").alias("has_object"), F.col("v.has_fields").alias("has_fields"), F.col("v.consistent").alias("consistent"), F.col("v.is_correct").alias("is_correct"), F.col("v.normalized").alias("normalized"), F.size("v.elements").cast("long").alias("n_elements"))
+
+
+def hallucinations(spark, sf_dir):
+    out = view(spark, sf_dir, "turns_fx").withColumn("e", F.explode(judge.verdict_of("critic_raw")["elements"]))
+    return out.groupBy(F.get_json_object("e", "$.category").alias("category")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("task_id").alias("n_tasks"))
+
+
+def reask(spark, sf_dir):
+    """Turns whose verdict lacks the fields that a decision needs."""
+    out = view(spark, sf_dir, "turns_fx").where(~judge.verdict_of("critic_raw")["has_fields"])
+    return out.select("task_id", F.col("turn").cast("long").alias("turn"))
+
+
+JUDGED = ["task_id", "turn", "format_ok", "is_correct", "normalized", "consistent", "feedback", "accepted"]
+
+
+def judge_merge(spark, sf_dir):
+    return judged(spark, sf_dir, "critic_raw").withColumn("turn", F.col("turn").cast("long")).select(*JUDGED)
+
+
+def judge_local(spark, sf_dir):
+    return judged(spark, sf_dir).withColumn("turn", F.col("turn").cast("long")).select(*JUDGED)
+
+
+def trajectory_outcome(spark, sf_dir):
+    return trajectory.outcomes(view(spark, sf_dir, "tasks_fx"), trajectory.truncated(judged(spark, sf_dir)))
+
+
+def retry_phase(spark, sf_dir):
+    return trajectory.outcomes(view(spark, sf_dir, "tasks_fx"), trajectory.with_retries(judged(spark, sf_dir), 1, 2))
+
+
+def usage(spark, sf_dir) -> DataFrame:
+    t = view(spark, sf_dir, "turns_fx")
+    return t.select("task_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("prompt_tokens", "completion_tokens")], usage_total(F.col("prompt_tokens"), F.col("completion_tokens"), F.col("total_tokens")).cast("long").alias("total_tokens"))
+
+
+def usage_by_task(spark, sf_dir):
+    return usage(spark, sf_dir).groupBy("task_id").agg(*[F.sum(c).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")])
+
+
+def run_summary(spark, sf_dir):
+    return trajectory.run_summary(trajectory_outcome(spark, sf_dir), usage(spark, sf_dir))
+
+
+def log(spark, sf_dir) -> DataFrame:
+    kept = trajectory.truncated(judged(spark, sf_dir))
+    renders = tools.last_renders(tools.tool_results(tools.tool_calls(kept)))
+    return trajectory.messages(view(spark, sf_dir, "tasks_fx"), kept, renders)
+
+
+def messages(spark, sf_dir):
+    return log(spark, sf_dir).select("task_id", F.col("pos").cast("long").alias("pos"), "role", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def sft_turns(spark, sf_dir):
+    out = trajectory.sft_turns(log(spark, sf_dir))
+    return out.select("task_id", F.col("turn").cast("long").alias("turn"), F.size("prompt").cast("long").alias("n_prompt"), F.array_join(F.transform("prompt", lambda m: m["role"]), ",").alias("roles"), F.md5(F.col("completion").cast("binary")).alias("completion_md5"))
+
+
+def reasoning_merge(spark, sf_dir):
+    t = view(spark, sf_dir, "turns_fx")
+    return t.select("task_id", F.col("turn").cast("long").alias("turn"), F.md5(merge_reasoning(F.concat(F.lit(" r"), "gold", F.lit(" ")), F.col("assistant_raw")).cast("binary")).alias("merged_md5"))
+
+
+def render_manifest(spark, sf_dir):
+    e = view(spark, sf_dir, "edits_fx").withColumns({"task_id": F.col("session_id"), "turn": F.floor((F.col("seq") - 1) / 3) + 1, "call": (F.col("seq") - 1) % 3})
+    return e.select("session_id", F.col("seq").cast("long").alias("seq"), tools.render_path().alias("path"))
+
+
+def canvas_flat(spark, sf_dir):
+    return canvas.replay_flat(view(spark, sf_dir, "edits_fx")).withColumn("pos", F.col("pos").cast("long"))
+
+
+def canvas_viewport(spark, sf_dir):
+    return canvas.viewport(canvas_flat(spark, sf_dir))
+
+
+def canvas_revert(spark, sf_dir):
+    """What a session's edits come to once failed renders are dropped."""
+    good = view(spark, sf_dir, "edits_fx").where("render_ok")
+    return good.groupBy("session_id", "action").agg(F.count(F.lit(1)).alias("n"), F.max("seq").cast("long").alias("last_seq"))
+
+
+def sanitize_html(spark, sf_dir):
+    h = view(spark, sf_dir, "html_fx")
+    return h.select("page_id", canvas.sanitize_images(F.col("fragment")).alias("html"))
+
+
+def image_parts(spark, sf_dir):
+    """Pages stand in for images: every second task's image is there, the rest resolve to ''."""
+    tasks = view(spark, sf_dir, "tasks_fx").select("task_id", F.col("image").alias("image_path"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").where("page_id % 2 = 0")
+    path = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("/abs/"), F.col("page_id").cast("string"), F.lit(".png"))).otherwise(F.concat(F.lit("img/"), F.col("page_id").cast("string"), F.lit(".jpg")))
+    out = task_source.attach_images(tasks, pages.select(path.alias("path"), F.col("html").cast("binary").alias("content")))
+    return out.select("task_id", F.substring("image_url", 1, 22).alias("head"), F.char_length("image_url").cast("long").alias("n_chars"))
+
+
+def policy_requests(spark, sf_dir):
+    tasks = view(spark, sf_dir, "tasks_fx").withColumns({"choices": F.array().cast("array<string>"), "answers": F.array("gold")})
+    out = task_source.policy_requests(task_source.prepare_tasks(tasks, "/data"), "policy", 0.5, 256)
+    field = lambda p: F.get_json_object("body", p)
+    return out.select("task_id", field("$.model").alias("model"), field("$.max_tokens").cast("long").alias("max_tokens"), field("$.messages[0].role").alias("role"), F.char_length(field("$.messages[0].text")).cast("long").alias("n_text"), field("$.messages[0].image").alias("image"))
+
+
+QUERIES = (task_prep, task_slice, task_shuffle, parse_fields, tool_validation, turn_tool_response, render_carry, answer_equivalence, candidate_format, critic_verdict, hallucinations, reask, judge_merge, judge_local, trajectory_outcome, retry_phase, usage_by_task, run_summary, messages, sft_turns, reasoning_merge, render_manifest, canvas_flat, canvas_viewport, canvas_revert, sanitize_html, image_parts, policy_requests)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in QUERIES}
+
+
+# The same rules in DuckDB's SQL, stated over the same views.
+WITH = "WITH " + ", ".join(f"{k} AS ({v})" for k, v in VIEWS.items())
+TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+BOX = r"'(?s)(?:\\boxed|/boxed)\{(.*)\}'"
+
+
+def trim(x: str) -> str:
+    return TRIM.format(x)
+
+
+PARSED = rf"""{WITH}, c0 AS (SELECT *, CASE WHEN (length(assistant_raw) - length(replace(assistant_raw, '<think>', ''))) / 7 = 1 AND NOT contains(assistant_raw, '</think>') AND contains(assistant_raw, '<tool_call>')
+  THEN regexp_replace(assistant_raw, '<tool_call>', '</think><tool_call>') ELSE assistant_raw END AS raw FROM turns_fx),
+c1 AS (SELECT *, {trim("regexp_extract(raw, '(?is)<think>(.*?)</think>', 1)")} AS reasoning, {trim("regexp_extract(raw, '(?is)<answer>(.*?)</answer>', 1)")} AS answer,
+  {trim("regexp_replace(regexp_replace(raw, '(?is)<think>.*?</think>', '', 'g'), '(?is)<tool_call>.*?</tool_call>', '', 'g')")} AS content, contains(lower(raw), '<answer>') AS has_answer_tag,
+  list_transform(regexp_extract_all(raw, '(?is)<tool_call>(.*?)</tool_call>', 1), lambda b: {trim("b")}) AS blocks FROM c0),
+c2 AS (SELECT *, coalesce(nullif(CASE WHEN contains(raw, '</think>') THEN {trim("list_extract(string_split(raw, '</think>'), -1)")} ELSE content END, ''), reasoning) AS seed_content,
+  {trim(f"regexp_extract(coalesce(nullif(answer, ''), nullif(content, ''), raw), {BOX}, 1)")} AS boxed,
+  list_filter(blocks, lambda b: CASE WHEN json_valid(b) THEN json_type(b) = 'OBJECT' AND coalesce(json_extract_string(b, '$.name'), json_extract_string(b, '$.tool')) IS NOT NULL ELSE false END) AS calls FROM c1),
+parsed AS (SELECT *, has_answer_tag OR boxed <> '' AS answer_present FROM c2)"""
+RESULTS = rf"""{PARSED}, e AS (SELECT task_id, turn, render_ok, unnest(calls) AS b, generate_subscripts(calls, 1) - 1 AS call FROM parsed),
+e1 AS (SELECT *, coalesce(json_extract_string(b, '$.name'), json_extract_string(b, '$.tool')) AS name, json_keys(coalesce(json_extract(b, '$.arguments'), json_extract(b, '$.args'), json_extract(b, '$.kwargs'), '{{}}'::JSON)) AS keys FROM e),
+e2 AS (SELECT *, CASE name WHEN 'insert_element' THEN ['fragment', 'rootId'] WHEN 'modify_element' THEN ['targetId', 'attrs'] WHEN 'remove_element' THEN ['targetId'] WHEN 'replace_element' THEN ['targetId', 'fragment'] WHEN 'clear' THEN []::VARCHAR[] END AS req FROM e1),
+e3 AS (SELECT *, CASE WHEN req IS NULL THEN 'invalid tool name: ' || name WHEN len(list_filter(req, lambda k: NOT list_contains(keys, k))) > 0 THEN 'missing args for ' || name || ': ' || array_to_string(list_filter(req, lambda k: NOT list_contains(keys, k)), ', ')
+  WHEN name = 'clear' AND len(keys) > 0 THEN 'clear arguments must be {{}}' ELSE '' END AS invalid FROM e2),
+results AS (SELECT *, CASE WHEN invalid <> '' THEN 'Error: ' || invalid WHEN NOT render_ok THEN 'Error: render failed. Reverted to previous successful state.' ELSE 'tool execute success' END AS result FROM e3),
+renders AS (SELECT *, CASE WHEN result = 'tool execute success' THEN printf('renders/task-%d-pid-p%d/rendered-turn-%03d-tool-%02d.png', task_id, task_id, turn, call + 1) ELSE '' END AS rendered_path FROM results)"""
+
+
+def number(x: str) -> str:
+    plain = f"replace({x}, '_', '')"
+    return f"CASE WHEN regexp_full_match({x}, '[+-]?[0-9](_?[0-9])*/[0-9](_?[0-9])*') THEN try_cast(split_part({plain}, '/', 1) AS DOUBLE) / nullif(try_cast(split_part({plain}, '/', 2) AS DOUBLE), 0) WHEN regexp_full_match({x}, '[+-]?[0-9](_?[0-9])*(\\.([0-9](_?[0-9])*)?)?') THEN try_cast({plain} AS DOUBLE) END"
+
+
+def same(model: str, gold: str) -> str:
+    m, g = (f"regexp_replace(lower({x}), '\\s', '', 'g')" for x in (model, gold))
+    return f"({m} <> '' AND {g} <> '' AND ({m} = {g} OR coalesce(abs({number(m)} - {number(g)}) <= 1e-9, false)))"
+
+
+CANDIDATES = f"""{RESULTS}, k0 AS (SELECT *, coalesce(nullif(boxed, ''), nullif(answer, ''), content) AS candidate, has_answer_tag AND boxed <> '' AS base_ok FROM parsed),
+cand AS (SELECT *, {same('candidate', 'gold')} AS local_ok FROM k0)"""
+FEEDBACK = "CASE WHEN NOT format_ok THEN 'Format error: please include <answer>' || chr(92) || 'boxed{...}</answer> in your response.' WHEN is_correct AND NOT consistent THEN 'Answer rejected. Please revise notebook and answer.' WHEN is_correct THEN 'Accepted.' ELSE 'Answer rejected. Please revise.' END AS feedback, format_ok AND is_correct AND consistent AS accepted"
+LOCAL = f"{CANDIDATES}, l0 AS (SELECT *, base_ok AS format_ok, base_ok AND local_ok AS is_correct, candidate AS normalized, true AS consistent FROM cand), judged AS (SELECT *, {FEEDBACK} FROM l0)"
+TRUTH = "lower(trim(json_extract_string(obj, '$.{0}')))"
+
+
+def to_bool(key: str, default: str) -> str:
+    t, kind = TRUTH.format(key), f"json_type(obj, '$.{key}')"
+    return f"CASE WHEN {kind} IN ('BOOLEAN', 'VARCHAR') AND {t} IN ('true', '1', 'yes', 'y') THEN true WHEN {kind} IN ('BOOLEAN', 'VARCHAR') AND {t} IN ('false', '0', 'no', 'n') THEN false ELSE {default} END"
+
+
+VERDICTS = rf"""{CANDIDATES}, v0 AS (SELECT *, regexp_extract(critic_raw, '(?is).*```(?:json)?\s*(\{{.*?\}})\s*```', 1) AS fenced, regexp_extract(critic_raw, '(?s).*(\{{[^{{}}]*\}})', 1) AS inner_ FROM cand),
+v1 AS (SELECT *, CASE WHEN critic_raw <> '' AND json_valid(critic_raw) THEN CASE WHEN json_type(critic_raw) = 'OBJECT' THEN critic_raw ELSE '{{}}' END WHEN fenced <> '' AND json_valid(fenced) THEN fenced WHEN inner_ <> '' AND json_valid(inner_) THEN inner_ ELSE '{{}}' END AS obj FROM v0),
+verdict AS (SELECT *, len(json_keys(obj)) > 0 AS has_object, list_contains(json_keys(obj), 'format_ok') OR list_contains(json_keys(obj), 'is_correct') AS has_fields, {to_bool('is_consistent', 'false')} AS v_consistent, {to_bool('format_ok', 'NULL')} AS v_format, {to_bool('is_correct', 'false')} AS v_correct,
+  coalesce(trim(json_extract_string(obj, '$.normalized_answer')), '') AS v_normalized, CASE WHEN json_type(obj, '$.hallucination_elements') = 'ARRAY' THEN json_extract(obj, '$.hallucination_elements[*]') ELSE [] END AS elements FROM v1)"""
+MERGED = f"""{VERDICTS}, m0 AS (SELECT *, base_ok AND NOT local_ok AND has_fields AS fields FROM verdict), m1 AS (SELECT *, CASE WHEN fields THEN coalesce(v_format, true) ELSE base_ok END AS format_ok,
+  CASE WHEN NOT base_ok THEN false WHEN local_ok THEN true WHEN fields THEN coalesce(v_format, true) AND v_correct ELSE false END AS is_correct, CASE WHEN fields THEN coalesce(nullif(v_normalized, ''), candidate) ELSE candidate END AS normalized, v_consistent AS consistent FROM m0), judged AS (SELECT *, {FEEDBACK} FROM m1)"""
+
+
+def outcome(where: str) -> str:
+    return f"""{LOCAL}, f AS (SELECT *, min(CASE WHEN accepted THEN turn END) OVER (PARTITION BY task_id) AS first_accepted FROM judged WHERE {where}), kept AS (SELECT * FROM f WHERE first_accepted IS NULL OR turn <= first_accepted),
+done AS (SELECT task_id, count(*) AS n_turns, arg_max(CASE WHEN accepted THEN {trim('normalized')} END, CASE WHEN accepted THEN turn END) AS final_answer, max(accepted::DOUBLE) AS reward FROM kept GROUP BY task_id),
+outcomes AS (SELECT t.task_id, t.pid, coalesce(n_turns, 0) AS n_turns, coalesce(final_answer, '') AS final_answer, coalesce(reward, 0.0) AS reward, CASE WHEN reward >= 1 AND n_turns > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM tasks_fx t LEFT JOIN done USING (task_id))"""
+
+
+OUTCOME = outcome("turn <= 6")
+USAGE = "usage AS (SELECT task_id, prompt_tokens, completion_tokens, CASE WHEN coalesce(total_tokens, 0) = 0 THEN prompt_tokens + completion_tokens ELSE total_tokens END AS total_tokens FROM turns_fx)"
+TOKENS = "sum(prompt_tokens)::BIGINT AS prompt_tokens, sum(completion_tokens)::BIGINT AS completion_tokens, sum(total_tokens)::BIGINT AS total_tokens"
+LOG = f"""{OUTCOME}, seen AS (SELECT r.*, max(CASE WHEN rendered_path <> '' THEN r.turn * 1000 + call END) OVER (PARTITION BY r.task_id) AS latest FROM renders r SEMI JOIN kept USING (task_id, turn)),
+entries AS (SELECT task_id, 0 AS turn, 0 AS kind, 0 AS call, 'user' AS role, question AS text FROM tasks_fx
+  UNION ALL SELECT task_id, turn, 1, 0, 'assistant', coalesce(nullif({trim('raw')}, ''), nullif(seed_content, ''), content) FROM kept
+  UNION ALL SELECT task_id, turn, 2, call, 'user', CASE WHEN rendered_path = '' THEN '<tool_response>' || result || '</tool_response>' ELSE rendered_path END FROM seen WHERE rendered_path = '' OR turn * 1000 + call = latest
+  UNION ALL SELECT task_id, turn, 3, 0, 'user', feedback FROM kept WHERE answer_present AND NOT accepted
+  UNION ALL SELECT task_id, turn, 4, 0, 'user', 'Please give the final answer.' FROM kept WHERE NOT answer_present AND len(calls) = 0),
+log AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY turn, kind, call) - 1 AS pos FROM entries)"""
+TASKS = f"{WITH}, prepared AS (SELECT task_id, pid, {trim('question')} AS question, CASE WHEN starts_with(image, '/') THEN image ELSE '/data/' || image END AS image_path, gold FROM tasks_fx WHERE {trim('question')} <> '' AND lower({trim('answer_type')}) <> 'list')"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    columns = ", ".join(JUDGED)
+    return {
+        "task_prep": f"{TASKS} SELECT task_id, pid, question, question || chr(10) || 'Choices:' || chr(10) || 'A. yes' || chr(10) || 'B. no' AS instruction, image_path, gold AS golds FROM prepared",
+        "task_slice": f"{WITH} SELECT task_id, pid FROM tasks_fx WHERE task_id >= 10 AND task_id < 40",
+        "task_shuffle": f"{WITH} SELECT count(*) AS n_tasks, 0 AS first, count(*) - 1 AS last, count(*) AS n_orders FROM tasks_fx",
+        "parse_fields": f"{PARSED} SELECT task_id, turn, reasoning, answer, boxed, content, seed_content, has_answer_tag, answer_present, len(calls) AS n_calls, len(blocks) - len(calls) AS malformed FROM parsed",
+        "tool_validation": f"{RESULTS} SELECT task_id, turn, call, name, invalid, result FROM results",
+        "turn_tool_response": f"{RESULTS} SELECT p.task_id, p.turn, CASE WHEN count(r.call) = 0 THEN '' ELSE coalesce(arg_max(r.result, r.call) FILTER (r.result <> 'tool execute success'), 'tool execute success') END AS tool_response FROM parsed p LEFT JOIN results r USING (task_id, turn) GROUP BY p.task_id, p.turn",
+        "render_carry": f"{RESULTS} SELECT task_id, turn, call, rendered_path, coalesce(last_value(nullif(rendered_path, '') IGNORE NULLS) OVER (PARTITION BY task_id ORDER BY turn, call ROWS UNBOUNDED PRECEDING), printf('renders/task-%d-pid-p%d/rendered-turn-000.png', task_id, task_id)) AS last_render FROM renders",
+        "answer_equivalence": f"{WITH}, f AS (SELECT task_id, turn, gold, unnest([gold, ' ' || gold || '.0 ', CAST(2 * gold::INT AS VARCHAR) || '/2', '1_' || gold, gold || 'd', gold || '/0']) AS model FROM turns_fx) SELECT *, {same('model', 'gold')} AS same FROM f",
+        "candidate_format": f"{CANDIDATES} SELECT task_id, turn, candidate, base_ok, local_ok FROM cand",
+        "critic_verdict": f"{VERDICTS} SELECT task_id, turn, has_object, has_fields, v_consistent AS consistent, v_correct AS is_correct, v_normalized AS normalized, len(elements) AS n_elements FROM verdict",
+        "hallucinations": f"{VERDICTS}, h AS (SELECT task_id, unnest(elements) AS e FROM verdict) SELECT json_extract_string(e, '$.category') AS category, count(*) AS n, count(DISTINCT task_id) AS n_tasks FROM h GROUP BY 1",
+        "reask": f"{VERDICTS} SELECT task_id, turn FROM verdict WHERE NOT has_fields",
+        "judge_merge": f"{MERGED} SELECT {columns} FROM judged",
+        "judge_local": f"{LOCAL} SELECT {columns} FROM judged",
+        "trajectory_outcome": f"{OUTCOME} SELECT * FROM outcomes",
+        "retry_phase": f"{outcome('turn <= 3')} SELECT * FROM outcomes",
+        "usage_by_task": f"{WITH}, {USAGE} SELECT task_id, {TOKENS} FROM usage GROUP BY task_id",
+        "run_summary": f"{OUTCOME}, {USAGE}, u AS (SELECT {TOKENS} FROM usage) SELECT count(*) AS tasks, count(*) FILTER (reward >= 1) AS passed, round(sum(reward) / greatest(count(*), 1), 6) AS avg_reward, any_value(u.prompt_tokens) AS prompt_tokens, any_value(u.completion_tokens) AS completion_tokens, any_value(u.total_tokens) AS total_tokens FROM outcomes, u",
+        "messages": f"{LOG} SELECT task_id, pos, role, md5(text) AS text_md5 FROM log",
+        "sft_turns": f"{LOG} SELECT a.task_id, a.turn, count(b.pos) AS n_prompt, coalesce(string_agg(b.role, ',' ORDER BY b.pos), '') AS roles, md5(any_value(a.text)) AS completion_md5 FROM log a LEFT JOIN log b ON a.task_id = b.task_id AND b.pos < a.pos WHERE a.kind = 1 GROUP BY a.task_id, a.turn",
+        "reasoning_merge": f"{WITH} SELECT task_id, turn, md5(CASE WHEN contains(lower(assistant_raw), '<think>') THEN assistant_raw ELSE '<think>r' || gold || '</think>' || CASE WHEN {trim('assistant_raw')} <> '' THEN chr(10) || {trim('assistant_raw')} ELSE '' END END) AS merged_md5 FROM turns_fx",
+        "render_manifest": f"{WITH} SELECT session_id, seq, printf('renders/task-%d-pid-p%d/rendered-turn-%03d-tool-%02d.png', session_id, session_id, (seq - 1) // 3 + 1, (seq - 1) % 3 + 1) AS path FROM edits_fx",
+        "canvas_revert": f"{WITH} SELECT session_id, action, count(*) AS n, max(seq) AS last_seq FROM edits_fx WHERE render_ok GROUP BY session_id, action",
+        "sanitize_html": f"""{WITH} SELECT page_id, regexp_replace(regexp_replace(fragment, '<img src="(https?://[^"]+)"/>', '<div>[blocked external image] \\1</div>'), '<image x="3" href="https?://[^"]+"/>', '<text fill="#ED2633">[blocked external svg image]</text>') AS html FROM html_fx""",
+        "image_parts": f"""{WITH}, i AS (SELECT CASE WHEN page_id % 4 = 0 THEN '/abs/' || page_id || '.png' ELSE 'img/' || page_id || '.jpg' END AS path, CASE WHEN page_id % 4 = 0 THEN 'data:image/png;base64,' ELSE 'data:image/jpeg;base64,' END || base64(encode(html)) AS url FROM pages WHERE page_id % 2 = 0)
+SELECT task_id, substr(coalesce(url, ''), 1, 22) AS head, length(coalesce(url, '')) AS n_chars FROM tasks_fx LEFT JOIN i ON image = path""",
+        "policy_requests": f"{TASKS} SELECT task_id, 'policy' AS model, 256::BIGINT AS max_tokens, 'user' AS role, length(question) AS n_text, image_path AS image FROM prepared",
+    }
