@@ -7,12 +7,13 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import first_filled, strip
 
 THINK, TOOL_CALL, ANSWER = (rf"(?isu)<{t}>(.*?)</{t}>" for t in ("think", "tool_call", "answer"))
 BOXED = r"(?s)(?:\\boxed|/boxed)\{(.*)\}"
-CALLS = "array<struct<name string, arguments_json string, keys array<string>>>"
+CALLS = T.ArrayType(T.StructType().add("name", "string").add("arguments_json", "string").add("keys", T.ArrayType(T.StringType())))
 
 
 def close_think(text: Column) -> Column:

@@ -8,10 +8,11 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import equivalent_answer, first_filled, strip
 
-VERDICT = "has_object boolean, has_fields boolean, consistent boolean, format_ok boolean, is_correct boolean, normalized string, elements array<string>"
+VERDICT = T.StructType([T.StructField(c, T.BooleanType()) for c in ("has_object", "has_fields", "consistent", "format_ok", "is_correct")]).add("normalized", "string").add("elements", T.ArrayType(T.StringType()))
 FENCED = re.compile(r"```(?:json)?\s*(\{.*?\})\s*```", re.S | re.I)
 #: Feedback texts.
 FORMAT_ERROR = "Format error: please include <answer>\\boxed{...}</answer> in your response."
@@ -64,7 +65,7 @@ def _verdict(text):
 
 @F.pandas_udf(VERDICT)
 def verdict_of(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_verdict(t) for t in text], columns=[c.split()[0] for c in VERDICT.split(", ")])
+    return pd.DataFrame([_verdict(t) for t in text], columns=VERDICT.names)
 
 
 def candidates(parsed: DataFrame, golds: str = "answers") -> DataFrame:
