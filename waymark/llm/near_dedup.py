@@ -6,7 +6,7 @@ component keeps the least point that it was dealt. Two signatures agree in a com
 their weighted Jaccard similarity. Bands of components give candidates, and the multisets themselves decide.
 
 Groups are the components of the graph of verified links. Candidates are drawn in rounds: first from each document to
-one leader of a bucket, then, in buckets that still hold several groups, between documents of different groups.
+one leader of a bucket, in turn the best connected and a drawn one, then, in buckets that still hold several groups, between documents of different groups.
 Pairs within a group are never listed, and none between groups is left out.
 """
 
@@ -26,9 +26,9 @@ from .shared import broadcast_if_small, keep_rows, materialize, text_hash
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 42, 6
 SIZE = BANDS * ROWS
-#: One bit of each component: two texts at SIMILARITY differ in SIZE * 0.1 of them, give or take 4.8; ten more than five times that are let through.
+#: One bit of each component: two texts at SIMILARITY differ in SIZE * 0.1 of them, give or take 4.8; 4.5 times that more is let through.
 SKETCH = ["s0", "s1", "s2", "s3"]
-MOST_BITS = 54
+MOST_BITS = 47
 LEADER_ROUNDS = 3
 
 
@@ -187,16 +187,19 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """key, label for the texts that have a near-duplicate among different texts."""
     keyed = docs.where(F.col("text").isNotNull()).select(text_key().alias("key"), F.col("text").cast("string"))
     signed = materialize(keyed.mapInArrow(_signed, "key binary, buckets array<long>, " + ", ".join(f"{s} long" for s in SKETCH)), "bag-signatures")
-    banded_ = signed.select(F.explode("buckets").alias("bucket"), "key", *SKETCH)
+    banded_ = signed.select(F.explode("buckets").alias("bucket"), "key")
     short = F.xxhash64("key")
-    shared = banded_.groupBy("bucket").agg(F.min(short).alias("low"), F.max(short).alias("high")).where("low <> high").select("bucket")
-    members = materialize(banded_.join(shared, "bucket").distinct(), "bag-members")
-    wanted = broadcast_if_small(materialize(members.select("key").distinct(), "bag-wanted"))
-    texts = materialize(keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text")), "bag-texts")
+    shared = banded_.groupBy("bucket").agg(F.min(short).alias("low"), F.max(short).alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high").select("bucket", "size")
+    slots = materialize(banded_.join(shared, "bucket").distinct(), "bag-slots")
+    # A text that shares buckets with many others leads: the one that a group's texts were copied from is close to all of them.
+    wanted = broadcast_if_small(materialize(slots.groupBy("key").agg(F.sum("size").alias("degree")), "bag-wanted"))
+    sketches = signed.select("key", *SKETCH).join(wanted, "key").distinct()
+    members = materialize(slots.select("bucket", "key").join(sketches, "key"), "bag-members")
+    texts = materialize(keyed.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text")), "bag-texts")
     labels, tested = None, None
     for turn in range(LEADER_ROUNDS + 1):
         now = members.withColumn("label", F.col("key")) if labels is None else members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        row = F.struct(F.xxhash64(F.lit(turn), "key").alias("draw"), "key", "label", *SKETCH)
+        row = F.struct((F.xxhash64(F.lit(turn), "key") if turn % 2 else -F.col("degree")).alias("draw"), "key", "label", *SKETCH)
         now = now.select("bucket", row.alias("m"))
         tag = F.xxhash64("m.label")
         mixed = now.groupBy("bucket").agg(F.min(tag).alias("low"), F.max(tag).alias("high"), F.min("m").alias("l")).where("low <> high")
