@@ -27,7 +27,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write to the shared scratch folder and read back, so that a lost executor costs no earlier stage."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
