@@ -67,4 +67,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    counts = " UNION ALL ".join(f"SELECT source, lang, '{k}' AS tokenizer, len(regexp_extract_all(coalesce(text, ''), '{p}')) AS n FROM documents" for k, p in token_counts.SQL_TOKENIZERS.items())
+    return {"op9_token_counts": f"SELECT source, lang, tokenizer, count(*) AS n_docs, sum(n)::BIGINT AS n_tokens FROM ({counts}) WHERE n > 0 GROUP BY source, lang, tokenizer"}
