@@ -125,6 +125,12 @@ def test_sanitising_cuts_what_gives_an_entity_away(spark):
     assert all(out[d] == t for d, t in rows if d >= 10)
 
 
+def test_disclosing_terms_are_found_in_either_case_of_any_alphabet(spark):
+    rows = [(i, f"line {i} Ångström wrote as zz@mail.example today{i} again") for i in range(5)] + [(10 + i, f"plain text of many words {i}") for i in range(60)]
+    out = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("Ångström" not in out[i] for i in range(5)) and all(out[d] == t for d, t in rows if d >= 10)
+
+
 def test_packing_round_trip(spark):
     from public_tokenizers import path
     from tokenizers import Tokenizer

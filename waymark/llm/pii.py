@@ -95,7 +95,7 @@ def find_personal_data(docs: DataFrame, **options) -> DataFrame:
     base = base_spans(text)
     out = joined.withColumn("spans", base)
     for i, (kind, c) in enumerate((("term", "_term"), ("cut", "_cut"))):
-        regex = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}])(?:"), F.col(c), F.lit(r")(?![\p{L}\p{N}])"))
+        regex = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.col(c), F.lit(r")(?![\p{L}\p{N}])"))
         wanted = F.coalesce(F.col(c) != "", F.lit(False))
         gone = find_spans_by(text, kind, len(KINDS) + i, regex, wanted)
         free = F.filter(gone, lambda s: ~F.exists("spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
