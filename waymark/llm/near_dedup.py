@@ -6,13 +6,16 @@ component keeps the least point that it was dealt. Two signatures agree in a com
 their weighted Jaccard similarity. Bands of components give candidates, and the multisets themselves decide.
 
 Groups are the components of the graph of verified links. Candidates are drawn in rounds: first from each document to
-one leader of a bucket, in turn the best connected and a drawn one, then, in buckets that still hold several groups, between documents of different groups.
+one leader of a bucket, in turn the best connected and a drawn one, then, in buckets that still hold several groups, between documents of
+different groups whose longer sketches leave the similarity open.
 Pairs within a group are never listed, and none between groups is left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,10 @@ SIZE = BANDS * ROWS
 #: One bit of each component: two texts at SIMILARITY differ in SIZE * 0.1 of them, give or take 4.8; 4.5 times that more is let through.
 SKETCH = ["s0", "s1", "s2", "s3"]
 MOST_BITS = 47
+#: Texts that leader rounds leave in buckets of several groups get a longer sketch, let through by the same 4.5 deviations (of 9.6).
+FINE_SIZE = 1024
+FINE = [f"f{i}" for i in range(FINE_SIZE // 64)]
+MOST_FINE_BITS = 145
 LEADER_ROUNDS = 3
 
 
@@ -105,9 +112,14 @@ def banded(lowest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys = np.zeros((len(lowest), BANDS), dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)[None, :]
     for r in range(ROWS):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bits[:, r::ROWS])
-    packed = np.packbits((bits & np.uint64(1)).astype(np.uint8), axis=1)
-    packed = np.pad(packed, ((0, 0), (0, 32 - packed.shape[1])))
-    return keys.view(np.int64), np.ascontiguousarray(packed).view("<i8")
+    return keys.view(np.int64), bit_sketch(lowest)
+
+
+def bit_sketch(lowest: np.ndarray) -> np.ndarray:
+    """A bit of each component, 64 to a column."""
+    packed = np.packbits((mix(lowest.view(np.uint64)) & np.uint64(1)).astype(np.uint8), axis=1)
+    packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))
+    return np.ascontiguousarray(packed).view("<i8")
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,6 +146,17 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)]], names=["key", "buckets", *SKETCH])
 
 
+def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key and its longer sketch."""
+    shingles = Shingles()
+    for b in batches:
+        for part in chunks(((k, t.as_py()) for k, t in zip(b.column("key").to_pylist(), b.column("text"))), 250_000):
+            found = [np.unique(shingles.of(text), return_counts=True) for _, text in part]
+            doc = np.repeat(np.arange(len(part)), [len(h) for h, _ in found])
+            bits = bit_sketch(signatures(doc, np.concatenate([h for h, _ in found]), np.concatenate([n for _, n in found]), len(part), FINE_SIZE))
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in part], pa.binary()), *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(FINE))]], names=["key", *FINE])
+
+
 def text_key(text: str = "text") -> Column:
     """Equal for equal texts. A null text has none."""
     return F.unhex(F.md5(F.col(text).cast("binary")))
@@ -179,8 +202,8 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("key", "label")
 
 
-def differing(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH[1:]), F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
+def differing(a: str, b: str, sketch: list[str] = SKETCH) -> Column:
+    return reduce(add, [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in sketch])
 
 
 def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -209,10 +232,12 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             pairs = best.select("a", "best.b")
         else:
             # All that is left: members of any group but a bucket's largest, with the members of every other group.
-            held = materialize(now.join(mixed.select("bucket"), "bucket"), "bag-mixed")
+            mixed_members = materialize(now.join(mixed.select("bucket"), "bucket").select("bucket", "m.key", "m.label"), "bag-mixed")
+            fine = materialize(texts.join(mixed_members.select("key").distinct(), "key", "left_semi").mapInArrow(_refined, "key binary, " + ", ".join(f"{f} long" for f in FINE)), "bag-fine")
+            held = materialize(mixed_members.join(fine, "key").select("bucket", F.struct("key", "label", *FINE).alias("m")), "bag-held")
             largest = held.groupBy("bucket", F.col("m.label").alias("label")).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("top"))
             small = held.join(largest, "bucket").where(F.col("m.label") != F.col("top")).select("bucket", "top", F.col("m").alias("l"))
-            apart = (F.col("m.label") != F.col("l.label")) & ((F.col("m.label") == F.col("top")) | (F.col("l.key") < F.col("m.key"))) & (differing("m", "l") <= MOST_BITS)
+            apart = (F.col("m.label") != F.col("l.label")) & ((F.col("m.label") == F.col("top")) | (F.col("l.key") < F.col("m.key"))) & (differing("m", "l", FINE) <= MOST_FINE_BITS)
             joined = small.alias("x").join(held.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & apart)
             pairs = joined.select(F.col("m.key").alias("a"), F.col("l.key").alias("b"))
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
