@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -192,6 +193,26 @@ def test_near_duplicates_against_all_pairs(spark):
     assert sorted(r.doc_id for r in near_dedup.drop_near_duplicates(docs).collect()) == sorted(set(label))
 
 
+def test_near_duplicates_behind_a_hub_are_found(spark):
+    """A and B are at 0.816, each at 0.789 to the hub that sketches put nearer: leader rounds test only pairs with the hub."""
+    hub = [f"h{i}" for i in range(300)]
+    spots = list(range(6, 294, 6))
+    random.Random(16).shuffle(spots)
+    a, b = list(hub), list(hub)
+    for k in spots[:4]:
+        a[k] = b[k] = f"c16_{k}"
+    for k in spots[4:7]:
+        a[k] = f"a16_{k}"
+    for k in spots[7:10]:
+        b[k] = f"b16_{k}"
+    texts = [" ".join(t) for t in (hub, a, b)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(296)} for t in texts]
+    alike = [(i, j) for i in range(3) for j in range(i) if len(sets[i] & sets[j]) >= near_dedup.SIMILARITY * len(sets[i] | sets[j])]
+    assert alike == [(2, 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()} == {0: 0, 1: 1, 2: 1}
+
+
 def test_kneser_ney_sums_to_one(spark):
     trusted = spark.createDataFrame([("the cat sat on the mat. the dog sat too.", True)], "text string, trusted boolean")
     codes, _ = kneser_ney.ngram_codes(["the cat"])

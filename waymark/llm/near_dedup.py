@@ -233,6 +233,8 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         else:
             # All that is left: members of any group but a bucket's largest, with the members of every other group.
             mixed_members = materialize(now.join(mixed.select("bucket"), "bucket").select("bucket", "m.key", "m.label"), "bag-mixed")
+            if not mixed_members.take(1):
+                break
             fine = materialize(texts.join(mixed_members.select("key").distinct(), "key", "left_semi").mapInArrow(_refined, "key binary, " + ", ".join(f"{f} long" for f in FINE)), "bag-fine")
             held = materialize(mixed_members.join(fine, "key").select("bucket", F.struct("key", "label", *FINE).alias("m")), "bag-held")
             largest = held.groupBy("bucket", F.col("m.label").alias("label")).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("top"))
@@ -246,9 +248,8 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         pairs = materialize(pairs, "bag-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = materialize(verified(pairs, texts, similarity), "bag-links")
+        # A leader round without links, or even without pairs, does not show that none are left: the last round decides.
         if not links.take(1):
-            if not pairs.take(1):
-                break
             continue
         if labels is None:
             labels = components(links)
