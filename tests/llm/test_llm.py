@@ -132,6 +132,18 @@ def test_disclosing_terms_are_found_in_either_case_of_any_alphabet(spark):
     assert all("Ångström" not in out[i] for i in range(5)) and all(out[d] == t for d, t in rows if d >= 10)
 
 
+def test_disclosure_counts_texts_and_reaches_every_document(spark):
+    told = "Zorblat wrote as zz@mail.example on Monday"
+    rows = [(i, f"{told} {i}") for i in range(3)] + [(100 + i, f"{told} 0") for i in range(300)]
+    rows += [(1000, "met Zorblat there"), *((2000 + i, f"plain text of many words {i}") for i in range(2000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {r.term: r for r in pii.disclosing_terms(docs, pii.entity_contexts(docs)).collect()}
+    assert (terms["zorblat"].support, terms["zorblat"].doc_freq) == (3, 4)
+    out = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert len(out) == len(rows) and not any("Zorblat" in t for t in out.values())
+    assert all(out[d] == t for d, t in rows if d >= 2000)
+
+
 def test_packing_round_trip(spark):
     from public_tokenizers import path
     from tokenizers import Tokenizer

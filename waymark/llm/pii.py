@@ -1,9 +1,9 @@
 """Information-theoretic sanitisation of personal data.
 
 Entities are the e-mail addresses, IP addresses, card and phone numbers that patterns find. How far a term gives
-an entity away is the pointwise mutual information of the two over the corpus, as a share of the entity's own
-information content: 1 says that who sees the term knows the entity. Terms over one threshold are generalised,
-over a higher one removed, in the documents that hold the entity. DataFrame functions only.
+an entity away is the pointwise mutual information of the two over the corpus's different texts, as a share of the
+entity's own information content: 1 says that who sees the term knows the entity. Terms over one threshold are
+generalised, over a higher one removed, in every document that uses them. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -51,29 +51,38 @@ def base_spans(text: Column) -> Column:
 
 
 def entity_contexts(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, entity, context_hash, terms: a row for each entity occurrence. Words cut by the context's ends are left out."""
-    found = docs.select("doc_id", text_hash().alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")).withColumn("span", F.explode(base_spans(F.col("text"))))
+    """text_hash, entity, terms: a row for each entity occurrence. Words cut by the context's ends are left out."""
+    found = docs.select(text_hash().alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")).withColumn("span", F.explode(base_spans(F.col("text"))))
     begin = F.greatest(F.col("span.start") - CONTEXT, F.lit(0))
     before = F.regexp_replace(F.substring(F.col("text"), (begin + 1).cast("int"), (F.col("span.start") - begin).cast("int")), r"^\S*+", "")
     before = F.when(begin == 0, F.substring(F.col("text"), F.lit(1), F.col("span.start").cast("int"))).otherwise(before)
     after = F.regexp_replace(F.substring(F.col("text"), (F.col("span.end") + 1).cast("int"), F.lit(CONTEXT)), r"\S++$", "")
     context = F.lower(F.concat_ws(" ", before, after))
     terms = F.array_distinct(F.filter(F.split(context, r"[^\p{L}\p{N}]+"), lambda t: F.char_length(t) >= 3))
-    return found.select("doc_id", "text_hash", F.concat_ws(":", "span.kind", F.lower(F.col("span.value"))).alias("entity"), F.xxhash64(context).alias("context_hash"), terms.alias("terms"))
+    return found.select("text_hash", F.concat_ws(":", "span.kind", F.lower(F.col("span.value"))).alias("entity"), terms.alias("terms"))
+
+
+def words(text: Column) -> Column:
+    """The different words of a text, in lower case."""
+    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
 
 
 def disclosing_terms(docs: DataFrame, contexts: DataFrame, min_support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
-    """entity, term, support, doc_freq, disclosure, action. Support counts different contexts, so that copies of a document add nothing."""
-    told = contexts.dropDuplicates(["entity", "context_hash"])
-    joint = materialize(told.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support), "pii-joint")
-    of_entity = told.groupBy("entity").agg(F.count(F.lit(1)).alias("n_contexts"))
+    """entity, term, support, doc_freq, disclosure, action. All counts are of different texts, so that copies of a document add nothing."""
+    told = contexts.select("entity", "text_hash", F.explode("terms").alias("term")).distinct()
+    joint = materialize(told.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support), "pii-joint")
+    of_entity = contexts.select("entity", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_texts"))
+    hashed = docs.select(text_hash().alias("text_hash"), "text")
+    texts = materialize(hashed.groupBy("text_hash").agg(F.count(F.lit(1)).alias("copies")), "pii-texts")
+    copied = broadcast_if_small(texts.where("copies > 1").select("text_hash"))
+    once = hashed.join(copied, "text_hash", "left_anti").unionByName(hashed.join(copied, "text_hash", "left_semi").groupBy("text_hash").agg(F.any_value("text").alias("text")))
     wanted = broadcast_if_small(joint.select("term").distinct())
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
-    freq = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    size = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = once.select(F.explode(words(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    freq = materialize(counts.join(wanted, "term", "left_semi"), "pii-freq")
+    size = texts.agg(F.count(F.lit(1)).alias("n_docs"))
     p = lambda c: F.col(c) / F.col("n_docs")
-    information = -F.log2(F.least(F.lit(0.5), p("n_contexts")))
-    pmi = F.log2(F.least(F.lit(1.0), F.col("support") / F.greatest("doc_freq", "support")) / F.least(F.lit(0.5), p("n_contexts")))
+    information = -F.log2(F.least(F.lit(0.5), p("n_texts")))
+    pmi = F.log2(F.least(F.lit(1.0), F.col("support") / F.greatest("doc_freq", "support")) / F.least(F.lit(0.5), p("n_texts")))
     scored = joint.join(of_entity, "entity").join(freq, "term").join(F.broadcast(size)).withColumn("disclosure", pmi / information)  # size is one row
     return scored.where(F.col("disclosure") >= generalise).select("entity", "term", "support", "doc_freq", "disclosure", F.when(F.col("disclosure") >= remove, F.lit("cut")).otherwise(F.lit("term")).alias("action"))
 
@@ -82,12 +91,15 @@ def find_personal_data(docs: DataFrame, **options) -> DataFrame:
     """Every row of docs with all its columns, and spans: those of patterns and, of kinds term and cut, those of disclosing terms.
 
     Null texts are empty and have no spans; equal rows get equal spans; null ids are carried; an empty table gives
-    an empty table; a document without entities gets no term spans. A column of docs named spans is replaced.
+    an empty table; a term gets spans in documents without entities too, by the strongest of its actions. A column of docs named spans is replaced.
     """
     contexts = materialize(entity_contexts(docs), "pii-contexts")
     terms = materialize(disclosing_terms(docs, contexts, **options), "pii-terms")
     pattern = lambda action: F.array_join(F.array_sort(F.collect_set(F.when(F.col("action") == action, F.col("term")))), "|").alias(action)
-    marked = materialize(contexts.select("doc_id", "text_hash", "entity").distinct().join(terms, "entity").groupBy("doc_id", "text_hash").agg(pattern("term"), pattern("cut")), "pii-marked")
+    # Of the actions "cut" and "term" the lesser is the stronger.
+    told = broadcast_if_small(materialize(terms.groupBy("term").agg(F.min("action").alias("action")), "pii-told"))
+    used = docs.select("doc_id", text_hash().alias("text_hash"), F.explode(words(F.col("text"))).alias("term"))
+    marked = materialize(used.join(told, "term").groupBy("doc_id", "text_hash").agg(pattern("term"), pattern("cut")), "pii-marked")
     marked = broadcast_if_small(marked.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("term").alias("_term"), F.col("cut").alias("_cut")))
     hashed = docs.drop("spans").withColumn("_own_hash", text_hash())
     joined = hashed.join(marked, hashed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")), "left")
