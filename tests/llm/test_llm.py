@@ -171,6 +171,16 @@ def test_other_parameters_are_caught_and_loose_slots_are_not(spark, benchmark):
     assert set(got) == {(1, 1), (2, 1), (None, 1)} and got[2, 1].n_changed >= 2 and got[1, 1].n_changed == 0
 
 
+def test_a_loose_copy_hides_no_exact_one_and_slots_alone_are_found(spark):
+    one = "a bus needs 30 minutes for the way to the old mill and a car needs 30 minutes for the way back to the town"
+    two = one.replace("30", "12", 1)
+    numbers = "17 23 99 41 57 63 88 12 75 31"
+    benchmark = spark.createDataFrame([(1, one), (2, numbers)], "item_id long, text string")
+    rows = [(1, f"{one}. Also: {two}."), (2, two), (3, f"see {numbers} there"), (4, "see 18 24 98 42 58 64 89 13 76 32 there")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, benchmark).collect()} == {(1, 1), (3, 2)}
+
+
 def test_signatures_estimate_weighted_jaccard():
     a = {i: 1 + i % 5 for i in range(300)}
     b = {i: 1 + (i + (i % 7 == 0)) % 5 for i in range(40, 340)}

@@ -2,7 +2,8 @@
 
 Numbers, mid-sentence names and units after numbers become typed placeholders; windows of template words are
 hash-joined with those of the benchmark. Where enough of an item is found, its slots are held against the text's:
-each value of the item must stand for one value of the text throughout, as in a question with other parameters.
+each value of the item must stand for one value throughout an alignment of the two, as in a question with other
+parameters. Items made of little but slots are looked for by their exact words instead.
 DataFrame functions only.
 """
 
@@ -34,13 +35,17 @@ def template(word: Column) -> Column:
     return slot.when((word >= "0") & (word < ":"), F.lit("<num>")).otherwise(word)
 
 
-def windows(table: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, words, pos, hash: a hash for each run of WINDOW template words, made of those of its halves, and these of theirs; pos counts from 0.
+def plain(word: Column) -> Column:
+    return F.regexp_replace(word, "^_+", "")
+
+
+def windows(table: DataFrame, keys: list[str], form=template) -> DataFrame:
+    """keys, words, pos, hash: a hash for each run of WINDOW words in a form, made of those of its halves, and these of theirs; pos counts from 0.
 
     Each step is a projection of its own, so that no array is worked out twice.
     """
     cut = table.select(*keys, marked_words(F.coalesce("text", F.lit(""))).alias("words"))
-    cut = cut.select(*keys, "words", F.transform("words", lambda w: F.xxhash64(template(w))).alias("hashes"))
+    cut = cut.select(*keys, "words", F.transform("words", lambda w: F.xxhash64(form(w))).alias("hashes"))
     width = 1
     while width < WINDOW:
         cut = cut.select(*keys, "words", F.zip_with("hashes", F.slice("hashes", F.lit(width + 1), F.size("hashes")), lambda a, b: F.xxhash64(a, b)).alias("hashes"))
@@ -48,11 +53,22 @@ def windows(table: DataFrame, keys: list[str]) -> DataFrame:
     return cut.select(*keys, "words", F.posexplode(F.slice("hashes", F.lit(1), F.greatest(F.size("hashes") - (WINDOW - 1), F.lit(0)))).alias("pos", "hash"))
 
 
+def item_cuts(benchmark: DataFrame, form=template) -> DataFrame:
+    return windows(benchmark, ["item_id"], form).select("item_id", F.col("pos").alias("item_pos"), "hash", F.slice("words", F.col("pos") + 1, WINDOW).alias("item_words"))
+
+
+def counted(cut: DataFrame) -> DataFrame:
+    return cut.join(cut.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows")), "item_id")
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, item_pos, hash, item_words, n_windows: windows with LITERALS words besides slots; the others prove nothing."""
-    cut = windows(benchmark, ["item_id"]).select("item_id", F.col("pos").alias("item_pos"), "hash", F.slice("words", F.col("pos") + 1, WINDOW).alias("item_words"))
-    telling = cut.where(F.size(F.filter("item_words", lambda w: template(w) == w)) >= LITERALS).distinct()
-    return telling.join(telling.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows")), "item_id")
+    return counted(item_cuts(benchmark).where(F.size(F.filter("item_words", lambda w: template(w) == w)) >= LITERALS).distinct())
+
+
+def exact_windows(benchmark: DataFrame, items: DataFrame) -> DataFrame:
+    """The same for items that have no such windows: all their windows, by the words themselves."""
+    return counted(item_cuts(benchmark, plain).join(items.select("item_id").distinct(), "item_id", "left_anti").distinct())
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -63,21 +79,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     columns are not read.
     """
     items = materialize(item_windows(benchmark), "template-items")
+    exact = materialize(exact_windows(benchmark, items), "exact-items")
+    leaks = aligned(docs, items, template, coverage)
+    return leaks.unionByName(aligned(docs, exact, plain, coverage)) if exact.take(1) else leaks
+
+
+def aligned(docs: DataFrame, items: DataFrame, form, coverage: float) -> DataFrame:
+    """contaminated() for the windows of items, in a form. An alignment whose slots are not consistent counts for nothing and bars no other."""
     narrow = broadcast_if_small(items.select("item_id", "item_pos", "hash", "n_windows"))
-    hits = windows(docs.select("doc_id", text_hash().alias("text_hash"), "text"), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "hash").join(narrow, "hash")
+    hits = windows(docs.select("doc_id", text_hash().alias("text_hash"), "text"), ["doc_id", "text_hash"], form).select("doc_id", "text_hash", "hash").join(narrow, "hash")
     found = hits.groupBy("doc_id", "text_hash", "item_id", "n_windows").agg(F.count_distinct("item_pos").alias("n_found")).where(F.col("n_found") >= F.lit(coverage) * F.col("n_windows"))
-    found = materialize(found, "template-found")
-    wanted = broadcast_if_small(found.select("doc_id", "text_hash").distinct())
-    again = windows(keep_rows(docs, wanted).select("doc_id", text_hash().alias("text_hash"), "text").distinct(), ["doc_id", "text_hash"])
-    pairs = again.join(broadcast_if_small(items.drop("n_windows")), "hash").select("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_words", F.slice("words", F.col("pos") + 1, WINDOW).alias("doc_words"))
+    wanted = broadcast_if_small(materialize(found.select("doc_id", "text_hash").distinct(), "template-found"))
+    again = windows(keep_rows(docs, wanted).select("doc_id", text_hash().alias("text_hash"), "text").distinct(), ["doc_id", "text_hash"], form)
+    pairs = again.join(broadcast_if_small(items), "hash").select("doc_id", "text_hash", "item_id", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_words", F.slice("words", F.col("pos") + 1, WINDOW).alias("doc_words"))
     slots = F.filter(F.arrays_zip("item_words", "doc_words"), lambda p: template(p["item_words"]) != p["item_words"])
-    values = pairs.select("doc_id", "text_hash", "item_id", "shift", F.explode(slots).alias("p")).groupBy("doc_id", "text_hash", "item_id", "shift", F.col("p.item_words").alias("value")).agg(F.count_distinct("p.doc_words").alias("n_values"), F.min("p.doc_words").alias("one"))
-    checked = values.groupBy("doc_id", "text_hash", "item_id").agg(F.max("n_values").alias("most"), F.count(F.lit(1)).alias("n_slots"), F.sum((F.col("one") != F.col("value")).cast("long")).alias("n_changed"))
-    checked = checked.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("item_id").alias("_item"), "most", "n_slots", "n_changed")
-    same = found["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & found["item_id"].eqNullSafe(F.col("_item"))
-    judged = found.join(checked, same, "left").where(F.coalesce("most", F.lit(1)) == 1)
-    zero = F.lit(0).cast("long")
-    return judged.select("doc_id", "text_hash", "item_id", "n_found", "n_windows", F.coalesce("n_slots", zero).alias("n_slots"), F.coalesce("n_changed", zero).alias("n_changed"))
+    if form is plain:
+        slots = F.transform(slots, lambda p: F.struct(plain(p["item_words"]).alias("item_words"), plain(p["doc_words"]).alias("doc_words")))
+    # Within a shift an item's window is met once, so that its slots are bounded by the item.
+    keys = ["doc_id", "text_hash", "item_id", "n_windows"]
+    shifts = pairs.withColumn("slots", slots).groupBy(*keys, "shift").agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
+    consistent = shifts.where(F.size(F.array_distinct(F.col("slots.item_words"))) == F.size("slots"))
+    each = consistent.select(*keys, F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda p: p["item_words"] != p["doc_words"])).alias("n_changed"), F.posexplode("at").alias("i", "item_pos"))
+    once = lambda c: F.sum(F.when(F.col("i") == 0, F.col(c)).otherwise(0)).cast("long").alias(c)
+    judged = each.groupBy(*keys).agg(F.count_distinct("item_pos").alias("n_found"), once("n_slots"), once("n_changed")).where(F.col("n_found") >= F.lit(coverage) * F.col("n_windows"))
+    return judged.select("doc_id", "text_hash", "item_id", "n_found", "n_windows", "n_slots", "n_changed")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
