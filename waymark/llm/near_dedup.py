@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .kneser_ney import chunks
-from .shared import broadcast_if_small, keep_rows, materialize, text_hash
+from .shared import broadcast_if_small, drop_scratch, fresh, keep_rows, materialize, text_hash
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 42, 6
@@ -236,11 +236,15 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             if not mixed_members.take(1):
                 break
             fine = materialize(texts.join(mixed_members.select("key").distinct(), "key", "left_semi").mapInArrow(_refined, "key binary, " + ", ".join(f"{f} long" for f in FINE)), "bag-fine")
-            held = materialize(mixed_members.join(fine, "key").select("bucket", F.struct("key", "label", *FINE).alias("m")), "bag-held")
+            bands = signed.join(mixed_members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]).select("key", "buckets")
+            held = materialize(mixed_members.join(fine.join(bands, "key"), "key").select("bucket", F.struct("key", "label", "buckets", *FINE).alias("m")), "bag-held")
             largest = held.groupBy("bucket", F.col("m.label").alias("label")).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("top"))
             small = held.join(largest, "bucket").where(F.col("m.label") != F.col("top")).select("bucket", "top", F.col("m").alias("l"))
             apart = (F.col("m.label") != F.col("l.label")) & ((F.col("m.label") == F.col("top")) | (F.col("l.key") < F.col("m.key"))) & (differing("m", "l", FINE) <= MOST_FINE_BITS)
-            joined = small.alias("x").join(held.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & apart)
+            # A pair is taken in the first of the buckets that it shares, and so once.
+            before = F.array_position("m.buckets", F.col("x.bucket")).cast("int") - 1
+            shared_before = F.exists(F.zip_with(F.slice("m.buckets", F.lit(1), before), F.slice("l.buckets", F.lit(1), before), lambda p, q: p == q), lambda same: same)
+            joined = small.alias("x").join(held.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & apart & ~shared_before)
             pairs = joined.select(F.col("m.key").alias("a"), F.col("l.key").alias("b"))
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         if tested is not None:
@@ -287,4 +291,5 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     keys = first.unionByName(nameless)
     kept = keep_rows(docs, keys.distinct())
     repeated = found.join(first, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash").count().where("count > 1").take(1)
-    return kept.withColumn("_hash", text_hash()).dropDuplicates(["doc_id", "_hash"]).drop("_hash") if repeated or nameless.take(1) else kept
+    own = fresh(docs, "own_hash")
+    return kept.withColumn(own, text_hash()).dropDuplicates(["doc_id", own]).drop(own) if repeated or nameless.take(1) else kept

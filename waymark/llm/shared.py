@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -16,9 +17,11 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below spark.checkpoint.dir; where that is unset (tests, local mode) below a temporary folder."""
+    """A fresh folder below spark.checkpoint.dir. Where that is unset, local mode takes a temporary folder; a cluster has none that all machines see."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="waymark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/waymark/{label}-{uuid.uuid4().hex}"
@@ -40,9 +43,30 @@ def drop_scratch(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A broadcast hint only after counting; a larger table is joined by shuffling. Give it tables of narrow rows that are cheap to count."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def _width(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(value, F.lit(16).cast("long"), lambda n, x: n + _width(x, kind.elementType)), F.lit(16))
+    return F.lit(8)
+
+
+def table_bytes(df: DataFrame) -> int:
+    """About the bytes of a table in memory, by the lengths of its texts and arrays."""
+    return df.select(sum((_width(F.col(f"`{f.name}`"), f.dataType).cast("long") for f in df.schema), F.lit(0)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """A broadcast hint only after measuring; a larger table is joined by shuffling. Give it tables that are cheap to work out twice."""
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,8 +80,9 @@ def text_hash(text: str = "text") -> Column:
 
 def keep_rows(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of docs whose (doc_id, text_hash) is among keys; left_anti: is not. A null id equals a null id."""
-    keys = keys.select(F.col("doc_id").alias("_key_id"), F.col("text_hash").alias("_key_hash"))
-    return docs.join(keys, docs["doc_id"].eqNullSafe(F.col("_key_id")) & (text_hash() == F.col("_key_hash")), how)
+    id_, hash_ = fresh(docs, "key_id"), fresh(docs, "key_hash")
+    keys = keys.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_))
+    return docs.join(keys, docs["doc_id"].eqNullSafe(F.col(id_)) & (text_hash() == F.col(hash_)), how)
 
 
 # Mergeable quantile sketch: values fall into bins whose edges are powers of GAMMA, and a sketch is its bins' counts.
