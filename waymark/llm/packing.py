@@ -2,13 +2,13 @@
 
 Each partition keeps a fixed number of open windows. A piece goes to the open window it fills best; when none has
 room, the fullest is topped up with the head of the piece and emitted. What is open at a partition's end goes, with
-its token ids, to fewer partitions in turn, until one bounded task packs the rest into
-one window at a time, of which only the last is padded.
+its token ids, to fewer tasks in turn: each gets MERGED times the tokens that it can leave open, so every round leaves
+a fraction of the one before. The last, a single bounded task, fills one window at a time, of which only the last is padded.
 """
 
 from __future__ import annotations
 
-import base64
+import json
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -18,21 +18,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop_scratch, materialize
+from .shared import materialize
 
-#: Pieces: final ones have no ids; open ones carry them to the next round.
+#: Pieces: final ones have no ids; open ones carry them to the next round, and instead of a sequence's id a negative number of their own.
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
-def byte_bpe(ranks_path: str) -> Callable[[str], list[int]]:
-    """The encoder of a byte-level BPE vocabulary in ranks format, the same ids as its JSON form; special tokens' strings are ordinary text."""
+MERGED = 16
+
+
+def _bytes_of_marks() -> dict[str, int]:
+    """Byte-level vocabularies write a printable Latin-1 byte as its own character, and the others, in order, as those from code point 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def byte_bpe(tokenizer_path: str) -> Callable[[str], list[int]]:
+    """The encoder of a byte-level BPE tokenizer in JSON form. Strings of its added tokens become their ids, as that tokenizer has it."""
     import tiktoken
     from public_tokenizers import PATTERN
 
-    with open(ranks_path, "rb") as f:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    with open(tokenizer_path, encoding="utf-8") as f:
+        told = json.load(f)
+    special = {t["content"]: t["id"] for t in told["added_tokens"]}
+    byte = _bytes_of_marks()
+    ranks = {bytes(byte[c] for c in token): i for token, i in told["model"]["vocab"].items() if token not in special}
+    encoding = tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: encoding.encode(text, allowed_special="all") if any(s in text for s in special) else encoding.encode_ordinary(text)
 
 
 class Packer:
@@ -40,6 +54,7 @@ class Packer:
 
     def __init__(self, size: int, open_windows: int, first_id: int):
         self.size, self.most, self.next_id = size, open_windows, first_id
+        self.carried = first_id
         self.windows: list[list] = []  # of [filled, pieces]
         self.out: list[tuple] = []
 
@@ -68,10 +83,13 @@ class Packer:
 
     def emit(self, window: list, carry: bool = False) -> None:
         """carry: the pieces stay open and keep their ids."""
-        at, sequence = 0, None if carry else self.next_id
+        at, sequence = 0, self.next_id
         self.next_id += not carry
         for doc_id, start, ids, doc_tokens in window[1]:
             raw = ids.tobytes()
+            if carry:
+                self.carried += 1
+                sequence = -self.carried
             self.out.append((doc_id, start, len(ids), zlib.crc32(raw), doc_tokens, sequence, None if carry else at, raw if carry else None))
             at += len(ids)
 
@@ -95,18 +113,18 @@ def first_id(level: int) -> int:
     return (level << 58) | (TaskContext.get().partitionId() << 34)
 
 
-def pack(docs: DataFrame, ranks_path: str, size: int = 1024, open_windows: int = 16, merge_rows: int = 4096) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, size: int = 1024, open_windows: int = 16) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, a row for each piece.
 
-    A document is its token ids and id 0; a null or empty text is id 0 alone; each id lies in one piece; equal rows are
+    A document is its token ids and id 0; a null or empty text is id 0 alone; a text of any length is cut into as many
+    pieces as it needs; of windows that fit equally well the oldest is taken; each id lies in one piece; equal rows are
     packed each; null ids are carried; an empty table gives an empty table; other columns are not read.
-    merge_rows bounds the open pieces that a merging task gets.
     """
     told = docs.select("doc_id", F.col("text").cast("string"))
     kind = told.schema["doc_id"].dataType.simpleString()
 
     def from_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer, id_type = byte_bpe(ranks_path), Packer(size, open_windows, first_id(0)), pa.int64()
+        encode, packer, id_type = byte_bpe(tokenizer_path), Packer(size, open_windows, first_id(0)), pa.int64()
         for b in batches:
             id_type = b.schema.field("doc_id").type
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
@@ -136,12 +154,12 @@ def pack(docs: DataFrame, ranks_path: str, size: int = 1024, open_windows: int =
 
     schema = f"doc_id {kind}, {PIECES}"
     packed = materialize(told.mapInArrow(from_text, schema), "packed")
-    done, open_, level = packed.where("sequence_id is not null"), packed.where("sequence_id is null"), 0
-    while (n := open_.count()) > 0:
+    done, open_, level, leaves = packed.where("sequence_id >= 0"), packed.where("sequence_id < 0"), 0, open_windows * size
+    while (n := open_.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]) > 0:
         level += 1
-        parts = -(-n // merge_rows)
-        key = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(parts))
+        parts = -(-n // (MERGED * leaves))
+        key = F.pmod(F.xxhash64("sequence_id"), F.lit(parts))
         packed = materialize(open_.repartition(parts, key).mapInArrow(merging(level, parts == 1), schema), "packed")
-        done = done.unionByName(packed.where("sequence_id is not null"))
-        open_ = packed.where("sequence_id is null")
+        done = done.unionByName(packed.where("sequence_id >= 0"))
+        open_ = packed.where("sequence_id < 0")
     return done.drop("ids")

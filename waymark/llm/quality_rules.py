@@ -1,8 +1,9 @@
 """Quality rules with adaptive thresholds.
 
 Every document is measured once; each measure's distribution by language and source is kept as a mergeable
-quantile sketch; a rule's cutoff for a group is its median plus a multiple of its spread, held between two bounds.
-Groups with few documents use their language's cutoffs, and small languages those of the whole corpus.
+quantile sketch of the documents that pass the base rules. A rule's cutoff lies at the widest jump between the outer
+quantiles of a group, where there is one, else at a multiple of the outermost quantile's distance from the median. It is
+shrunk towards the cutoff of the group's language, and that towards the corpus's, the more the fewer documents there are.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import broadcast_if_small, keep_rows, materialize, merge_sketches, sketch, sketch_quantiles, text_hash
@@ -22,27 +23,33 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MEASURES = [*BASE, "n_marks", "n_lines"]
 
 
+#: Outer quantiles between which a jump is looked for. Documents of another kind are seen if they are at least 0.5 % and at most 20 % of a group.
+OUTER = (0.80, 0.85, 0.90, 0.925, 0.95, 0.97, 0.98, 0.99, 0.995)
+JUMP, REACH = 4.0, 1.5
+#: Documents that a parent's cutoff weighs as much as.
+PRIOR = 200
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Rejects values over median + spread * (Q3 - Q1), held within [least, most]; low: values under median - spread * (Q3 - Q1)."""
+    """Rejects values above the cutoff; low: below it. Distances from the median up to resolution, or up to the quartile's, mean nothing."""
 
     name: str
     value: str
-    spread: float
-    least: float
-    most: float
+    resolution: float
     low: bool = False
 
 
 #: Values are SQL over the measures.
 RULES = (
-    Rule("symbols", "n_symbols / greatest(n_words, 1)", 6.0, 0.10, 0.35),
-    Rule("marks", "n_marks / greatest(n_words, 1)", 6.0, 0.30, 1.0),
-    Rule("dup_lines", "n_dup_lines / greatest(n_lines, 1)", 6.0, 0.40, 0.60),
-    Rule("repeats", "n_repeat_words / greatest(n_words, 1)", 6.0, 0.40, 0.50),
-    Rule("long_words", "word_chars / greatest(n_words, 1)", 6.0, 9.0, 20.0),
-    Rule("short_words", "word_chars / greatest(n_words, 1)", 6.0, 1.5, 3.0, low=True),
+    Rule("symbols", "n_symbols / greatest(n_words, 1)", 0.02),
+    Rule("marks", "n_marks / greatest(n_words, 1)", 0.05),
+    Rule("dup_lines", "n_dup_lines / greatest(n_lines, 1)", 0.10),
+    Rule("repeats", "n_repeat_words / greatest(n_words, 1)", 0.05),
+    Rule("long_words", "word_chars / greatest(n_words, 1)", 0.5),
+    Rule("short_words", "word_chars / greatest(n_words, 1)", 0.5, low=True),
 )
+BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -103,39 +110,45 @@ def document_measures(docs: DataFrame) -> DataFrame:
     return told.mapInArrow(_measured, f"doc_id {kind}, text_hash long, lang string, source string, " + ", ".join(f"{m} long" for m in MEASURES))
 
 
-def adaptive_thresholds(measures: DataFrame, rules: tuple[Rule, ...] = RULES, min_group: int = 200) -> DataFrame:
+def cutoff() -> Column:
+    """Over columns q50, quarter (the quartile on the rule's side), outer (the array of outer quantiles there), resolution and low."""
+    noise = F.greatest("resolution", F.abs(F.col("quarter") - F.col("q50")))
+    reach = F.transform("outer", lambda x: F.greatest(F.abs(x - F.col("q50")), noise))
+    widest = F.array_max(F.zip_with(F.slice(reach, 1, len(OUTER) - 1), F.slice(reach, 2, len(OUTER) - 1), lambda a, b: F.struct((b / a).alias("jump"), F.sqrt(a * b).alias("between"))))
+    distance = F.when(widest["jump"] >= JUMP, widest["between"]).otherwise(F.lit(REACH) * F.element_at(reach, -1))
+    return F.when(F.col("low"), F.col("q50") - distance).otherwise(F.col("q50") + distance)
+
+
+def adaptive_thresholds(measures: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """lang, source and a cutoff for each rule. Sketches of sources add up to those of languages, and these to the corpus."""
-    values = measures.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.expr(r.value).cast("double").alias("value")) for r in rules])).alias("v")).select("lang", "source", "v.rule", "v.value")
+    values = measures.where(~F.expr(BASE_FAILED)).select("lang", "source", F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.expr(r.value).cast("double").alias("value")) for r in rules])).alias("v")).select("lang", "source", "v.rule", "v.value")
     bins = materialize(sketch(values, ["lang", "source", "rule"]), "quality-sketch")
-    quartiles = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    cut = F.lit(None).cast("double")
-    for r in rules:
-        reach = F.lit(r.spread) * (F.col("q3") - F.col("q1"))
-        cut = F.when(F.col("rule") == r.name, F.greatest(F.lit(r.least), F.least(F.lit(r.most), F.col("q2") - reach if r.low else F.col("q2") + reach))).otherwise(cut)
+    asked = {"q25": 0.25, "q50": 0.5, "q75": 0.75} | {f"up{i}": p for i, p in enumerate(OUTER)} | {f"down{i}": 1 - p for i, p in enumerate(OUTER)}
+    told = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.struct(F.lit(r.resolution).alias("resolution"), F.lit(r.low).alias("low")))])
 
     def level(keys: list[str], name: str) -> DataFrame:
-        return sketch_quantiles(merge_sketches(bins, [*keys, "rule"]), [*keys, "rule"], quartiles).select(*keys, "rule", cut.alias(f"{name}_cut"), F.col("n_values").alias(f"{name}_n"))
-
-    chosen = (
-        level(["lang", "source"], "own")
-        .join(level(["lang"], "lang"), ["lang", "rule"])
-        .join(level([], "all"), ["rule"])
-        .withColumn("cut", F.when(F.col("own_n") >= min_group, F.col("own_cut")).when(F.col("lang_n") >= min_group, F.col("lang_cut")).otherwise(F.col("all_cut")))
-    )
+        quantiles = sketch_quantiles(merge_sketches(bins, [*keys, "rule"]), [*keys, "rule"], asked).withColumn("told", told[F.col("rule")])
+        side = lambda low, high: F.when(F.col("told.low"), low).otherwise(high)
+        sided = quantiles.select(*keys, "rule", "n_values", "q50", "told.*", side(F.col("q25"), F.col("q75")).alias("quarter"), side(*[F.array(*[f"{way}{i}" for i in range(len(OUTER))]) for way in ("down", "up")]).alias("outer"))
+        return materialize(sided.select(*keys, "rule", cutoff().alias(f"{name}_cut"), F.col("n_values").alias(f"{name}_n")), "quality-cuts")
+
+    shrunk = lambda own, n, parent: (F.col(n) * F.col(own) + F.lit(PRIOR) * parent) / (F.col(n) + F.lit(PRIOR))
+    chosen = level(["lang", "source"], "own").join(level(["lang"], "lang"), ["lang", "rule"]).join(level([], "all"), ["rule"])
+    chosen = chosen.withColumn("cut", shrunk("own_cut", "own_n", shrunk("lang_cut", "lang_n", F.col("all_cut"))))
     return chosen.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == r.name, F.col("cut"))).alias(f"cut_{r.name}") for r in rules])
 
 
-def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_group: int = 200) -> DataFrame:
+def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, text_hash, the measures, base_failed, failed_rules (comma-joined), kept; a row for each row of docs.
 
-    Null and empty texts have no words and fail the base rules; null languages and sources form a group of their own;
-    equal rows get equal verdicts; an empty table gives an empty table; other columns are not read.
+    Null and empty texts have no words and fail the base rules; texts of any length are measured whole; a value equal to a
+    cutoff passes; null languages and sources form a group of their own; a group in which every document fails the base rules
+    has no cutoffs and needs none; equal rows get equal verdicts; an empty table gives an empty table; other columns are not read.
     """
     measures = materialize(document_measures(docs), "quality-measures")
-    cuts = broadcast_if_small(materialize(adaptive_thresholds(measures, rules, min_group), "quality-cuts"))
+    cuts = broadcast_if_small(materialize(adaptive_thresholds(measures, rules), "quality-cuts"))
     failed = F.concat_ws(",", *[F.when((F.expr(r.value) < F.col(f"cut_{r.name}")) if r.low else (F.expr(r.value) > F.col(f"cut_{r.name}")), F.lit(r.name)) for r in rules])
-    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = measures.join(cuts, ["lang", "source"], "left").withColumn("base_failed", base_failed).withColumn("failed_rules", failed)
+    judged = measures.join(cuts, ["lang", "source"], "left").withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("failed_rules", failed)
     return judged.select("doc_id", "text_hash", *MEASURES, "base_failed", "failed_rules", (~F.col("base_failed") & (F.col("failed_rules") == "")).alias("kept"))
 
 

@@ -33,7 +33,7 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
-    return packing.pack(read_table(spark, sf_dir, "documents"), path("byte_bpe_50k.tiktoken"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

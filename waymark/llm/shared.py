@@ -113,10 +113,11 @@ def sketch_quantiles(bins: DataFrame, keys: list[str], quantiles: dict[str, floa
     by = Window.partitionBy(*keys)
     upto = F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     ranked = bins.withColumn("upto", upto).withColumn("total", F.sum("n").over(by))
-    return ranked.groupBy(*keys).agg(
-        F.max("total").alias("n_values"),
-        *[sketch_value(F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(q)), F.col("bin")))).alias(name) for name, q in quantiles.items()],
-    )
+    asked = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(q).alias("q")) for name, q in quantiles.items()]))
+    reached = ranked.select(*keys, "bin", "upto", "total", asked.alias("a")).where(F.col("upto") >= F.ceil(F.col("total") * F.col("a.q")))
+    found = reached.groupBy(*keys, F.col("a.name").alias("name")).agg(F.max("total").alias("total"), sketch_value(F.min("bin")).alias("value"))
+    named = found.groupBy(*keys).agg(F.max("total").alias("n_values"), F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("q"))
+    return named.select(*keys, "n_values", *[F.col("q")[name].alias(name) for name in quantiles])
 
 
 # Spans found with SQL functions: split() gives what lies between matches, regexp_extract_all() the matches; running lengths give code point offsets.

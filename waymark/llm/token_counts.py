@@ -25,13 +25,13 @@ def sql_tokens(text: Column, tokenizer: str) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(SQL_TOKENIZERS[tokenizer])).cast("long")
 
 
-def bpe_counts(docs: DataFrame, ranks_path: str, tokenizer: str) -> DataFrame:
-    """doc_id, source, lang, tokenizer, n_tokens by a byte-level BPE vocabulary of ranks, in Arrow batches."""
+def bpe_counts(docs: DataFrame, tokenizer_path: str, tokenizer: str) -> DataFrame:
+    """doc_id, source, lang, tokenizer, n_tokens by a byte-level BPE tokenizer, in Arrow batches."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .packing import byte_bpe
 
-        encode = byte_bpe(ranks_path)
+        encode = byte_bpe(tokenizer_path)
         for b in batches:
             n = pa.array([len(encode(t.as_py() or "")) for t in b.column("text")], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), b.column("lang"), n], names=["doc_id", "source", "lang", "n_tokens"])
