@@ -29,7 +29,7 @@ def sanitise_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
-    return packing.pack(docs, path("byte_bpe_50k.tiktoken"))
+    return packing.pack(docs, path("byte_bpe_50k.json"))
 
 
 STAGES = [
