@@ -3,7 +3,8 @@
 Entities are the e-mail addresses, IP addresses, card and phone numbers that patterns find. How far a term gives
 an entity away is the pointwise mutual information of the two over the corpus's different texts, as a share of the
 entity's own information content: 1 says that who sees the term knows the entity. Terms over one threshold are
-generalised, over a higher one removed, in every document that uses them. DataFrame functions only.
+generalised (numbers to their shape, names and words to their kind), over a higher one removed, in every document that
+uses them. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPANS, broadcast_if_small, find_spans, materialize, text_hash
+from .shared import broadcast_if_small, find_spans, fresh, let, materialize, running, text_hash
 
 KINDS = ("email", "ip", "card", "phone")
 #: A match begins where the last one ended or where no earlier character could begin it; possessive runs never give back.
@@ -22,9 +23,9 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 PREFILTERS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
-#: What stands for a span of each kind in a sanitised text.
-PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "cut": ""}
-CONTEXT = 120  # characters on either side of an entity
+#: What stands for a span of each kind in a sanitised text; a generalised term has a stand-in of its own.
+PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "cut": ""}
+CONTEXT = 120  # characters on either side of an entity in which terms count as said with it
 
 
 def digits(value: Column) -> Column:
@@ -50,15 +51,15 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[find_spans(text, k, i, PATTERNS[k], text.rlike(PREFILTERS[k]), ACCEPT[k]) for i, k in enumerate(KINDS)]))
 
 
-def entity_contexts(docs: DataFrame) -> DataFrame:
-    """text_hash, entity, terms: a row for each entity occurrence. Words cut by the context's ends are left out."""
+def entity_contexts(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
+    """text_hash, entity, terms: a row for each entity occurrence. Terms are the runs of letters and digits within context characters; those cut by its ends are left out."""
     found = docs.select(text_hash().alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")).withColumn("span", F.explode(base_spans(F.col("text"))))
-    begin = F.greatest(F.col("span.start") - CONTEXT, F.lit(0))
+    begin = F.greatest(F.col("span.start") - context, F.lit(0))
     before = F.regexp_replace(F.substring(F.col("text"), (begin + 1).cast("int"), (F.col("span.start") - begin).cast("int")), r"^\S*+", "")
     before = F.when(begin == 0, F.substring(F.col("text"), F.lit(1), F.col("span.start").cast("int"))).otherwise(before)
-    after = F.regexp_replace(F.substring(F.col("text"), (F.col("span.end") + 1).cast("int"), F.lit(CONTEXT)), r"\S++$", "")
-    context = F.lower(F.concat_ws(" ", before, after))
-    terms = F.array_distinct(F.filter(F.split(context, r"[^\p{L}\p{N}]+"), lambda t: F.char_length(t) >= 3))
+    after = F.regexp_replace(F.substring(F.col("text"), (F.col("span.end") + 1).cast("int"), F.lit(context)), r"\S++$", "")
+    around = F.lower(F.concat_ws(" ", before, after))
+    terms = F.array_distinct(F.filter(F.split(around, r"[^\p{L}\p{N}]+"), lambda t: t != ""))
     return found.select("text_hash", F.concat_ws(":", "span.kind", F.lower(F.col("span.value"))).alias("entity"), terms.alias("terms"))
 
 
@@ -87,56 +88,54 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, min_support: int = 3,
     return scored.where(F.col("disclosure") >= generalise).select("entity", "term", "support", "doc_freq", "disclosure", F.when(F.col("disclosure") >= remove, F.lit("cut")).otherwise(F.lit("term")).alias("action"))
 
 
-def find_personal_data(docs: DataFrame, **options) -> DataFrame:
-    """Every row of docs with all its columns, and spans: those of patterns and, of kinds term and cut, those of disclosing terms.
+def find_personal_data(docs: DataFrame, context: int = CONTEXT, into: str = "spans", **options) -> DataFrame:
+    """Every row of docs with all its columns, and into: the spans of patterns and, of kinds term and cut, those of disclosing terms.
 
-    Null texts are empty and have no spans; equal rows get equal spans; null ids are carried; an empty table gives
-    an empty table; a term gets spans in documents without entities too, by the strongest of its actions. A column of docs named spans is replaced.
+    Null texts are empty and have no spans; texts of any length are searched whole; spans are ordered by start, then kind,
+    and a term within a pattern's span is not listed; equal rows get equal spans; null ids are carried; an empty table gives an
+    empty table; a term gets spans in documents without entities too, by the strongest of its actions. A column of docs
+    named as into is replaced, all others are kept whatever their names.
     """
-    contexts = materialize(entity_contexts(docs), "pii-contexts")
+    contexts = materialize(entity_contexts(docs, context), "pii-contexts")
     terms = materialize(disclosing_terms(docs, contexts, **options), "pii-terms")
     pattern = lambda action: F.array_join(F.array_sort(F.collect_set(F.when(F.col("action") == action, F.col("term")))), "|").alias(action)
     # Of the actions "cut" and "term" the lesser is the stronger.
     told = broadcast_if_small(materialize(terms.groupBy("term").agg(F.min("action").alias("action")), "pii-told"))
     used = docs.select("doc_id", text_hash().alias("text_hash"), F.explode(words(F.col("text"))).alias("term"))
     marked = materialize(used.join(told, "term").groupBy("doc_id", "text_hash").agg(pattern("term"), pattern("cut")), "pii-marked")
-    marked = broadcast_if_small(marked.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("term").alias("_term"), F.col("cut").alias("_cut")))
-    hashed = docs.drop("spans").withColumn("_own_hash", text_hash())
-    joined = hashed.join(marked, hashed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")), "left")
+    kept = docs.drop(into)
+    own, id_, hash_, term, cut = (fresh(kept, f"pii_{c}") for c in ("own", "id", "hash", "term", "cut"))
+    marked = broadcast_if_small(marked.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("term").alias(term), F.col("cut").alias(cut)))
+    hashed = kept.withColumn(own, text_hash())
+    out = hashed.join(marked, hashed["doc_id"].eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)), "left")
     text = F.coalesce("text", F.lit(""))
-    base = base_spans(text)
-    out = joined.withColumn("spans", base)
-    for i, (kind, c) in enumerate((("term", "_term"), ("cut", "_cut"))):
+    out = out.withColumn(into, base_spans(text))
+    for i, (kind, c) in enumerate((("term", term), ("cut", cut))):
         regex = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.col(c), F.lit(r")(?![\p{L}\p{N}])"))
         wanted = F.coalesce(F.col(c) != "", F.lit(False))
-        gone = find_spans_by(text, kind, len(KINDS) + i, regex, wanted)
-        free = F.filter(gone, lambda s: ~F.exists("spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-        out = out.withColumn("spans", F.when(wanted, F.array_sort(F.concat("spans", free))).otherwise(F.col("spans")))
-    return out.drop("_own_hash", "_id", "_hash", "_term", "_cut")
+        free = F.filter(find_spans(text, kind, len(KINDS) + i, regex, wanted), lambda s: ~F.exists(into, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        out = out.withColumn(into, F.when(wanted, F.array_sort(F.concat(into, free))).otherwise(F.col(into)))
+    return out.drop(own, id_, hash_, term, cut)
 
 
-def find_spans_by(text: Column, kind: str, rank: int, pattern: Column, wanted: Column) -> Column:
-    """find_spans() for a pattern that is a column."""
-    gaps = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    at = lambda i: F.aggregate(F.slice(gaps, F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, g: a + F.char_length(g)) + F.aggregate(F.slice(found, F.lit(1), i), F.lit(0).cast("long"), lambda a, g: a + F.char_length(g))
-    spans = F.transform(found, lambda v, i: F.struct(at(i).alias("start"), F.lit(rank).alias("rank"), (at(i) + F.char_length(v)).alias("end"), F.lit(kind).alias("kind"), v.alias("value")))
-    return F.when(wanted, spans.cast(SPANS)).otherwise(F.array().cast(SPANS))
+def stand_in(span: Column) -> Column:
+    """A generalised number keeps its shape, with zeros for digits; a name and any other word keep their kind."""
+    value = span["value"]
+    term = F.when(value.rlike(r"\p{N}"), F.regexp_replace(value, r"\p{N}", "0")).when(value.rlike(r"^\p{Lu}"), F.lit("[NAME]")).otherwise(F.lit("[WORD]"))
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in PLACEHOLDERS.items() for x in kv])[span["kind"]], term)
 
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:
-    """docs with every span of its text replaced; a null text stays null. No other column changes."""
-    names = docs.columns
-    found = find_personal_data(docs, **options)
-    stand_in = F.create_map(*[F.lit(x) for kv in PLACEHOLDERS.items() for x in kv])
-    text = F.col("text")
-    built = F.aggregate(
-        "spans",
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), stand_in[s["kind"]]).alias("out"), s["end"].alias("at")),
-        ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text))),
-    )
-    return found.withColumn("text", F.when(F.size("spans") > 0, built).otherwise(text)).select(*names)
+    """docs with every span of its text replaced; a null text stays null. Spans that overlap give way together, to what stands for the first. No other column changes."""
+    names, spans = docs.columns, fresh(docs, "pii_spans")
+    found = find_personal_data(docs, into=spans, **options)
+    text, length = F.col("text"), F.char_length("text")
+
+    def cut_at(ends: Column) -> Column:
+        """ends: how far the spans up to each one reach."""
+        before = F.concat(F.array(F.lit(0).cast("long")), ends)
+        pieces = F.zip_with(spans, F.slice(before, F.lit(1), F.size(spans)), lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(text, (at + 1).cast("int"), (s["start"] - at).cast("int")), stand_in(s))).otherwise(F.lit("")))
+        return F.concat(F.array_join(pieces, ""), F.substring(text, (F.element_at(before, -1) + 1).cast("int"), length))
+
+    built = let(running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), cut_at)
+    return found.withColumn("text", F.when(F.size(spans) > 0, built).otherwise(text)).select(*names)

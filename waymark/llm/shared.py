@@ -125,28 +125,27 @@ SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("rank",
 SPANS = T.ArrayType(SPAN)
 
 
-def find_spans(text: Column, kind: str, rank: int, pattern: str, prefilter: Column, accept=None) -> Column:
-    """Array of spans of the pattern's leftmost non-overlapping matches that accept() takes; empty where the prefilter is not met."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda p: F.char_length(p).cast("long"))
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    walked = F.aggregate(
-        F.arrays_zip(gaps.alias("gap"), found.alias("value")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.coalesce(F.char_length(x["value"]), F.lit(0))).alias("at"),
-            F.when(x["value"].isNull(), acc["spans"])
-            .otherwise(
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"), (acc["at"] + x["gap"] + F.char_length(x["value"])).alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))),
-                ).cast(SPANS)
-            )
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    spans = F.filter(walked, lambda s: accept(s["value"])) if accept else walked
-    return F.when(F.coalesce(prefilter, F.lit(False)), spans).otherwise(F.array().cast(SPANS))
+def let(value: Column, body) -> Column:
+    """body(value), where value is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, combine) -> Column:
+    """Prefix sums (or what combine makes) of an array of longs, each with its own element. Reach doubles from step to step, so n elements take n log n work."""
+    steps = F.filter(F.transform(F.sequence(F.lit(0), F.lit(30)), lambda k: F.pow(F.lit(2), k).cast("int")), lambda reach: reach < F.size(values))
+    both = lambda v, reach: F.zip_with(F.slice(v, reach + 1, F.size(v)), F.slice(v, F.lit(1), F.size(v) - reach), combine)
+    return F.aggregate(steps, values, lambda v, reach: F.concat(F.slice(v, F.lit(1), reach), both(v, reach)))
+
+
+def find_spans(text: Column, kind: str, rank: int, pattern: str | Column, prefilter: Column, accept=None) -> Column:
+    """Array of spans of the pattern's leftmost non-overlapping matches that accept() takes; empty where the prefilter is not met. Work grows with the text and its matches, not with their square."""
+    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
+    found = F.regexp_extract_all(text, regex, F.lit(0))
+    steps = lambda values: F.zip_with(values, F.slice(F.split(text, regex, -1), F.lit(1), F.size(values)), lambda v, gap: (F.char_length(v) + F.char_length(gap)).cast("long"))
+    span = lambda v, end: F.struct((end - F.char_length(v)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), v.alias("value"))
+    spans = let(found, lambda values: F.zip_with(values, running(steps(values), lambda a, b: a + b), span))
+    spans = F.filter(spans, lambda s: accept(s["value"])) if accept else spans
+    return F.when(F.coalesce(prefilter, F.lit(False)), spans).otherwise(F.array()).cast(SPANS)
 
 
 def span_text(spans: Column) -> Column:
