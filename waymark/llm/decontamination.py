@@ -3,7 +3,7 @@
 Numbers, mid-sentence names and units after numbers become typed placeholders; windows of template words are
 hash-joined with those of the benchmark. Where enough of an item is found, its slots are held against the text's:
 each value of the item must stand for one value throughout an alignment of the two, as in a question with other
-parameters. Items made of little but slots are looked for by their exact words instead.
+parameters. Items made of little but slots, and short ones, are looked for by their exact words instead.
 DataFrame functions only.
 """
 
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .shared import broadcast_if_small, keep_rows, materialize, text_hash
 
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
+#: Items of fewer words say nothing within a text; they are found where they are the whole text.
+LEAST = 4
 #: Units, as they follow a number.
 UNITS = "kg|g|mg|t|lb|lbs|oz|km|m|cm|mm|mi|miles?|ft|feet|inch|inches|l|ml|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kmh|kwh|kw|w|v|hz|mb|gb|tb|percent|dollars?|euros?|usd|eur|gbp|cents?|degrees?|meters?|metres?|kilometers?|kilograms?|grams?|liters?|litres?"
 #: In a marked text a word that begins with __ is a unit, one with _ a name, one with a digit a number.
@@ -71,17 +73,45 @@ def exact_windows(benchmark: DataFrame, items: DataFrame) -> DataFrame:
     return counted(item_cuts(benchmark, plain).join(items.select("item_id").distinct(), "item_id", "left_anti").distinct())
 
 
+def runs(table: DataFrame, keys: list[str], length: int) -> DataFrame:
+    """keys, n_words, hash: a hash for each run of length words, by the words themselves."""
+    cut = table.select(*keys, marked_words(F.coalesce("text", F.lit(""))).alias("words"))
+    cut = cut.select(*keys, F.size("words").alias("n_words"), F.transform("words", lambda w: F.xxhash64(plain(w))).alias("own"))
+    cut = cut.select(*keys, "n_words", "own", F.col("own").alias("hashes"))
+    for k in range(1, length):
+        cut = cut.select(*keys, "n_words", "own", F.zip_with("hashes", F.slice("own", F.lit(k + 1), F.size("own")), lambda a, b: F.xxhash64(a, b)).alias("hashes"))
+    return cut.select(*keys, "n_words", F.explode(F.slice("hashes", F.lit(1), F.greatest(F.size("hashes") - (length - 1), F.lit(0)))).alias("hash"))
+
+
+def short_copies(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """contaminated() for items of fewer than WINDOW words: exact copies of them, which are one window without slots."""
+    short = benchmark.select("item_id", "text", F.size(marked_words(F.coalesce("text", F.lit("")))).alias("length")).where(F.col("length").between(1, WINDOW - 1))
+    short = materialize(short, "short-items")
+    told, found = docs.select("doc_id", text_hash().alias("text_hash"), "text"), None
+    for length in sorted(r["length"] for r in short.select("length").distinct().collect()):  # WINDOW - 1 at most
+        items = broadcast_if_small(runs(short.where(F.col("length") == length), ["item_id"], length).select("item_id", "hash").distinct())
+        hits = runs(told, ["doc_id", "text_hash"], length).where(F.lit(length >= LEAST) | (F.col("n_words") == length)).join(items, "hash").select("doc_id", "text_hash", "item_id").distinct()
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        found = told.join(short.select("item_id"), F.lit(False)).select("doc_id", "text_hash", "item_id")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    return found.select("doc_id", "text_hash", "item_id", one.alias("n_found"), one.alias("n_windows"), none.alias("n_slots"), none.alias("n_changed"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, text_hash, item_id, n_found, n_windows, n_slots, n_changed for documents that hold coverage of an item's windows with consistent slots.
 
-    Null and empty texts, and items with under WINDOW words, have no windows; a passage that several items share
+    Null and empty texts and items hold nothing; texts of any length are read whole; items under WINDOW words are found
+    by exact copies, under LEAST words only where they are the whole text; a passage that several items share
     counts for each; equal rows of docs give one row; null ids are carried; empty tables give an empty table; other
     columns are not read.
     """
     items = materialize(item_windows(benchmark), "template-items")
     exact = materialize(exact_windows(benchmark, items), "exact-items")
     leaks = aligned(docs, items, template, coverage)
-    return leaks.unionByName(aligned(docs, exact, plain, coverage)) if exact.take(1) else leaks
+    if exact.take(1):
+        leaks = leaks.unionByName(aligned(docs, exact, plain, coverage))
+    return leaks.unionByName(short_copies(docs, benchmark))
 
 
 def aligned(docs: DataFrame, items: DataFrame, form, coverage: float) -> DataFrame:

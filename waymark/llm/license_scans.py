@@ -1,122 +1,107 @@
 """Licence recognition by sentences.
 
-Sentences are normalised and mapped to identifiers of known licence sentences; the identifiers of a document, in
-order, are matched against licence rules, which are ordered lists of identifiers. DataFrame functions only; a
-document is judged within its row, so nothing is shuffled.
+Texts are cut into sentences whatever their line breaks, sentences are normalised and what varies in them made canonical.
+A table maps them to identifiers of known licence sentences, those of whole licence texts and of ways to name a licence.
+The identifiers of a document, in order, are matched against licence rules: ordered lists of identifiers between which
+others may stand. DataFrame functions only; a document is judged within its row, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Identifier and pattern over a normalised sentence (lower case, words of letters and digits joined by single spaces).
-SENTENCES = (
-    ("apache-2.0-ref", r"licensed under (?:the )?(?:terms of the )?apache (?:software )?license (?:version )?(?:v)?2(?: 0)?"),
-    ("apache-may-not-use", r"you may not use this file except in compliance with the license"),
-    ("apache-obtain-copy", r"you may obtain a copy of the license at .*"),
-    ("as-is-law", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis.*"),
-    ("permissions-governed", r"see the license for the specific language governing permissions and limitations under the license"),
-    ("mit-ref", r"(?:released|licensed|distributed|available) under (?:the )?(?:terms of the )?mit licen[sc]e"),
-    ("mit-grant", r"permission is hereby granted free of charge to any person obtaining a copy .*"),
-    ("mit-notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("mit-warranty", r"the software is provided as is without warranty of any kind.*"),
-    ("bsd-grant", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met.*"),
-    ("bsd-source", r"(?:1 )?redistributions of source code must retain the above copyright notice.*"),
-    ("bsd-binary", r"(?:2 )?redistributions in binary form must reproduce the above copyright notice.*"),
-    ("bsd-endorse", r"(?:3 )?neither the name of .* may be used to endorse or promote products .*"),
-    ("bsd-warranty", r"this software is provided by .* as is and any express or implied warranties.*"),
-    ("bsd-ref", r"(?:released|licensed|distributed) under (?:the )?(?:terms of the )?bsd (?:3 clause |2 clause )?licen[sc]e"),
-    ("gpl-2-ref", r"(?:this (?:work|program|software|file) is )?(?:licensed|released|distributed) under (?:the )?(?:terms of the )?gnu (?:general public license|gpl) (?:version )?v?2(?: 0)?"),
-    ("gpl-3-ref", r"(?:this (?:work|program|software|file) is )?(?:licensed|released|distributed) under (?:the )?(?:terms of the )?gnu (?:general public license|gpl) (?:version )?v?3(?: 0)?"),
-    ("gpl-free", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license.*"),
-    ("gpl-warranty", r"this program is distributed in the hope that it will be useful but without any warranty.*"),
-    ("gpl-received", r"you should have received a copy of the gnu general public license along with this program.*"),
-    ("lgpl-ref", r"(?:licensed|released|distributed) under (?:the )?(?:terms of the )?gnu lesser general public license.*"),
-    ("mpl-2.0-ref", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by-4.0-ref", r"(?:this work is )?licensed under (?:a |the )?(?:creative commons attribution|cc by)(?: international)? 4 0(?: international)?(?: license)?"),
-    ("cc-by-sa-4.0-ref", r"(?:this work is )?licensed under (?:a |the )?(?:creative commons attribution sharealike|cc by sa) 4 0(?: international)?(?: license)?"),
-    ("cc-by-nc-4.0-ref", r"(?:this work is )?licensed under (?:a |the )?(?:creative commons attribution noncommercial|cc by nc) 4 0(?: international)?(?: license)?"),
-    ("cc0-ref", r"(?:this work is )?(?:dedicated to the public domain|licensed under cc0(?: 1 0)?).*"),
-    ("all-rights", r"all rights reserved"),
-    ("copyright", r"copyright (?:c )?[0-9]{4}.*"),
-)
-#: Licence and its sentences in order. Earlier rules go first, and a sentence is used once.
-LICENCES = (
-    ("Apache-2.0", ("apache-2.0-ref", "apache-may-not-use", "apache-obtain-copy", "as-is-law", "permissions-governed")),
-    ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
-    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty")),
-    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty")),
-    ("GPL", ("gpl-free", "gpl-warranty", "gpl-received")),
-    ("Apache-2.0", ("apache-2.0-ref",)),
-    ("MIT", ("mit-ref",)),
-    ("MIT", ("mit-grant",)),
-    ("BSD", ("bsd-ref",)),
-    ("BSD", ("bsd-grant",)),
-    ("GPL-2.0", ("gpl-2-ref",)),
-    ("GPL-3.0", ("gpl-3-ref",)),
-    ("GPL", ("gpl-free",)),
-    ("LGPL", ("lgpl-ref",)),
-    ("MPL-2.0", ("mpl-2.0-ref",)),
-    ("CC-BY-4.0", ("cc-by-4.0-ref",)),
-    ("CC-BY-SA-4.0", ("cc-by-sa-4.0-ref",)),
-    ("CC-BY-NC-4.0", ("cc-by-nc-4.0-ref",)),
-    ("CC0-1.0", ("cc0-ref",)),
-    ("all-rights-reserved", ("all-rights",)),
+from .licence_texts import NAMES, PHRASES, TEXTS
+
+#: A sentence ends at a blank line, or after . ! ? ; or : before white space; a line break alone ends none. Known texts are cut alike.
+SENTENCE_BREAK = r"(?:(?<=[.!?;:])%s\s+|\s*\n\s*\n\s*)"
+SENTENCE_END = SENTENCE_BREAK % r"(?<!(?i:identifier:|\b(?:v|inc|ltd|corp|co)\.))"
+#: Every known sentence has one of these, once in lower case.
+HINT = r"licen[cs]e|\bgpl|permission|permitted|copyright|redistribut|warrant|endorse|rights[^a-z0-9]+reserved|public[^a-z0-9]+domain|free[^a-z0-9]+software|may[^a-z0-9]+obtain"
+#: In order: what varies between copies of a sentence, and what stands for it.
+CANONICAL = (
+    (r"licence", "license"),
+    (r"^(?:c )?copyright (?:c )?[0-9]{4}.*$", "copyright notice"),
+    (r"neither the names? of .+ nor the names of (?:its|their) contributors", "neither the name of holder nor the names of its contributors"),
+    (r"provided by .+ as is", "provided by holder as is"),
+    (r"(you (?:may|can) obtain (?:a copy of the license|one) at).*$", "$1"),
+    (r"\bthis (?:file|library|package|software|work)\b", "this program"),
+    (r"\b(?:version|v) ?([0-9])(?: 0\b)?", "v$1"),
+    (r"^(?:it|this|the|these)(?: [a-z]+){0,3} (?:is|are) (?=licensed|released|distributed under|available under|dedicated)", ""),
+    (r"(?:licensed|released|distributed|available|published) under (?:an? |the )?(?:terms of (?:an? |the )?)?", "licensed under "),
+    (r"^(licensed under .*?) the license$", "$1"),
+    (r" or (?:at your option )?(?:any )?later(?: version)?$", ""),
 )
-#: A sentence ends at a line's end, or after . ! ? ; or : before white space.
-SENTENCE_END = r"\n+|(?<=[.!?;:])\s+"
-#: Every known sentence has one of these words.
-HINTS = ("licen", "permission", "copyright", "redistribut", "warrant", "endorse", "rights reserved", "public domain", "free software")
 
 
-def hinted(text: Column) -> Column:
-    low, out = F.lower(text), F.lit(False)
-    for h in HINTS:
-        out = out | low.contains(h)
+def canonical_text(sentence: str) -> str:
+    """normal() and canonical() for the known texts, which are ASCII."""
+    out = re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
+    for pattern, stand_in in CANONICAL:
+        out = re.sub(pattern, stand_in.replace("$", "\\"), out)
     return out
 
 
-def normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+def known_sentences() -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
+    """Identifier by canonical sentence, and rules (licence, identifiers): whole texts, longest first, then the first sentence that tells a licence, and names, alone."""
+    ids: dict[str, str] = {}
+    whole = []
+    for licence, texts in TEXTS.items():
+        for text in texts:
+            sentences = [canonical_text(s) for s in re.split(SENTENCE_BREAK % r"(?<!\bv\.)", text) if re.search(HINT, s.lower()) and "://" not in s[:10]]
+            whole.append((licence, [ids.setdefault(s, f"{licence}:{i + 1}") for i, s in enumerate(sentences)]))
+    owners = {i: {licence for licence, seq in whole if i in seq} for i in ids.values()}
+    telling = [(licence, [next(i for i in seq if len(owners[i]) == 1)]) for licence, seq in whole if any(len(owners[i]) == 1 for i in seq)]
+    grant = [("BSD", seq[:1]) for licence, seq in whole if licence == "BSD-2-Clause"]
+    named = {f"licensed under {name}": licence for licence, names in NAMES.items() for name in names} | PHRASES
+    named |= {canonical_text(f"spdx license identifier {licence}"): licence for licence in [*TEXTS, *NAMES]}
+    by_name = {ids.setdefault(s, f"ref:{licence}"): licence for s, licence in named.items()}
+    taken = {seq[0] for _, seq in telling}
+    return ids, [*sorted((r for r in whole if len(r[1]) > 1), key=lambda r: -len(r[1])), *telling, *grant, *[(licence, [i]) for i, licence in by_name.items() if i not in taken]]
+
 
+SENTENCES, RULES = known_sentences()
 
-def sentence_id(sentence: Column, sentences=SENTENCES) -> Column:
-    out = F.lit(None).cast("string")
-    for name, pattern in reversed(sentences):
-        out = F.when(sentence.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
+
+def canonical(sentence: Column) -> Column:
+    out = F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+    for pattern, stand_in in CANONICAL:
+        out = F.regexp_replace(out, pattern, stand_in)
     return out
 
 
-def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
-    candidates = F.filter(F.split(text, SENTENCE_END, -1), hinted)
-    ids = F.filter(F.transform(F.transform(candidates, normal), lambda s: sentence_id(s, sentences)), lambda i: i.isNotNull())
-    return F.when(hinted(text), ids).otherwise(F.array().cast("array<string>"))
+def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Column:
+    """Identifiers of the known sentences of a text, in order. In a sentence that is not known, its lines are looked up, as a notice may follow prose without a stop."""
+    table = F.create_map(*[F.lit(x) for kv in (sentences or SENTENCES).items() for x in kv])
+    hinted = lambda s: F.lower(s).rlike(HINT)
+    look = lambda s: F.try_element_at(table, canonical(s))
+    lines = lambda s: F.filter(F.transform(F.filter(F.split(s, r"\n"), hinted), look), lambda i: i.isNotNull())
+    each = F.transform(F.filter(F.split(text, SENTENCE_END, -1), hinted), lambda s: F.when(look(s).isNotNull(), F.array(look(s))).otherwise(lines(s)))
+    return F.when(hinted(text), F.flatten(each)).otherwise(F.array().cast("array<string>"))
+
+
+def follows(ids: Column, rule: Column) -> Column:
+    """Whether the rule's identifiers stand in ids in their order, with or without others between."""
+    after = lambda at, x: F.array_position(F.slice(ids, (at + 1).cast("int"), F.size(ids)), x)
+    return F.aggregate(rule, F.lit(0).cast("long"), lambda at, x: F.when((at >= 0) & (after(at, x) > 0), at + after(at, x)).otherwise(F.lit(-1).cast("long"))) >= 0
 
 
-def match_licences(ids: Column, licences=LICENCES) -> Column:
-    """Licences whose sentences follow each other in ids, each once, in the rules' order; what a rule takes no later rule sees."""
-    left = F.concat(F.lit("|"), F.array_join(ids, "||"), F.lit("|"))
-    state = F.struct(left.alias("left"), F.array().cast("array<string>").alias("found"))
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"|{s}|" for s in seq)).alias("seq")) for name, seq in licences])
-    return F.aggregate(
-        rules,
-        state,
-        lambda acc, r: F.when(
-            F.instr(acc["left"], r["seq"]) > 0,
-            F.struct(F.replace(acc["left"], r["seq"], F.lit("/")).alias("left"), F.array_union(acc["found"], F.array(r["name"])).alias("found")),
-        ).otherwise(acc),
-        lambda acc: acc["found"],
-    )
+def match_licences(ids: Column, rules: list[tuple[str, list[str]]] | None = None) -> Column:
+    """Licences whose rules ids follow, each once, in the rules' order; what a rule takes no later rule sees."""
+    told = F.array(*[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, seq)).alias("seq")) for name, seq in rules or RULES])
+    state = F.struct(ids.alias("left"), F.array().cast("array<string>").alias("found"))
+    taken = lambda acc, r: F.struct(F.filter(acc["left"], lambda i: ~F.array_contains(r["seq"], i)).alias("left"), F.array_union(acc["found"], F.array(r["name"])).alias("found"))
+    return F.aggregate(told, state, lambda acc, r: F.when(follows(acc["left"], r["seq"]), taken(acc, r)).otherwise(acc), lambda acc: acc["found"])
 
 
-def scan_licences(docs: DataFrame, sentences=SENTENCES, licences=LICENCES) -> DataFrame:
+def scan_licences(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
     """doc_id, n_sentences, sentence_ids, licences for every row of docs.
 
-    Null and empty texts have no sentences; equal rows get equal results; null ids are carried; an empty table
-    gives an empty table; other columns are not read.
+    Null and empty texts have no sentences; texts of any length are read whole; of rules that fit, the earlier takes the
+    sentences; equal rows get equal results; null ids are carried; an empty table gives an empty table; other columns are not read.
     """
     found = docs.select("doc_id", sentence_ids(F.coalesce("text", F.lit("")), sentences).alias("sentence_ids"))
-    licences_of = F.when(F.size("sentence_ids") > 0, match_licences(F.col("sentence_ids"), licences)).otherwise(F.array().cast("array<string>"))
+    licences_of = F.when(F.size("sentence_ids") > 0, match_licences(F.col("sentence_ids"), rules)).otherwise(F.array().cast("array<string>"))
     return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), "sentence_ids", licences_of.alias("licences"))

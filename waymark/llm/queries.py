@@ -57,13 +57,20 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.maintain(read_table(spark, sf_dir, "documents"), scratch_path(spark, "token-rollup"))
 
 
+def token_counts_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rollup over a real tokenizer, which SQL does not express."""
+    from public_tokenizers import path
+
+    return token_counts.count_rollup(read_table(spark, sf_dir, "documents"), scratch_path(spark, "token-rollup"), path("byte_bpe_50k.json"), "byte-bpe-50k")
+
+
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scans.scan_licences(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_secret_scans, op4_packing, op5_pii, op6_decontamination, op7_quality_classifier, op8_near_dedup, op9_token_counts, op10_license_scans)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_secret_scans, op4_packing, op5_pii, op6_decontamination, op7_quality_classifier, op8_near_dedup, op9_token_counts, op10_license_scans, token_counts_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

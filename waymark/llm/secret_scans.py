@@ -51,16 +51,16 @@ def blob_id(text: Column) -> Column:
 
 
 def rule_spans(text: Column, wanted: Column, rules: tuple[SecretRule, ...]) -> Column:
-    """Spans of those rules whose key is in the array wanted, by start, then in the rules' order."""
+    """Spans of those rules whose key is in the array wanted, with the key as kind, by start, then in the rules' order."""
     parts = []
     for i, r in enumerate(rules):
         accept = (lambda v, r=r: F.char_length(F.regexp_extract(v, r.pattern, r.group)) >= r.least) if r.least > 1 else None
-        parts.append(find_spans(text, r.kind, i, r.pattern, F.array_contains(wanted, r.key) & text.rlike(r.prefilter), accept))
+        parts.append(find_spans(text, r.key, i, r.pattern, F.array_contains(wanted, r.key) & text.rlike(r.prefilter), accept))
     return F.array_sort(F.concat(*parts))
 
 
 class BlobLedger:
-    """A Parquet folder of (blob_id, rules, spans); a blob has a row for each run that scanned it. Reruns of a batch find nothing unseen and add nothing."""
+    """A Parquet folder of (blob_id, rules, spans); a blob has a row for each run that scanned it, a span the rule's kind and version as its kind. Reruns of a batch find nothing unseen and add nothing."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -85,11 +85,11 @@ class BlobLedger:
         once.write.mode("append").parquet(self.path)
 
     def findings(self, versions: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-        """path, version and the spans of the given rules for every row of versions, by start, then in the rules' order."""
+        """path, version and the spans of the given rules, in these versions, for every row of versions, by start, then in the rules' order."""
         kinds = F.array(*[F.lit(r.key) for r in rules])
-        ranks = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
+        told = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.struct(F.lit(i).alias("rank"), F.lit(r.kind).alias("kind")))])
         known = self.rows().where(F.arrays_overlap("rules", kinds) & (F.size("spans") > 0)).groupBy("blob_id").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
-        ranked = F.array_sort(F.transform(F.filter("spans", lambda s: ranks[s["kind"]].isNotNull()), lambda s: s.withField("rank", ranks[s["kind"]])))
+        ranked = F.array_sort(F.transform(F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])), lambda s: s.withField("rank", told[s["kind"]]["rank"]).withField("kind", told[s["kind"]]["kind"])))
         keyed = versions.select("path", "version", blob_id(F.col("text")).alias("blob_id"))
         return keyed.join(known.select("blob_id", ranked.alias("spans")), "blob_id", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
 
@@ -97,7 +97,8 @@ class BlobLedger:
 def scan_documents(docs: DataFrame, ledger_path: str | None = None, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
     """doc_id, text_hash, spans for every row of docs.
 
-    Null texts are empty and have no spans; equal texts are scanned once however often they occur; equal rows get
+    Null texts are empty and have no spans; texts of any length are scanned whole; spans that begin together stand in the
+    rules' order; equal texts are scanned once however often they occur; equal rows get
     equal results; null ids are carried; an empty table gives an empty table; other columns are not read.
     """
     ledger = BlobLedger(docs.sparkSession, ledger_path or scratch_path(docs.sparkSession, "blob-ledger"))

@@ -2,7 +2,8 @@
 
 State is a log of signed changes by source, language and tokenizer version. A batch of inserts, deletes and
 revised counts is pre-aggregated to one row per group and committed under its id; a batch id that is committed
-already changes nothing, and what a failed attempt left is overwritten. Totals are sums over committed batches.
+already changes nothing, and what a failed attempt left is overwritten. Totals are sums over committed batches, of which
+compaction puts one in place of many.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import broadcast_if_small, materialize
 
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS = ["n_docs", "n_tokens"]
@@ -55,34 +56,55 @@ def revisions(counts: DataFrame, old: str = "old_tokens") -> DataFrame:
 
 
 class TokenRollup:
-    """path/deltas/batch=<id> holds a batch's sums; a row in path/commits makes it count."""
+    """path/deltas/batch=<id> holds a batch's sums; a row in path/commits makes it count, and what it covers no more."""
+
+    COMMITS = "batch string, covers array<string>"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        spark.createDataFrame([], "batch string").write.mode("ignore").parquet(f"{path}/commits")
+        spark.createDataFrame([], self.COMMITS).write.mode("ignore").parquet(f"{path}/commits")
 
     def committed(self) -> DataFrame:
-        return self.spark.read.schema("batch string").parquet(f"{self.path}/commits")
+        return self.spark.read.schema(self.COMMITS).parquet(f"{self.path}/commits")
 
-    def apply(self, batch: str, changes: DataFrame) -> bool:
-        """changes: KEYS and signed TOTALS. False if the batch is committed already. One writer at a time."""
+    def live(self) -> DataFrame:
+        """Ids of the batches that totals add up: those committed and not covered since."""
+        done = self.committed()
+        return done.select("batch").distinct().join(done.select(F.explode("covers").alias("batch")), "batch", "left_anti")
+
+    def _commit(self, batch: str, sums: DataFrame, covers: list[str]) -> bool:
         if self.committed().where(F.col("batch") == batch).take(1):
             return False
-        sums = changes.groupBy(*KEYS).agg(*[F.sum(F.coalesce(c, F.lit(0).cast("long"))).alias(c) for c in TOTALS])
         sums.write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch}")
-        self.spark.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        self.spark.createDataFrame([(batch, covers)], self.COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return True
 
+    def apply(self, batch: str, changes: DataFrame) -> bool:
+        """changes: KEYS and signed TOTALS. False if the batch is committed already. One writer at a time."""
+        return self._commit(batch, changes.groupBy(*KEYS).agg(*[F.sum(F.coalesce(c, F.lit(0).cast("long"))).alias(c) for c in TOTALS]), [])
+
+    def compact(self, batch: str) -> bool:
+        """Puts one batch in place of all live ones; their ids stay known, so replaying them still changes nothing. The driver holds the ids since the last compaction."""
+        covers = [r["batch"] for r in self.live().collect()]
+        return self._commit(batch, self.totals(), covers)
+
     def totals(self) -> DataFrame:
-        """KEYS and TOTALS over committed batches, without groups whose totals are all zero."""
+        """KEYS and TOTALS over live batches, without groups whose totals are all zero."""
         schema = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch string"
         if not self.committed().take(1):
             return self.spark.createDataFrame([], schema).drop("batch")
         deltas = self.spark.read.schema(schema).parquet(f"{self.path}/deltas")
-        kept = deltas.join(F.broadcast(self.committed().distinct()), "batch", "left_semi")  # a row for each batch
+        kept = deltas.join(broadcast_if_small(self.live()), "batch", "left_semi")
         return kept.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in TOTALS]).where((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))
 
 
+def count_rollup(docs: DataFrame, path: str, tokenizer_path: str, tokenizer: str) -> DataFrame:
+    """The totals of one batch, counted by a byte-level BPE tokenizer."""
+    rollup = TokenRollup(docs.sparkSession, path)
+    rollup.apply("1-counts", inserts(bpe_counts(docs, tokenizer_path, tokenizer)))
+    return rollup.totals()
+
+
 def sql_counts(docs: DataFrame, tokenizers: list[str]) -> DataFrame:
     """doc_id, KEYS, n_tokens: a row for each row of docs and tokenizer. Null texts count 0; null sources and languages are groups of their own."""
     pairs = F.explode(F.array(*[F.struct(F.lit(t).alias("tokenizer"), sql_tokens(F.col("text"), t).alias("n_tokens")) for t in tokenizers]))
@@ -92,7 +114,8 @@ def sql_counts(docs: DataFrame, tokenizers: list[str]) -> DataFrame:
 def maintain(docs: DataFrame, path: str, tokenizers: list[str] | None = None) -> DataFrame:
     """The totals after three batches: estimates from n_chars, counts that revise them, and the deletion of documents without a token.
 
-    A replay of the second batch is refused by its id. An empty table gives no totals; equal rows count each; columns besides
+    A replay of the second batch is refused by its id. Null texts and counts are 0; texts of any length are counted whole; null
+    sources and languages are groups of their own; an empty table gives no totals; equal rows count each; columns besides
     doc_id, text, lang, source and n_chars are not read.
     """
     tokenizers = list(tokenizers or SQL_TOKENIZERS)
@@ -105,6 +128,7 @@ def maintain(docs: DataFrame, path: str, tokenizers: list[str] | None = None) ->
     revised = materialize(old.select("source", "lang", "old_tokens", pairs.alias("c")).select("source", "lang", "old_tokens", "c.*"), "token-counts")
     gone = revised.where(F.col("n_tokens") == 0)
     rollup.apply("2-counts", revisions(revised))
+    rollup.compact("2-compacted")
     rollup.apply("2-counts", revisions(revised))
     rollup.apply("3-blank", deletes(gone))
     return rollup.totals()
