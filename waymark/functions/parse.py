@@ -65,6 +65,19 @@ def merge_reasoning(reasoning: Column, text: Column) -> Column:
     return F.when((strip(reasoning) == "") | F.contains(F.lower(text), F.lit("<think>")), text).otherwise(F.concat(F.lit("<think>"), strip(reasoning), F.lit("</think>"), body))
 
 
+def content_text(parts: Column) -> Column:
+    """Text of a message's content parts (type, text): the texts, one to a line."""
+    return strip(F.array_join(F.transform(F.filter(parts, lambda p: p["type"] == "text"), lambda p: F.coalesce(p["text"], F.lit(""))), "\n"))
+
+
 def usage_total(prompt: Column, completion: Column, total: Column) -> Column:
     given = F.nullif(total, F.lit(0))
     return F.coalesce(given, F.coalesce(prompt, F.lit(0)) + F.coalesce(completion, F.lit(0)))
+
+
+def usage(prompt: Column, completion: Column, total: Column, empty_is_null: Column | bool = False) -> Column:
+    """A struct of three counters, missing ones 0. empty_is_null: usage that came as an object, whose zeros say nothing, not as a mapping."""
+    counts = [F.coalesce(prompt, F.lit(0)).cast("long"), F.coalesce(completion, F.lit(0)).cast("long"), usage_total(prompt, completion, total).cast("long")]
+    whole = F.struct(*[c.alias(n) for c, n in zip(counts, ("prompt_tokens", "completion_tokens", "total_tokens"))])
+    said = ~(F.lit(empty_is_null) if isinstance(empty_is_null, bool) else empty_is_null) | (counts[0] != 0) | (counts[1] != 0) | (counts[2] != 0)
+    return F.when(said, whole)

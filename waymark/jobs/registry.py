@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.parse import merge_reasoning, parse_response, usage_total
-from ..functions.text import equivalent_answer, strip
+from ..functions.parse import content_text, merge_reasoning, parse_response, usage as usage_of
+from ..functions.text import equivalent_answer
 from ..operators import canvas, judge, tools, trajectory
+from ..sources import requests
 from ..sources import tasks as task_source
 from .fixtures import VIEWS
 
@@ -19,15 +21,41 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for table in ("conversations", "events", "pages"):
         if table in VIEWS[name]:
             spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    if "edits_fx" in VIEWS[name] and name != "edits_fx":
+        view(spark, sf_dir, "edits_fx").createOrReplaceTempView("edits_fx")
     return spark.sql(VIEWS[name])
 
 
-def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_response(view(spark, sf_dir, "turns_fx")).withColumn("answers", F.array("gold"))
+def long(*names: str) -> list:
+    return [F.col(n).cast("long").alias(n) for n in names]
 
 
-def judged(spark: SparkSession, sf_dir: str, critic: str | None = None) -> DataFrame:
-    return judge.judge(judge.candidates(turns(spark, sf_dir)), critic)
+def tasks(spark, sf_dir) -> DataFrame:
+    """Prepared tasks, with the path of turn 0's render, '' where it failed."""
+    raw = view(spark, sf_dir, "tasks_fx")
+    ready = task_source.prepare_tasks(raw.withColumns({"choices": F.array(F.lit("yes"), F.lit("no")), "answers": F.array("gold")}), "/data", False)
+    return ready.join(raw.select("task_id", "first_ok", "broken"), "task_id").withColumn("first_render", F.when(F.col("first_ok"), tools.first_render_path()).otherwise(""))
+
+
+def parsed(spark, sf_dir) -> DataFrame:
+    return parse_response(view(spark, sf_dir, "turns_fx"))
+
+
+def turns(spark, sf_dir) -> DataFrame:
+    """Parsed turns beside their tasks."""
+    own = tasks(spark, sf_dir)
+    return judge.with_golds(parsed(spark, sf_dir), own).join(own.select("task_id", "first_render"), "task_id")
+
+
+def renders(told: DataFrame, main_rounds: int = 6) -> DataFrame:
+    calls = tools.tool_results(tools.tool_calls(told.where(F.col("turn") <= main_rounds)))
+    return tools.last_renders(calls.join(told.select("task_id", "first_render").distinct(), "task_id"), F.col("first_render"))
+
+
+def judged(told: DataFrame, critic: str | None = None, main_rounds: int = 6) -> DataFrame:
+    """Turns with a verdict; those without a render, retries apart, are judged without a critique."""
+    seen = tools.turn_renders(told, renders(told, main_rounds)).withColumn("rendered", (F.col("last_render") != "") | (F.col("turn") > main_rounds))
+    return judge.judge(judge.candidates(seen), critic, "rendered")
 
 
 def task_prep(spark, sf_dir):
@@ -35,114 +63,186 @@ def task_prep(spark, sf_dir):
     return task_source.prepare_tasks(raw, "/data").select("task_id", "pid", "question", "instruction", "image_path", F.array_join("answers", "|").alias("golds"))
 
 
+def task_items(spark, sf_dir):
+    """Tasks from JSON items: mixed golds and choices, missing and null fields, names that count for nothing."""
+    items = task_source.slice_tasks(view(spark, sf_dir, "items_fx"), 3, 60, "pos")
+    ready = task_source.prepare_tasks(task_source.task_fields(items), "/data")
+    return ready.select(*long("task_id"), "pid", "question", "instruction", "image_path", F.array_join("answers", "|").alias("golds"))
+
+
 def task_slice(spark, sf_dir):
     return task_source.slice_tasks(view(spark, sf_dir, "tasks_fx"), 10, 40).select("task_id", "pid")
 
 
 def task_shuffle(spark, sf_dir):
-    return task_source.shuffled(view(spark, sf_dir, "tasks_fx").select("task_id"), 7).agg(F.count_distinct("task_id").alias("n_tasks"), F.min("order").alias("first"), F.max("order").alias("last"), F.count_distinct("order").alias("n_orders"))
+    """Whether the order is a permutation, and how many tasks keep their place, which is few."""
+    out = task_source.shuffled(view(spark, sf_dir, "tasks_fx").select("task_id"), 7)
+    n = F.count(F.lit(1))
+    return out.agg(F.count_distinct("task_id").alias("n_tasks"), F.min("order").alias("first"), F.max("order").alias("last"), F.count_distinct("order").alias("n_orders"), (F.count_if(F.col("order") == F.col("task_id")) * 2 < n).alias("moved"))
 
 
 def parse_fields(spark, sf_dir):
-    return turns(spark, sf_dir).select("task_id", F.col("turn").cast("long").alias("turn"), "reasoning", "answer", "boxed", "content", "seed_content", "has_answer_tag", "answer_present", F.size("tool_calls").cast("long").alias("n_calls"), F.col("malformed").cast("long").alias("malformed"))
+    return parsed(spark, sf_dir).select(*long("task_id", "turn"), "reasoning", "answer", "boxed", "content", "seed_content", "has_answer_tag", "answer_present", F.size("tool_calls").cast("long").alias("n_calls"), *long("malformed"))
 
 
 def tool_validation(spark, sf_dir):
-    return tools.tool_results(tools.tool_calls(turns(spark, sf_dir))).select("task_id", F.col("turn").cast("long").alias("turn"), F.col("call").cast("long").alias("call"), "name", "invalid", "result")
+    return tools.tool_results(tools.tool_calls(turns(spark, sf_dir))).select(*long("task_id", "turn", "call"), "name", "invalid", "result")
 
 
 def turn_tool_response(spark, sf_dir):
-    parsed = turns(spark, sf_dir)
-    return tools.turn_responses(parsed, tools.tool_results(tools.tool_calls(parsed))).withColumn("turn", F.col("turn").cast("long"))
+    told = turns(spark, sf_dir)
+    return tools.turn_responses(told, tools.tool_results(tools.tool_calls(told))).select(*long("task_id", "turn"), "tool_response")
 
 
 def render_carry(spark, sf_dir):
-    out = tools.last_renders(tools.tool_results(tools.tool_calls(turns(spark, sf_dir))))
-    return out.select("task_id", F.col("turn").cast("long").alias("turn"), F.col("call").cast("long").alias("call"), "rendered_path", "last_render")
+    return renders(turns(spark, sf_dir), 99).select(*long("task_id", "turn", "call"), "rendered_path", "render_before", "last_render")
 
 
 def answer_equivalence(spark, sf_dir):
     """Every answer against the golds of the tasks that follow: whole, as a decimal and as a fraction."""
-    base = view(spark, sf_dir, "turns_fx").select("task_id", F.col("turn").cast("long").alias("turn"), "gold")
+    base = view(spark, sf_dir, "turns_fx").select(*long("task_id", "turn"), "gold")
     forms = F.explode(F.array(F.col("gold"), F.concat(F.lit(" "), "gold", F.lit(".0 ")), F.concat((2 * F.col("gold").cast("int")).cast("string"), F.lit("/2")), F.concat(F.lit("1_"), "gold"), F.concat("gold", F.lit("d")), F.concat("gold", F.lit("/0")))).alias("model")
     return base.select("task_id", "turn", "gold", forms).withColumn("same", equivalent_answer(F.col("model"), F.col("gold")))
 
 
 def candidate_format(spark, sf_dir):
-    return judge.candidates(turns(spark, sf_dir)).select("task_id", F.col("turn").cast("long").alias("turn"), "candidate", "base_ok", "local_ok")
+    return judge.candidates(turns(spark, sf_dir)).select(*long("task_id", "turn"), "candidate", "base_ok", "local_ok")
 
 
 def critic_verdict(spark, sf_dir):
     out = view(spark, sf_dir, "turns_fx").withColumn("v", judge.verdict_of("critic_raw"))
-    return out.select("task_id", F.col("turn").cast("long").alias("turn"), F.col("v.has_object").alias("has_object"), F.col("v.has_fields").alias("has_fields"), F.col("v.consistent").alias("consistent"), F.col("v.is_correct").alias("is_correct"), F.col("v.normalized").alias("normalized"), F.size("v.elements").cast("long").alias("n_elements"))
+    return out.select(*long("task_id", "turn"), *[F.col(f"v.{c}").alias(c) for c in ("has_object", "has_fields", "has_consistent", "consistent", "is_correct", "normalized", "critique")], F.size("v.elements").cast("long").alias("n_elements"))
 
 
 def hallucinations(spark, sf_dir):
-    out = view(spark, sf_dir, "turns_fx").withColumn("e", F.explode(judge.verdict_of("critic_raw")["elements"]))
-    return out.groupBy(F.get_json_object("e", "$.category").alias("category")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("task_id").alias("n_tasks"))
+    return judge.critique_elements(view(spark, sf_dir, "turns_fx")).select(*long("task_id", "turn", "i"), *judge.ELEMENT)
 
 
 def reask(spark, sf_dir):
-    """Turns whose verdict lacks the fields that a decision needs."""
-    out = view(spark, sf_dir, "turns_fx").where(~judge.verdict_of("critic_raw")["has_fields"])
-    return out.select("task_id", F.col("turn").cast("long").alias("turn"))
+    """Turns whose verdict lacks the fields that a decision needs, with and without a render."""
+    v = judge.verdict_of("critic_raw")
+    return view(spark, sf_dir, "turns_fx").select(*long("task_id", "turn"), judge.needs_second(v, F.lit(True)).alias("rendered"), judge.needs_second(v, F.lit(False)).alias("unrendered")).where("rendered or unrendered")
 
 
 JUDGED = ["task_id", "turn", "format_ok", "is_correct", "normalized", "consistent", "feedback", "accepted"]
 
 
 def judge_merge(spark, sf_dir):
-    return judged(spark, sf_dir, "critic_raw").withColumn("turn", F.col("turn").cast("long")).select(*JUDGED)
+    """Every turn as if it had a render."""
+    return judge.judge(judge.candidates(turns(spark, sf_dir)), "critic_raw").select(*long("task_id", "turn"), *JUDGED[2:])
 
 
 def judge_local(spark, sf_dir):
-    return judged(spark, sf_dir).withColumn("turn", F.col("turn").cast("long")).select(*JUDGED)
+    return judge.judge(judge.candidates(turns(spark, sf_dir)), None).select(*long("task_id", "turn"), *JUDGED[2:])
+
+
+def judge_renders(spark, sf_dir):
+    """Turns with and without a render, each by its own rules."""
+    return judged(turns(spark, sf_dir), "critic_raw").select(*long("task_id", "turn"), "last_render", *JUDGED[2:])
+
+
+def judge_again(spark, sf_dir):
+    """Second verdicts in place of the first where those were unusable."""
+    told = judge.with_second_verdict(turns(spark, sf_dir), F.lit(True))
+    return judge.judge(judge.candidates(told), "critic_raw").select(*long("task_id", "turn"), *JUDGED[2:])
 
 
 def trajectory_outcome(spark, sf_dir):
-    return trajectory.outcomes(view(spark, sf_dir, "tasks_fx"), trajectory.truncated(judged(spark, sf_dir)))
+    return trajectory.outcomes(tasks(spark, sf_dir), trajectory.truncated(judged(turns(spark, sf_dir))))
 
 
 def retry_phase(spark, sf_dir):
-    return trajectory.outcomes(view(spark, sf_dir, "tasks_fx"), trajectory.with_retries(judged(spark, sf_dir), 1, 2))
+    return trajectory.outcomes(tasks(spark, sf_dir), trajectory.with_retries(judged(turns(spark, sf_dir), None, 1), 1, 2))
+
+
+COUNTERS = ("prompt_tokens", "completion_tokens", "total_tokens")
 
 
 def usage(spark, sf_dir) -> DataFrame:
-    t = view(spark, sf_dir, "turns_fx")
-    return t.select("task_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("prompt_tokens", "completion_tokens")], usage_total(F.col("prompt_tokens"), F.col("completion_tokens"), F.col("total_tokens")).cast("long").alias("total_tokens"))
+    return view(spark, sf_dir, "turns_fx").select("task_id", "turn", usage_of(*map(F.col, COUNTERS)).alias("u")).select("task_id", "turn", "u.*")
+
+
+def usage_forms(spark, sf_dir):
+    """Counters as a mapping and as an object, whose zeros count as no usage."""
+    counters = [F.when(F.col("turn") % 2 == 0, F.col(c)) for c in COUNTERS]
+    out = view(spark, sf_dir, "turns_fx").select(*long("task_id", "turn"), usage_of(*counters).alias("m"), usage_of(*counters, empty_is_null=True).alias("o"))
+    return out.select("task_id", "turn", F.col("m.total_tokens").alias("mapping_total"), F.col("o.total_tokens").alias("object_total"))
 
 
 def usage_by_task(spark, sf_dir):
-    return usage(spark, sf_dir).groupBy("task_id").agg(*[F.sum(c).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")])
+    return trajectory.usage_by_task(usage(spark, sf_dir))
 
 
 def run_summary(spark, sf_dir):
     return trajectory.run_summary(trajectory_outcome(spark, sf_dir), usage(spark, sf_dir))
 
 
-def log(spark, sf_dir) -> DataFrame:
-    kept = trajectory.truncated(judged(spark, sf_dir))
-    renders = tools.last_renders(tools.tool_results(tools.tool_calls(kept)))
-    return trajectory.messages(view(spark, sf_dir, "tasks_fx"), kept, renders)
+SYSTEM = "Use the tools: {provided_tools}"
+
+
+def content(parts) -> Column:
+    """A message's parts as one text."""
+    return F.array_join(F.transform(parts, lambda p: F.concat(p["type"], F.lit(":"), F.coalesce(p["text"], p["url"]))), "|")
+
+
+def log(spark, sf_dir, main_rounds: int = 6, retries: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The whole log and the turns that it tells of."""
+    told = turns(spark, sf_dir)
+    kept = judged(told, "critic_raw", main_rounds)
+    kept = trajectory.with_retries(kept, main_rounds, retries) if retries else trajectory.truncated(kept, main_rounds)
+    return trajectory.message_log(tasks(spark, sf_dir), kept, renders(told, main_rounds), SYSTEM, main_rounds if retries else None), kept
 
 
 def messages(spark, sf_dir):
-    return log(spark, sf_dir).select("task_id", F.col("pos").cast("long").alias("pos"), "role", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return trajectory.messages(log(spark, sf_dir)[0]).select(*long("task_id", "pos", "turn"), "role", F.md5(content("parts").cast("binary")).alias("content_md5"))
+
+
+def messages_retry(spark, sf_dir):
+    return trajectory.messages(log(spark, sf_dir, 1, 2)[0]).select(*long("task_id", "pos", "turn"), "role", F.md5(content("parts").cast("binary")).alias("content_md5"))
 
 
 def sft_turns(spark, sf_dir):
-    out = trajectory.sft_turns(log(spark, sf_dir))
-    return out.select("task_id", F.col("turn").cast("long").alias("turn"), F.size("prompt").cast("long").alias("n_prompt"), F.array_join(F.transform("prompt", lambda m: m["role"]), ",").alias("roles"), F.md5(F.col("completion").cast("binary")).alias("completion_md5"))
+    whole, kept = log(spark, sf_dir, 1, 2)
+    out = trajectory.sft_turns(whole, trajectory.outcomes(tasks(spark, sf_dir), kept), 1)
+    said = F.array_join(F.transform("prompt", lambda m: F.concat(m["role"], F.lit("="), content(m["parts"]))), "\n")
+    return out.select(*long("task_id", "turn"), "pid", F.size("prompt").cast("long").alias("n_prompt"), F.md5(said.cast("binary")).alias("prompt_md5"), F.md5(F.col("completion").cast("binary")).alias("completion_md5"), "reward")
+
+
+def sft_rewarded(spark, sf_dir):
+    whole, kept = log(spark, sf_dir)
+    return trajectory.sft_turns(whole, trajectory.outcomes(tasks(spark, sf_dir), kept), only_rewarded=True).groupBy("task_id", "pid").agg(F.count(F.lit(1)).alias("n_examples"), F.sum("reward").alias("reward"))
+
+
+def results(spark, sf_dir):
+    """Nested results in a run's order, tasks that broke among them."""
+    whole, kept = log(spark, sf_dir)
+    own = tasks(spark, sf_dir).join(task_source.shuffled(tasks(spark, sf_dir).select("task_id"), 7), "task_id")
+    errors = own.select("task_id", F.when(F.col("broken"), F.concat(F.lit("cannot open "), "image_path")).alias("error"), F.lit(0.5).alias("elapsed_sec"))
+    out = trajectory.results(own, kept, whole, errors)
+    return out.select(*long("task_id"), "pid", "error", "final_answer", "reward", "status", "session_id", "render_dir", F.size("messages").cast("long").alias("n_messages"), F.size("turns").cast("long").alias("n_turns"), F.col("order").isNotNull().alias("ordered"))
+
+
+def message_images(spark, sf_dir):
+    """Image parts of the log as data URLs; pages stand in for the images of tasks, and renders are not there."""
+    out = trajectory.with_image_data(log(spark, sf_dir)[0], stand_ins(spark, sf_dir))
+    return out.select(*long("task_id", "pos"), F.size("parts").cast("long").alias("n_parts"), F.md5(content("parts").cast("binary")).alias("content_md5"))
 
 
 def reasoning_merge(spark, sf_dir):
     t = view(spark, sf_dir, "turns_fx")
-    return t.select("task_id", F.col("turn").cast("long").alias("turn"), F.md5(merge_reasoning(F.concat(F.lit(" r"), "gold", F.lit(" ")), F.col("assistant_raw")).cast("binary")).alias("merged_md5"))
+    return t.select(*long("task_id", "turn"), F.md5(merge_reasoning(F.concat(F.lit(" r"), "gold", F.lit(" ")), F.col("assistant_raw")).cast("binary")).alias("merged_md5"))
+
+
+def content_texts(spark, sf_dir):
+    """Each conversation's messages as parts of one content, those of a role that is no text left out."""
+    part = F.struct(F.when(F.col("role") == "system", "image_url").otherwise("text").alias("type"), F.col("text").alias("text"), "turn")
+    whole = spark.read.parquet(f"{sf_dir}/conversations.parquet").groupBy("conv_id").agg(F.array_sort(F.collect_list(part), lambda a, b: (a["turn"] - b["turn"]).cast("int")).alias("parts"))
+    return whole.select("conv_id", F.md5(content_text(F.col("parts")).cast("binary")).alias("text_md5"))
 
 
 def render_manifest(spark, sf_dir):
-    e = view(spark, sf_dir, "edits_fx").withColumns({"task_id": F.col("session_id"), "turn": F.floor((F.col("seq") - 1) / 3) + 1, "call": (F.col("seq") - 1) % 3})
-    return e.select("session_id", F.col("seq").cast("long").alias("seq"), tools.render_path().alias("path"))
+    e = view(spark, sf_dir, "edits_fx").withColumns({"task_id": F.col("session_id"), "pid": F.concat(F.lit("s"), F.col("session_id").cast("string")), "turn": F.floor((F.col("seq") - 1) / 3) + 1, "call": (F.col("seq") - 1) % 3})
+    return e.select("session_id", *long("seq"), tools.render_path().alias("path"))
 
 
 def canvas_flat(spark, sf_dir):
@@ -154,33 +254,81 @@ def canvas_viewport(spark, sf_dir):
 
 
 def canvas_revert(spark, sf_dir):
-    """What a session's edits come to once failed renders are dropped."""
-    good = view(spark, sf_dir, "edits_fx").where("render_ok")
-    return good.groupBy("session_id", "action").agg(F.count(F.lit(1)).alias("n"), F.max("seq").cast("long").alias("last_seq"))
+    """What a session's edits come to once those that left no trace are dropped."""
+    edits = view(spark, sf_dir, "edits_fx").withColumn("invalid", F.when(F.col("target_id") == "e4", "missing args").otherwise(""))
+    return canvas.effective(edits).groupBy("session_id", "action").agg(F.count(F.lit(1)).alias("n"), F.max("seq").cast("long").alias("last_seq"))
+
+
+def canvas_tree(spark, sf_dir):
+    return canvas.replay_tree(view(spark, sf_dir, "tree_fx"))
+
+
+def canvas_groups(spark, sf_dir):
+    """The tree's elements below root, which are those of the flat replay in their order."""
+    tree = canvas_tree(spark, sf_dir).where("tag = 'g'")
+    return tree.select("session_id", F.col("element_id").alias("target_id"), F.row_number().over(Window.partitionBy("session_id").orderBy("pos")).cast("long").alias("pos"))
+
+
+def canvas_base(spark, sf_dir):
+    """Notebooks that begin with their task's image, and have it again after a clear: the elements in it and all others below root."""
+    bases = view(spark, sf_dir, "edits_fx").select("session_id").distinct().select("session_id", F.when(F.col("session_id") % 2 == 0, F.concat(F.lit("data:image/png;base64,"), F.col("session_id").cast("string"))).otherwise("").alias("image_url"))
+    tree = canvas.replay_tree(view(spark, sf_dir, "tree_fx"), bases)
+    return tree.groupBy("session_id").agg(F.count_if(F.col("element_id").isin("base_figure", "base_image")).alias("n_base"), F.count_if(F.col("tag") == "g").alias("n_groups"), F.max(F.when(F.col("element_id") == "base_image", F.get_json_object("attrs", "$.src"))).alias("src"))
 
 
 def sanitize_html(spark, sf_dir):
-    h = view(spark, sf_dir, "html_fx")
-    return h.select("page_id", canvas.sanitize_images(F.col("fragment")).alias("html"))
+    h = view(spark, sf_dir, "html_fx").select("page_id", canvas.sanitize_images(F.col("fragment")).alias("html"))
+    note = lambda p: F.regexp_extract("html", p, 1)
+    return h.select("page_id", note(r'<div style="([^"]*)">\[blocked external image\]').alias("style"), note(r"\[blocked external image\] ([^<]*)<").alias("url"), note(r'(<text x="3" y="0" fill="#ED2633">)\[blocked external svg image\]').alias("svg"), F.contains("html", F.lit("<img")).alias("has_img"))
+
+
+def stand_ins(spark, sf_dir) -> DataFrame:
+    """Pages as images of tasks: path, content. Tasks without a page have none."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    path = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("/abs/"), F.col("page_id").cast("string"), F.lit(".png"))).otherwise(F.concat(F.lit("/data/img/"), F.col("page_id").cast("string"), F.lit(".jpg")))
+    return pages.select(path.alias("path"), F.col("html").cast("binary").alias("content"))
 
 
 def image_parts(spark, sf_dir):
-    """Pages stand in for images: every second task's image is there, the rest resolve to ''."""
-    tasks = view(spark, sf_dir, "tasks_fx").select("task_id", F.col("image").alias("image_path"))
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").where("page_id % 2 = 0")
-    path = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("/abs/"), F.col("page_id").cast("string"), F.lit(".png"))).otherwise(F.concat(F.lit("img/"), F.col("page_id").cast("string"), F.lit(".jpg")))
-    out = task_source.attach_images(tasks, pages.select(path.alias("path"), F.col("html").cast("binary").alias("content")))
-    return out.select("task_id", F.substring("image_url", 1, 22).alias("head"), F.char_length("image_url").cast("long").alias("n_chars"))
+    """Data URLs of tasks' images."""
+    out = task_source.attach_images(tasks(spark, sf_dir).select("task_id", "image_path"), stand_ins(spark, sf_dir))
+    return out.select("task_id", F.md5(F.col("image_url").cast("binary")).alias("url_md5"), F.char_length("image_url").cast("long").alias("n_chars"))
+
+
+POLICY, CRITIC = requests.Call("policy", "own", 0.5, 256), requests.Call("critic", "own", 1.0, None, 0)
+CATALOGUE = [{"name": name, "required": required} for name, required in tools.TOOLS.items()]
+
+
+def field(path: str):
+    return F.get_json_object("body", path)
 
 
 def policy_requests(spark, sf_dir):
-    tasks = view(spark, sf_dir, "tasks_fx").withColumns({"choices": F.array().cast("array<string>"), "answers": F.array("gold")})
-    out = task_source.policy_requests(task_source.prepare_tasks(tasks, "/data"), "policy", 0.5, 256)
-    field = lambda p: F.get_json_object("body", p)
-    return out.select("task_id", field("$.model").alias("model"), field("$.max_tokens").cast("long").alias("max_tokens"), field("$.messages[0].role").alias("role"), F.char_length(field("$.messages[0].text")).cast("long").alias("n_text"), field("$.messages[0].image").alias("image"))
+    out = requests.policy_requests(tasks(spark, sf_dir), POLICY, requests.system_prompt(SYSTEM, CATALOGUE), "first_render")
+    user = "$.messages[1].content"
+    return out.select("task_id", field("$.model").alias("model"), field("$.custom_llm_provider").alias("provider"), field("$.temperature").cast("double").alias("temperature"), field("$.max_tokens").cast("long").alias("max_tokens"), field("$.timeout").cast("long").alias("timeout"), F.contains(field("$.messages[0].content[0].text"), F.lit('"modify_element"')).alias("has_tools"), F.md5(field(f"{user}[0].text").cast("binary")).alias("text_md5"), field(f"{user}[1].url").alias("image"), field(f"{user}[2].url").alias("render"))
+
+
+def critic_requests(spark, sf_dir):
+    told = turns(spark, sf_dir)
+    seen = task_source.attach_images(tools.turn_renders(told, renders(told)), stand_ins(spark, sf_dir))
+    out = requests.critic_requests(seen, CRITIC, "with an image", "without one")
+    return out.select(*long("task_id", "turn"), field("$.messages[0].content[0].text").alias("system"), F.md5(field("$.messages[1].content[0].text").cast("binary")).alias("question_md5"), field("$.messages[1].content[1].url").alias("first"), field("$.messages[1].content[2].url").alias("second"), field("$.timeout").isNull().alias("untimed"))
+
+
+def judge_requests(spark, sf_dir):
+    out = requests.judge_requests(judged(turns(spark, sf_dir), "critic_raw"), CRITIC, "rendered", "unrendered")
+    part = lambda i: field(f"$.messages[1].content[{i}].text")
+    return out.select(*long("task_id", "turn"), field("$.messages[0].content[0].text").alias("system"), part(1).alias("golds"), F.md5(F.concat(part(0), part(2)).cast("binary")).alias("said_md5"), field("$.messages[1].content[3].url").alias("image"), field("$.messages[1].content[4].url").alias("render"))
 
 
-QUERIES = (task_prep, task_slice, task_shuffle, parse_fields, tool_validation, turn_tool_response, render_carry, answer_equivalence, candidate_format, critic_verdict, hallucinations, reask, judge_merge, judge_local, trajectory_outcome, retry_phase, usage_by_task, run_summary, messages, sft_turns, reasoning_merge, render_manifest, canvas_flat, canvas_viewport, canvas_revert, sanitize_html, image_parts, policy_requests)
+def second_requests(spark, sf_dir):
+    told = judged(turns(spark, sf_dir), "critic_raw").withColumn("needs_second", judge.needs_second(judge.verdict_of("critic_raw"), F.col("rendered")))
+    out = requests.second_requests(told, CRITIC, "rendered", "unrendered")
+    return out.select(*long("task_id", "turn"), field("$.messages[2].role").alias("role"), field("$.messages[2].content[0].text").alias("asked"))
+
+
+QUERIES = (task_prep, task_items, task_slice, task_shuffle, parse_fields, tool_validation, turn_tool_response, render_carry, answer_equivalence, candidate_format, critic_verdict, hallucinations, reask, judge_merge, judge_local, judge_renders, judge_again, trajectory_outcome, retry_phase, usage_forms, usage_by_task, run_summary, messages, messages_retry, sft_turns, sft_rewarded, results, message_images, reasoning_merge, content_texts, render_manifest, canvas_flat, canvas_viewport, canvas_revert, canvas_tree, canvas_groups, canvas_base, sanitize_html, image_parts, policy_requests, critic_requests, judge_requests, second_requests)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -188,7 +336,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # The same rules in DuckDB's SQL, stated over the same views.
-WITH = "WITH " + ", ".join(f"{k} AS ({v})" for k, v in VIEWS.items())
+WITH = "WITH RECURSIVE " + ", ".join(f"{k} AS ({v})" for k, v in VIEWS.items())
 TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 BOX = r"'(?s)(?:\\boxed|/boxed)\{(.*)\}'"
 
@@ -197,7 +345,9 @@ def trim(x: str) -> str:
     return TRIM.format(x)
 
 
-PARSED = rf"""{WITH}, c0 AS (SELECT *, CASE WHEN (length(assistant_raw) - length(replace(assistant_raw, '<think>', ''))) / 7 = 1 AND NOT contains(assistant_raw, '</think>') AND contains(assistant_raw, '<tool_call>')
+TASKS = f"""{WITH}, own AS (SELECT task_id, pid, {trim('question')} AS question, {trim('question')} || chr(10) || 'Choices:' || chr(10) || 'A. yes' || chr(10) || 'B. no' AS instruction, CASE WHEN starts_with(image, '/') THEN image ELSE '/data/' || image END AS image_path, gold, broken, answer_type,
+  CASE WHEN first_ok THEN printf('renders/task-%d-pid-%s/rendered-turn-000.png', task_id, pid) ELSE '' END AS first_render FROM tasks_fx WHERE {trim('question')} <> '')"""
+PARSED = rf"""{TASKS}, c0 AS (SELECT *, CASE WHEN (length(assistant_raw) - length(replace(assistant_raw, '<think>', ''))) / 7 = 1 AND NOT contains(assistant_raw, '</think>') AND contains(assistant_raw, '<tool_call>')
   THEN regexp_replace(assistant_raw, '<tool_call>', '</think><tool_call>') ELSE assistant_raw END AS raw FROM turns_fx),
 c1 AS (SELECT *, {trim("regexp_extract(raw, '(?is)<think>(.*?)</think>', 1)")} AS reasoning, {trim("regexp_extract(raw, '(?is)<answer>(.*?)</answer>', 1)")} AS answer,
   {trim("regexp_replace(regexp_replace(raw, '(?is)<think>.*?</think>', '', 'g'), '(?is)<tool_call>.*?</tool_call>', '', 'g')")} AS content, contains(lower(raw), '<answer>') AS has_answer_tag,
@@ -205,14 +355,23 @@ c1 AS (SELECT *, {trim("regexp_extract(raw, '(?is)<think>(.*?)</think>', 1)")} A
 c2 AS (SELECT *, coalesce(nullif(CASE WHEN contains(raw, '</think>') THEN {trim("list_extract(string_split(raw, '</think>'), -1)")} ELSE content END, ''), reasoning) AS seed_content,
   {trim(f"regexp_extract(coalesce(nullif(answer, ''), nullif(content, ''), raw), {BOX}, 1)")} AS boxed,
   list_filter(blocks, lambda b: CASE WHEN json_valid(b) THEN json_type(b) = 'OBJECT' AND coalesce(json_extract_string(b, '$.name'), json_extract_string(b, '$.tool')) IS NOT NULL ELSE false END) AS calls FROM c1),
-parsed AS (SELECT *, has_answer_tag OR boxed <> '' AS answer_present FROM c2)"""
-RESULTS = rf"""{PARSED}, e AS (SELECT task_id, turn, render_ok, unnest(calls) AS b, generate_subscripts(calls, 1) - 1 AS call FROM parsed),
-e1 AS (SELECT *, coalesce(json_extract_string(b, '$.name'), json_extract_string(b, '$.tool')) AS name, json_keys(coalesce(json_extract(b, '$.arguments'), json_extract(b, '$.args'), json_extract(b, '$.kwargs'), '{{}}'::JSON)) AS keys FROM e),
+parsed AS (SELECT c2.*, has_answer_tag OR boxed <> '' AS answer_present, pid, question, image_path, first_render FROM c2 JOIN own USING (task_id))"""
+
+
+def results_sql(main: int) -> str:
+    """Turns after main are retries, whose tools do not run."""
+    order = "OVER (PARTITION BY task_id ORDER BY turn, call ROWS BETWEEN UNBOUNDED PRECEDING AND {})"
+    before, upto = (f"coalesce(last_value(nullif(rendered_path, '') IGNORE NULLS) {order.format(stop)}, first_render)" for stop in ("1 PRECEDING", "CURRENT ROW"))
+    return rf"""{PARSED}, e AS (SELECT task_id, pid, turn, render_ok, render_error, first_render, unnest(calls) AS b, generate_subscripts(calls, 1) - 1 AS call FROM parsed WHERE turn <= {main}),
+e1 AS (SELECT *, {trim("coalesce(json_extract_string(b, '$.name'), json_extract_string(b, '$.tool'))")} AS name, json_keys(coalesce(json_extract(b, '$.arguments'), json_extract(b, '$.args'), json_extract(b, '$.kwargs'), '{{}}'::JSON)) AS keys FROM e),
 e2 AS (SELECT *, CASE name WHEN 'insert_element' THEN ['fragment', 'rootId'] WHEN 'modify_element' THEN ['targetId', 'attrs'] WHEN 'remove_element' THEN ['targetId'] WHEN 'replace_element' THEN ['targetId', 'fragment'] WHEN 'clear' THEN []::VARCHAR[] END AS req FROM e1),
 e3 AS (SELECT *, CASE WHEN req IS NULL THEN 'invalid tool name: ' || name WHEN len(list_filter(req, lambda k: NOT list_contains(keys, k))) > 0 THEN 'missing args for ' || name || ': ' || array_to_string(list_filter(req, lambda k: NOT list_contains(keys, k)), ', ')
   WHEN name = 'clear' AND len(keys) > 0 THEN 'clear arguments must be {{}}' ELSE '' END AS invalid FROM e2),
-results AS (SELECT *, CASE WHEN invalid <> '' THEN 'Error: ' || invalid WHEN NOT render_ok THEN 'Error: render failed. Reverted to previous successful state.' ELSE 'tool execute success' END AS result FROM e3),
-renders AS (SELECT *, CASE WHEN result = 'tool execute success' THEN printf('renders/task-%d-pid-p%d/rendered-turn-%03d-tool-%02d.png', task_id, task_id, turn, call + 1) ELSE '' END AS rendered_path FROM results)"""
+results AS (SELECT *, CASE WHEN invalid <> '' THEN 'Error: ' || invalid WHEN NOT render_ok THEN 'Error: ' || render_error || '. Reverted to previous successful state.' ELSE 'tool execute success' END AS result FROM e3),
+r0 AS (SELECT *, CASE WHEN result = 'tool execute success' THEN printf('renders/task-%d-pid-%s/rendered-turn-%03d-tool-%02d.png', task_id, pid, turn, call) ELSE '' END AS rendered_path FROM results),
+renders AS (SELECT *, {before} AS render_before, {upto} AS last_render FROM r0),
+t0 AS (SELECT p.*, r.own FROM parsed p LEFT JOIN (SELECT task_id, turn, arg_max(last_render, call) AS own FROM renders GROUP BY task_id, turn) r USING (task_id, turn)),
+seen AS (SELECT * EXCLUDE (own), coalesce(last_value(own IGNORE NULLS) OVER (PARTITION BY task_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_render) AS last_render FROM t0)"""
 
 
 def number(x: str) -> str:
@@ -225,10 +384,6 @@ def same(model: str, gold: str) -> str:
     return f"({m} <> '' AND {g} <> '' AND ({m} = {g} OR coalesce(abs({number(m)} - {number(g)}) <= 1e-9, false)))"
 
 
-CANDIDATES = f"""{RESULTS}, k0 AS (SELECT *, coalesce(nullif(boxed, ''), nullif(answer, ''), content) AS candidate, has_answer_tag AND boxed <> '' AS base_ok FROM parsed),
-cand AS (SELECT *, {same('candidate', 'gold')} AS local_ok FROM k0)"""
-FEEDBACK = "CASE WHEN NOT format_ok THEN 'Format error: please include <answer>' || chr(92) || 'boxed{...}</answer> in your response.' WHEN is_correct AND NOT consistent THEN 'Answer rejected. Please revise notebook and answer.' WHEN is_correct THEN 'Accepted.' ELSE 'Answer rejected. Please revise.' END AS feedback, format_ok AND is_correct AND consistent AS accepted"
-LOCAL = f"{CANDIDATES}, l0 AS (SELECT *, base_ok AS format_ok, base_ok AND local_ok AS is_correct, candidate AS normalized, true AS consistent FROM cand), judged AS (SELECT *, {FEEDBACK} FROM l0)"
 TRUTH = "lower(trim(json_extract_string(obj, '$.{0}')))"
 
 
@@ -237,61 +392,134 @@ def to_bool(key: str, default: str) -> str:
     return f"CASE WHEN {kind} IN ('BOOLEAN', 'VARCHAR') AND {t} IN ('true', '1', 'yes', 'y') THEN true WHEN {kind} IN ('BOOLEAN', 'VARCHAR') AND {t} IN ('false', '0', 'no', 'n') THEN false ELSE {default} END"
 
 
-VERDICTS = rf"""{CANDIDATES}, v0 AS (SELECT *, regexp_extract(critic_raw, '(?is).*```(?:json)?\s*(\{{.*?\}})\s*```', 1) AS fenced, regexp_extract(critic_raw, '(?s).*(\{{[^{{}}]*\}})', 1) AS inner_ FROM cand),
-v1 AS (SELECT *, CASE WHEN critic_raw <> '' AND json_valid(critic_raw) THEN CASE WHEN json_type(critic_raw) = 'OBJECT' THEN critic_raw ELSE '{{}}' END WHEN fenced <> '' AND json_valid(fenced) THEN fenced WHEN inner_ <> '' AND json_valid(inner_) THEN inner_ ELSE '{{}}' END AS obj FROM v0),
-verdict AS (SELECT *, len(json_keys(obj)) > 0 AS has_object, list_contains(json_keys(obj), 'format_ok') OR list_contains(json_keys(obj), 'is_correct') AS has_fields, {to_bool('is_consistent', 'false')} AS v_consistent, {to_bool('format_ok', 'NULL')} AS v_format, {to_bool('is_correct', 'false')} AS v_correct,
-  coalesce(trim(json_extract_string(obj, '$.normalized_answer')), '') AS v_normalized, CASE WHEN json_type(obj, '$.hallucination_elements') = 'ARRAY' THEN json_extract(obj, '$.hallucination_elements[*]') ELSE [] END AS elements FROM v1)"""
-MERGED = f"""{VERDICTS}, m0 AS (SELECT *, base_ok AND NOT local_ok AND has_fields AS fields FROM verdict), m1 AS (SELECT *, CASE WHEN fields THEN coalesce(v_format, true) ELSE base_ok END AS format_ok,
-  CASE WHEN NOT base_ok THEN false WHEN local_ok THEN true WHEN fields THEN coalesce(v_format, true) AND v_correct ELSE false END AS is_correct, CASE WHEN fields THEN coalesce(nullif(v_normalized, ''), candidate) ELSE candidate END AS normalized, v_consistent AS consistent FROM m0), judged AS (SELECT *, {FEEDBACK} FROM m1)"""
-
-
-def outcome(where: str) -> str:
-    return f"""{LOCAL}, f AS (SELECT *, min(CASE WHEN accepted THEN turn END) OVER (PARTITION BY task_id) AS first_accepted FROM judged WHERE {where}), kept AS (SELECT * FROM f WHERE first_accepted IS NULL OR turn <= first_accepted),
-done AS (SELECT task_id, count(*) AS n_turns, arg_max(CASE WHEN accepted THEN {trim('normalized')} END, CASE WHEN accepted THEN turn END) AS final_answer, max(accepted::DOUBLE) AS reward FROM kept GROUP BY task_id),
-outcomes AS (SELECT t.task_id, t.pid, coalesce(n_turns, 0) AS n_turns, coalesce(final_answer, '') AS final_answer, coalesce(reward, 0.0) AS reward, CASE WHEN reward >= 1 AND n_turns > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM tasks_fx t LEFT JOIN done USING (task_id))"""
+ELEMENT_TEXT = """'    {' || chr(10) || array_to_string(list_transform(json_keys(e), lambda k: '      "' || k || '": ' || json_extract(e, '$.' || k)::VARCHAR), ',' || chr(10)) || chr(10) || '    }'"""
+CRITIQUE = """'{' || chr(10) || '  "hallucination_elements": ' || CASE WHEN len(elements) = 0 THEN '[]' ELSE '[' || chr(10) || array_to_string(list_transform(elements, lambda e: %s), ',' || chr(10)) || chr(10) || '  ]' END || ',' || chr(10) || '  "is_consistent": ' || v_consistent::VARCHAR || chr(10) || '}'""" % ELEMENT_TEXT
+NO_CRITIQUE = CRITIQUE.replace("elements)", "[]::JSON[])").replace("(elements,", "([]::JSON[],").replace("v_consistent", "true")
+
+
+def verdicts(base: str, table: str, critic: str = "critic_raw") -> str:
+    return rf"""{base}, v0 AS (SELECT *, {critic} AS said, regexp_extract({critic}, '(?is).*```(?:json)?\s*(\{{.*?\}})\s*```', 1) AS fenced, regexp_extract({critic}, '(?s).*(\{{[^{{}}]*\}})', 1) AS inner_ FROM {table}),
+v1 AS (SELECT *, CASE WHEN said <> '' AND json_valid(said) THEN CASE WHEN json_type(said) = 'OBJECT' THEN said ELSE '{{}}' END WHEN fenced <> '' AND json_valid(fenced) THEN fenced WHEN inner_ <> '' AND json_valid(inner_) THEN inner_ ELSE '{{}}' END AS obj FROM v0),
+v2 AS (SELECT *, len(json_keys(obj)) > 0 AS has_object, list_contains(json_keys(obj), 'format_ok') OR list_contains(json_keys(obj), 'is_correct') AS has_fields, list_contains(json_keys(obj), 'is_consistent') AS has_consistent, {to_bool('is_consistent', 'false')} AS v_consistent, {to_bool('format_ok', 'NULL')} AS v_format, {to_bool('is_correct', 'false')} AS v_correct,
+  coalesce(trim(json_extract_string(obj, '$.normalized_answer')), '') AS v_normalized, CASE WHEN json_type(obj, '$.hallucination_elements') = 'ARRAY' THEN json_extract(obj, '$.hallucination_elements[*]') ELSE [] END AS elements FROM v1),
+verdict AS (SELECT *, {CRITIQUE} AS v_critique FROM v2)"""
+
+
+def judged_sql(critic: bool, main: int = 6, shown: str = "", again: bool = False) -> str:
+    """shown: SQL for whether a turn has a render."""
+    shown = shown or f"(last_render <> '' OR turn > {main})"
+    base = results_sql(main)
+    first = ", asked AS (SELECT * FROM seen)"
+    if again:
+        base = verdicts(base, "seen") + ", first AS (SELECT task_id, turn, NOT has_fields AND NOT has_consistent AS lacking FROM verdict)"
+        first = ", asked AS (SELECT s.* REPLACE (CASE WHEN lacking THEN coalesce(critic_again, critic_raw) ELSE critic_raw END AS critic_raw) FROM seen s JOIN first USING (task_id, turn))"
+    told = f"{base}{first}, k0 AS (SELECT *, coalesce(nullif(boxed, ''), nullif(answer, ''), content) AS candidate, has_answer_tag AND boxed <> '' AS base_ok, {shown} AS shown FROM asked), cand AS (SELECT *, {same('candidate', 'gold')} AS local_ok FROM k0)"
+    feedback = "CASE WHEN unusable THEN 'Answer judge output was invalid. Please revise and try again.' WHEN NOT format_ok THEN 'Format error: please include <answer>' || chr(92) || 'boxed{...}</answer> in your response.' WHEN is_correct AND NOT consistent THEN 'Answer rejected. Please revise notebook and answer.' WHEN is_correct THEN 'Accepted.' ELSE 'Answer rejected. Please revise.' END AS feedback, format_ok AND is_correct AND consistent AS accepted"
+    if not critic:
+        return f"{told}, l0 AS (SELECT *, false AS unusable, base_ok AS format_ok, base_ok AND local_ok AS is_correct, candidate AS normalized, true AS consistent, CASE WHEN shown THEN {NO_CRITIQUE} ELSE '' END AS critique FROM cand), judged AS (SELECT *, {feedback} FROM l0)"
+    second = verdicts("", "cand")
+    if again:  # the first verdict's steps keep their names
+        second = re.sub(r"\b(v[012]|verdict)\b", r"again_\1", second)
+    second = told + second
+    verdict = "again_verdict" if again else "verdict"
+    return f"""{second}, m0 AS (SELECT *, base_ok AND NOT local_ok AND has_fields AS fields, base_ok AND NOT local_ok AND NOT has_fields AND NOT shown AS unusable FROM {verdict}), m1 AS (SELECT *, CASE WHEN fields THEN coalesce(v_format, true) ELSE base_ok END AS format_ok,
+  CASE WHEN NOT base_ok THEN false WHEN local_ok THEN true WHEN fields THEN coalesce(v_format, true) AND v_correct ELSE false END AS is_correct, CASE WHEN fields THEN coalesce(nullif(v_normalized, ''), candidate) ELSE candidate END AS normalized, shown AND v_consistent AS consistent, CASE WHEN shown THEN v_critique ELSE '' END AS critique FROM m0), judged AS (SELECT *, {feedback} FROM m1)"""
+
+
+def outcome(critic: bool, main: int, where: str) -> str:
+    return f"""{judged_sql(critic, main)}, f AS (SELECT *, min(CASE WHEN accepted THEN turn END) OVER (PARTITION BY task_id) AS first_accepted FROM judged WHERE {where}), kept AS (SELECT * FROM f WHERE first_accepted IS NULL OR turn <= first_accepted),
+done AS (SELECT task_id, count(*) AS n_turns, arg_max(CASE WHEN accepted THEN {trim("coalesce(nullif(normalized, ''), candidate)")} END, CASE WHEN accepted THEN turn END) AS final_answer, max(accepted::DOUBLE) AS reward FROM kept GROUP BY task_id),
+outcomes AS (SELECT t.task_id, t.pid, coalesce(n_turns, 0) AS n_turns, coalesce(final_answer, '') AS final_answer, coalesce(reward, 0.0) AS reward, CASE WHEN reward >= 1 AND n_turns > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM own t LEFT JOIN done USING (task_id))"""
+
+
+def log_sql(main: int, retries: int) -> str:
+    """Entries with their parts as one text; row_number() gives their place in the whole log."""
+    retry = f"turn > {main}" if retries else "false"
+    image = "CASE WHEN {0} <> '' THEN '|image_url:' || {0} ELSE '' END"
+    leading = "CASE WHEN {0} <> '' THEN 'image_url:' || {0} || '|' ELSE '' END"
+    prompt = "'text:Please provide the final answer directly as <answer>' || chr(92) || 'boxed{...}</answer>. Do not output any reasoning or SVG code.'"
+    answered, called = f"(answer_present OR {retry})", f"(len(calls) > 0 AND NOT ({retry}))"
+    critique = f"CASE WHEN {answered} THEN critique WHEN {called} AND last_render <> '' THEN {trim('critic_raw')} ELSE '' END"
+    return f"""{outcome(True, main, f"turn <= {main + retries}")},
+entries AS (SELECT task_id, 0 AS turn, 0 AS kind, 0 AS call, 'system' AS role, 'text:Use the tools: {{provided_tools}}' AS content, false AS shown FROM own
+  UNION ALL SELECT task_id, 0, 0, 1, 'user', 'text:' || instruction || {image.format('image_path')} || {image.format('first_render')}, false FROM own
+  UNION ALL SELECT task_id, turn, 1, 0, 'assistant', 'text:' || coalesce(nullif({trim('raw')}, ''), nullif(seed_content, ''), content), false FROM kept
+  UNION ALL SELECT r.task_id, r.turn, 2, r.call, 'user', CASE WHEN r.rendered_path <> '' THEN 'image_url:' || r.rendered_path ELSE {leading.format('r.render_before')} || 'text:<tool_response>' || r.result || '</tool_response>' END, r.rendered_path <> '' FROM renders r SEMI JOIN (SELECT task_id, turn FROM kept WHERE NOT ({retry})) k USING (task_id, turn)
+  UNION ALL SELECT task_id, turn, 3, 0, 'user', 'text:<tool_response><image>This is the state of notebook. Critical Check: ' || ({critique}) || '</tool_response>', false FROM kept WHERE ({answered} AND ({critique}) <> '') OR (NOT {answered} AND {called} AND last_render <> '')
+  UNION ALL SELECT task_id, turn, 4, 0, 'user', {leading.format('last_render')} || 'text:<answer_judge>' || feedback || '</answer_judge>' || chr(10) || 'Please revise. Your response must include an explicit <answer>' || chr(92) || 'boxed{{...}}</answer> field.', false FROM kept WHERE {answered} AND NOT accepted
+  UNION ALL SELECT task_id, turn, 5, 0, 'user', {prompt}, false FROM kept WHERE NOT {answered} AND NOT {called}),
+log AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY turn, kind, call) - 1 AS pos FROM entries),
+ended AS (SELECT * EXCLUDE (pos, last), row_number() OVER (PARTITION BY task_id ORDER BY pos) - 1 AS pos FROM (SELECT *, max(CASE WHEN shown THEN pos END) OVER (PARTITION BY task_id) AS last FROM log) WHERE NOT shown OR pos = last),
+prompts AS (SELECT a.task_id, a.turn, a.pos, any_value(a.content) AS said, max(CASE WHEN b.shown THEN b.pos END) AS last FROM log a LEFT JOIN log b ON a.task_id = b.task_id AND b.pos < a.pos WHERE a.kind = 1 GROUP BY a.task_id, a.turn, a.pos),
+sft AS (SELECT p.task_id, p.turn, count(b.pos) + CASE WHEN {retry.replace('turn', 'p.turn')} THEN 1 ELSE 0 END AS n_prompt, string_agg(b.role || '=' || b.content, chr(10) ORDER BY b.pos) || CASE WHEN {retry.replace('turn', 'p.turn')} THEN chr(10) || 'user=' || {prompt} ELSE '' END AS prompt, any_value(p.said)[6:] AS completion
+  FROM prompts p LEFT JOIN log b ON b.task_id = p.task_id AND b.pos < p.pos AND (NOT b.shown OR b.pos = p.last) GROUP BY p.task_id, p.turn)"""
 
 
-OUTCOME = outcome("turn <= 6")
 USAGE = "usage AS (SELECT task_id, prompt_tokens, completion_tokens, CASE WHEN coalesce(total_tokens, 0) = 0 THEN prompt_tokens + completion_tokens ELSE total_tokens END AS total_tokens FROM turns_fx)"
 TOKENS = "sum(prompt_tokens)::BIGINT AS prompt_tokens, sum(completion_tokens)::BIGINT AS completion_tokens, sum(total_tokens)::BIGINT AS total_tokens"
-LOG = f"""{OUTCOME}, seen AS (SELECT r.*, max(CASE WHEN rendered_path <> '' THEN r.turn * 1000 + call END) OVER (PARTITION BY r.task_id) AS latest FROM renders r SEMI JOIN kept USING (task_id, turn)),
-entries AS (SELECT task_id, 0 AS turn, 0 AS kind, 0 AS call, 'user' AS role, question AS text FROM tasks_fx
-  UNION ALL SELECT task_id, turn, 1, 0, 'assistant', coalesce(nullif({trim('raw')}, ''), nullif(seed_content, ''), content) FROM kept
-  UNION ALL SELECT task_id, turn, 2, call, 'user', CASE WHEN rendered_path = '' THEN '<tool_response>' || result || '</tool_response>' ELSE rendered_path END FROM seen WHERE rendered_path = '' OR turn * 1000 + call = latest
-  UNION ALL SELECT task_id, turn, 3, 0, 'user', feedback FROM kept WHERE answer_present AND NOT accepted
-  UNION ALL SELECT task_id, turn, 4, 0, 'user', 'Please give the final answer.' FROM kept WHERE NOT answer_present AND len(calls) = 0),
-log AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY turn, kind, call) - 1 AS pos FROM entries)"""
-TASKS = f"{WITH}, prepared AS (SELECT task_id, pid, {trim('question')} AS question, CASE WHEN starts_with(image, '/') THEN image ELSE '/data/' || image END AS image_path, gold FROM tasks_fx WHERE {trim('question')} <> '' AND lower({trim('answer_type')}) <> 'list')"
+FLAT = """live AS (SELECT *, row_number() OVER (PARTITION BY session_id, target_id ORDER BY seq) AS k FROM (SELECT *, max(CASE WHEN action = 'clear' THEN seq END) OVER (PARTITION BY session_id) AS cleared FROM edits_fx WHERE render_ok) WHERE seq > coalesce(cleared, 0)),
+fold AS (SELECT session_id, target_id, 0::BIGINT AS k, []::STRUCT(seq BIGINT, fill VARCHAR)[] AS held FROM (SELECT DISTINCT session_id, target_id FROM live)
+  UNION ALL SELECT l.session_id, l.target_id, l.k, CASE WHEN l.action = 'insert_element' THEN list_append(held, {'seq': l.seq, 'fill': l.fill}) WHEN len(held) = 0 THEN held WHEN l.action = 'remove_element' THEN held[2:] WHEN l.action IN ('modify_element', 'replace_element') THEN list_prepend({'seq': held[1].seq, 'fill': l.fill}, held[2:]) ELSE held END FROM fold f JOIN live l ON f.session_id = l.session_id AND f.target_id = l.target_id AND l.k = f.k + 1),
+ends AS (SELECT session_id, target_id, unnest(arg_max(held, k)) AS e FROM fold GROUP BY session_id, target_id),
+flat AS (SELECT session_id, target_id, e.fill AS fill, row_number() OVER (PARTITION BY session_id ORDER BY e.seq) AS pos FROM ends)"""
+TREE = FLAT.replace("[]::STRUCT(seq BIGINT, fill VARCHAR)[]", "[]::STRUCT(seq BIGINT, child VARCHAR, val VARCHAR, fill VARCHAR)[]")
+TREE = TREE.replace("list_append(held, {'seq': l.seq, 'fill': l.fill})", "list_append(held, {'seq': l.seq, 'child': 'rect', 'val': l.fill, 'fill': NULL::VARCHAR})")
+TREE = TREE.replace("WHEN l.action IN ('modify_element', 'replace_element') THEN list_prepend({'seq': held[1].seq, 'fill': l.fill}, held[2:])", "WHEN l.action = 'modify_element' THEN list_prepend({'seq': held[1].seq, 'child': held[1].child, 'val': held[1].val, 'fill': l.fill}, held[2:]) WHEN l.action = 'replace_element' THEN list_prepend({'seq': held[1].seq, 'child': 'b', 'val': l.fill, 'fill': NULL::VARCHAR}, held[2:])")
+TREE = TREE.replace("e.fill AS fill, row_number()", "e.fill AS fill, e.child AS child, e.val AS val, row_number()") + """,
+tree AS (SELECT DISTINCT session_id, 0::BIGINT AS pos, NULL::BIGINT AS parent, 'div' AS tag, 'root' AS element_id, '{"id": "root"}' AS attrs, '' AS text FROM edits_fx
+  UNION ALL SELECT session_id, 2 * pos - 1, 0, 'g', target_id, '{"id": "' || target_id || '"' || coalesce(', "fill": "' || fill || '"', '') || '}', '' FROM flat
+  UNION ALL SELECT session_id, 2 * pos, 2 * pos - 1, child, '', CASE child WHEN 'rect' THEN '{"fill": "' || val || '"}' ELSE '{}' END, CASE child WHEN 'b' THEN val ELSE '' END FROM flat)"""
+STAND_INS = "stand_ins AS (SELECT CASE WHEN page_id % 4 = 0 THEN '/abs/' || page_id || '.png' ELSE '/data/img/' || page_id || '.jpg' END AS path, CASE WHEN page_id % 4 = 0 THEN 'data:image/png;base64,' ELSE 'data:image/jpeg;base64,' END || base64(encode(html)) AS url FROM pages)"
 
 
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(JUDGED)
+    seen, local, merged = results_sql(6), judged_sql(False, shown="true"), judged_sql(True, shown="true")
+    own, retried = log_sql(6, 0), log_sql(1, 2)
     return {
-        "task_prep": f"{TASKS} SELECT task_id, pid, question, question || chr(10) || 'Choices:' || chr(10) || 'A. yes' || chr(10) || 'B. no' AS instruction, image_path, gold AS golds FROM prepared",
+        "task_prep": f"{TASKS} SELECT task_id, pid, question, instruction, image_path, gold AS golds FROM own WHERE lower({trim('answer_type')}) <> 'list'",
+        "task_items": f"""{WITH}, i AS (SELECT pos, pos % 5 AS k, item_json FROM items_fx WHERE pos >= 3 AND pos < 60), q AS (SELECT *, CASE k WHEN 2 THEN 'None' ELSE {trim("coalesce(json_extract_string(item_json, '$.question'), '')")} END AS question FROM i)
+SELECT pos AS task_id, CASE k WHEN 0 THEN 'i' || pos WHEN 2 THEN pos::VARCHAR ELSE 'sample_' || pos END AS pid, question, CASE k WHEN 0 THEN question || chr(10) || 'Choices:' || chr(10) || 'A. 1' || chr(10) || 'B. b' || chr(10) || 'C. True' ELSE question END AS instruction, CASE k WHEN 0 THEN '/data/x.png' WHEN 2 THEN '/x.png' ELSE '/data/y.jpg' END AS image_path, CASE k WHEN 0 THEN '[1, "a", true, null]|1|a|True|None' WHEN 2 THEN '' ELSE 'True' END AS golds FROM q WHERE k IN (0, 2, 4) AND question <> ''""",
         "task_slice": f"{WITH} SELECT task_id, pid FROM tasks_fx WHERE task_id >= 10 AND task_id < 40",
-        "task_shuffle": f"{WITH} SELECT count(*) AS n_tasks, 0 AS first, count(*) - 1 AS last, count(*) AS n_orders FROM tasks_fx",
-        "parse_fields": f"{PARSED} SELECT task_id, turn, reasoning, answer, boxed, content, seed_content, has_answer_tag, answer_present, len(calls) AS n_calls, len(blocks) - len(calls) AS malformed FROM parsed",
-        "tool_validation": f"{RESULTS} SELECT task_id, turn, call, name, invalid, result FROM results",
-        "turn_tool_response": f"{RESULTS} SELECT p.task_id, p.turn, CASE WHEN count(r.call) = 0 THEN '' ELSE coalesce(arg_max(r.result, r.call) FILTER (r.result <> 'tool execute success'), 'tool execute success') END AS tool_response FROM parsed p LEFT JOIN results r USING (task_id, turn) GROUP BY p.task_id, p.turn",
-        "render_carry": f"{RESULTS} SELECT task_id, turn, call, rendered_path, coalesce(last_value(nullif(rendered_path, '') IGNORE NULLS) OVER (PARTITION BY task_id ORDER BY turn, call ROWS UNBOUNDED PRECEDING), printf('renders/task-%d-pid-p%d/rendered-turn-000.png', task_id, task_id)) AS last_render FROM renders",
+        "task_shuffle": f"{WITH} SELECT count(*) AS n_tasks, 0 AS first, count(*) - 1 AS last, count(*) AS n_orders, true AS moved FROM tasks_fx",
+        "parse_fields": f"{PARSED} SELECT task_id, turn, reasoning, answer, boxed, content, seed_content, has_answer_tag, has_answer_tag OR boxed <> '' AS answer_present, len(calls) AS n_calls, len(blocks) - len(calls) AS malformed FROM c2",
+        "tool_validation": f"{results_sql(99)} SELECT task_id, turn, call, name, invalid, result FROM results",
+        "turn_tool_response": f"{results_sql(99)} SELECT p.task_id, p.turn, CASE WHEN count(r.call) = 0 THEN '' ELSE coalesce(arg_max(r.result, r.call) FILTER (r.result <> 'tool execute success'), 'tool execute success') END AS tool_response FROM parsed p LEFT JOIN results r USING (task_id, turn) GROUP BY p.task_id, p.turn",
+        "render_carry": f"{results_sql(99)} SELECT task_id, turn, call, rendered_path, render_before, last_render FROM renders",
         "answer_equivalence": f"{WITH}, f AS (SELECT task_id, turn, gold, unnest([gold, ' ' || gold || '.0 ', CAST(2 * gold::INT AS VARCHAR) || '/2', '1_' || gold, gold || 'd', gold || '/0']) AS model FROM turns_fx) SELECT *, {same('model', 'gold')} AS same FROM f",
-        "candidate_format": f"{CANDIDATES} SELECT task_id, turn, candidate, base_ok, local_ok FROM cand",
-        "critic_verdict": f"{VERDICTS} SELECT task_id, turn, has_object, has_fields, v_consistent AS consistent, v_correct AS is_correct, v_normalized AS normalized, len(elements) AS n_elements FROM verdict",
-        "hallucinations": f"{VERDICTS}, h AS (SELECT task_id, unnest(elements) AS e FROM verdict) SELECT json_extract_string(e, '$.category') AS category, count(*) AS n, count(DISTINCT task_id) AS n_tasks FROM h GROUP BY 1",
-        "reask": f"{VERDICTS} SELECT task_id, turn FROM verdict WHERE NOT has_fields",
-        "judge_merge": f"{MERGED} SELECT {columns} FROM judged",
-        "judge_local": f"{LOCAL} SELECT {columns} FROM judged",
-        "trajectory_outcome": f"{OUTCOME} SELECT * FROM outcomes",
-        "retry_phase": f"{outcome('turn <= 3')} SELECT * FROM outcomes",
+        "candidate_format": f"{local} SELECT task_id, turn, candidate, base_ok, local_ok FROM cand",
+        "critic_verdict": f"{verdicts(WITH, 'turns_fx')} SELECT task_id, turn, has_object, has_fields, has_consistent, v_consistent AS consistent, v_correct AS is_correct, v_normalized AS normalized, v_critique AS critique, len(elements) AS n_elements FROM verdict",
+        "hallucinations": f"{verdicts(WITH, 'turns_fx')}, h AS (SELECT task_id, turn, unnest(elements) AS e, generate_subscripts(elements, 1) - 1 AS i FROM verdict) SELECT task_id, turn, i, {', '.join(f"json_extract_string(e, '$.{c}') AS {c}" for c in judge.ELEMENT)} FROM h",
+        "reask": f"{verdicts(WITH, 'turns_fx')} SELECT task_id, turn, NOT has_fields AND NOT has_consistent AS rendered, NOT has_fields AS unrendered FROM verdict WHERE NOT has_fields",
+        "judge_merge": f"{merged} SELECT {columns} FROM judged",
+        "judge_local": f"{local} SELECT {columns} FROM judged",
+        "judge_renders": f"{judged_sql(True)} SELECT last_render, {columns} FROM judged",
+        "judge_again": f"{judged_sql(True, shown='true', again=True)} SELECT {columns} FROM judged",
+        "trajectory_outcome": f"{outcome(False, 6, 'turn <= 6')} SELECT * FROM outcomes",
+        "retry_phase": f"{outcome(False, 1, 'turn <= 3')} SELECT * FROM outcomes",
+        "usage_forms": f"{WITH}, u AS (SELECT task_id, turn, CASE WHEN turn % 2 <> 0 THEN 0 WHEN total_tokens = 0 THEN prompt_tokens + completion_tokens ELSE total_tokens END AS n FROM turns_fx) SELECT task_id, turn, n AS mapping_total, nullif(n, 0) AS object_total FROM u",
         "usage_by_task": f"{WITH}, {USAGE} SELECT task_id, {TOKENS} FROM usage GROUP BY task_id",
-        "run_summary": f"{OUTCOME}, {USAGE}, u AS (SELECT {TOKENS} FROM usage) SELECT count(*) AS tasks, count(*) FILTER (reward >= 1) AS passed, round(sum(reward) / greatest(count(*), 1), 6) AS avg_reward, any_value(u.prompt_tokens) AS prompt_tokens, any_value(u.completion_tokens) AS completion_tokens, any_value(u.total_tokens) AS total_tokens FROM outcomes, u",
-        "messages": f"{LOG} SELECT task_id, pos, role, md5(text) AS text_md5 FROM log",
-        "sft_turns": f"{LOG} SELECT a.task_id, a.turn, count(b.pos) AS n_prompt, coalesce(string_agg(b.role, ',' ORDER BY b.pos), '') AS roles, md5(any_value(a.text)) AS completion_md5 FROM log a LEFT JOIN log b ON a.task_id = b.task_id AND b.pos < a.pos WHERE a.kind = 1 GROUP BY a.task_id, a.turn",
+        "run_summary": f"{outcome(False, 6, 'turn <= 6')}, {USAGE}, u AS (SELECT {TOKENS} FROM usage) SELECT count(*) AS tasks, count(*) FILTER (reward >= 1) AS passed, round(sum(reward) / greatest(count(*), 1), 6) AS avg_reward, any_value(u.prompt_tokens) AS prompt_tokens, any_value(u.completion_tokens) AS completion_tokens, any_value(u.total_tokens) AS total_tokens FROM outcomes, u",
+        "messages": f"{own} SELECT task_id, pos, turn, role, md5(content) AS content_md5 FROM ended",
+        "messages_retry": f"{retried} SELECT task_id, pos, turn, role, md5(content) AS content_md5 FROM ended",
+        "sft_turns": f"{retried} SELECT s.task_id, s.turn, o.pid, n_prompt, md5(prompt) AS prompt_md5, md5(completion) AS completion_md5, reward FROM sft s JOIN outcomes o USING (task_id)",
+        "sft_rewarded": f"{own} SELECT o.task_id, o.pid, count(*) AS n_examples, sum(reward) AS reward FROM sft JOIN outcomes o USING (task_id) WHERE reward = 1 GROUP BY o.task_id, o.pid",
+        "results": f"""{own}, n AS (SELECT task_id, count(*) AS n_messages FROM ended GROUP BY task_id) SELECT t.task_id, t.pid, CASE WHEN broken THEN 'cannot open ' || image_path END AS error, CASE WHEN NOT broken THEN final_answer END AS final_answer, CASE WHEN broken THEN 0.0 ELSE reward END AS reward, CASE WHEN broken THEN 'FAIL' ELSE status END AS status,
+  CASE WHEN NOT broken THEN printf('task-%d-pid-%s', t.task_id, t.pid) END AS session_id, CASE WHEN NOT broken THEN printf('renders/task-%d-pid-%s', t.task_id, t.pid) END AS render_dir, CASE WHEN broken THEN 0 ELSE n_messages END AS n_messages, CASE WHEN broken THEN 0 ELSE n_turns END AS n_turns, true AS ordered FROM own t JOIN outcomes o USING (task_id) JOIN n USING (task_id)""",
+        "message_images": f"""{own}, {STAND_INS}, p AS (SELECT l.task_id, l.pos, l.kind, l.content, CASE WHEN l.kind = 0 AND l.role = 'user' THEN 'text:' || o.instruction || coalesce('|image_url:' || i.url, '') WHEN l.shown THEN '' WHEN starts_with(l.content, 'image_url:') THEN regexp_replace(l.content, '^image_url:[^|]*\\|', '') ELSE l.content END AS kept, CASE WHEN l.kind = 0 AND l.role = 'user' THEN 1 + (i.url IS NOT NULL)::INT WHEN l.shown THEN 0 ELSE 1 END AS n_parts FROM log l JOIN own o USING (task_id) LEFT JOIN stand_ins i ON o.image_path = i.path) SELECT task_id, pos, n_parts::BIGINT AS n_parts, md5(kept) AS content_md5 FROM p""",
         "reasoning_merge": f"{WITH} SELECT task_id, turn, md5(CASE WHEN contains(lower(assistant_raw), '<think>') THEN assistant_raw ELSE '<think>r' || gold || '</think>' || CASE WHEN {trim('assistant_raw')} <> '' THEN chr(10) || {trim('assistant_raw')} ELSE '' END END) AS merged_md5 FROM turns_fx",
-        "render_manifest": f"{WITH} SELECT session_id, seq, printf('renders/task-%d-pid-p%d/rendered-turn-%03d-tool-%02d.png', session_id, session_id, (seq - 1) // 3 + 1, (seq - 1) % 3 + 1) AS path FROM edits_fx",
-        "canvas_revert": f"{WITH} SELECT session_id, action, count(*) AS n, max(seq) AS last_seq FROM edits_fx WHERE render_ok GROUP BY session_id, action",
-        "sanitize_html": f"""{WITH} SELECT page_id, regexp_replace(regexp_replace(fragment, '<img src="(https?://[^"]+)"/>', '<div>[blocked external image] \\1</div>'), '<image x="3" href="https?://[^"]+"/>', '<text fill="#ED2633">[blocked external svg image]</text>') AS html FROM html_fx""",
-        "image_parts": f"""{WITH}, i AS (SELECT CASE WHEN page_id % 4 = 0 THEN '/abs/' || page_id || '.png' ELSE 'img/' || page_id || '.jpg' END AS path, CASE WHEN page_id % 4 = 0 THEN 'data:image/png;base64,' ELSE 'data:image/jpeg;base64,' END || base64(encode(html)) AS url FROM pages WHERE page_id % 2 = 0)
-SELECT task_id, substr(coalesce(url, ''), 1, 22) AS head, length(coalesce(url, '')) AS n_chars FROM tasks_fx LEFT JOIN i ON image = path""",
-        "policy_requests": f"{TASKS} SELECT task_id, 'policy' AS model, 256::BIGINT AS max_tokens, 'user' AS role, length(question) AS n_text, image_path AS image FROM prepared",
+        "content_texts": f"SELECT conv_id, md5({trim("coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (role <> 'system'), '')")}) AS text_md5 FROM conversations GROUP BY conv_id",
+        "render_manifest": f"{WITH} SELECT session_id, seq, printf('renders/task-%d-pid-s%d/rendered-turn-%03d-tool-%02d.png', session_id, session_id, (seq - 1) // 3 + 1, (seq - 1) % 3) AS path FROM edits_fx",
+        "canvas_flat": f"{WITH}, {FLAT} SELECT session_id, target_id, fill, pos FROM flat",
+        "canvas_viewport": f"{WITH}, {FLAT} SELECT session_id, target_id, fill, pos FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY pos DESC) AS back FROM flat) WHERE back <= 3",
+        "canvas_revert": f"{WITH} SELECT session_id, action, count(*) AS n, max(seq) AS last_seq FROM edits_fx WHERE render_ok AND target_id <> 'e4' GROUP BY session_id, action",
+        "canvas_tree": f"{WITH}, {TREE} SELECT session_id, pos, parent, tag, element_id, attrs, text FROM tree",
+        "canvas_groups": f"{WITH}, {FLAT} SELECT session_id, target_id, pos FROM flat",
+        "canvas_base": f"{WITH}, {FLAT}, s AS (SELECT DISTINCT session_id FROM edits_fx) SELECT session_id, CASE WHEN session_id % 2 = 0 THEN 2 ELSE 0 END AS n_base, count(target_id) AS n_groups, any_value(CASE WHEN session_id % 2 = 0 THEN 'data:image/png;base64,' || session_id END) AS src FROM s LEFT JOIN flat USING (session_id) GROUP BY session_id",
+        "sanitize_html": f"{WITH} SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'color:#ED2633;font-size:14px;padding:8px 0;word-break:break-word;' ELSE '' END AS style, CASE WHEN page_id % 4 = 0 THEN replace(url, '&', '&amp;') ELSE '' END AS url, CASE WHEN page_id % 4 = 1 THEN '<text x=\"3\" y=\"0\" fill=\"#ED2633\">' ELSE '' END AS svg, page_id % 4 = 2 AS has_img FROM html_fx",
+        "image_parts": f"{TASKS}, {STAND_INS} SELECT task_id, md5(coalesce(url, '')) AS url_md5, length(coalesce(url, '')) AS n_chars FROM own LEFT JOIN stand_ins ON image_path = path",
+        "policy_requests": f"{TASKS} SELECT task_id, 'policy' AS model, 'own' AS provider, 0.5::DOUBLE AS temperature, 256::BIGINT AS max_tokens, 120::BIGINT AS timeout, true AS has_tools, md5(instruction) AS text_md5, image_path AS image, nullif(first_render, '') AS render FROM own",
+        "critic_requests": f"{seen}, {STAND_INS} SELECT task_id, turn, CASE WHEN i.url IS NULL THEN 'without one' ELSE 'with an image' END AS system, md5(question) AS question_md5, CASE WHEN i.url IS NULL THEN last_render ELSE image_path END AS first, CASE WHEN i.url IS NOT NULL THEN last_render END AS second, true AS untimed FROM seen LEFT JOIN stand_ins i ON image_path = path WHERE last_render <> ''",
+        "judge_requests": f"""{judged_sql(True)} SELECT task_id, turn, CASE WHEN last_render <> '' THEN 'rendered' ELSE 'unrendered' END AS system, 'Reference answers:' || chr(10) || '["' || gold || '"]' AS golds, md5('Question:' || chr(10) || question || 'Assistant final output:' || chr(10) || assistant_raw) AS said_md5, image_path AS image, nullif(last_render, '') AS render FROM judged WHERE answer_present AND (last_render <> '' OR (base_ok AND NOT local_ok))""",
+        "second_requests": f"{judged_sql(True)} SELECT task_id, turn, 'user' AS role, CASE WHEN last_render <> '' THEN 'Return ONLY strict JSON with keys: hallucination_elements, is_consistent, format_ok, is_correct, normalized_answer. No extra words.' ELSE 'Return ONLY strict JSON with keys: format_ok, is_correct, normalized_answer. No extra words.' END AS asked FROM judged WHERE answer_present AND NOT has_fields AND (NOT shown OR NOT has_consistent)",
     }

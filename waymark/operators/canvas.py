@@ -1,21 +1,37 @@
-"""Notebook replay over flat elements, and external images."""
+"""Notebook replay: flat elements by folding arrays, trees of HTML by folding each session's edits, external images."""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from html import escape
+from html.parser import HTMLParser
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
+def since_clear(edits: DataFrame, clearing: Column) -> DataFrame:
+    """Edits after a session's last clear: what came before leaves no trace."""
+    cleared = F.max(F.when(clearing, F.col("seq"))).over(Window.partitionBy("session_id"))
+    return edits.withColumn("cleared", F.coalesce(cleared, F.lit(0))).where(F.col("seq") > F.col("cleared"))
+
+
+def effective(edits: DataFrame) -> DataFrame:
+    """Edits that left a trace: valid by the catalogue, where that was judged, and rendered."""
+    return edits.where(F.col("render_ok") & (F.col("invalid") == "" if "invalid" in edits.columns else F.lit(True)))
+
+
 def replay_flat(edits: DataFrame) -> DataFrame:
     """session_id, target_id, fill, pos: elements left after the ordered edits that rendered.
 
     Nothing before a session's last clear matters. An insert adds an element at the end; of several with one id the
     first is the target of the others' edits, so an insert of an id that stands is kept as a twin only until removed.
     """
-    good = edits.where(F.col("render_ok"))
-    cleared = F.max(F.when(F.col("action") == "clear", F.col("seq"))).over(Window.partitionBy("session_id"))
-    live = good.withColumn("cleared", F.coalesce(cleared, F.lit(0))).where(F.col("seq") > F.col("cleared"))
+    live = since_clear(effective(edits), F.col("action") == "clear")
     steps = live.groupBy("session_id", "target_id").agg(F.array_sort(F.collect_list(F.struct("seq", "action", "fill"))).alias("steps"))
     twin = "array<struct<seq:bigint,fill:string>>"
     fold = F.aggregate(
@@ -35,7 +51,242 @@ def viewport(elements: DataFrame, last: int = 3) -> DataFrame:
     return elements.withColumn("back", F.row_number().over(Window.partitionBy("session_id").orderBy(F.desc("pos")))).where(F.col("back") <= last).drop("back")
 
 
-def sanitize_images(html: Column) -> Column:
-    """External <img> and svg <image> tags give way to notes that name them."""
-    img = F.regexp_replace(html, r"""(?i)<img\b[^>]*?\ssrc=["']?(https?://[^"'\s>]+)[^>]*>""", "<div>[blocked external image] $1</div>")
-    return F.regexp_replace(img, r"""(?i)<image\b[^>]*?\s(?:xlink:)?href=["']?https?://[^"'\s>]+[^>]*>""", '<text fill="#ED2633">[blocked external svg image]</text>')
+#: Elements without an end tag.
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: Elements of the page around the body: html, head, two meta, title, style and body itself.
+AROUND = 7
+
+
+class Node:
+    """An element; children are nodes and texts."""
+
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], None
+
+    def add(self, child, at: int | None = None) -> None:
+        self.children.insert(len(self.children) if at is None else at, child)
+        if isinstance(child, Node):
+            child.parent = self
+
+    def replace(self, other: Node | None) -> None:
+        at = next(i for i, c in enumerate(self.parent.children) if c is self)
+        del self.parent.children[at]
+        if other is not None:
+            self.parent.add(other, at)
+        self.parent = None
+
+    def below(self) -> Iterator[Node]:
+        """Elements in document order, without recursion, as fragments may be deep."""
+        open_ = [c for c in reversed(self.children) if isinstance(c, Node)]
+        while open_:
+            node = open_.pop()
+            yield node
+            open_ += [c for c in reversed(node.children) if isinstance(c, Node)]
+
+    def find(self, name) -> Node | None:
+        return next((n for n in self.below() if n.attrs.get("id") == name), None)
+
+
+class Reader(HTMLParser):
+    """A tree of HTML. An end tag closes the nearest open element of its name, with all in it; others are passed over."""
+
+    def __init__(self):
+        super().__init__()
+        self.root = self.open = Node("")
+
+    def handle_starttag(self, tag, attrs):
+        node = Node(tag, {k: v or "" for k, v in attrs})
+        self.open.add(node)
+        if tag not in VOID:
+            self.open = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.open.add(Node(tag, {k: v or "" for k, v in attrs}))
+
+    def handle_endtag(self, tag):
+        node = self.open
+        while node is not self.root and node.tag != tag:
+            node = node.parent
+        if node is not self.root:
+            self.open = node.parent
+
+    def handle_data(self, data):
+        self.open.add(data)
+
+
+def parsed(fragment: str) -> Node:
+    reader = Reader()
+    reader.feed(fragment)
+    reader.close()
+    return reader.root
+
+
+def markup(node: Node) -> str:
+    """A tree as HTML again."""
+    out, todo = [], list(reversed(node.children))
+    while todo:
+        x = todo.pop()
+        if isinstance(x, tuple):
+            out.append(x[0])
+        elif isinstance(x, str):
+            out.append(escape(x, quote=False))
+        else:
+            attrs = "".join(f' {k}="{escape(v)}"' for k, v in x.attrs.items())
+            out.append(f"<{x.tag}{attrs}/>" if x.tag in VOID else f"<{x.tag}{attrs}>")
+            if x.tag not in VOID:
+                todo += [(f"</{x.tag}>",), *reversed(x.children)]
+    return "".join(out)
+
+
+#: What stands for blocked images.
+NOTE_STYLE = "color:#ED2633;font-size:14px;padding:8px 0;word-break:break-word;"
+NOTE_FILL = "#ED2633"
+
+
+def external(url: str) -> bool:
+    return url.strip().lower().startswith(("http://", "https://"))
+
+
+def block_images(tree: Node) -> None:
+    """External img and svg image elements give way to notes."""
+    for node in list(tree.below()):
+        source = node.attrs.get("src", "") if node.tag == "img" else (node.attrs.get("href") or node.attrs.get("xlink:href") or "") if node.tag == "image" else ""
+        if node.parent is None or not external(source):
+            continue
+        if node.tag == "img":
+            note, words = Node("div", {"style": NOTE_STYLE}), f"[blocked external image] {source}"
+        else:
+            note, words = Node("text", {"x": node.attrs.get("x") or "0", "y": node.attrs.get("y") or "0", "fill": NOTE_FILL}), "[blocked external svg image]"
+        note.add(words)
+        node.replace(note)
+
+
+def sanitized(html: str | None) -> str | None:
+    if html is None:
+        return None
+    tree = parsed(html)
+    block_images(tree)
+    return markup(tree)
+
+
+@F.pandas_udf(T.StringType())
+def sanitize_udf(html: pd.Series) -> pd.Series:
+    return html.map(sanitized)
+
+
+def sanitize_images(html: Column, allow_external: bool = False) -> Column:
+    """External <img> and svg <image> elements give way to notes that name them. Only HTML that can have any is parsed; other HTML stays as it is."""
+    return html if allow_external else F.when(html.rlike(r"(?i)<im(?:g|age)\b") & html.rlike(r"(?i)https?://"), sanitize_udf(html)).otherwise(html)
+
+
+class Canvas:
+    """A notebook's body. base: a fragment that stands in it from the start and again after each clear."""
+
+    def __init__(self, base: str | None, allow_external: bool):
+        self.body, self.base, self.allow = Node("body"), base, allow_external
+        self.body.add(Node("div", {"id": "root"}))
+        self.reset()
+
+    def reset(self) -> None:
+        if self.base:
+            self.insert({"fragment": self.base, "rootId": "root"})
+
+    def apply(self, action: str, args: dict) -> None:
+        """Unknown actions, missing targets and empty arguments change nothing."""
+        if action == "insert_element":
+            self.insert(args)
+        elif action == "modify_element":
+            self.modify(args)
+        elif action == "remove_element" or action == "replace_element":
+            node = self.body.find(args["targetId"]) if args.get("targetId") else None
+            new = self.first(args.get("fragment"), False) if action == "replace_element" else None
+            if node is not None and (new is not None or action == "remove_element"):
+                node.replace(new)
+        elif action in ("clear", "clear_element"):
+            self.body.children = []
+            self.body.add(Node("div", {"id": "root"}))
+            self.reset()
+
+    def first(self, fragment, block: bool) -> Node | None:
+        if not fragment:
+            return None
+        tree = parsed(str(fragment))
+        if block and not self.allow:
+            block_images(tree)
+        return next(tree.below(), None)
+
+    def insert(self, args: dict) -> None:
+        node = self.first(args.get("fragment"), True)
+        if node is None:
+            return
+        if not node.attrs.get("id"):
+            node.attrs["id"] = "initial_svg" if node.tag == "svg" else f"elem_{AROUND + sum(1 for _ in self.body.below())}"
+        where = args.get("rootId")
+        parent = self.body.find(where) if where else self.body
+        if parent is None:
+            parent = self.body
+            if where == "root":
+                parent = Node("div", {"id": "root"})
+                self.body.add(parent)
+        before = self.body.find(args["beforeId"]) if args.get("beforeId") else None
+        if before is None:
+            parent.add(node)
+        else:
+            before.parent.add(node, next(i for i, c in enumerate(before.parent.children) if c is before))
+
+    def modify(self, args: dict) -> None:
+        target, attrs = args.get("targetId"), args.get("attrs")
+        node = self.body.find(target) if target and attrs else None
+        for key, value in (attrs or {}).items() if node is not None else ():
+            if key == "text":
+                node.children = [str(value)]
+            else:
+                node.attrs[key] = str(value)
+
+    def rows(self) -> list[tuple]:
+        """pos, parent (its pos; null below the body), tag, element_id, attrs (JSON), text (its own) of each element in document order."""
+        nodes = list(self.body.below())
+        at = {id(n): i for i, n in enumerate(nodes)}
+        return [(i, at.get(id(n.parent)), n.tag, n.attrs.get("id", ""), json.dumps(n.attrs, ensure_ascii=False), "".join(c for c in n.children if isinstance(c, str))) for i, n in enumerate(nodes)]
+
+
+TREE = "pos long, parent long, tag string, element_id string, attrs string, text string"
+
+
+def replay_tree(edits: DataFrame, bases: DataFrame | None = None, allow_external: bool = False) -> DataFrame:
+    """session_id and the columns of TREE: the elements of each session's notebook after its edits that left a trace.
+
+    edits: session_id, seq, action, args_json, render_ok, and invalid where calls were validated. bases (session_id, image_url):
+    images that stand first in the notebook, and again after a clear. Nothing before a session's last clear is shipped. A
+    session's edits since are folded in one task, as each acts on what the others left; sessions without edits have their base alone.
+    """
+    clears = F.col("action").isin("clear", "clear_element")
+    live = since_clear(effective(edits), clears).select("session_id", F.struct("seq", "action", "args_json").alias("e"))
+    every = edits.select("session_id").distinct().join(live, "session_id", "left")
+    if bases is None:
+        told = every.withColumn("base", F.lit(None).cast("string"))
+    else:
+        told = bases.select("session_id", base_fragment(F.col("image_url")).alias("base")).join(every, "session_id", "full_outer")
+    kind = told.schema["session_id"].dataType.simpleString()
+
+    def fold(own: pd.DataFrame) -> pd.DataFrame:
+        canvas = Canvas(own["base"].iloc[0], allow_external)
+        for e in sorted((e for e in own["e"] if e is not None), key=lambda e: e["seq"]):
+            canvas.apply(e["action"], json.loads(e["args_json"]))
+        rows = canvas.rows()
+        out = pd.DataFrame(rows, columns=["pos", "parent", "tag", "element_id", "attrs", "text"])
+        out["parent"] = out["parent"].astype("Int64")
+        out.insert(0, "session_id", own["session_id"].iloc[0])
+        return out
+
+    return told.groupBy("session_id").applyInPandas(fold, f"session_id {kind}, {TREE}")
+
+
+def base_fragment(image_url: Column) -> Column:
+    """The figure that a notebook begins with; null where the image was not found."""
+    return F.when(F.coalesce(image_url, F.lit("")) != "", F.concat(F.lit("<figure id='base_figure'><img id='base_image' src='"), image_url, F.lit("'/></figure>")))
+
+
+def body_children(tree: DataFrame, last: int = 3) -> DataFrame:
+    """The last elements directly below the body, which a render shows."""
+    return viewport(tree.where(F.col("parent").isNull()), last)

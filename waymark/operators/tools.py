@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import strip
+
 #: Tools and their required arguments, in the catalogue's order.
 TOOLS = {"insert_element": ["fragment", "rootId"], "modify_element": ["targetId", "attrs"], "remove_element": ["targetId"], "replace_element": ["targetId", "fragment"], "clear": []}
+#: Fixed value: a result without error.
 SUCCESS = "tool execute success"
 
 
 def tool_calls(parsed: DataFrame) -> DataFrame:
-    """A row for each well-formed call: task_id, turn, call (from 0), name, arguments_json, render_ok, invalid (message or '')."""
+    """A row for each well-formed call: task_id, pid, turn, call (from 0), name, arguments_json, keys, render_ok, render_error, invalid (message or '').
+
+    Where parsed has no render_error, a failed render says no more than that.
+    """
     required = F.create_map(*[x for k, v in TOOLS.items() for x in (F.lit(k), F.array(*map(F.lit, v)).cast("array<string>"))])
-    calls = parsed.select("task_id", "turn", "render_ok", F.posexplode("tool_calls").alias("call", "c")).select("task_id", "turn", "call", "c.*", "render_ok")
+    error = F.col("render_error") if "render_error" in parsed.columns else F.lit("render failed")
+    calls = parsed.select("task_id", "pid", "turn", "render_ok", error.alias("render_error"), F.posexplode("tool_calls").alias("call", "c"))
+    calls = calls.select("task_id", "pid", "turn", "call", strip(F.col("c.name")).alias("name"), "c.arguments_json", "c.keys", "render_ok", "render_error")
     missing = F.filter(required[F.col("name")], lambda k: ~F.array_contains("keys", k))
     invalid = (
         F.when(required[F.col("name")].isNull(), F.concat(F.lit("invalid tool name: "), "name"))
@@ -26,7 +34,8 @@ def tool_calls(parsed: DataFrame) -> DataFrame:
 
 
 def tool_results(calls: DataFrame) -> DataFrame:
-    failed = F.lit("Error: render failed. Reverted to previous successful state.")
+    """calls with result. An edit whose target is missing is a success."""
+    failed = F.concat(F.lit("Error: "), "render_error", F.lit(". Reverted to previous successful state."))
     return calls.withColumn("result", F.when(F.col("invalid") != "", F.concat(F.lit("Error: "), "invalid")).when(~F.col("render_ok"), failed).otherwise(SUCCESS))
 
 
@@ -36,13 +45,25 @@ def turn_responses(parsed: DataFrame, results: DataFrame) -> DataFrame:
     return parsed.select("task_id", "turn").join(last, ["task_id", "turn"], "left").select("task_id", "turn", F.when(F.col("n_calls").isNull(), "").otherwise(F.coalesce("error", F.lit(SUCCESS))).alias("tool_response"))
 
 
-def render_path(root: str = "renders"):
-    return F.format_string(f"{root}/task-%d-pid-p%d/rendered-turn-%03d-tool-%02d.png", "task_id", "task_id", "turn", F.col("call") + 1)
+def render_path(root: str = "renders") -> Column:
+    """Over task_id, pid, turn and call."""
+    return F.format_string(f"{root}/task-%d-pid-%s/rendered-turn-%03d-tool-%02d.png", "task_id", "pid", "turn", "call")
+
 
+def first_render_path(root: str = "renders") -> Column:
+    return F.format_string(f"{root}/task-%d-pid-%s/rendered-turn-000.png", "task_id", "pid")
 
-def last_renders(results: DataFrame) -> DataFrame:
-    """results with rendered_path and the latest path up to each call; turn 0's path stands before the first."""
-    order = Window.partitionBy("task_id").orderBy("turn", "call").rowsBetween(Window.unboundedPreceding, 0)
+
+def last_renders(results: DataFrame, first_render: Column | None = None) -> DataFrame:
+    """results with rendered_path ('' for errors), render_before (the latest path before the call) and last_render (up to it). first_render: turn 0's path, '' where it failed."""
+    order = Window.partitionBy("task_id").orderBy("turn", "call")
     path = F.when(F.col("result") == SUCCESS, render_path())
-    first = F.format_string("renders/task-%d-pid-p%d/rendered-turn-000.png", "task_id", "task_id")
-    return results.withColumn("rendered_path", F.coalesce(path, F.lit(""))).withColumn("last_render", F.coalesce(F.last(path, ignorenulls=True).over(order), first))
+    latest = lambda stop: F.coalesce(F.last(path, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, stop)), first_render_path() if first_render is None else first_render)
+    return results.withColumns({"rendered_path": F.coalesce(path, F.lit("")), "render_before": latest(-1), "last_render": latest(0)})
+
+
+def turn_renders(turns: DataFrame, renders: DataFrame) -> DataFrame:
+    """turns with last_render, the latest path up to the turn's end: that of its last call, else of the turn before. turns: first_render, '' where turn 0's render failed."""
+    own = renders.groupBy("task_id", "turn").agg(F.max_by("last_render", "call").alias("own"))
+    upto = F.last("own", ignorenulls=True).over(Window.partitionBy("task_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0))
+    return turns.join(own, ["task_id", "turn"], "left").withColumn("last_render", F.coalesce(upto, "first_render")).drop("own")

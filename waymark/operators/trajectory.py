@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import first_filled, strip
+from ..sources.requests import PARTS, image_part, parts, text_part
+from ..sources.tasks import data_urls
 
 
 def truncated(judged: DataFrame, max_rounds: int = 6) -> DataFrame:
@@ -39,28 +41,113 @@ def run_summary(results: DataFrame, usage: DataFrame) -> DataFrame:
     return heads.join(F.broadcast(sums))  # one row each
 
 
+def usage_by_task(usage: DataFrame) -> DataFrame:
+    """Sums of the policy's three counters; missing ones are 0."""
+    return usage.groupBy("task_id").agg(*[F.sum(F.coalesce(c, F.lit(0))).cast("long").alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")])
+
+
 #: Order of messages within a turn.
-ASSISTANT, TOOL, FEEDBACK, PROMPT = 1, 2, 3, 4
+START, ASSISTANT, TOOL, CRITIQUE, FEEDBACK, PROMPT = range(6)
+#: Texts of the log.
+RETRY_PROMPT = "Please provide the final answer directly as <answer>\\boxed{...}</answer>. Do not output any reasoning or SVG code."
+CHECKED = ("<tool_response><image>This is the state of notebook. Critical Check: ", "</tool_response>")
+REVISE = ("<answer_judge>", "</answer_judge>\nPlease revise. Your response must include an explicit <answer>\\boxed{...}</answer> field.")
+RESPONSE = ("<tool_response>", "</tool_response>")
+
+
+def within(around: tuple[str, str], text: Column) -> Column:
+    return F.concat(F.lit(around[0]), text, F.lit(around[1]))
+
+
+def message_log(tasks: DataFrame, kept: DataFrame, renders: DataFrame, system: str, main_rounds: int | None = None) -> DataFrame:
+    """task_id, pos (from 0), turn, kind, call, role, parts, shown: every message of each task, in order; shown: a render that was observed.
 
+    tasks: instruction, image_path, first_render. kept: judged turns with last_render and critic_raw, the critic's words on
+    turns without an answer. renders: last_renders(). Turns after main_rounds are retries: their tools do not run, an answer is
+    expected of each, and they are fed back whether or not it is there.
+    """
 
-def messages(tasks: DataFrame, kept: DataFrame, renders: DataFrame) -> DataFrame:
-    """task_id, turn, kind, call, role, text and pos (from 0): the log of each task. Of renders only the last observation stays."""
-    ask = tasks.select("task_id", F.lit(0).alias("turn"), F.lit(0).alias("kind"), F.lit(0).alias("call"), F.lit("user").alias("role"), F.col("question").alias("text"))
+    def entry(kind: int, role: str, content: Column, call: Column | int = 0, shown: Column | bool = False) -> Column:
+        as_column = lambda v: F.lit(v) if isinstance(v, (int, bool)) else v
+        return F.struct(F.lit(kind).alias("kind"), as_column(call).cast("int").alias("call"), F.lit(role).alias("role"), content.alias("parts"), as_column(shown).alias("shown"))
+
+    retry = F.col("turn") > main_rounds if main_rounds else F.lit(False)
     said = first_filled(strip(F.col("raw")), F.col("seed_content"), F.col("content"))
-    turns = kept.select("task_id", F.col("turn").cast("int").alias("turn"), F.lit(ASSISTANT).alias("kind"), F.lit(0).alias("call"), F.lit("assistant").alias("role"), said.alias("text"))
-    kept_keys = kept.select("task_id", "turn")
-    seen = renders.join(kept_keys, ["task_id", "turn"], "left_semi")
-    latest = F.max(F.when(F.col("rendered_path") != "", F.struct("turn", "call"))).over(Window.partitionBy("task_id"))
-    seen = seen.withColumn("latest", latest).where((F.col("rendered_path") == "") | (F.struct("turn", "call") == F.col("latest")))
-    tools = seen.select("task_id", F.col("turn").cast("int").alias("turn"), F.lit(TOOL).alias("kind"), "call", F.lit("user").alias("role"), F.when(F.col("rendered_path") == "", F.concat(F.lit("<tool_response>"), "result", F.lit("</tool_response>"))).otherwise(F.col("rendered_path")).alias("text"))
-    told = kept.where(F.col("answer_present") & ~F.col("accepted")).select("task_id", F.col("turn").cast("int").alias("turn"), F.lit(FEEDBACK).alias("kind"), F.lit(0).alias("call"), F.lit("user").alias("role"), F.col("feedback").alias("text"))
-    push = kept.where(~F.col("answer_present") & (F.size("tool_calls") == 0)).select("task_id", F.col("turn").cast("int").alias("turn"), F.lit(PROMPT).alias("kind"), F.lit(0).alias("call"), F.lit("user").alias("role"), F.lit("Please give the final answer.").alias("text"))
-    log = ask.unionByName(turns).unionByName(tools).unionByName(told).unionByName(push)
+    called, answered = (F.size("tool_calls") > 0) & ~retry, F.col("answer_present") | retry
+    critique = F.when(answered, F.col("critique")).when(called & (F.col("last_render") != ""), strip(F.coalesce("critic_raw", F.lit("")))).otherwise("")
+    checked = (answered & (critique != "")) | (~answered & called & (F.col("last_render") != ""))
+    response = lambda c: F.when(c["path"] != "", parts(image_part(c["path"]))).otherwise(parts(image_part(c["before"]), text_part(within(RESPONSE, c["result"]))))
+    ran = F.when(~retry, F.transform(F.coalesce("ran", F.array()), lambda c: entry(TOOL, "user", response(c), c["call"], c["path"] != "")))
+    others = F.array(
+        F.when(checked, entry(CRITIQUE, "user", parts(text_part(within(CHECKED, critique))))),
+        F.when(answered & ~F.col("accepted"), entry(FEEDBACK, "user", parts(image_part(F.col("last_render")), text_part(within(REVISE, F.col("feedback")))))),
+        F.when(~answered & ~called, entry(PROMPT, "user", parts(text_part(F.lit(RETRY_PROMPT))))),
+    )
+    every = F.concat(F.array(entry(ASSISTANT, "assistant", parts(text_part(said)))), F.coalesce(ran, F.array()), F.filter(others, lambda e: e.isNotNull()))
+    # Turns are read once: their calls' outcomes come beside them, and each makes all its messages in its row.
+    calls = renders.groupBy("task_id", "turn").agg(F.array_sort(F.collect_list(F.struct("call", F.col("rendered_path").alias("path"), F.col("render_before").alias("before"), "result"))).alias("ran"))
+    told = kept.join(calls, ["task_id", "turn"], "left").select("task_id", F.col("turn").cast("int").alias("turn"), F.explode(every).alias("e"))
+    begun = F.explode(F.array(entry(START, "system", parts(text_part(F.lit(system)))), entry(START, "user", parts(text_part(F.col("instruction")), image_part(F.col("image_path")), image_part(F.col("first_render"))), 1)))
+    log = tasks.select("task_id", F.lit(0).alias("turn"), begun.alias("e")).unionByName(told).select("task_id", "turn", "e.*")
     return log.withColumn("pos", F.row_number().over(Window.partitionBy("task_id").orderBy("turn", "kind", "call")) - 1)
 
 
-def sft_turns(log: DataFrame) -> DataFrame:
-    """An example for each assistant message: what precedes it as the prompt, itself as the completion."""
-    whole = log.groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "turn", "role", "text"))).alias("m"))
+def messages(log: DataFrame) -> DataFrame:
+    """The log as it ends: of the renders that were observed only the last stays. pos counts anew."""
+    last = F.max(F.when(F.col("shown"), F.col("pos"))).over(Window.partitionBy("task_id"))
+    left = log.withColumn("last", last).where(~F.col("shown") | (F.col("pos") == F.col("last"))).drop("last", "shown")
+    return left.withColumn("pos", F.row_number().over(Window.partitionBy("task_id").orderBy("pos")) - 1)
+
+
+def sft_turns(log: DataFrame, results: DataFrame, main_rounds: int | None = None, only_rewarded: bool = False) -> DataFrame:
+    """task_id, pid, turn, prompt, completion, reward: an example for each assistant message, with what preceded it as the prompt.
+
+    Of the renders observed before it, a prompt holds the last; that of a retry ends with the request for an answer, which the log does not have.
+    """
+    row = F.struct("pos", "kind", "turn", "shown", "role", "parts")
+    whole = log.groupBy("task_id").agg(F.array_sort(F.collect_list(row)).alias("m"))
     each = whole.select("task_id", "m", F.explode(F.filter("m", lambda x: x["kind"] == ASSISTANT)).alias("a"))
-    return each.select("task_id", F.col("a.turn").alias("turn"), F.transform(F.slice("m", F.lit(1), F.col("a.pos")), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("prompt"), F.col("a.text").alias("completion"))
+    before = F.slice("m", F.lit(1), F.col("a.pos"))
+    last = F.array_max(F.transform(F.filter(before, lambda x: x["shown"]), lambda x: x["pos"]))
+    seen = F.filter(before, lambda x: ~x["shown"] | (x["pos"] == F.coalesce(last, F.lit(-1))))
+    prompt = F.transform(seen, lambda x: F.struct(x["role"].alias("role"), x["parts"].alias("parts")))
+    if main_rounds:
+        ask = F.array(F.struct(F.lit("user").alias("role"), parts(text_part(F.lit(RETRY_PROMPT))).alias("parts")))
+        prompt = F.when(F.col("a.turn") > main_rounds, F.concat(prompt, ask)).otherwise(prompt)
+    out = each.select("task_id", F.col("a.turn").alias("turn"), prompt.alias("prompt"), F.col("a.parts")[0]["text"].alias("completion")).join(results.select("task_id", "pid", "reward"), "task_id")
+    out = out.where("reward = 1.0") if only_rewarded else out
+    return out.select("task_id", "pid", "turn", "prompt", "completion", "reward")
+
+
+def with_image_data(log: DataFrame, images: DataFrame) -> DataFrame:
+    """log with its image parts' paths as data URLs; parts whose image is not found are left out. Only paths are shuffled with the log, and each image is encoded once."""
+    keys = [c for c in log.columns if c != "parts"]
+    each = log.select(*keys, F.posexplode_outer("parts").alias("i", "p"))
+    urls = data_urls(each.where("p.type = 'image_url'").select(F.col("p.url").alias("image_path")), images)
+    joined = each.join(urls, F.col("p.url") == F.col("image_path"), "left")
+    kept = F.when(F.col("p.type") != "image_url", F.col("p")).when(F.coalesce("image_url", F.lit("")) != "", F.struct(F.col("p.type"), F.col("p.text"), F.col("image_url").alias("url")))
+    back = joined.select(*keys, F.struct("i", kept.alias("p")).alias("e")).groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("es"))
+    return back.select(*keys, F.transform(F.filter("es", lambda e: e["p"].isNotNull()), lambda e: e["p"]).cast(PARTS).alias("parts"))
+
+
+def results(tasks: DataFrame, kept: DataFrame, log: DataFrame, errors: DataFrame, root: str = "renders") -> DataFrame:
+    """A row for each task, as it is written: nested messages and turns, final_answer, reward, session_id, render_dir, order.
+
+    tasks: with order. errors (task_id, error, elapsed_sec): a null error is none. A task with an error has neither messages
+    nor turns, no answer, and reward 0.
+    """
+    turn = F.struct("turn", F.col("raw").alias("assistant_raw"), "seed_content", F.col("last_render").alias("rendered_image_path"), "format_ok", "is_correct", "normalized", "feedback")
+    told = kept.groupBy("task_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    said = messages(log).groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("pos", "role", "parts"))).alias("messages"))
+    out = tasks.join(outcomes(tasks, kept).drop("pid"), "task_id").join(told, "task_id", "left").join(said, "task_id", "left").join(errors, "task_id", "left")
+    fine = F.col("error").isNull()
+    session = F.format_string("task-%d-pid-%s", "task_id", "pid")
+    return out.select(
+        "task_id", "pid", "question", "instruction", "answers", "order", "elapsed_sec", "error",
+        F.when(fine, F.col("final_answer")).alias("final_answer"),
+        F.when(fine, F.col("reward")).otherwise(0.0).alias("reward"),
+        F.when(fine & (F.col("reward") >= 1.0), "PASS").otherwise("FAIL").alias("status"),
+        F.when(fine, session).alias("session_id"),
+        F.when(fine, F.concat(F.lit(f"{root}/"), session)).alias("render_dir"),
+        *[F.filter(F.coalesce(c, F.array()), lambda x: fine).alias(c) for c in ("messages", "turns")],
+    )

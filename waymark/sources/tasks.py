@@ -1,12 +1,62 @@
-"""Task tables: slicing, preparation, requests, and writing results."""
+"""Task tables: reading JSON files, slicing, preparation, images, written results."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.text import strip
 
+FIELDS = T.StructType().add("question", "string").add("answer_type", "string").add("image", "string").add("choices", T.ArrayType(T.StringType())).add("answers", T.ArrayType(T.StringType())).add("pid", "string")
+
+
+def items_in(text: str) -> list[str]:
+    """The task objects of a JSON file, each as JSON: of a list, of the list under data, or of an object's values, numbered keys first."""
+    payload = json.loads(text)
+    if isinstance(payload, dict):
+        listed = payload.get("data")
+        rank = lambda key: (0, str(int(key)).zfill(12)) if key.isdigit() else (1, key)
+        payload = listed if isinstance(listed, list) else [payload[key] for key in sorted(payload, key=rank)]
+    return [json.dumps(x, ensure_ascii=False) for x in payload if isinstance(x, dict)] if isinstance(payload, list) else []
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def items_of(payload: pd.Series) -> pd.Series:
+    return payload.map(items_in)
+
+
+def read_tasks(spark: SparkSession, path: str) -> DataFrame:
+    """pos, item_json of a JSON file, which one task reads whole. Large collections are better kept as a table of these two columns."""
+    return spark.read.text(path, wholetext=True).select(F.posexplode(items_of("value")).alias("pos", "item_json")).withColumn("pos", F.col("pos").cast("long"))
+
+
+def _fields(item_json: str) -> dict:
+    item = json.loads(item_json)
+    choices, gold = item.get("choices"), item.get("answer")
+    if isinstance(gold, list):
+        answers = [json.dumps(gold, ensure_ascii=False), *map(str, gold)]
+    else:
+        answers = [] if gold is None or not str(gold).strip() else [str(gold).strip()]
+    name = item.get("pid") or item.get("id")
+    texts = {c: str(item.get(c, "")) for c in ("question", "answer_type", "image")}
+    return texts | {"choices": list(map(str, choices)) if isinstance(choices, list) else [], "answers": answers, "pid": str(name) if name else None}
+
+
+@F.pandas_udf(FIELDS)
+def fields_of(item_json: pd.Series) -> pd.DataFrame:
+    """Python's own text of mixed values, which SQL readers do not share."""
+    return pd.DataFrame([_fields(x) for x in item_json], columns=FIELDS.names)
+
+
+def task_fields(items: DataFrame) -> DataFrame:
+    """task_id (the position), pid (else sample_<position>) and the raw fields of items (pos, item_json)."""
+    return items.select(F.col("pos").alias("task_id"), fields_of("item_json").alias("f")).select("task_id", "f.*").withColumn("pid", F.coalesce("pid", F.concat(F.lit("sample_"), F.col("task_id").cast("string"))))
+
 
 def slice_tasks(tasks: DataFrame, start: int, end: int, pos: str = "task_id") -> DataFrame:
     """Positions in [start, end), before any filter."""
@@ -25,32 +75,59 @@ def prepare_tasks(tasks: DataFrame, root: str, skip_list_answers: bool = True) -
     out = tasks.withColumn("question", strip(F.coalesce("question", F.lit("")))).where(F.col("question") != "")
     if skip_list_answers:
         out = out.where(F.lower(strip(F.coalesce("answer_type", F.lit("")))) != "list")
-    choices = choices_text(F.col("choices"))
-    image = F.when(F.col("image").startswith("/"), F.col("image")).otherwise(F.concat(F.lit(f"{root}/"), "image"))
-    return out.select("task_id", "pid", "question", F.when(choices == "", F.col("question")).otherwise(F.concat("question", F.lit("\n"), choices)).alias("instruction"), image.alias("image_path"), "answers")
+    choices, image = choices_text(F.col("choices")), strip(F.coalesce("image", F.lit("")))
+    placed = F.when(image.startswith("/"), image).otherwise(F.concat(F.lit(f"{root}/"), image))
+    return out.select("task_id", "pid", "question", F.when(choices == "", F.col("question")).otherwise(F.concat("question", F.lit("\n"), choices)).alias("instruction"), placed.alias("image_path"), "answers")
+
+
+def load_tasks(spark: SparkSession, path: str, start: int, end: int, root: str | None = None, skip_list_answers: bool = True) -> DataFrame:
+    """Prepared tasks of a slice of a JSON file. Images lie beside the file unless root is given."""
+    if end <= start:
+        raise ValueError(f"the slice [{start}, {end}) is empty")
+    items = slice_tasks(read_tasks(spark, path), start, end, "pos")
+    return prepare_tasks(task_fields(items), root or path.rpartition("/")[0], skip_list_answers)
 
 
 def shuffled(tasks: DataFrame, seed: int) -> DataFrame:
-    """tasks with order: a reproducible permutation, numbered after a range sort."""
-    ranked = tasks.orderBy(F.xxhash64("task_id", F.lit(seed)), "task_id")
-    schema = ranked.schema.add("order", "long")
-    return ranked.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])).toDF(schema)
+    """tasks with order: a reproducible permutation numbered from 0.
+
+    Rows fall into 2^16 ranges of a hash; what stands before a range is summed over the ranges' counts, and rows are ranked within theirs.
+    """
+    drawn = tasks.withColumn("draw", F.xxhash64(F.lit(seed), "task_id")).withColumn("range", F.shiftright("draw", 48))
+    counts = drawn.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # 2^16 rows at most
+    before = counts.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("range").orderBy("draw", "task_id"))
+    return drawn.withColumn("rank", rank).join(F.broadcast(before), "range").withColumn("order", F.col("before") + F.col("rank") - 1).drop("draw", "range", "rank", "before")
+
+
+#: Types of images by extension; others count as PNG.
+MIME = {".svg": "image/svg+xml", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".webp": "image/webp", ".gif": "image/gif", ".bmp": "image/bmp", ".tif": "image/tiff", ".tiff": "image/tiff"}
+
+
+def data_urls(paths: DataFrame, images: DataFrame) -> DataFrame:
+    """image_path, image_url for each different image_path of paths. URLs pass; file:// is taken off; '' where images (path, content) has none.
+
+    Only images that are asked for are encoded, once each.
+    """
+    asked = paths.select("image_path").distinct().withColumn("path", F.regexp_replace(F.trim("image_path"), "^file://", ""))
+    mime = F.create_map(*[F.lit(x) for kv in MIME.items() for x in kv])
+    kind = F.coalesce(F.try_element_at(mime, F.lower(F.regexp_extract("path", r"\.[^./]+$", 0))), F.lit("image/png"))
+    wanted = images.join(asked.select("path").distinct(), "path", "left_semi")
+    encoded = wanted.select("path", F.concat(F.lit("data:"), kind, F.lit(";base64,"), F.translate(F.base64("content"), "\r\n", "")).alias("url"))
+    passes = F.trim("image_path").rlike("^(data:|https?://)")
+    return asked.join(encoded, "path", "left").select("image_path", F.when(passes, F.trim("image_path")).otherwise(F.coalesce("url", F.lit(""))).alias("image_url"))
 
 
 def attach_images(tasks: DataFrame, images: DataFrame) -> DataFrame:
-    """tasks with image_url: a data URL of images (path, content); URLs pass; '' where none is found. Paths join before bytes do."""
-    path = F.regexp_replace(F.trim(F.col("image_path")), "^file://", "")
-    mime = F.create_map(*[F.lit(x) for kv in ((".svg", "image/svg+xml"), (".jpg", "image/jpeg"), (".jpeg", "image/jpeg"), (".webp", "image/webp"), (".gif", "image/gif")) for x in kv])
-    data = images.select(F.col("path").alias("_path"), F.concat(F.lit("data:"), F.coalesce(mime[F.lower(F.regexp_extract("path", r"\.[^./]+$", 0))], F.lit("image/png")), F.lit(";base64,"), F.translate(F.base64("content"), "\r\n", "")).alias("_url"))
-    joined = tasks.join(data, path == F.col("_path"), "left")
-    return joined.withColumn("image_url", F.when(F.col("image_path").rlike("^(data:|https?://)"), F.col("image_path")).otherwise(F.coalesce("_url", F.lit("")))).drop("_path", "_url")
+    """tasks with image_url, the data URL of image_path. The last step, as rows are wide from here on."""
+    return tasks.join(data_urls(tasks, images), "image_path", "left").withColumn("image_url", F.coalesce("image_url", F.lit("")))
 
 
-def policy_requests(tasks: DataFrame, model: str, temperature: float = 0.0, max_tokens: int = 0) -> DataFrame:
-    """request_id, body: one JSON request for each task; max_tokens only when positive."""
-    fields = [F.lit(model).alias("model"), F.lit(temperature).alias("temperature"), *([F.lit(max_tokens).alias("max_tokens")] if max_tokens > 0 else []), F.array(F.struct(F.lit("user").alias("role"), F.col("instruction").alias("text"), F.col("image_path").alias("image"))).alias("messages")]
-    return tasks.select("task_id", F.to_json(F.struct(*fields)).alias("body"))
+def write_results(results: DataFrame, path: str) -> None:
+    """A folder of JSON lines, a result each; nulls are left out."""
+    results.write.mode("overwrite").json(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_sft_turns(examples: DataFrame, path: str) -> None:
+    """A folder of JSON lines: task_id, pid, turn, prompt, completion, reward."""
+    examples.select("task_id", "pid", "turn", "prompt", "completion", "reward").write.mode("overwrite").json(path)
