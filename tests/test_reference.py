@@ -1,3 +1,5 @@
+import json
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 from waymark.functions.parse import parse_response
 from waymark.functions.text import equivalent_answer
 from waymark.jobs import registry
-from waymark.operators import canvas, judge, tools
+from waymark.operators import canvas, judge, tools, trajectory
 from waymark.sources import tasks
 
 SF = "/root/testdata/sf0.001"
@@ -52,11 +54,58 @@ def test_json_objects_and_truth():
     assert [judge.truth(v, "d") for v in (True, " Yes ", "n", 1, None, "maybe")] == [True, True, False, "d", "d", "d"]
 
 
+def test_fenced_blocks_end_with_a_brace():
+    assert list(judge.fenced('```json {"a":"``` x"} ``` ```JSON\n{"b":{}}\n``` ```{"c"')) == ['{"a":"``` x"}', '{"b":{}}']
+    assert judge.object_in('``` text ``` ```{"a":1}```') == {"a": 1}
+
+
 def test_tool_validation(spark):
-    raws = ['{"name":"paint","arguments":{}}', '{"name":"insert_element","arguments":{}}', '{"name":"clear","arguments":{"x":1}}', '{"name":"remove_element","arguments":{"targetId":null}}']
-    df = spark.createDataFrame([(i, 1, f"<tool_call>{t}</tool_call>", True) for i, t in enumerate(raws)], "task_id long, turn int, assistant_raw string, render_ok boolean")
-    got = [r.invalid for r in tools.tool_calls(parse_response(df)).orderBy("task_id").collect()]
-    assert got == ["invalid tool name: paint", "missing args for insert_element: fragment, rootId", "clear arguments must be {}", ""]
+    raws = ['{"name":" paint ","arguments":{}}', '{"name":"insert_element","arguments":{}}', '{"name":"clear","arguments":{"x":1}}', '{"name":"remove_element","arguments":{"targetId":null}}']
+    df = spark.createDataFrame([(i, "p", 1, f"<tool_call>{t}</tool_call>", False) for i, t in enumerate(raws)], "task_id long, pid string, turn int, assistant_raw string, render_ok boolean")
+    rows = tools.tool_results(tools.tool_calls(parse_response(df))).orderBy("task_id").collect()
+    assert [r.invalid for r in rows] == ["invalid tool name: paint", "missing args for insert_element: fragment, rootId", "clear arguments must be {}", ""]
+    assert rows[3].result == "Error: render failed. Reverted to previous successful state."
+
+
+def test_task_files_of_three_shapes(spark, tmp_path):
+    item = {"question": "q", "answer": [1, "a", True, None], "choices": ["x", 2.0], "image": "i.png", "id": 7}
+    shapes = [[item, 3, {"question": None}], {"data": [item, "x", {"question": None}]}, {"10": {"question": None}, "2": item, "a": {"question": ""}, "z": 1}]
+    for n, shape in enumerate(shapes):
+        path = tmp_path / f"{n}.json"
+        path.write_text(json.dumps(shape))
+        got = tasks.load_tasks(spark, str(path), 0, 10, "/r").orderBy("task_id").collect()
+        assert [(r.task_id, r.pid, r.question, r.image_path) for r in got] == [(0, "7", "q", "/r/i.png"), (1, "sample_1", "None", "/r/")]
+        assert got[0].answers == ['[1, "a", true, null]', "1", "a", "True", "None"] and got[0].instruction == "q\nChoices:\nA. x\nB. 2.0"
+    (tmp_path / "none.json").write_text("3")
+    assert tasks.read_tasks(spark, str(tmp_path / "none.json")).count() == 0
+    with pytest.raises(ValueError):
+        tasks.load_tasks(spark, "x", 3, 3)
+
+
+def test_shuffling_is_a_permutation_that_depends_on_the_seed_alone(spark):
+    df = spark.range(1000).withColumnRenamed("id", "task_id")
+    order = lambda d, seed: [r.task_id for r in tasks.shuffled(d, seed).orderBy("order").collect()]
+    first = order(df, 1)
+    assert sorted(first) == list(range(1000)) and first == order(df.repartition(7), 1) and first != order(df, 2)
+
+
+def test_written_results_and_examples_come_back(spark, tmp_path):
+    log = spark.createDataFrame([(1, 0, 0, 0, 0, "user", [("text", "hi", None)], False), (1, 1, 1, 1, 0, "assistant", [("text", "yo", None)], False)], "task_id long, pos int, turn int, kind int, call int, role string, parts array<struct<type:string,text:string,url:string>>, shown boolean")
+    done = spark.createDataFrame([(1, "p", 1.0)], "task_id long, pid string, reward double")
+    tasks.write_sft_turns(trajectory.sft_turns(log, done), str(tmp_path / "sft"))
+    assert [(r.task_id, r.pid, r.turn, r.prompt[0].parts[0].text, r.completion, r.reward) for r in spark.read.json(str(tmp_path / "sft")).collect()] == [(1, "p", 1, "hi", "yo", 1.0)]
+    tasks.write_results(done, str(tmp_path / "results"))
+    assert spark.read.json(str(tmp_path / "results")).first().reward == 1.0
+
+
+def test_turns_without_a_render(spark):
+    """With a critic none is accepted; a verdict without the fields is unusable."""
+    rows = [(1, True, True, "{}"), (2, True, False, "{}"), (3, True, False, '{"is_correct":true,"normalized_answer":"n"}'), (4, False, True, "{}")]
+    df = spark.createDataFrame([(*r, "c", False) for r in rows], "task_id int, base_ok boolean, local_ok boolean, critic_raw string, candidate string, rendered boolean")
+    got = judge.judge(df, "critic_raw", "rendered").orderBy("task_id").collect()
+    assert [(r.format_ok, r.is_correct, r.normalized, r.critique, r.accepted) for r in got] == [(True, True, "c", "", False), (True, False, "c", "", False), (True, True, "n", "", False), (False, False, "c", "", False)]
+    assert got[1].feedback == judge.UNUSABLE and got[0].feedback == judge.INCONSISTENT
+    assert [r.accepted for r in judge.judge(df, None, "rendered").orderBy("task_id").collect()] == [True, False, False, False]
 
 
 def test_choices_labels(spark):
@@ -82,3 +131,41 @@ def test_canvas_against_a_plain_fold(spark):
             first[1] = e.fill
     want = sorted((s, t, f, i + 1) for s, els in held.items() for i, (t, f) in enumerate(els))
     assert sorted((r.session_id, r.target_id, r.fill, r.pos) for r in canvas.replay_flat(edits).collect()) == want
+
+
+def test_notebook_trees():
+    c = canvas.Canvas("<figure id='base_figure'><img id='base_image' src='data:x'/></figure>", False)
+    c.apply("insert_element", {"fragment": "<svg><rect id=r x=1></rect><image href='http://a/b' y=2></svg>", "rootId": "root"})
+    c.apply("insert_element", {"fragment": "<p>hi<br>you", "rootId": "gone"})
+    c.apply("insert_element", {"fragment": "<b id=q>1</b>", "rootId": "", "beforeId": "r"})
+    c.apply("modify_element", {"targetId": "r", "attrs": {"x": True, "text": 5}})
+    c.apply("modify_element", {"targetId": "nobody", "attrs": {"x": 1}})
+    c.apply("unknown", {})
+    rows = [(r[1], r[2], r[3], json.loads(r[4]), r[5]) for r in c.rows()]
+    assert [r[:3] for r in rows] == [(None, "div", "root"), (0, "figure", "base_figure"), (1, "img", "base_image"), (0, "svg", "initial_svg"), (3, "b", "q"), (3, "rect", "r"), (3, "text", ""), (None, "p", "elem_13"), (7, "br", "")]
+    assert rows[5][3:] == ({"id": "r", "x": "True"}, "5") and rows[6][3:] == ({"x": "0", "y": "2", "fill": "#ED2633"}, "[blocked external svg image]") and rows[7][4] == "hiyou"
+    c.apply("replace_element", {"targetId": "r", "fragment": "<i src=http://x>"})
+    c.apply("remove_element", {"targetId": "root"})
+    assert [r[2] for r in c.rows()] == ["p", "br"]
+    c.apply("insert_element", {"fragment": "<img src='https://e.x/i.png'>", "rootId": "root"})
+    assert [(r[2], r[5]) for r in c.rows()][2:] == [("div", ""), ("div", "[blocked external image] https://e.x/i.png")]
+    c.apply("clear", {})
+    assert [r[2] for r in c.rows()] == ["div", "figure", "img"]
+    open_ = canvas.Canvas(None, True)
+    open_.apply("insert_element", {"fragment": "<img id=i src='https://e.x/i.png'>", "rootId": "root"})
+    assert [r[2] for r in open_.rows()] == ["div", "img"]
+
+
+def test_trees_of_sessions_in_spark(spark):
+    edits = [(1, 1, "insert_element", '{"fragment":"<p id=a>x</p>","rootId":"root"}', True), (1, 2, "clear", "{}", True), (1, 3, "insert_element", '{"fragment":"<p id=b>y</p>","rootId":"root"}', True), (1, 4, "remove_element", '{"targetId":"b"}', False), (2, 1, "insert_element", '{"fragment":"<p id=c>z</p>","rootId":"root"}', False)]
+    df = spark.createDataFrame(edits, "session_id long, seq long, action string, args_json string, render_ok boolean")
+    bases = spark.createDataFrame([(2, "data:q"), (3, "")], "session_id long, image_url string")
+    got = {(r.session_id, r.pos): r.element_id for r in canvas.replay_tree(df, bases).collect()}
+    assert got == {(1, 0): "root", (1, 1): "b", (2, 0): "root", (2, 1): "base_figure", (2, 2): "base_image", (3, 0): "root"}
+    assert canvas.replay_tree(df.limit(0)).collect() == []
+
+
+def test_blocked_images_keep_the_rest():
+    html = '<div id=a>x &lt; <img alt="a>b" src="https://e.x/i?a=1&amp;b=2"/></div><img src=local.png>'
+    assert canvas.sanitized(html) == '<div id="a">x &lt; <div style="color:#ED2633;font-size:14px;padding:8px 0;word-break:break-word;">[blocked external image] https://e.x/i?a=1&amp;b=2</div></div><img src="local.png"/>'
+    assert canvas.sanitized(None) is None
