@@ -132,9 +132,9 @@ def let(value: Column, body) -> Column:
 
 def running(values: Column, combine) -> Column:
     """Prefix sums (or what combine makes) of an array of longs, each with its own element. Reach doubles from step to step, so n elements take n log n work."""
-    steps = F.filter(F.transform(F.sequence(F.lit(0), F.lit(30)), lambda k: F.pow(F.lit(2), k).cast("int")), lambda reach: reach < F.size(values))
+    reaches = lambda v: F.filter(F.transform(F.sequence(F.lit(0), F.lit(30)), lambda k: F.pow(F.lit(2), k).cast("int")), lambda reach: reach < F.size(v))
     both = lambda v, reach: F.zip_with(F.slice(v, reach + 1, F.size(v)), F.slice(v, F.lit(1), F.size(v) - reach), combine)
-    return F.aggregate(steps, values, lambda v, reach: F.concat(F.slice(v, F.lit(1), reach), both(v, reach)))
+    return let(values, lambda whole: F.aggregate(reaches(whole), whole, lambda v, reach: F.concat(F.slice(v, F.lit(1), reach), both(v, reach))))
 
 
 def find_spans(text: Column, kind: str, rank: int, pattern: str | Column, prefilter: Column, accept=None) -> Column:
