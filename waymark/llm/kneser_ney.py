@@ -1,9 +1,10 @@
 """Quality by an interpolated modified Kneser-Ney model of trusted text.
 
-The model predicts characters, folded into a small alphabet, so its tables have a proven bound of ALPHABET ** ORDER
-rows. Counts are gathered over all trusted documents and sharded by n-gram; joins of counts, contexts and lower
-orders give the probability of every n-gram that occurs in the corpus. Documents whose perplexity is above a
-quantile of the trusted ones in their language are rejected.
+The model predicts characters from the ORDER - 1 before them, as they are in any script. Counts are gathered over trusted
+documents and sharded by n-gram; joins of counts, contexts and lower orders give the probability of every n-gram that
+occurs in the corpus. Chunks of documents ask for their different n-grams once each, the answers are joined to them by
+n-gram and go back to the chunks, whose texts they score. Documents whose perplexity is above a quantile of their
+language's trusted documents that the model was not trained on are rejected.
 """
 
 from __future__ import annotations
@@ -12,48 +13,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import broadcast_if_small, materialize, merge_sketches, sketch, sketch_quantiles, text_hash
 
-ORDER, ALPHABET = 4, 48
-FOLDED = 0x250  # code points below have a class of their own or of their kind, those above by block
-CHUNK = 2_000_000  # characters worked on at once
-
-
-def _fold_table() -> np.ndarray:
-    """0 document start, 1 space, 2 line end, 3 digit, 4-29 a-z, 30 A-Z, 31-36 marks, 37-42 other Latin letters, 43-47 the rest."""
-    table = np.full(FOLDED, 36, dtype=np.int32)
-    table[0x80:] = 37 + np.arange(0x80, FOLDED) % 6
-    for chars, cls in ((" \t\r\x0b\x0c", 1), ("\n", 2), ("0123456789", 3), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 30), (".", 31), (",", 32), ("!?", 33), ("()[]{}'\"", 34), ("#*$%&|<>@", 35)):
-        for c in chars:
-            table[ord(c)] = cls
-    table[ord("a") : ord("z") + 1] = np.arange(4, 30)
-    table[0] = 0
-    return table
+ORDER, BITS = 4, 16  # an n-gram is a long of ORDER characters
+PAD = "\0" * (ORDER - 1)  # before a text
+PART, CHUNK = 1_000_000, 32_000_000  # characters that are worked on at once, and that ask together
+#: Trusted documents whose id's hash is 0 by this number set cutoffs, the others train.
+FOLDS = 10
+#: Documents that the cutoff of all languages weighs as much as in a language's.
+PRIOR = 50
 
 
 def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram code that ends at each character, and where each text's codes begin (one more for the end)."""
-    table, pad = _fold_table(), ORDER - 1
-    joined = "".join("\0" * pad + t for t in texts)
+    """The n-gram code that ends at each character, and where each text's codes begin (one more for the end). Characters beyond the first plane share 6,400 places of it, which are private."""
+    joined = "".join(PAD + t for t in texts)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    classes = table[np.minimum(points, FOLDED - 1)]
-    classes = np.where(points >= FOLDED, 43 + (points >> 7) % 5, classes).astype(np.int32)
+    points = np.where(points >= 1 << BITS, 0xE000 + points % 6400, points).astype(np.uint64)
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)])
-    text_at = np.ones(len(points), dtype=bool)
-    heads = starts[:-1] + pad * np.arange(len(texts))
-    for k in range(pad):
-        text_at[heads + k] = False
-    codes = np.zeros(len(points), dtype=np.int32)
-    for k in range(ORDER):
-        codes[pad:] = codes[pad:] * ALPHABET + classes[k : len(classes) - pad + k]
-    return codes[text_at], starts
+    codes = points[ORDER - 1 :].copy()
+    for back in range(1, ORDER):
+        codes |= points[ORDER - 1 - back : len(points) - back] << np.uint64(BITS * back)
+    inside = np.arange(starts[-1]) + np.repeat(len(PAD) * np.arange(len(texts)), lengths)
+    return codes.view(np.int64)[inside], starts
 
 
-def chunks(rows: Iterator[tuple], size: int = CHUNK) -> Iterator[list[tuple]]:
+def chunks(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
     """Lists of rows whose last members, texts, have about size characters together."""
     held, n = [], 0
     for row in rows:
@@ -66,28 +56,42 @@ def chunks(rows: Iterator[tuple], size: int = CHUNK) -> Iterator[list[tuple]]:
         yield held
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """code, n (in trusted texts) for each n-gram of the partition; n is 0 for those only in other texts."""
-    n = np.zeros(ALPHABET**ORDER, dtype=np.int64)
-    seen = np.zeros(ALPHABET**ORDER, dtype=bool)
-    for b in batches:
-        rows = ((t, x.as_py() or "") for t, x in zip(b.column("trusted").to_pylist(), b.column("text")))
-        for part in chunks(rows):
-            codes, starts = ngram_codes([x for _, x in part])
-            seen[codes] = True
-            good = np.repeat(np.array([bool(t) for t, _ in part]), np.diff(starts))
-            found, times = np.unique(codes[good], return_counts=True)
-            n[found] += times
-    at = np.flatnonzero(seen)
-    for i in range(0, len(at), 100_000):
-        part = at[i : i + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(n[part])], names=["code", "n"])
+def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes and how often each occurs."""
+    coded = pa.array(codes).dictionary_encode()
+    return coded.dictionary.to_numpy(), np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(place, weights=np.concatenate([n for _, n in parts]), minlength=len(codes)).astype(np.int64)
+
+
+def _text_rows(b: pa.RecordBatch) -> Iterator[tuple[str]]:
+    return ((x.as_py() or "",) for x in b.column("text"))
 
 
-def count_ngrams(docs: DataFrame) -> DataFrame:
-    """docs: text, trusted. code and n, sharded by code."""
-    told = docs.select(F.col("text").cast("string"), F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    return told.mapInArrow(_counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for part in chunks((row for b in batches for row in _text_rows(b)), PART):
+        codes, _ = ngram_codes([x for (x,) in part])
+        held.append(counted(codes))
+        size += len(codes)
+        if size >= CHUNK:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(held)], names=["code", "n"])
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(held)], names=["code", "n"])
+
+
+def count_ngrams(texts: DataFrame) -> DataFrame:
+    """code and n, sharded by code."""
+    return texts.select(F.col("text").cast("string")).mapInArrow(_gram_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def suffix(order: int) -> Column:
+    """The last order characters of code."""
+    return F.col("code").bitwiseAND(F.lit((1 << BITS * order) - 1)) if order < ORDER else F.col("code")
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def _discounts(counts: DataFrame) -> DataFrame:
 
 
 def probabilities(counts: DataFrame) -> DataFrame:
-    """code, p for every row of counts (code, n), of the highest order.
+    """code, p for every row of counts (code, n), of the highest order. n is 0 for n-grams that training did not see.
 
     Order by order from the lowest: an n-gram's own discounted share of its context, and what the context's
     discounts free times the probability of the n-gram without its first character.
@@ -107,63 +111,112 @@ def probabilities(counts: DataFrame) -> DataFrame:
     asked = {ORDER: counts.select("code")}
     held = {ORDER: counts.where("n > 0")}
     for order in range(ORDER - 1, 0, -1):
-        asked[order] = asked[order + 1].select((F.col("code") % ALPHABET**order).alias("code")).distinct()
-        held[order] = held[order + 1].groupBy((F.col("code") % ALPHABET**order).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+        asked[order] = asked[order + 1].select(suffix(order).alias("code")).distinct()
+        held[order] = held[order + 1].groupBy(suffix(order).alias("code")).agg(F.count(F.lit(1)).alias("n"))
     lower = None
     for order in range(1, ORDER + 1):
         have = held[order].join(F.broadcast(_discounts(held[order])))  # one row
         step = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         have = have.select("code", "n", step.alias("cut"))
-        context = have.groupBy(F.floor(F.col("code") / ALPHABET).alias("context")).agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
-        rows = asked[order].join(have, "code", "left").withColumn("context", F.floor(F.col("code") / ALPHABET)).join(context, "context", "left")
+        context = F.shiftrightunsigned("code", BITS).alias("context")
+        of_context = have.groupBy(context).agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
+        rows = asked[order].join(have, "code", "left").withColumn("context", context).join(of_context, "context", "left")
         if lower is None:
-            rows = rows.withColumn("below", F.lit(1.0 / ALPHABET))
+            rows = rows.withColumn("below", F.lit(2.0**-BITS))
         else:
-            rows = rows.withColumn("shorter", F.col("code") % ALPHABET ** (order - 1)).join(lower.select(F.col("code").alias("shorter"), F.col("p").alias("below")), "shorter")
+            rows = rows.withColumn("shorter", suffix(order - 1)).join(lower.select(F.col("code").alias("shorter"), F.col("p").alias("below")), "shorter")
         p = F.when(F.col("total") > 0, (F.coalesce("n", F.lit(0)) - F.coalesce("cut", F.lit(0.0))) / F.col("total") + F.col("freed") / F.col("total") * F.col("below")).otherwise(F.col("below"))
-        lower = rows.select("code", p.alias("p"))
+        lower = materialize(rows.select("code", p.alias("p")), f"kn-order-{order}")
     return lower
 
 
-def document_perplexity(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """doc_id, text_hash, lang, n_scored, log10_prob. The table is broadcast: it has ALPHABET ** ORDER numbers, whatever the corpus."""
-    rows = table.toArrow()
-    log10 = np.full(ALPHABET**ORDER, -9.0, dtype=np.float32)
-    log10[rows.column("code").to_numpy()] = np.log10(rows.column("p").to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast(log10)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums, sizes = [], []
-            for part in chunks((x.as_py() or "",) for x in b.column("text")):
-                codes, starts = ngram_codes([x for (x,) in part])
-                upto = np.concatenate([[0.0], np.cumsum(shared.value[codes], dtype=np.float64)])
-                sums.append(upto[starts[1:]] - upto[starts[:-1]])
-                sizes.append(np.diff(starts))
-            if sums:
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), b.column("lang"), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(sums))], names=["doc_id", "text_hash", "lang", "n_scored", "log10_prob"])
-
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[list[int], list[str]]], list[pa.RecordBatch]]]:
+    """Chunks in the order of rows: their number, parts of (row indices, texts), and the rows' other columns. Reading a partition again gives the same chunks."""
+    number, parts, others, size, row = TaskContext.get().partitionId() << 24, [], [], 0, 0
+    for b in batches:
+        others.append(b.drop_columns(["text"]))
+        for part in chunks(_text_rows(b), PART):
+            texts = [x for (x,) in part]
+            parts.append((list(range(row, row + len(texts))), texts))
+            row, size = row + len(texts), size + sum(map(len, texts))
+        if size >= CHUNK:
+            yield number, parts, others
+            number, parts, others, size, row = number + 1, [], [], 0, 0
+    if parts:
+        yield number, parts, others
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for number, parts, _ in _dealt(batches):
+        codes, _ = merged([counted(ngram_codes(texts)[0]) for _, texts in parts])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), number)), pa.array(codes)], names=["chunk", "code"])
+
+
+def _shipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk: its documents' columns, and their texts, compressed part by part."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for number, parts, others in _dealt(batches):
+        told = pa.Table.from_batches(others)
+        blobs = [packer.compress("".join(texts).encode("utf-8", "surrogatepass")) for _, texts in parts]
+        lens = [[len(t) for t in texts] for _, texts in parts]
+        columns = [[number], *[[told.column(c).to_pylist()] for c in told.column_names], [lens], [blobs]]
+        kinds = [pa.int64(), *[pa.list_(f.type) for f in told.schema], pa.list_(pa.list_(pa.int32())), pa.list_(pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["chunk", *told.column_names, "lens", "blobs"])
+
+
+def _scored(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A chunk's documents with n_scored and log10_prob."""
+    order = np.argsort(right.column("code").to_numpy())
+    codes, values = right.column("code").to_numpy()[order], right.column("log10_p").to_numpy()[order]
+    sums, sizes, unpacker = [], [], zstandard.ZstdDecompressor()
+    for lens, blob in zip(left.column("lens")[0].as_py(), left.column("blobs")[0]):
+        joined, ends = unpacker.decompress(blob.as_py()).decode("utf-8", "surrogatepass"), np.cumsum(lens)
+        own, starts = ngram_codes([joined[e - n : e] for n, e in zip(lens, ends)])
+        coded = pa.array(own).dictionary_encode()
+        wanted = coded.dictionary.to_numpy()
+        at = np.minimum(np.searchsorted(codes, wanted), max(len(codes) - 1, 0))
+        if len(wanted) and not (codes[at] == wanted).all():
+            raise ValueError("the documents read differently the second time; give a table that is read from files")
+        upto = np.concatenate([[0.0], np.cumsum(values[at][coded.indices.to_numpy()] if len(own) else own)])
+        sums.append(upto[starts[1:]] - upto[starts[:-1]])
+        sizes.append(np.diff(starts))
+    names = [c for c in left.column_names if c not in ("chunk", "lens", "blobs")]
+    return pa.table([*[left.column(c).combine_chunks().flatten() for c in names], pa.array(np.concatenate(sizes)), pa.array(np.concatenate(sums))], names=[*names, "n_scored", "log10_prob"])
+
+
+def document_scores(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """doc_id, text_hash, lang, n_scored, log10_prob by the model of counts. docs is read twice and must read the same both times, as tables in files do."""
     told = docs.select("doc_id", text_hash().alias("text_hash"), F.coalesce("lang", F.lit("")).alias("lang"), F.col("text").cast("string"))
-    return told.mapInArrow(score, f"doc_id {told.schema['doc_id'].dataType.simpleString()}, text_hash long, lang string, n_scored long, log10_prob double")
+    kind = told.schema["doc_id"].dataType.simpleString()
+    asked = materialize(told.mapInArrow(_asked, "chunk long, code long"), "kn-asked")
+    table = probabilities(materialize(asked.select("code").distinct().join(counts, "code", "left").select("code", F.coalesce("n", F.lit(0)).alias("n")).unionByName(counts.join(asked.select("code").distinct(), "code", "left_anti")), "kn-counts"))
+    values = asked.join(table.select("code", F.log10("p").alias("log10_p")), "code")
+    shipped = told.mapInArrow(_shipped, f"chunk long, doc_id array<{kind}>, text_hash array<long>, lang array<string>, lens array<array<int>>, blobs array<binary>")
+    return shipped.groupBy("chunk").cogroup(values.groupBy("chunk")).applyInArrow(_scored, f"doc_id {kind}, text_hash long, lang string, n_scored long, log10_prob double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 1.05, min_group: int = 50) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 1.05) -> DataFrame:
     """doc_id, text_hash, lang, n_scored, log10_prob, perplexity, cutoff, kept: a row for each row of docs.
 
-    Trusted are the documents that labels (doc_id, quality) gives quality 1. A cutoff is slack times the quantile of
-    the trusted perplexities of the language, of all where the language has under min_group. Null and empty texts
-    have no perplexity and are not kept; null languages are one group; without trusted documents nothing is kept;
-    equal rows get equal results; an empty table gives an empty table.
+    Trusted are the documents that labels (doc_id, quality) gives quality 1; a FOLDS-th of them, by their ids' hashes, is
+    not trained on. A cutoff is slack times the quantile of these documents' perplexities in the language, shrunk towards that
+    of all languages; where no trusted document was left out, of those trained on. Null and empty texts have no perplexity
+    and are not kept; texts of any length are scored whole; a perplexity equal to the cutoff is kept; null languages are one
+    group; without trusted documents nothing is kept; equal rows get equal results; an empty table gives an empty table;
+    other columns are not read. docs is read twice, see document_scores().
     """
-    trusted = materialize(labels.where("quality = 1").select("doc_id").distinct().withColumn("trusted", F.lit(True)), "kn-trusted")
-    marked = docs.select("doc_id", "text").join(broadcast_if_small(trusted), "doc_id", "left")
-    table = materialize(probabilities(materialize(count_ngrams(marked), "kn-counts")), "kn-probabilities")
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
+    trusted = materialize(labels.where("quality = 1").select("doc_id").distinct().withColumn("held", held), "kn-trusted")
+    trained = docs.select("doc_id", "text").join(broadcast_if_small(trusted.where("not held").select("doc_id")), "doc_id", "left_semi")
+    counts = materialize(count_ngrams(trained), "kn-trained")
     perplexity = F.when(F.col("n_scored") > 0, F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_scored"))).alias("perplexity")
-    scored = materialize(document_perplexity(docs, table).select("*", perplexity), "kn-scored")
-    bins = materialize(sketch(scored.join(trusted, "doc_id", "left_semi"), ["lang"], "perplexity"), "kn-sketch")
-    own = sketch_quantiles(bins, ["lang"], {"own_cut": quantile}).withColumnRenamed("n_values", "own_n")
-    overall = sketch_quantiles(merge_sketches(bins.withColumn("all", F.lit(1)), ["all"]), ["all"], {"all_cut": quantile}).select("all_cut")
-    languages = broadcast_if_small(materialize(scored.select("lang").distinct().join(own, "lang", "left").join(F.broadcast(overall), how="left"), "kn-cuts"))
-    cutoff = F.lit(slack) * F.when(F.col("own_n") >= min_group, F.col("own_cut")).otherwise(F.col("all_cut"))
-    judged = scored.join(languages, "lang", "left").withColumn("cutoff", cutoff)
+    scored = materialize(document_scores(docs, counts).select("*", perplexity), "kn-scored")
+    bins = materialize(sketch(scored.join(trusted, "doc_id"), ["lang", "held"], "perplexity"), "kn-sketch")
+    every = lambda df, name: sketch_quantiles(merge_sketches(df.withColumn("all", F.lit(1)), ["all"]), ["all"], {name: quantile}).select("all", name)
+    overall = every(bins, "any_cut").join(every(bins.where("held"), "held_cut"), "all", "left").select(F.coalesce("held_cut", "any_cut").alias("all_cut"))
+    own = sketch_quantiles(bins.where("held"), ["lang"], {"own_cut": quantile}).withColumnRenamed("n_values", "own_n")
+    n = F.coalesce("own_n", F.lit(0))
+    cut = F.lit(slack) * (n * F.coalesce("own_cut", F.lit(0.0)) + F.lit(PRIOR) * F.col("all_cut")) / (n + F.lit(PRIOR))
+    languages = scored.select("lang").distinct().join(own, "lang", "left").join(F.broadcast(overall), how="left")  # overall is one row
+    judged = scored.join(broadcast_if_small(materialize(languages.select("lang", cut.alias("cutoff")), "kn-cuts")), "lang", "left")
     return judged.select("doc_id", "text_hash", "lang", "n_scored", "log10_prob", "perplexity", "cutoff", F.coalesce(F.col("perplexity") <= F.col("cutoff"), F.lit(False)).alias("kept"))
