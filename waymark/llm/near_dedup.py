@@ -196,8 +196,11 @@ def components(links: DataFrame) -> DataFrame:
         near = edges.join(labels.select(F.col("key").alias("b"), F.col("label").alias("near")), "b").groupBy(F.col("a").alias("key")).agg(F.min("near").alias("near"))
         nearer = materialize(labels.join(near, "key").select("key", F.col("label").alias("old"), F.least("label", "near").alias("label")), "cc-near")
         jumps = nearer.select(F.col("key").alias("label"), F.col("label").alias("next"))
+        drop_scratch(labels)
         labels = materialize(nearer.join(jumps, "label").select("key", "old", F.least("label", "next").alias("label")), "cc-labels")
+        drop_scratch(nearer)
         if not labels.where(F.col("label") != F.col("old")).take(1):
+            drop_scratch(edges)
             return labels.select("key", "label")
         labels = labels.select("key", "label")
 
@@ -219,7 +222,7 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sketches = signed.select("key", *SKETCH).join(wanted, "key").distinct()
     members = materialize(slots.select("bucket", "key").join(sketches, "key"), "bag-members")
     texts = materialize(keyed.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text")), "bag-texts")
-    labels, tested = None, None
+    labels, tested, spent = None, None, [slots, members, texts]
     for turn in range(LEADER_ROUNDS + 1):
         now = members.withColumn("label", F.col("key")) if labels is None else members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
         row = F.struct((F.xxhash64(F.lit(turn), "key") if turn % 2 else -F.col("degree")).alias("draw"), "key", "label", *SKETCH)
@@ -237,7 +240,9 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 break
             fine = materialize(texts.join(mixed_members.select("key").distinct(), "key", "left_semi").mapInArrow(_refined, "key binary, " + ", ".join(f"{f} long" for f in FINE)), "bag-fine")
             bands = signed.join(mixed_members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]).select("key", "buckets")
+            spent += [mixed_members, fine]
             held = materialize(mixed_members.join(fine.join(bands, "key"), "key").select("bucket", F.struct("key", "label", "buckets", *FINE).alias("m")), "bag-held")
+            spent.append(held)
             largest = held.groupBy("bucket", F.col("m.label").alias("label")).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("top"))
             small = held.join(largest, "bucket").where(F.col("m.label") != F.col("top")).select("bucket", "top", F.col("m").alias("l"))
             apart = (F.col("m.label") != F.col("l.label")) & ((F.col("m.label") == F.col("top")) | (F.col("l.key") < F.col("m.key"))) & (differing("m", "l", FINE) <= MOST_FINE_BITS)
@@ -252,6 +257,7 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         pairs = materialize(pairs, "bag-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = materialize(verified(pairs, texts, similarity), "bag-links")
+        spent += [pairs, links]
         # A leader round without links, or even without pairs, does not show that none are left: the last round decides.
         if not links.take(1):
             continue
@@ -264,6 +270,8 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             merged = components(between).select(F.col("key").alias("label"), F.col("label").alias("top"))
             alone = merged.join(labels.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("key"), F.col("top").alias("label"))
             labels = materialize(labels.join(merged, "label", "left").select("key", F.coalesce("top", "label").alias("label")).unionByName(alone), "bag-labels")
+    for table in spent:
+        drop_scratch(table)
     return labels if labels is not None else signed.select("key", F.col("key").alias("label")).limit(0)
 
 
