@@ -61,8 +61,8 @@ def test_fenced_blocks_end_with_a_brace():
 
 def test_tool_validation(spark):
     raws = ['{"name":" paint ","arguments":{}}', '{"name":"insert_element","arguments":{}}', '{"name":"clear","arguments":{"x":1}}', '{"name":"remove_element","arguments":{"targetId":null}}']
-    df = spark.createDataFrame([(i, "p", 1, f"<tool_call>{t}</tool_call>", False) for i, t in enumerate(raws)], "task_id long, pid string, turn int, assistant_raw string, render_ok boolean")
-    rows = tools.tool_results(tools.tool_calls(parse_response(df))).orderBy("task_id").collect()
+    df = spark.createDataFrame([(i, "p", 1, f"<tool_call>{t}</tool_call>", False, "") for i, t in enumerate(raws)], "task_id long, pid string, turn int, assistant_raw string, render_ok boolean, first_render string")
+    rows = tools.call_rows(tools.with_calls(parse_response(df))).orderBy("task_id").collect()
     assert [r.invalid for r in rows] == ["invalid tool name: paint", "missing args for insert_element: fragment, rootId", "clear arguments must be {}", ""]
     assert rows[3].result == "Error: render failed. Reverted to previous successful state."
 

@@ -47,14 +47,9 @@ def turns(spark, sf_dir) -> DataFrame:
     return judge.with_golds(parsed(spark, sf_dir), own).join(own.select("task_id", "first_render"), "task_id")
 
 
-def renders(told: DataFrame, main_rounds: int = 6) -> DataFrame:
-    calls = tools.tool_results(tools.tool_calls(told.where(F.col("turn") <= main_rounds)))
-    return tools.last_renders(calls.join(told.select("task_id", "first_render").distinct(), "task_id"), F.col("first_render"))
-
-
 def judged(told: DataFrame, critic: str | None = None, main_rounds: int = 6) -> DataFrame:
-    """Turns with a verdict; those without a render, retries apart, are judged without a critique."""
-    seen = tools.turn_renders(told, renders(told, main_rounds)).withColumn("rendered", (F.col("last_render") != "") | (F.col("turn") > main_rounds))
+    """Turns with their calls and a verdict; those without a render, retries apart, are judged without a critique."""
+    seen = tools.with_calls(told, main_rounds).withColumn("rendered", (F.col("last_render") != "") | (F.col("turn") > main_rounds))
     return judge.judge(judge.candidates(seen), critic, "rendered")
 
 
@@ -86,16 +81,16 @@ def parse_fields(spark, sf_dir):
 
 
 def tool_validation(spark, sf_dir):
-    return tools.tool_results(tools.tool_calls(turns(spark, sf_dir))).select(*long("task_id", "turn", "call"), "name", "invalid", "result")
+    return tools.call_rows(tools.with_calls(turns(spark, sf_dir))).select(*long("task_id", "turn", "call"), "name", "invalid", "result")
 
 
 def turn_tool_response(spark, sf_dir):
-    told = turns(spark, sf_dir)
-    return tools.turn_responses(told, tools.tool_results(tools.tool_calls(told))).select(*long("task_id", "turn"), "tool_response")
+    return tools.with_calls(turns(spark, sf_dir)).select(*long("task_id", "turn"), "tool_response")
 
 
 def render_carry(spark, sf_dir):
-    return renders(turns(spark, sf_dir), 99).select(*long("task_id", "turn", "call"), "rendered_path", "render_before", "last_render")
+    out = tools.with_calls(turns(spark, sf_dir)).select("task_id", "turn", "last_render", F.explode("ran").alias("c"))
+    return out.select(*long("task_id", "turn"), F.col("c.call").cast("long").alias("call"), F.col("c.path").alias("rendered_path"), F.col("c.before").alias("render_before"), "last_render")
 
 
 def answer_equivalence(spark, sf_dir):
@@ -190,7 +185,7 @@ def log(spark, sf_dir, main_rounds: int = 6, retries: int = 0) -> tuple[DataFram
     told = turns(spark, sf_dir)
     kept = judged(told, "critic_raw", main_rounds)
     kept = trajectory.with_retries(kept, main_rounds, retries) if retries else trajectory.truncated(kept, main_rounds)
-    return trajectory.message_log(tasks(spark, sf_dir), kept, renders(told, main_rounds), SYSTEM, main_rounds if retries else None), kept
+    return trajectory.message_log(tasks(spark, sf_dir), kept, SYSTEM, main_rounds if retries else None), kept
 
 
 def messages(spark, sf_dir):
@@ -311,7 +306,7 @@ def policy_requests(spark, sf_dir):
 
 def critic_requests(spark, sf_dir):
     told = turns(spark, sf_dir)
-    seen = task_source.attach_images(tools.turn_renders(told, renders(told)), stand_ins(spark, sf_dir))
+    seen = task_source.attach_images(tools.with_calls(told), stand_ins(spark, sf_dir))
     out = requests.critic_requests(seen, CRITIC, "with an image", "without one")
     return out.select(*long("task_id", "turn"), field("$.messages[0].content[0].text").alias("system"), F.md5(field("$.messages[1].content[0].text").cast("binary")).alias("question_md5"), field("$.messages[1].content[1].url").alias("first"), field("$.messages[1].content[2].url").alias("second"), field("$.timeout").isNull().alias("untimed"))
 
@@ -474,7 +469,7 @@ STAND_INS = "stand_ins AS (SELECT CASE WHEN page_id % 4 = 0 THEN '/abs/' || page
 
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(JUDGED)
-    seen, local, merged = results_sql(6), judged_sql(False, shown="true"), judged_sql(True, shown="true")
+    seen, local, merged = results_sql(99), judged_sql(False, shown="true"), judged_sql(True, shown="true")
     own, retried = log_sql(6, 0), log_sql(1, 2)
     return {
         "task_prep": f"{TASKS} SELECT task_id, pid, question, instruction, image_path, gold AS golds FROM own WHERE lower({trim('answer_type')}) <> 'list'",
@@ -485,7 +480,7 @@ SELECT pos AS task_id, CASE k WHEN 0 THEN 'i' || pos WHEN 2 THEN pos::VARCHAR EL
         "parse_fields": f"{PARSED} SELECT task_id, turn, reasoning, answer, boxed, content, seed_content, has_answer_tag, has_answer_tag OR boxed <> '' AS answer_present, len(calls) AS n_calls, len(blocks) - len(calls) AS malformed FROM c2",
         "tool_validation": f"{results_sql(99)} SELECT task_id, turn, call, name, invalid, result FROM results",
         "turn_tool_response": f"{results_sql(99)} SELECT p.task_id, p.turn, CASE WHEN count(r.call) = 0 THEN '' ELSE coalesce(arg_max(r.result, r.call) FILTER (r.result <> 'tool execute success'), 'tool execute success') END AS tool_response FROM parsed p LEFT JOIN results r USING (task_id, turn) GROUP BY p.task_id, p.turn",
-        "render_carry": f"{results_sql(99)} SELECT task_id, turn, call, rendered_path, render_before, last_render FROM renders",
+        "render_carry": f"{results_sql(99)} SELECT r.task_id, r.turn, r.call, r.rendered_path, r.render_before, s.last_render FROM renders r JOIN seen s USING (task_id, turn)",
         "answer_equivalence": f"{WITH}, f AS (SELECT task_id, turn, gold, unnest([gold, ' ' || gold || '.0 ', CAST(2 * gold::INT AS VARCHAR) || '/2', '1_' || gold, gold || 'd', gold || '/0']) AS model FROM turns_fx) SELECT *, {same('model', 'gold')} AS same FROM f",
         "candidate_format": f"{local} SELECT task_id, turn, candidate, base_ok, local_ok FROM cand",
         "critic_verdict": f"{verdicts(WITH, 'turns_fx')} SELECT task_id, turn, has_object, has_fields, has_consistent, v_consistent AS consistent, v_correct AS is_correct, v_normalized AS normalized, v_critique AS critique, len(elements) AS n_elements FROM verdict",

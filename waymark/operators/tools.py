@@ -14,56 +14,53 @@ TOOLS = {"insert_element": ["fragment", "rootId"], "modify_element": ["targetId"
 SUCCESS = "tool execute success"
 
 
-def tool_calls(parsed: DataFrame) -> DataFrame:
-    """A row for each well-formed call: task_id, pid, turn, call (from 0), name, arguments_json, keys, render_ok, render_error, invalid (message or '').
-
-    Where parsed has no render_error, a failed render says no more than that.
-    """
+def invalid_reason(name: Column, keys: Column) -> Column:
+    """Why a call is not valid by the catalogue; '' for a valid one. Null values count as given."""
     required = F.create_map(*[x for k, v in TOOLS.items() for x in (F.lit(k), F.array(*map(F.lit, v)).cast("array<string>"))])
-    error = F.col("render_error") if "render_error" in parsed.columns else F.lit("render failed")
-    calls = parsed.select("task_id", "pid", "turn", "render_ok", error.alias("render_error"), F.posexplode("tool_calls").alias("call", "c"))
-    calls = calls.select("task_id", "pid", "turn", "call", strip(F.col("c.name")).alias("name"), "c.arguments_json", "c.keys", "render_ok", "render_error")
-    missing = F.filter(required[F.col("name")], lambda k: ~F.array_contains("keys", k))
-    invalid = (
-        F.when(required[F.col("name")].isNull(), F.concat(F.lit("invalid tool name: "), "name"))
-        .when(F.size(missing) > 0, F.concat(F.lit("missing args for "), "name", F.lit(": "), F.array_join(missing, ", ")))
-        .when((F.col("name") == "clear") & (F.size("keys") > 0), F.lit("clear arguments must be {}"))
+    missing = F.filter(required[name], lambda k: ~F.array_contains(keys, k))
+    return (
+        F.when(required[name].isNull(), F.concat(F.lit("invalid tool name: "), name))
+        .when(F.size(missing) > 0, F.concat(F.lit("missing args for "), name, F.lit(": "), F.array_join(missing, ", ")))
+        .when((name == "clear") & (F.size(keys) > 0), F.lit("clear arguments must be {}"))
         .otherwise("")
     )
-    return calls.withColumn("invalid", invalid)
-
-
-def tool_results(calls: DataFrame) -> DataFrame:
-    """calls with result. An edit whose target is missing is a success."""
-    failed = F.concat(F.lit("Error: "), "render_error", F.lit(". Reverted to previous successful state."))
-    return calls.withColumn("result", F.when(F.col("invalid") != "", F.concat(F.lit("Error: "), "invalid")).when(~F.col("render_ok"), failed).otherwise(SUCCESS))
 
 
-def turn_responses(parsed: DataFrame, results: DataFrame) -> DataFrame:
-    """task_id, turn, tool_response: the last error of the turn, else success; '' without calls."""
-    last = results.groupBy("task_id", "turn").agg(F.max_by(F.when(F.col("result") != SUCCESS, F.col("result")), F.when(F.col("result") != SUCCESS, F.col("call"))).alias("error"), F.count(F.lit(1)).alias("n_calls"))
-    return parsed.select("task_id", "turn").join(last, ["task_id", "turn"], "left").select("task_id", "turn", F.when(F.col("n_calls").isNull(), "").otherwise(F.coalesce("error", F.lit(SUCCESS))).alias("tool_response"))
-
-
-def render_path(root: str = "renders") -> Column:
+def render_path(root: str = "renders", call: Column | str = "call") -> Column:
     """Over task_id, pid, turn and call."""
-    return F.format_string(f"{root}/task-%d-pid-%s/rendered-turn-%03d-tool-%02d.png", "task_id", "pid", "turn", "call")
+    return F.format_string(f"{root}/task-%d-pid-%s/rendered-turn-%03d-tool-%02d.png", "task_id", "pid", "turn", call)
 
 
 def first_render_path(root: str = "renders") -> Column:
     return F.format_string(f"{root}/task-%d-pid-%s/rendered-turn-000.png", "task_id", "pid")
 
 
-def last_renders(results: DataFrame, first_render: Column | None = None) -> DataFrame:
-    """results with rendered_path ('' for errors), render_before (the latest path before the call) and last_render (up to it). first_render: turn 0's path, '' where it failed."""
-    order = Window.partitionBy("task_id").orderBy("turn", "call")
-    path = F.when(F.col("result") == SUCCESS, render_path())
-    latest = lambda stop: F.coalesce(F.last(path, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, stop)), first_render_path() if first_render is None else first_render)
-    return results.withColumns({"rendered_path": F.coalesce(path, F.lit("")), "render_before": latest(-1), "last_render": latest(0)})
+def with_calls(turns: DataFrame, main_rounds: int | None = None, root: str = "renders") -> DataFrame:
+    """turns with ran (call from 0, name, arguments_json, invalid, result, path, before), tool_response and last_render.
 
-
-def turn_renders(turns: DataFrame, renders: DataFrame) -> DataFrame:
-    """turns with last_render, the latest path up to the turn's end: that of its last call, else of the turn before. turns: first_render, '' where turn 0's render failed."""
-    own = renders.groupBy("task_id", "turn").agg(F.max_by("last_render", "call").alias("own"))
-    upto = F.last("own", ignorenulls=True).over(Window.partitionBy("task_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0))
-    return turns.join(own, ["task_id", "turn"], "left").withColumn("last_render", F.coalesce(upto, "first_render")).drop("own")
+    Everything about a turn stays in its row: a call's path is that of its render, '' for an error; before, the latest path
+    before it; last_render, the latest up to the turn's end; tool_response, the last error of the turn, else success, '' without calls.
+    turns: parsed, with pid, render_ok and first_render, '' where turn 0's render failed; without render_error a failed
+    render says no more than that. After main_rounds no tools run. An edit whose target is missing is a success.
+    """
+    error = F.col("render_error") if "render_error" in turns.columns else F.lit("render failed")
+    reverted = F.concat(F.lit("Error: "), error, F.lit(". Reverted to previous successful state."))
+    result = lambda c: F.when(c["invalid"] != "", F.concat(F.lit("Error: "), c["invalid"])).when(~F.col("render_ok"), reverted).otherwise(SUCCESS)
+    latest = lambda calls: F.try_element_at(F.filter(F.transform(calls, lambda c: c["path"]), lambda p: p != ""), F.lit(-1))
+    named = F.transform("tool_calls", lambda c, i: F.struct(i.alias("call"), strip(c["name"]).alias("name"), c["arguments_json"].alias("arguments_json"), c["keys"].alias("keys")))
+    out = turns.withColumn("ran", F.when(F.col("turn") <= main_rounds, named).otherwise(F.filter(named, lambda c: F.lit(False))) if main_rounds else named)
+    out = out.withColumn("ran", F.transform("ran", lambda c: F.struct(c["call"].alias("call"), c["name"].alias("name"), c["arguments_json"].alias("arguments_json"), invalid_reason(c["name"], c["keys"]).alias("invalid"))))
+    out = out.withColumn("ran", F.transform("ran", lambda c: c.withField("result", result(c))))
+    out = out.withColumn("ran", F.transform("ran", lambda c: c.withField("path", F.when(c["result"] == SUCCESS, render_path(root, c["call"])).otherwise(""))))
+    out = out.withColumn("own", latest(F.col("ran")))
+    past = Window.partitionBy("task_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("before", F.coalesce(F.last("own", ignorenulls=True).over(past), "first_render"))
+    out = out.withColumn("ran", F.transform("ran", lambda c: c.withField("before", F.coalesce(latest(F.slice("ran", F.lit(1), c["call"])), F.col("before")))))
+    errors = F.filter(F.transform("ran", lambda c: c["result"]), lambda r: r != SUCCESS)
+    response = F.when(F.size("ran") == 0, "").otherwise(F.coalesce(F.try_element_at(errors, F.lit(-1)), F.lit(SUCCESS)))
+    return out.withColumn("tool_response", response).withColumn("last_render", F.coalesce("own", "before")).drop("own", "before")
+
+
+def call_rows(turns: DataFrame) -> DataFrame:
+    """A row for each call of with_calls(): task_id, turn and what ran holds."""
+    return turns.select("task_id", "turn", F.explode("ran").alias("c")).select("task_id", "turn", "c.*")

@@ -59,11 +59,11 @@ def within(around: tuple[str, str], text: Column) -> Column:
     return F.concat(F.lit(around[0]), text, F.lit(around[1]))
 
 
-def message_log(tasks: DataFrame, kept: DataFrame, renders: DataFrame, system: str, main_rounds: int | None = None) -> DataFrame:
+def message_log(tasks: DataFrame, kept: DataFrame, system: str, main_rounds: int | None = None) -> DataFrame:
     """task_id, pos (from 0), turn, kind, call, role, parts, shown: every message of each task, in order; shown: a render that was observed.
 
-    tasks: instruction, image_path, first_render. kept: judged turns with last_render and critic_raw, the critic's words on
-    turns without an answer. renders: last_renders(). Turns after main_rounds are retries: their tools do not run, an answer is
+    tasks: instruction, image_path, first_render. kept: judged turns with_calls(), and critic_raw, the critic's words on
+    turns without an answer. Turns after main_rounds are retries: their tools do not run, an answer is
     expected of each, and they are fed back whether or not it is there.
     """
 
@@ -77,16 +77,15 @@ def message_log(tasks: DataFrame, kept: DataFrame, renders: DataFrame, system: s
     critique = F.when(answered, F.col("critique")).when(called & (F.col("last_render") != ""), strip(F.coalesce("critic_raw", F.lit("")))).otherwise("")
     checked = (answered & (critique != "")) | (~answered & called & (F.col("last_render") != ""))
     response = lambda c: F.when(c["path"] != "", parts(image_part(c["path"]))).otherwise(parts(image_part(c["before"]), text_part(within(RESPONSE, c["result"]))))
-    ran = F.when(~retry, F.transform(F.coalesce("ran", F.array()), lambda c: entry(TOOL, "user", response(c), c["call"], c["path"] != "")))
+    ran = F.when(~retry, F.transform("ran", lambda c: entry(TOOL, "user", response(c), c["call"], c["path"] != "")))
     others = F.array(
         F.when(checked, entry(CRITIQUE, "user", parts(text_part(within(CHECKED, critique))))),
         F.when(answered & ~F.col("accepted"), entry(FEEDBACK, "user", parts(image_part(F.col("last_render")), text_part(within(REVISE, F.col("feedback")))))),
         F.when(~answered & ~called, entry(PROMPT, "user", parts(text_part(F.lit(RETRY_PROMPT))))),
     )
     every = F.concat(F.array(entry(ASSISTANT, "assistant", parts(text_part(said)))), F.coalesce(ran, F.array()), F.filter(others, lambda e: e.isNotNull()))
-    # Turns are read once: their calls' outcomes come beside them, and each makes all its messages in its row.
-    calls = renders.groupBy("task_id", "turn").agg(F.array_sort(F.collect_list(F.struct("call", F.col("rendered_path").alias("path"), F.col("render_before").alias("before"), "result"))).alias("ran"))
-    told = kept.join(calls, ["task_id", "turn"], "left").select("task_id", F.col("turn").cast("int").alias("turn"), F.explode(every).alias("e"))
+    # Turns are read once, as each makes all its messages in its row.
+    told = kept.select("task_id", F.col("turn").cast("int").alias("turn"), F.explode(every).alias("e"))
     begun = F.explode(F.array(entry(START, "system", parts(text_part(F.lit(system)))), entry(START, "user", parts(text_part(F.col("instruction")), image_part(F.col("image_path")), image_part(F.col("first_render"))), 1)))
     log = tasks.select("task_id", F.lit(0).alias("turn"), begun.alias("e")).unionByName(told).select("task_id", "turn", "e.*")
     return log.withColumn("pos", F.row_number().over(Window.partitionBy("task_id").orderBy("turn", "kind", "call")) - 1)
