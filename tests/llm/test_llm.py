@@ -399,6 +399,40 @@ def test_chains_of_near_copies_over_many_seeds(spark):
     assert [d for d in want if got[d] != want[d]] == []
 
 
+def test_classes_of_the_corpus_against_all_pairs(spark):
+    """Every link of the 1,000 documents, by counting common shingles of all pairs, joins one class, and classes hold nothing else."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    bags = {}
+    for i, t in rows.items():
+        w = (t or "").encode().split()
+        bags[i] = Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
+    holders = {}
+    for i, bag in bags.items():
+        for g in bag:
+            holders.setdefault(g, []).append(i)
+    common = Counter()
+    for g, at in holders.items():
+        for x, a in enumerate(at):
+            for b in at[:x]:
+                common[a, b] += min(bags[a][g], bags[b][g])
+    label = {i: i for i in rows}
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    size = {i: sum(bag.values()) for i, bag in bags.items()}
+    links = [(a, b) for (a, b), n in common.items() if n >= near_dedup.SIMILARITY * (size[a] + size[b] - n)]
+    links += [(a, b) for a in rows for b in rows if a < b and rows[a] is not None and rows[a] == rows[b]]
+    for a, b in links:
+        a, b = sorted((top(a), top(b)))
+        label[b] = a
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert len(links) > 50 and got == {i: top(i) for i in rows}
+
+
 def plain_kneser_ney(trained, asked, order=4):
     """Interpolated modified Kneser-Ney by dictionaries: log10 probability of each text."""
     pad = "\0" * (order - 1)
