@@ -278,7 +278,7 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, class_id (the least doc_id among near-duplicates and copies), copy_of (the least among equal texts).
 
-    A row for each row of docs. Empty texts are copies of each other; a null text is in a class with no other row of
+    A row for each row of docs. Texts of any length are compared whole; empty texts are copies of each other; a null text is in a class with no other row of
     another id; a text under five words is one shingle; ties fall to the least id; null ids are carried and never
     lead a class that has another id; an empty table gives an empty table; other columns are not read.
     """
