@@ -93,11 +93,12 @@ def shuffled(tasks: DataFrame, seed: int) -> DataFrame:
 
     Rows fall into 2^16 ranges of a hash; what stands before a range is summed over the ranges' counts, and rows are ranked within theirs.
     """
-    drawn = tasks.withColumn("draw", F.xxhash64(F.lit(seed), "task_id")).withColumn("range", F.shiftright("draw", 48))
-    counts = drawn.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # 2^16 rows at most
-    before = counts.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("range").orderBy("draw", "task_id"))
-    return drawn.withColumn("rank", rank).join(F.broadcast(before), "range").withColumn("order", F.col("before") + F.col("rank") - 1).drop("draw", "range", "rank", "before")
+    draw, place, rank, before = (f"shuffle_{c}" for c in ("draw", "range", "rank", "before"))
+    drawn = tasks.withColumn(draw, F.xxhash64(F.lit(seed), "task_id")).withColumn(place, F.shiftright(draw, 48))
+    counts = drawn.groupBy(place).agg(F.count(F.lit(1)).alias("n"))  # 2^16 rows at most
+    starts = counts.select(place, (F.sum("n").over(Window.orderBy(place)) - F.col("n")).alias(before))
+    ranked = drawn.withColumn(rank, F.row_number().over(Window.partitionBy(place).orderBy(draw, "task_id")))
+    return ranked.join(F.broadcast(starts), place).withColumn("order", F.col(before) + F.col(rank) - 1).drop(draw, place, rank, before)
 
 
 #: Types of images by extension; others count as PNG.
