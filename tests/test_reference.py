@@ -163,6 +163,8 @@ def test_trees_of_sessions_in_spark(spark):
     got = {(r.session_id, r.pos): r.element_id for r in canvas.replay_tree(df, bases).collect()}
     assert got == {(1, 0): "root", (1, 1): "b", (2, 0): "root", (2, 1): "base_figure", (2, 2): "base_image", (3, 0): "root"}
     assert canvas.replay_tree(df.limit(0)).collect() == []
+    below = spark.createDataFrame([(1, i, "insert_element", '{"fragment":"<p id=e%d><b></b></p>","rootId":""}' % i, True) for i in range(1, 6)], df.schema)
+    assert sorted(r.element_id for r in canvas.body_children(canvas.replay_tree(below)).collect()) == ["e3", "e4", "e5"]
 
 
 def test_blocked_images_keep_the_rest():

@@ -236,8 +236,8 @@ def content_texts(spark, sf_dir):
 
 
 def render_manifest(spark, sf_dir):
-    e = view(spark, sf_dir, "edits_fx").withColumns({"task_id": F.col("session_id"), "pid": F.concat(F.lit("s"), F.col("session_id").cast("string")), "turn": F.floor((F.col("seq") - 1) / 3) + 1, "call": (F.col("seq") - 1) % 3})
-    return e.select("session_id", *long("seq"), tools.render_path().alias("path"))
+    e = view(spark, sf_dir, "edits_fx").select(F.col("session_id").alias("task_id"), F.concat(F.lit("s"), F.col("session_id").cast("string")).alias("pid"), (F.floor((F.col("seq") - 1) / 3) + 1).alias("turn"), ((F.col("seq") - 1) % 3).alias("call"))
+    return tools.render_manifest(e).select(*long("task_id", "turn", "call"), "session_id", "path")
 
 
 def canvas_flat(spark, sf_dir):
@@ -504,7 +504,7 @@ SELECT pos AS task_id, CASE k WHEN 0 THEN 'i' || pos WHEN 2 THEN pos::VARCHAR EL
         "message_images": f"""{own}, {STAND_INS}, p AS (SELECT l.task_id, l.pos, l.kind, l.content, CASE WHEN l.kind = 0 AND l.role = 'user' THEN 'text:' || o.instruction || coalesce('|image_url:' || i.url, '') WHEN l.shown THEN '' WHEN starts_with(l.content, 'image_url:') THEN regexp_replace(l.content, '^image_url:[^|]*\\|', '') ELSE l.content END AS kept, CASE WHEN l.kind = 0 AND l.role = 'user' THEN 1 + (i.url IS NOT NULL)::INT WHEN l.shown THEN 0 ELSE 1 END AS n_parts FROM log l JOIN own o USING (task_id) LEFT JOIN stand_ins i ON o.image_path = i.path) SELECT task_id, pos, n_parts::BIGINT AS n_parts, md5(kept) AS content_md5 FROM p""",
         "reasoning_merge": f"{WITH} SELECT task_id, turn, md5(CASE WHEN contains(lower(assistant_raw), '<think>') THEN assistant_raw ELSE '<think>r' || gold || '</think>' || CASE WHEN {trim('assistant_raw')} <> '' THEN chr(10) || {trim('assistant_raw')} ELSE '' END END) AS merged_md5 FROM turns_fx",
         "content_texts": f"SELECT conv_id, md5({trim("coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (role <> 'system'), '')")}) AS text_md5 FROM conversations GROUP BY conv_id",
-        "render_manifest": f"{WITH} SELECT session_id, seq, printf('renders/task-%d-pid-s%d/rendered-turn-%03d-tool-%02d.png', session_id, session_id, (seq - 1) // 3 + 1, (seq - 1) % 3) AS path FROM edits_fx",
+        "render_manifest": f"{WITH}, e AS (SELECT session_id AS s, (seq - 1) // 3 + 1 AS turn, (seq - 1) % 3 AS call FROM edits_fx) SELECT s AS task_id, turn, call, printf('task-%d-pid-s%d', s, s) AS session_id, printf('renders/task-%d-pid-s%d/rendered-turn-%03d-tool-%02d.png', s, s, turn, call) AS path FROM e UNION ALL SELECT DISTINCT s, 0, NULL, printf('task-%d-pid-s%d', s, s), printf('renders/task-%d-pid-s%d/rendered-turn-000.png', s, s) FROM e",
         "canvas_flat": f"{WITH}, {FLAT} SELECT session_id, target_id, fill, pos FROM flat",
         "canvas_viewport": f"{WITH}, {FLAT} SELECT session_id, target_id, fill, pos FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY pos DESC) AS back FROM flat) WHERE back <= 3",
         "canvas_revert": f"{WITH} SELECT session_id, action, count(*) AS n, max(seq) AS last_seq FROM edits_fx WHERE render_ok AND target_id <> 'e4' GROUP BY session_id, action",

@@ -35,6 +35,14 @@ def first_render_path(root: str = "renders") -> Column:
     return F.format_string(f"{root}/task-%d-pid-%s/rendered-turn-000.png", "task_id", "pid")
 
 
+def render_manifest(edits: DataFrame, root: str = "renders") -> DataFrame:
+    """task_id, turn, call, session_id, path: where the render of each edit (task_id, pid, turn, call) goes, and that of turn 0, whose call is null."""
+    session = F.format_string("task-%d-pid-%s", "task_id", "pid")
+    each = edits.select("task_id", "turn", "call", session.alias("session_id"), render_path(root).alias("path"))
+    first = edits.select("task_id", "pid").distinct().select("task_id", F.lit(0).alias("turn"), F.lit(None).cast("int").alias("call"), session.alias("session_id"), first_render_path(root).alias("path"))
+    return each.unionByName(first)
+
+
 def with_calls(turns: DataFrame, main_rounds: int | None = None, root: str = "renders") -> DataFrame:
     """turns with ran (call from 0, name, arguments_json, invalid, result, path, before), tool_response and last_render.
 
