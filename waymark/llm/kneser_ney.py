@@ -10,12 +10,13 @@ language's trusted documents that the model was not trained on are rejected.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import broadcast_if_small, materialize, merge_sketches, sketch, sketch_quantiles, text_hash
@@ -184,8 +185,27 @@ def _scored(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([*[left.column(c).combine_chunks().flatten() for c in names], pa.array(np.concatenate(sizes)), pa.array(np.concatenate(sums))], names=[*names, "n_scored", "log10_prob"])
 
 
+@contextmanager
+def steady_splits(spark: SparkSession) -> Iterator[None]:
+    """Files are cut into the same partitions as long as this holds, whatever executors come or go, on whose number the cutting depends else."""
+    setting = "spark.sql.files.minPartitionNum"
+    given = spark.conf.get(setting, None)
+    if given is None:
+        spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if given is None:
+            spark.conf.unset(setting)
+
+
 def document_scores(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """doc_id, text_hash, lang, n_scored, log10_prob by the model of counts. docs is read twice and must read the same both times, as tables in files do."""
+    with steady_splits(docs.sparkSession):
+        return materialize(_document_scores(docs, counts), "kn-scored")
+
+
+def _document_scores(docs: DataFrame, counts: DataFrame) -> DataFrame:
     told = docs.select("doc_id", text_hash().alias("text_hash"), F.coalesce("lang", F.lit("")).alias("lang"), F.col("text").cast("string"))
     kind = told.schema["doc_id"].dataType.simpleString()
     asked = materialize(told.mapInArrow(_asked, "chunk long, code long"), "kn-asked")
@@ -210,7 +230,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack:
     trained = docs.select("doc_id", "text").join(broadcast_if_small(trusted.where("not held").select("doc_id")), "doc_id", "left_semi")
     counts = materialize(count_ngrams(trained), "kn-trained")
     perplexity = F.when(F.col("n_scored") > 0, F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_scored"))).alias("perplexity")
-    scored = materialize(document_scores(docs, counts).select("*", perplexity), "kn-scored")
+    scored = document_scores(docs, counts).select("*", perplexity)
     bins = materialize(sketch(scored.join(trusted, "doc_id"), ["lang", "held"], "perplexity"), "kn-sketch")
     every = lambda df, name: sketch_quantiles(merge_sketches(df.withColumn("all", F.lit(1)), ["all"]), ["all"], {name: quantile}).select("all", name)
     overall = every(bins, "any_cut").join(every(bins.where("held"), "held_cut"), "all", "left").select(F.coalesce("held_cut", "any_cut").alias("all_cut"))
