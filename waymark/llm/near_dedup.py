@@ -49,7 +49,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Hashed shingles of texts; words' hashes are kept for the next text, up to a bound."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 150_000):
         self.words: dict[bytes, int] = {}
         self.most = most
 
