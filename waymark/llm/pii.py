@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, find_spans, fresh, let, materialize, running, text_hash
+from .shared import SPANS, broadcast_if_small, chunked, cut_out, find_spans, fresh, keep_rows, let, materialize, running, text_hash
 
 KINDS = ("email", "ip", "card", "phone")
 #: A match begins where the last one ended or where no earlier character could begin it; possessive runs never give back.
@@ -25,6 +25,7 @@ PATTERNS = {
 PREFILTERS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
 #: What stands for a span of each kind in a sanitised text; a generalised term has a stand-in of its own.
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "cut": ""}
+WORD = r"[\p{L}\p{N}]++"
 CONTEXT = 120  # characters on either side of an entity in which terms count as said with it
 
 
@@ -53,14 +54,19 @@ def base_spans(text: Column) -> Column:
 
 def entity_contexts(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
     """text_hash, entity, terms: a row for each entity occurrence. Terms are the runs of letters and digits within context characters; those cut by its ends are left out."""
-    found = docs.select(text_hash().alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")).withColumn("span", F.explode(base_spans(F.col("text"))))
-    begin = F.greatest(F.col("span.start") - context, F.lit(0))
-    before = F.regexp_replace(F.substring(F.col("text"), (begin + 1).cast("int"), (F.col("span.start") - begin).cast("int")), r"^\S*+", "")
-    before = F.when(begin == 0, F.substring(F.col("text"), F.lit(1), F.col("span.start").cast("int"))).otherwise(before)
-    after = F.regexp_replace(F.substring(F.col("text"), (F.col("span.end") + 1).cast("int"), F.lit(context)), r"\S++$", "")
-    around = F.lower(F.concat_ws(" ", before, after))
-    terms = F.array_distinct(F.filter(F.split(around, r"[^\p{L}\p{N}]+"), lambda t: t != ""))
-    return found.select("text_hash", F.concat_ws(":", "span.kind", F.lower(F.col("span.value"))).alias("entity"), terms.alias("terms"))
+    found = docs.select(text_hash().alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")).withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
+    cut = found.select("text_hash", chunked(F.col("text")).alias("chunks"), F.char_length("text").alias("length"), "spans")
+
+    def told(span: Column) -> Column:
+        begin = F.greatest(span["start"] - context, F.lit(0))
+        before = cut_out(F.col("chunks"), begin, span["start"] - begin)
+        before = F.when(begin == 0, before).otherwise(F.regexp_replace(before, r"^\S*+", ""))
+        after = F.regexp_replace(cut_out(F.col("chunks"), span["end"], F.least(F.lit(context), F.col("length") - span["end"])), r"\S++$", "")
+        return F.struct(F.concat_ws(":", span["kind"], F.lower(span["value"])).alias("entity"), F.lower(F.concat_ws(" ", before, after)).alias("around"))
+
+    each = cut.select("text_hash", F.explode(F.transform("spans", told)).alias("t"))  # the text is not repeated for each
+    terms = F.array_distinct(F.filter(F.split("t.around", r"[^\p{L}\p{N}]+"), lambda t: t != ""))
+    return each.select("text_hash", "t.entity", terms.alias("terms"))
 
 
 def words(text: Column) -> Column:
@@ -98,24 +104,31 @@ def find_personal_data(docs: DataFrame, context: int = CONTEXT, into: str = "spa
     """
     contexts = materialize(entity_contexts(docs, context), "pii-contexts")
     terms = materialize(disclosing_terms(docs, contexts, **options), "pii-terms")
-    pattern = lambda action: F.array_join(F.array_sort(F.collect_set(F.when(F.col("action") == action, F.col("term")))), "|").alias(action)
     # Of the actions "cut" and "term" the lesser is the stronger.
     told = broadcast_if_small(materialize(terms.groupBy("term").agg(F.min("action").alias("action")), "pii-told"))
-    used = docs.select("doc_id", text_hash().alias("text_hash"), F.explode(words(F.col("text"))).alias("term"))
-    marked = materialize(used.join(told, "term").groupBy("doc_id", "text_hash").agg(pattern("term"), pattern("cut")), "pii-marked")
+    hashed = docs.select("doc_id", text_hash().alias("text_hash"), F.col("text"))
+    using = materialize(hashed.select("doc_id", "text_hash", F.explode(words(F.col("text"))).alias("term")).join(told, "term", "left_semi").select("doc_id", "text_hash").distinct(), "pii-using")
+    # Only texts with such a term are cut into all their words; a word's action comes by a join, whatever the number of terms.
+    each = keep_rows(docs, broadcast_if_small(using)).select("doc_id", text_hash().alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["doc_id", "text_hash"])
+    each = each.select("doc_id", "text_hash", F.explode(find_spans(F.col("text"), "term", len(KINDS), WORD, F.lit(True))).alias("s")).withColumn("term", F.lower(F.col("s.value")))
+    rank = F.when(F.col("action") == "term", len(KINDS)).otherwise(len(KINDS) + 1).alias("rank")
+    span = F.struct("s.start", rank, "s.end", F.col("action").alias("kind"), "s.value")
+    marked = materialize(each.join(told, "term").select("doc_id", "text_hash", span.alias("s")).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("s")).cast(SPANS).alias("spans")), "pii-marked")
     kept = docs.drop(into)
-    own, id_, hash_, term, cut = (fresh(kept, f"pii_{c}") for c in ("own", "id", "hash", "term", "cut"))
-    marked = broadcast_if_small(marked.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("term").alias(term), F.col("cut").alias(cut)))
-    hashed = kept.withColumn(own, text_hash())
-    out = hashed.join(marked, hashed["doc_id"].eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)), "left")
-    text = F.coalesce("text", F.lit(""))
-    out = out.withColumn(into, base_spans(text))
-    for i, (kind, c) in enumerate((("term", term), ("cut", cut))):
-        regex = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.col(c), F.lit(r")(?![\p{L}\p{N}])"))
-        wanted = F.coalesce(F.col(c) != "", F.lit(False))
-        free = F.filter(find_spans(text, kind, len(KINDS) + i, regex, wanted), lambda s: ~F.exists(into, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-        out = out.withColumn(into, F.when(wanted, F.array_sort(F.concat(into, free))).otherwise(F.col(into)))
-    return out.drop(own, id_, hash_, term, cut)
+    own, id_, hash_, more = (fresh(kept, f"pii_{c}") for c in ("own", "id", "hash", "more"))
+    marked = broadcast_if_small(marked.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(more)))
+    based = kept.withColumn(own, text_hash()).withColumn(into, base_spans(F.coalesce("text", F.lit(""))))
+    out = based.join(marked, based["doc_id"].eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)), "left")
+    return out.withColumn(into, F.when(F.size(more) > 0, with_free(F.col(into), F.col(more))).otherwise(F.col(into))).drop(own, id_, hash_, more)
+
+
+def with_free(base: Column, more: Column) -> Column:
+    """base and those of more that overlap none of them, in order. One sweep from either side: how far earlier spans of base reach, and where the next one begins."""
+    ours = lambda s: s["rank"] < len(KINDS)
+    reach = lambda v: running(F.transform(v, lambda s: F.when(ours(s), s["end"]).otherwise(F.lit(0).cast("long"))), lambda a, b: F.greatest(a, b))
+    begins = lambda v: F.reverse(running(F.transform(F.reverse(v), lambda s: F.when(ours(s), s["start"]).otherwise(F.lit((1 << 62)))), lambda a, b: F.least(a, b)))
+    swept = lambda v: F.zip_with(F.zip_with(v, reach(v), lambda s, e: F.struct(s.alias("s"), e.alias("reach"))), begins(v), lambda x, b: F.struct(x["s"].alias("s"), (ours(x["s"]) | ((x["reach"] <= x["s"]["start"]) & (b >= x["s"]["end"]))).alias("free")))
+    return F.transform(F.filter(let(F.array_sort(F.concat(base, more)), swept), lambda x: x["free"]), lambda x: x["s"])
 
 
 def stand_in(span: Column) -> Column:
@@ -129,13 +142,15 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     """docs with every span of its text replaced; a null text stays null. Spans that overlap give way together, to what stands for the first. No other column changes."""
     names, spans = docs.columns, fresh(docs, "pii_spans")
     found = find_personal_data(docs, into=spans, **options)
-    text, length = F.col("text"), F.char_length("text")
+    chunks, length = fresh(docs, "pii_chunks"), F.char_length("text")
+    found = found.withColumn(chunks, F.when(F.size(spans) > 0, chunked(F.col("text"))))
+    piece = lambda at, until: cut_out(F.col(chunks), at, until - at)
 
     def cut_at(ends: Column) -> Column:
         """ends: how far the spans up to each one reach."""
         before = F.concat(F.array(F.lit(0).cast("long")), ends)
-        pieces = F.zip_with(spans, F.slice(before, F.lit(1), F.size(spans)), lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(text, (at + 1).cast("int"), (s["start"] - at).cast("int")), stand_in(s))).otherwise(F.lit("")))
-        return F.concat(F.array_join(pieces, ""), F.substring(text, (F.element_at(before, -1) + 1).cast("int"), length))
+        pieces = F.zip_with(spans, F.slice(before, F.lit(1), F.size(spans)), lambda s, at: F.when(s["start"] >= at, F.concat(piece(at, s["start"]), stand_in(s))).otherwise(F.lit("")))
+        return F.concat(F.array_join(pieces, ""), piece(F.element_at(before, -1), length))
 
     built = let(running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), cut_at)
-    return found.withColumn("text", F.when(F.size(spans) > 0, built).otherwise(text)).select(*names)
+    return found.withColumn("text", F.when(F.size(spans) > 0, built).otherwise(F.col("text"))).select(*names)

@@ -3,37 +3,19 @@
 from __future__ import annotations
 
 import math
-import re
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..functions.places import before_parts, in_order, numbered  # noqa: F401
+from ..sources.scratch import materialize, scratch_path  # noqa: F401
+
 #: The four readable columns of a document besides its id; what else a table has is carried along or left out, never read.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below spark.checkpoint.dir. Where that is unset, local mode takes a temporary folder; a cluster has none that all machines see."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="waymark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root}/waymark/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write to the shared scratch folder and read back, so that a lost executor costs no earlier stage."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def drop_scratch(df: DataFrame) -> None:
     """Delete the folder of a scratch table that nothing reads any more."""
     spark = df.sparkSession
@@ -137,6 +119,21 @@ def running(values: Column, combine) -> Column:
     return let(values, lambda whole: F.aggregate(reaches(whole), whole, lambda v, reach: F.concat(F.slice(v, F.lit(1), reach), both(v, reach))))
 
 
+CHUNK = 1024
+
+
+def chunked(text: Column) -> Column:
+    """A text in pieces of CHUNK characters, of which cut_out() takes any part without going through the whole text."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def cut_out(chunks: Column, start: Column, length: Column) -> Column:
+    first = F.floor(start / CHUNK)
+    n = F.when(length > 0, F.floor((start + length - 1) / CHUNK) - first + 1).otherwise(0)
+    near = F.array_join(F.slice(chunks, (first + 1).cast("int"), n.cast("int")), "")
+    return F.substring(near, (start - first * CHUNK + 1).cast("int"), length.cast("int"))
+
+
 def find_spans(text: Column, kind: str, rank: int, pattern: str | Column, prefilter: Column, accept=None) -> Column:
     """Array of spans of the pattern's leftmost non-overlapping matches that accept() takes; empty where the prefilter is not met. Work grows with the text and its matches, not with their square."""
     regex = F.lit(pattern) if isinstance(pattern, str) else pattern
@@ -157,30 +154,6 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-# Places in one order of a whole table, without a task that holds it: rows are dealt by ranges, numbered within theirs, and what stands before a range is summed over ranges.
-def in_order(df: DataFrame, order: list[Column], label: str) -> DataFrame:
-    """df, written, with part and place (from 0 within its part): rows of one part stand before those of the next. df is worked out twice, and should be the same both times.
-
-    Rows that are equal by order may be any number: chance deals them out.
-    """
-    dealt = df.withColumn("chance", F.rand(7)).repartitionByRange(*order, F.col("chance")).sortWithinPartitions(*order).drop("chance")
-    placed = materialize(dealt.withColumn("at", F.monotonically_increasing_id()), label)
-    return placed.withColumns({"part": F.shiftright("at", 33), "place": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("at")
-
-
-def before_parts(placed: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """part and, under each name, the sum over all parts before it. A row a partition, so that a broadcast is bounded by their number."""
-    each = placed.groupBy("part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    past = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return F.broadcast(each.select("part", *[F.coalesce(F.sum(n).over(past), F.lit(0)).alias(n) for n in sums]))
-
-
-def numbered(df: DataFrame, order: list[Column], label: str, into: str = "rank") -> DataFrame:
-    """df with its rows' places, from 0, in order."""
-    placed = in_order(df, order, label)
-    return placed.join(before_parts(placed, {into: F.lit(1).cast("long")}), "part").withColumn(into, F.col(into) + F.col("place")).drop("part", "place")
-
-
 SALTS = 64
 
 
