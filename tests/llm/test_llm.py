@@ -8,6 +8,7 @@ from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -580,3 +581,19 @@ def test_softmaxes_sum_to_one():
 def test_model_beats_unigrams_on_held_out_documents(spark):
     rows = queries.op2_lm_scoring(spark, "/root/testdata/sf0.001").where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert rows.s > rows.b
+
+
+def test_lm_held_out_scores_do_not_fall_from_round_to_round(spark):
+    """Bits per token over the base score, on documents that training left out."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    gain = lambda n: lm_scoring.score_documents(docs, lm_scoring.RATES[:n]).where("held_out").agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens") / math.log10(2)).first()[0]
+    by_round = [gain(n + 1) for n in range(len(lm_scoring.RATES))]
+    assert by_round[0] > 1 and all(b >= a - 0.005 for a, b in zip(by_round, by_round[1:]))
+
+
+def test_lm_counts_beyond_32_bits():
+    """A word that two chunks have three billion times each."""
+    hashes, n = np.array([5], dtype="<u8").tobytes(), np.array([3_000_000_000], dtype="<u4").tobytes()
+    table = pa.table({"chunk": pa.array([0, 1], pa.int64()), "part": pa.array([0, 0], pa.int32()), "entries": [hashes] * 2, "kinds": [bytes([3])] * 2, "n": [n] * 2})
+    out = lm_scoring._count(table)
+    assert [np.frombuffer(c, dtype="<i8").tolist() for c in out.column("c").to_pylist()[1:]] == [[6_000_000_000]] * 2
