@@ -13,7 +13,9 @@ from .text import first_filled, strip
 
 THINK, TOOL_CALL, ANSWER = (rf"(?isu)<{t}>(.*?)</{t}>" for t in ("think", "tool_call", "answer"))
 BOXED = r"(?s)(?:\\boxed|/boxed)\{(.*)\}"
-CALLS = T.ArrayType(T.StructType().add("name", "string").add("arguments_json", "string").add("keys", T.ArrayType(T.StringType())))
+CALLS = T.ArrayType(T.StructType().add("name", "string").add("arguments_json", "string").add("keys", T.ArrayType(T.StringType())).add("kinds", T.ArrayType(T.StringType())))
+#: JSON schema's names of the types that Python reads.
+KINDS = {str: "string", bool: "boolean", int: "integer", float: "number", list: "array", dict: "object", type(None): "null"}
 
 
 def close_think(text: Column) -> Column:
@@ -34,7 +36,7 @@ def _call(block: str):
         arguments = json.loads(arguments) if isinstance(arguments, str) else arguments
     except ValueError:
         return None
-    return {"name": name, "arguments_json": json.dumps(arguments, ensure_ascii=False), "keys": list(arguments)} if isinstance(name, str) and isinstance(arguments, dict) else None
+    return {"name": name, "arguments_json": json.dumps(arguments, ensure_ascii=False), "keys": list(arguments), "kinds": [KINDS[type(v)] for v in arguments.values()]} if isinstance(name, str) and isinstance(arguments, dict) else None
 
 
 @F.pandas_udf(CALLS)

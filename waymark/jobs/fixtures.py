@@ -77,5 +77,15 @@ SELECT session_id, seq, action, render_ok,
          WHEN 'replace_element' THEN '{"targetId":"' || target_id || '","fragment":"<g id=' || target_id || '><b>' || fill || '</b></g>"}'
          ELSE '{}' END AS args_json
 FROM edits_fx
+""",
+    "body_fx": r"""
+SELECT session_id, seq, action, render_ok,
+       CASE action
+         WHEN 'insert_element' THEN '{"fragment":"<g id=' || target_id || '><rect fill=' || fill || '></rect></g>","rootId":""}'
+         WHEN 'modify_element' THEN '{"targetId":"' || target_id || '","attrs":{"fill":"' || fill || '"}}'
+         WHEN 'remove_element' THEN '{"targetId":"' || target_id || '"}'
+         WHEN 'replace_element' THEN '{"targetId":"' || target_id || '","fragment":"<g id=' || target_id || '><b>' || fill || '</b></g>"}'
+         ELSE '{}' END AS args_json
+FROM edits_fx
 """,
 }

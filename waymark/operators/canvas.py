@@ -57,16 +57,26 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 AROUND = 7
 
 
+#: Elements whose text is no markup, so that it is not escaped.
+RAW_TEXT = {"script", "style"}
+
+
+class Aside(str):
+    """A comment, doctype or instruction as it stands in markup; no text of its element."""
+
+
 class Node:
-    """An element; children are nodes and texts."""
+    """An element; children are nodes and texts. ever: all elements that were below it, in their order, those taken out since among them."""
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], None
+        self.tag, self.attrs, self.children, self.parent, self.ever = tag, attrs or {}, [], None, []
 
     def add(self, child, at: int | None = None) -> None:
+        follows = next((c for c in self.children[at:] if isinstance(c, Node)), None) if at is not None else None
         self.children.insert(len(self.children) if at is None else at, child)
         if isinstance(child, Node):
             child.parent = self
+            self.ever.insert(len(self.ever) if follows is None else next(i for i, c in enumerate(self.ever) if c is follows), child)
 
     def replace(self, other: Node | None) -> None:
         at = next(i for i, c in enumerate(self.parent.children) if c is self)
@@ -113,6 +123,18 @@ class Reader(HTMLParser):
     def handle_data(self, data):
         self.open.add(data)
 
+    def handle_comment(self, data):
+        self.open.add(Aside(f"<!--{data}-->"))
+
+    def handle_decl(self, decl):
+        self.open.add(Aside(f"<!{decl}>"))
+
+    def handle_pi(self, data):
+        self.open.add(Aside(f"<?{data}>"))
+
+    def unknown_decl(self, data):
+        self.open.add(Aside(f"<![{data}]>"))
+
 
 def parsed(fragment: str) -> Node:
     reader = Reader()
@@ -129,12 +151,13 @@ def markup(node: Node) -> str:
         if isinstance(x, tuple):
             out.append(x[0])
         elif isinstance(x, str):
-            out.append(escape(x, quote=False))
+            out.append(x if isinstance(x, Aside) else escape(x, quote=False))
         else:
             attrs = "".join(f' {k}="{escape(v)}"' for k, v in x.attrs.items())
             out.append(f"<{x.tag}{attrs}/>" if x.tag in VOID else f"<{x.tag}{attrs}>")
             if x.tag not in VOID:
-                todo += [(f"</{x.tag}>",), *reversed(x.children)]
+                inner = [(c,) if x.tag in RAW_TEXT and isinstance(c, str) else c for c in x.children]
+                todo += [(f"</{x.tag}>",), *reversed(inner)]
     return "".join(out)
 
 
@@ -184,15 +207,37 @@ class Canvas:
 
     def __init__(self, base: str | None, allow_external: bool):
         self.body, self.base, self.allow = Node("body"), base, allow_external
-        self.body.add(Node("div", {"id": "root"}))
         self.reset()
 
     def reset(self) -> None:
+        self.take_out(self.body, list(self.body.children))
+        self.put(self.body, Node("div", {"id": "root"}))
         if self.base:
             self.insert({"fragment": self.base, "rootId": "root"})
 
+    def put(self, parent: Node, node: Node, at: int | None = None) -> None:
+        parent.add(node, at)
+
+    def take_out(self, parent: Node, children: list) -> None:
+        gone = set(map(id, children))
+        parent.children = [c for c in parent.children if id(c) not in gone]
+
+    def changed(self, node: Node) -> None:
+        """Called after an element's attributes or text have changed."""
+
+    def try_apply(self, action: str, args_json: str | None) -> bool:
+        """Whether the edit was applied. One whose arguments are no object or cannot be used leaves no trace."""
+        try:
+            args = json.loads(args_json)
+            if not isinstance(args, dict):
+                return False
+            self.apply(action, args)
+        except (AttributeError, TypeError, ValueError):
+            return False
+        return True
+
     def apply(self, action: str, args: dict) -> None:
-        """Unknown actions, missing targets and empty arguments change nothing."""
+        """Unknown actions, missing targets and empty arguments change nothing. What can fail is done before anything changes."""
         if action == "insert_element":
             self.insert(args)
         elif action == "modify_element":
@@ -201,10 +246,11 @@ class Canvas:
             node = self.body.find(args["targetId"]) if args.get("targetId") else None
             new = self.first(args.get("fragment"), False) if action == "replace_element" else None
             if node is not None and (new is not None or action == "remove_element"):
-                node.replace(new)
+                parent, at = node.parent, next(i for i, c in enumerate(node.parent.children) if c is node)
+                if new is not None:
+                    self.put(parent, new, at)
+                self.take_out(parent, [node])
         elif action in ("clear", "clear_element"):
-            self.body.children = []
-            self.body.add(Node("div", {"id": "root"}))
             self.reset()
 
     def first(self, fragment, block: bool) -> Node | None:
@@ -227,59 +273,219 @@ class Canvas:
             parent = self.body
             if where == "root":
                 parent = Node("div", {"id": "root"})
-                self.body.add(parent)
+                self.put(self.body, parent)
         before = self.body.find(args["beforeId"]) if args.get("beforeId") else None
         if before is None:
-            parent.add(node)
+            self.put(parent, node)
         else:
-            before.parent.add(node, next(i for i, c in enumerate(before.parent.children) if c is before))
+            self.put(before.parent, node, next(i for i, c in enumerate(before.parent.children) if c is before))
 
     def modify(self, args: dict) -> None:
         target, attrs = args.get("targetId"), args.get("attrs")
         node = self.body.find(target) if target and attrs else None
-        for key, value in (attrs or {}).items() if node is not None else ():
+        given = {k: str(v) for k, v in attrs.items()} if node is not None else {}
+        for key, value in given.items():
             if key == "text":
-                node.children = [str(value)]
+                self.take_out(node, list(node.children))
+                node.children = [value]
             else:
-                node.attrs[key] = str(value)
+                node.attrs[key] = value
+        if given:
+            self.changed(node)
 
     def rows(self) -> list[tuple]:
-        """pos, parent (its pos; null below the body), tag, element_id, attrs (JSON), text (its own) of each element in document order."""
+        """pos, parent (its pos; null below the body), tag, element_id, attrs (JSON), text (its own) and children (JSON: texts, and pos of elements) of each element in document order."""
+        nodes = list(self.body.below())
+        at = {id(n): i for i, n in enumerate(nodes)}
+        return [(i, at.get(id(n.parent)), *described(n), pieces(n, at)) for i, n in enumerate(nodes)]
+
+    def state(self, last_seq: int) -> list[tuple]:
+        """rows(), each with last_seq and base, and the body itself before them, at -1."""
         nodes = list(self.body.below())
         at = {id(n): i for i, n in enumerate(nodes)}
-        return [(i, at.get(id(n.parent)), n.tag, n.attrs.get("id", ""), json.dumps(n.attrs, ensure_ascii=False), "".join(c for c in n.children if isinstance(c, str))) for i, n in enumerate(nodes)]
+        return [(*r, last_seq, self.base) for r in ((-1, None, "body", "", "{}", "", pieces(self.body, at)), *self.rows())]
+
+    @classmethod
+    def stored(cls, rows: list, allow_external: bool) -> Canvas:
+        """The notebook of a state(): rows with pos, tag, attrs, children and base."""
+        own = cls(None, allow_external)
+        own.body = Node("body")
+        made = {r["pos"]: Node(r["tag"], json.loads(r["attrs"])) if r["pos"] >= 0 else own.body for r in rows}
+        for r in rows:
+            for c in json.loads(r["children"]):
+                made[r["pos"]].add(made[c] if isinstance(c, int) else Aside(c[0]) if isinstance(c, list) else c)
+        own.base = next(r["base"] for r in rows)
+        return own
+
+
+def described(node: Node) -> tuple[str, str, str, str]:
+    return node.tag, node.attrs.get("id", ""), json.dumps(node.attrs, ensure_ascii=False), "".join(c for c in node.children if isinstance(c, str) and not isinstance(c, Aside))
+
+
+def pieces(node: Node, at: dict[int, int]) -> str:
+    return json.dumps([at[id(c)] if isinstance(c, Node) else [c] if isinstance(c, Aside) else c for c in node.children], ensure_ascii=False)
+
+
+class History(Canvas):
+    """A notebook that keeps all its versions: each element with the edits between which it stood as it is, and what a render shows after each edit."""
+
+    def __init__(self, base: str | None, allow_external: bool, last: int):
+        self.seq, self.last, self.serial, self.open, self.closed, self.views = 0, last, {}, {}, [], []
+        super().__init__(base, allow_external)
+
+    def begin(self, node: Node) -> None:
+        self.serial.setdefault(id(node), (len(self.serial), node))  # the node is held, so that its id stays its own
+        self.open[id(node)] = (self.seq, *described(node))
+
+    def end(self, node: Node) -> None:
+        since, *told = self.open.pop(id(node))
+        if since < self.seq:
+            self.closed.append((node, since, self.seq, *told))
+
+    def put(self, parent: Node, node: Node, at: int | None = None) -> None:
+        super().put(parent, node, at)
+        for n in (node, *node.below()):
+            self.begin(n)
+
+    def take_out(self, parent: Node, children: list) -> None:
+        for c in children:
+            for n in (c, *c.below()) if isinstance(c, Node) else ():
+                self.end(n)
+        super().take_out(parent, children)
+
+    def changed(self, node: Node) -> None:
+        self.end(node)
+        self.begin(node)
+
+    def step(self, seq: int, action: str, args_json: str | None) -> None:
+        self.seq = seq
+        if not self.try_apply(action, args_json):
+            return
+        shown = [c for c in self.body.children if isinstance(c, Node)][-self.last :]
+        self.views += [(seq, place, self.serial[id(c)][0], c.attrs.get("id", "")) for place, c in enumerate(shown, 1)]
+
+    def versions(self) -> list[tuple]:
+        """node (a number), parent (its parent's; null below the body), rank among all that were ever below it, from_seq, to_seq (the edit that ended it; null where it stands), tag, element_id, attrs, text."""
+        rank = {id(c): i for p in (self.body, *(n for _, n in self.serial.values())) for i, c in enumerate(p.ever)}
+        rows = [*self.closed, *((self.serial[k][1], since, None, *told) for k, (since, *told) in self.open.items())]
+        number = lambda n: self.serial[id(n)][0] if id(n) in self.serial else None
+        return [(number(n), number(n.parent), rank[id(n)], since, until, *told) for n, since, until, *told in rows]
 
 
 TREE = "pos long, parent long, tag string, element_id string, attrs string, text string"
+STATE = f"{TREE}, children string, last_seq long, base string"
+HISTORY = (
+    "versions array<struct<node:long,parent:long,rank:long,from_seq:long,to_seq:long,tag:string,element_id:string,attrs:string,text:string>>, "
+    "views array<struct<seq:long,place:int,node:long,element_id:string>>"
+)
 
 
-def replay_tree(edits: DataFrame, bases: DataFrame | None = None, allow_external: bool = False) -> DataFrame:
-    """session_id and the columns of TREE: the elements of each session's notebook after its edits that left a trace.
+def with_bases(edits: DataFrame, live: DataFrame, bases: DataFrame | None) -> DataFrame:
+    """session_id, e (null for a session without a live edit), base."""
+    every = edits.select("session_id").distinct().join(live.select("session_id", F.struct("seq", "action", "args_json").alias("e")), "session_id", "left")
+    if bases is None:
+        return every.withColumn("base", F.lit(None).cast("string"))
+    return bases.select("session_id", base_fragment(F.col("image_url")).alias("base")).join(every, "session_id", "full_outer")
+
+
+def in_order(edits: pd.Series) -> list[dict]:
+    return sorted((e for e in edits if e is not None), key=lambda e: e["seq"])
+
+
+def state_frame(session, canvas: Canvas, last_seq: int) -> pd.DataFrame:
+    out = pd.DataFrame(canvas.state(last_seq), columns=["pos", "parent", "tag", "element_id", "attrs", "text", "children", "last_seq", "base"])
+    out["parent"] = out["parent"].astype("Int64")
+    out.insert(0, "session_id", session)
+    return out
+
+
+def replay_state(edits: DataFrame, bases: DataFrame | None = None, allow_external: bool = False) -> DataFrame:
+    """session_id and the columns of STATE: each session's notebook after its edits that left a trace, as a table that resumed() goes on from.
 
     edits: session_id, seq, action, args_json, render_ok, and invalid where calls were validated. bases (session_id, image_url):
     images that stand first in the notebook, and again after a clear. Nothing before a session's last clear is shipped. A
-    session's edits since are folded in one task, as each acts on what the others left; sessions without edits have their base alone.
+    session's edits since are folded in one task, as each acts on what the others left; sessions without edits have their
+    base alone. An edit whose arguments are null, no object or not usable leaves no trace, and the session goes on.
     """
-    clears = F.col("action").isin("clear", "clear_element")
-    live = since_clear(effective(edits), clears).select("session_id", F.struct("seq", "action", "args_json").alias("e"))
-    every = edits.select("session_id").distinct().join(live, "session_id", "left")
-    if bases is None:
-        told = every.withColumn("base", F.lit(None).cast("string"))
-    else:
-        told = bases.select("session_id", base_fragment(F.col("image_url")).alias("base")).join(every, "session_id", "full_outer")
+    live = since_clear(effective(edits), F.col("action").isin("clear", "clear_element"))
+    told = with_bases(edits, live, bases)
     kind = told.schema["session_id"].dataType.simpleString()
 
     def fold(own: pd.DataFrame) -> pd.DataFrame:
-        canvas = Canvas(own["base"].iloc[0], allow_external)
-        for e in sorted((e for e in own["e"] if e is not None), key=lambda e: e["seq"]):
-            canvas.apply(e["action"], json.loads(e["args_json"]))
-        rows = canvas.rows()
-        out = pd.DataFrame(rows, columns=["pos", "parent", "tag", "element_id", "attrs", "text"])
-        out["parent"] = out["parent"].astype("Int64")
-        out.insert(0, "session_id", own["session_id"].iloc[0])
-        return out
-
-    return told.groupBy("session_id").applyInPandas(fold, f"session_id {kind}, {TREE}")
+        canvas, last = Canvas(own["base"].iloc[0], allow_external), 0
+        for e in in_order(own["e"]):
+            canvas.try_apply(e["action"], e["args_json"])
+            last = e["seq"]
+        return state_frame(own["session_id"].iloc[0], canvas, last)
+
+    return told.groupBy("session_id").applyInPandas(fold, f"session_id {kind}, {STATE}")
+
+
+def tree_of(state: DataFrame) -> DataFrame:
+    return state.where(F.col("pos") >= 0).drop("children", "last_seq", "base")
+
+
+def replay_tree(edits: DataFrame, bases: DataFrame | None = None, allow_external: bool = False) -> DataFrame:
+    """session_id and the columns of TREE: the elements of replay_state() without the body."""
+    return tree_of(replay_state(edits, bases, allow_external))
+
+
+def resumed(state: DataFrame, edits: DataFrame, allow_external: bool = False) -> DataFrame:
+    """The state after more edits, as replay_state() makes it of all edits. Only notebooks that have new edits are shuffled and folded.
+
+    Edits up to a notebook's last_seq are passed over, so that a batch that comes again changes nothing. Sessions
+    without a state begin anew, without a base.
+    """
+    new = effective(edits).select("session_id", "seq", "action", "args_json")
+    touched = new.select("session_id").distinct()
+    kind = state.schema["session_id"].dataType.simpleString()
+
+    def go_on(own: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
+        session = (own if len(own) else more)["session_id"].iloc[0]
+        canvas = Canvas.stored(own.to_dict("records"), allow_external) if len(own) else Canvas(None, allow_external)
+        last = int(own["last_seq"].iloc[0]) if len(own) else 0
+        for e in sorted(more.to_dict("records"), key=lambda e: e["seq"]):
+            if e["seq"] > last:
+                canvas.try_apply(e["action"], e["args_json"])
+                last = e["seq"]
+        return state_frame(session, canvas, last)
+
+    folded = state.join(touched, "session_id", "left_semi").groupBy("session_id").cogroup(new.groupBy("session_id")).applyInPandas(go_on, f"session_id {kind}, {STATE}")
+    return state.join(touched, "session_id", "left_anti").unionByName(folded)
+
+
+def replay_history(edits: DataFrame, bases: DataFrame | None = None, allow_external: bool = False, last: int = 3) -> DataFrame:
+    """session_id and the columns of HISTORY: all versions of each notebook, and what a render shows after each edit that left a trace, from one fold.
+
+    An element stands, as told, from the edit from_seq on until the edit to_seq; 0 is the start. At any edit the elements that stand, each
+    parent's by rank, are the notebook. The table grows with what edits change, not with the notebook for each edit.
+    """
+    told = with_bases(edits, effective(edits), bases)
+    kind = told.schema["session_id"].dataType.simpleString()
+
+    def fold(own: pd.DataFrame) -> pd.DataFrame:
+        canvas = History(own["base"].iloc[0], allow_external, last)
+        for e in in_order(own["e"]):
+            canvas.step(e["seq"], e["action"], e["args_json"])
+        names = ("node", "parent", "rank", "from_seq", "to_seq", "tag", "element_id", "attrs", "text")
+        row = {"session_id": [own["session_id"].iloc[0]], "versions": [[dict(zip(names, v)) for v in canvas.versions()]], "views": [[dict(zip(("seq", "place", "node", "element_id"), v)) for v in canvas.views]]}
+        return pd.DataFrame(row)
+
+    return told.groupBy("session_id").applyInPandas(fold, f"session_id {kind}, {HISTORY}")
+
+
+def element_versions(history: DataFrame) -> DataFrame:
+    return history.select("session_id", F.explode("versions").alias("v")).select("session_id", "v.*")
+
+
+def tree_at(versions: DataFrame, seq: int) -> DataFrame:
+    """The elements that stand after the edit seq."""
+    return versions.where((F.col("from_seq") <= seq) & (F.col("to_seq").isNull() | (F.col("to_seq") > seq)))
+
+
+def views_by_edit(history: DataFrame) -> DataFrame:
+    """session_id, seq, place, node, element_id: the last elements below the body after each edit, as its render shows them."""
+    return history.select("session_id", F.explode("views").alias("v")).select("session_id", "v.*")
 
 
 def base_fragment(image_url: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import first_filled, strip
 from ..sources.requests import PARTS, image_part, parts, text_part
+from .judge import ACCEPTED
 from ..sources.tasks import data_urls
 
 
@@ -48,6 +49,8 @@ def usage_by_task(usage: DataFrame) -> DataFrame:
 
 #: Order of messages within a turn.
 START, ASSISTANT, TOOL, CRITIQUE, FEEDBACK, PROMPT = range(6)
+#: A place after every message.
+NEXT = (1 << 31) - 1
 #: Texts of the log.
 RETRY_PROMPT = "Please provide the final answer directly as <answer>\\boxed{...}</answer>. Do not output any reasoning or SVG code."
 CHECKED = ("<tool_response><image>This is the state of notebook. Critical Check: ", "</tool_response>")
@@ -59,6 +62,18 @@ def within(around: tuple[str, str], text: Column) -> Column:
     return F.concat(F.lit(around[0]), text, F.lit(around[1]))
 
 
+def assistant_text() -> Column:
+    """What a turn says in the log: the response as it came; where that is blank, what was parsed from it."""
+    return first_filled(strip(F.coalesce("assistant_raw", F.lit(""))), F.col("seed_content"), F.col("content"))
+
+
+def critic_feedback(main_rounds: int | None = None) -> Column:
+    """The verdict's critique on turns that answer and on retries, the critic's own words where tools ran and a render is there, else ''."""
+    retry = F.col("turn") > main_rounds if main_rounds else F.lit(False)
+    called = (F.size("tool_calls") > 0) & ~retry & (F.col("last_render") != "")
+    return F.when(F.col("answer_present") | retry, F.col("critique")).when(called, strip(F.coalesce("critic_raw", F.lit("")))).otherwise("")
+
+
 def message_log(tasks: DataFrame, kept: DataFrame, system: str, main_rounds: int | None = None) -> DataFrame:
     """task_id, pos (from 0), turn, kind, call, role, parts, shown: every message of each task, in order; shown: a render that was observed.
 
@@ -72,9 +87,8 @@ def message_log(tasks: DataFrame, kept: DataFrame, system: str, main_rounds: int
         return F.struct(F.lit(kind).alias("kind"), as_column(call).cast("int").alias("call"), F.lit(role).alias("role"), content.alias("parts"), as_column(shown).alias("shown"))
 
     retry = F.col("turn") > main_rounds if main_rounds else F.lit(False)
-    said = first_filled(strip(F.col("raw")), F.col("seed_content"), F.col("content"))
     called, answered = (F.size("tool_calls") > 0) & ~retry, F.col("answer_present") | retry
-    critique = F.when(answered, F.col("critique")).when(called & (F.col("last_render") != ""), strip(F.coalesce("critic_raw", F.lit("")))).otherwise("")
+    critique = critic_feedback(main_rounds)
     checked = (answered & (critique != "")) | (~answered & called & (F.col("last_render") != ""))
     response = lambda c: F.when(c["path"] != "", parts(image_part(c["path"]))).otherwise(parts(image_part(c["before"]), text_part(within(RESPONSE, c["result"]))))
     ran = F.when(~retry, F.transform("ran", lambda c: entry(TOOL, "user", response(c), c["call"], c["path"] != "")))
@@ -83,7 +97,7 @@ def message_log(tasks: DataFrame, kept: DataFrame, system: str, main_rounds: int
         F.when(answered & ~F.col("accepted"), entry(FEEDBACK, "user", parts(image_part(F.col("last_render")), text_part(within(REVISE, F.col("feedback")))))),
         F.when(~answered & ~called, entry(PROMPT, "user", parts(text_part(F.lit(RETRY_PROMPT))))),
     )
-    every = F.concat(F.array(entry(ASSISTANT, "assistant", parts(text_part(said)))), F.coalesce(ran, F.array()), F.filter(others, lambda e: e.isNotNull()))
+    every = F.concat(F.array(entry(ASSISTANT, "assistant", parts(text_part(assistant_text())))), F.coalesce(ran, F.array()), F.filter(others, lambda e: e.isNotNull()))
     # Turns are read once, as each makes all its messages in its row.
     told = kept.select("task_id", F.col("turn").cast("int").alias("turn"), F.explode(every).alias("e"))
     begun = F.explode(F.array(entry(START, "system", parts(text_part(F.lit(system)))), entry(START, "user", parts(text_part(F.col("instruction")), image_part(F.col("image_path")), image_part(F.col("first_render"))), 1)))
@@ -98,24 +112,36 @@ def messages(log: DataFrame) -> DataFrame:
     return left.withColumn("pos", F.row_number().over(Window.partitionBy("task_id").orderBy("pos")) - 1)
 
 
-def sft_turns(log: DataFrame, results: DataFrame, main_rounds: int | None = None, only_rewarded: bool = False) -> DataFrame:
-    """task_id, pid, turn, prompt, completion, reward: an example for each assistant message, with what preceded it as the prompt.
+def prompt_pointers(log: DataFrame, main_rounds: int | None = None, open_: DataFrame | None = None) -> DataFrame:
+    """task_id, turn, upto, render, ask: the prompt of each assistant message as a place in the log, so that examples share their messages.
 
-    Of the renders observed before it, a prompt holds the last; that of a retry ends with the request for an answer, which the log does not have.
+    A prompt is the log's messages before upto, of the renders observed among them the one at render alone (null: none), and
+    where ask is true the request for an answer, which the log does not have. open_ (task_id, turn): turns to come, whose
+    prompt is the whole log.
     """
-    row = F.struct("pos", "kind", "turn", "shown", "role", "parts")
-    whole = log.groupBy("task_id").agg(F.array_sort(F.collect_list(row)).alias("m"))
-    each = whole.select("task_id", "m", F.explode(F.filter("m", lambda x: x["kind"] == ASSISTANT)).alias("a"))
-    before = F.slice("m", F.lit(1), F.col("a.pos"))
-    last = F.array_max(F.transform(F.filter(before, lambda x: x["shown"]), lambda x: x["pos"]))
-    seen = F.filter(before, lambda x: ~x["shown"] | (x["pos"] == F.coalesce(last, F.lit(-1))))
+    past = Window.partitionBy("task_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    marked = log if open_ is None else log.unionByName(open_.select("task_id", F.col("turn").cast("int").alias("turn"), F.lit(ASSISTANT).alias("kind"), F.lit(NEXT).alias("pos")), allowMissingColumns=True)
+    placed = marked.select("task_id", "turn", "kind", "pos", F.max(F.when(F.col("shown"), F.col("pos"))).over(past).alias("render"), F.count(F.lit(1)).over(past).cast("int").alias("upto"))
+    ask = F.col("turn") > main_rounds if main_rounds else F.lit(False)
+    return placed.where(F.col("kind") == ASSISTANT).select("task_id", "turn", "upto", "render", ask.alias("ask"))
+
+
+def with_prompts(pointers: DataFrame, log: DataFrame) -> DataFrame:
+    """pointers with prompt, an array of (role, parts), and said, the message at upto (null for turns to come). A task's log is gathered once."""
+    whole = log.groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("pos", "shown", "role", "parts"))).alias("m"))
+    each = pointers.join(whole, "task_id")
+    seen = F.filter(F.slice("m", F.lit(1), F.col("upto")), lambda x: ~x["shown"] | (x["pos"] == F.coalesce("render", F.lit(-1))))
     prompt = F.transform(seen, lambda x: F.struct(x["role"].alias("role"), x["parts"].alias("parts")))
-    if main_rounds:
-        ask = F.array(F.struct(F.lit("user").alias("role"), parts(text_part(F.lit(RETRY_PROMPT))).alias("parts")))
-        prompt = F.when(F.col("a.turn") > main_rounds, F.concat(prompt, ask)).otherwise(prompt)
-    out = each.select("task_id", F.col("a.turn").alias("turn"), prompt.alias("prompt"), F.col("a.parts")[0]["text"].alias("completion")).join(results.select("task_id", "pid", "reward"), "task_id")
-    out = out.where("reward = 1.0") if only_rewarded else out
-    return out.select("task_id", "pid", "turn", "prompt", "completion", "reward")
+    ask = F.array(F.struct(F.lit("user").alias("role"), parts(text_part(F.lit(RETRY_PROMPT))).alias("parts")))
+    said = F.when(F.col("upto") < F.size("m"), F.try_element_at("m", F.col("upto") + 1)["parts"][0]["text"])
+    return each.select(*pointers.columns, F.when(F.col("ask"), F.concat(prompt, ask)).otherwise(prompt).alias("prompt"), said.alias("said"))
+
+
+def sft_turns(log: DataFrame, results: DataFrame, main_rounds: int | None = None, only_rewarded: bool = False) -> DataFrame:
+    """task_id, pid, turn, prompt, completion, reward: an example for each assistant message, with what preceded it as the prompt."""
+    wanted = results.select("task_id", "pid", "reward").where("reward = 1.0" if only_rewarded else "true")
+    pointers = prompt_pointers(log, main_rounds).join(wanted, "task_id")
+    return with_prompts(pointers, log).select("task_id", "pid", "turn", "prompt", F.col("said").alias("completion"), "reward")
 
 
 def with_image_data(log: DataFrame, images: DataFrame) -> DataFrame:
@@ -129,14 +155,42 @@ def with_image_data(log: DataFrame, images: DataFrame) -> DataFrame:
     return back.select(*keys, F.transform(F.filter("es", lambda e: e["p"].isNotNull()), lambda e: e["p"]).cast(PARTS).alias("parts"))
 
 
-def results(tasks: DataFrame, kept: DataFrame, log: DataFrame, errors: DataFrame, root: str = "renders") -> DataFrame:
-    """A row for each task, as it is written: nested messages and turns, final_answer, reward, session_id, render_dir, order.
+def turn_items(kept: DataFrame, main_rounds: int | None = None) -> DataFrame:
+    """task_id and item, all that a result tells of a turn. kept: judged turns with_calls(); usage, a struct of counters, may be missing.
+
+    answer_judge is null on turns that neither answer nor are retries; its feedback is the judge's own.
+    """
+    retry = F.col("turn") > main_rounds if main_rounds else F.lit(False)
+    answered = F.col("answer_present") | retry
+    shown = (F.col("last_render") != "") | retry
+    feedback = F.when(F.col("format_ok") & F.col("is_correct") & ~F.col("consistent"), ACCEPTED).otherwise(F.col("feedback"))
+    critic = F.coalesce("critic_raw", F.lit("")) if "critic_raw" in kept.columns else F.lit("")
+    judge_raw = F.when(shown | (F.col("base_ok") & ~F.col("local_ok")), critic).otherwise("")
+    calls = lambda c: F.struct(c["name"].alias("name"), c["arguments_json"].alias("arguments_json"))
+    parsed = F.struct("raw", F.col("reasoning").alias("reasoning_content"), F.col("reasoning").alias("think"), F.transform("tool_calls", calls).alias("tool_calls"), F.col("malformed").alias("malformed_tool_calls"), "answer", "boxed", "content", "seed_content", "has_answer_tag")
+    ran = F.transform("ran", lambda c: F.struct(c["call"].alias("index"), c["name"].alias("name"), c["arguments_json"].alias("arguments_json"), c["result"].alias("result")))
+    item = F.struct(
+        "turn",
+        F.coalesce("assistant_raw", F.lit("")).alias("assistant_raw"),
+        assistant_text().alias("assistant_seed_content"),
+        parsed.alias("parsed"),
+        F.col("usage").alias("policy_usage") if "usage" in kept.columns else F.lit(None).cast("struct<prompt_tokens:bigint,completion_tokens:bigint,total_tokens:bigint>").alias("policy_usage"),
+        ran.alias("tool_results"),
+        F.col("last_render").alias("rendered_image_path"),
+        F.when(retry, "").otherwise(F.col("tool_response")).alias("tool_response"),
+        critic_feedback(main_rounds).alias("critic_feedback"),
+        F.when(answered, F.struct("format_ok", "is_correct", F.col("normalized").alias("normalized_answer"), feedback.alias("feedback"), judge_raw.alias("judge_raw"))).alias("answer_judge"),
+    )
+    return kept.select("task_id", item.alias("item"))
+
+
+def results(tasks: DataFrame, kept: DataFrame, log: DataFrame, errors: DataFrame, root: str = "renders", main_rounds: int | None = None) -> DataFrame:
+    """A row for each task, as it is written: nested messages and turns (turn_items()), final_answer, reward, session_id, render_dir, order.
 
     tasks: with order. errors (task_id, error, elapsed_sec): a null error is none. A task with an error has neither messages
     nor turns, no answer, and reward 0.
     """
-    turn = F.struct("turn", F.col("raw").alias("assistant_raw"), "seed_content", F.col("last_render").alias("rendered_image_path"), "format_ok", "is_correct", "normalized", "feedback")
-    told = kept.groupBy("task_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    told = turn_items(kept, main_rounds).groupBy("task_id").agg(F.array_sort(F.collect_list("item"), lambda a, b: (a["turn"] - b["turn"]).cast("int")).alias("turns"))
     said = messages(log).groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("pos", "role", "parts"))).alias("messages"))
     out = tasks.join(outcomes(tasks, kept).drop("pid"), "task_id").join(told, "task_id", "left").join(said, "task_id", "left").join(errors, "task_id", "left")
     fine = F.col("error").isNull()

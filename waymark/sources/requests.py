@@ -45,8 +45,13 @@ def parts(*each: Column) -> Column:
     return F.filter(F.array(*each), lambda p: p.isNotNull()).cast(PARTS)
 
 
+def as_sent(content: Column) -> Column:
+    """Parts as a request has them: an image's URL is a field of image_url."""
+    return F.transform(content, lambda p: F.struct(p["type"].alias("type"), p["text"].alias("text"), F.when(p["url"].isNotNull(), F.struct(p["url"].alias("url"))).alias("image_url")))
+
+
 def message(role: str, *each: Column) -> Column:
-    return F.struct(F.lit(role).alias("role"), parts(*each).alias("content"))
+    return F.struct(F.lit(role).alias("role"), as_sent(parts(*each)).alias("content"))
 
 
 def body(call: Call, messages: Column) -> Column:
@@ -70,12 +75,16 @@ def policy_requests(tasks: DataFrame, call: Call, system: str, first_render: str
     return tasks.select("task_id", body(call, F.array(message("system", text_part(F.lit(system))), user)).alias("body"))
 
 
-def critic_requests(turns: DataFrame, call: Call, with_image: str, without_image: str) -> DataFrame:
-    """task_id, turn, body for turns (question, image_url, last_render) that have a render; the system prompt goes by whether the task's image was found."""
+def critic_requests(turns: DataFrame, call: Call, with_image: str, without_image: str, main_rounds: int | None = None) -> DataFrame:
+    """task_id, turn, body for turns (question, image_url, last_render, tool_calls, answer_present) whose tools ran, that do not answer and that have a render.
+
+    The system prompt goes by whether the task's image was found. Turns after main_rounds are retries, whose tools do not run.
+    """
+    ran = (F.size("tool_calls") > 0) & ~F.col("answer_present") & (F.col("last_render") != "") & (F.col("turn") <= main_rounds if main_rounds else F.lit(True))
     found = F.coalesce(F.col("image_url"), F.lit("")) != ""
     user = message("user", text_part(F.col("question")), image_part(F.when(found, F.col("image_path"))), image_part(F.col("last_render")))
     system = message("system", text_part(F.when(found, F.lit(with_image)).otherwise(F.lit(without_image))))
-    return turns.where(F.col("last_render") != "").select("task_id", "turn", body(call, F.array(system, user)).alias("body"))
+    return turns.where(ran).select("task_id", "turn", body(call, F.array(system, user)).alias("body"))
 
 
 def judge_messages(system: str, *more: Column) -> Column:
@@ -83,15 +92,27 @@ def judge_messages(system: str, *more: Column) -> Column:
     return F.array(message("system", text_part(F.lit(system))), user, *more)
 
 
-def judge_requests(turns: DataFrame, call: Call, rendered: str, unrendered: str) -> DataFrame:
-    """task_id, turn, body for answering turns (question, answers, assistant_raw, image_path, last_render). Without a render, only answers of good form that equal no gold are asked about."""
-    asked = turns.where(F.col("answer_present") & ((F.col("last_render") != "") | (F.col("base_ok") & ~F.col("local_ok"))))
-    messages = F.when(F.col("last_render") != "", judge_messages(rendered)).otherwise(judge_messages(unrendered))
-    return asked.select("task_id", "turn", body(call, messages).alias("body"))
+def asked_of_judge(main_rounds: int | None = None) -> tuple[Column, Column]:
+    """Whether a turn is judged by a model, and whether as one with a render.
+
+    Answering turns are: with a render always, without one only where the form is good and no gold is equal. Retries, which
+    are the turns after main_rounds, are judged as with a render, whether or not they have one or an answer.
+    """
+    retry = F.col("turn") > main_rounds if main_rounds else F.lit(False)
+    shown = (F.col("last_render") != "") | retry
+    return (F.col("answer_present") & (shown | (F.col("base_ok") & ~F.col("local_ok")))) | retry, shown
+
+
+def judge_requests(turns: DataFrame, call: Call, rendered: str, unrendered: str, main_rounds: int | None = None) -> DataFrame:
+    """task_id, turn, body for turns (question, answers, assistant_raw, image_path, last_render, and what candidates() tells) that are asked_of_judge()."""
+    asked, shown = asked_of_judge(main_rounds)
+    messages = F.when(shown, judge_messages(rendered)).otherwise(judge_messages(unrendered))
+    return turns.where(asked).select("task_id", "turn", body(call, messages).alias("body"))
 
 
-def second_requests(turns: DataFrame, call: Call, rendered: str, unrendered: str) -> DataFrame:
+def second_requests(turns: DataFrame, call: Call, rendered: str, unrendered: str, main_rounds: int | None = None) -> DataFrame:
     """judge_requests() with one message more, for turns whose verdict needs_second."""
+    asked, shown = asked_of_judge(main_rounds)
     ask = lambda text: message("user", text_part(F.lit(text)))
-    messages = F.when(F.col("last_render") != "", judge_messages(rendered, ask(ASK_RENDERED))).otherwise(judge_messages(unrendered, ask(ASK_UNRENDERED)))
-    return turns.where(F.col("answer_present") & F.col("needs_second")).select("task_id", "turn", body(call, messages).alias("body"))
+    messages = F.when(shown, judge_messages(rendered, ask(ASK_RENDERED))).otherwise(judge_messages(unrendered, ask(ASK_UNRENDERED)))
+    return turns.where(asked & F.col("needs_second")).select("task_id", "turn", body(call, messages).alias("body"))

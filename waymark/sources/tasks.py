@@ -11,28 +11,15 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import strip
+from .batches import BatchTable
+from .json_array import read_objects, write_array
 
 FIELDS = T.StructType().add("question", "string").add("answer_type", "string").add("image", "string").add("choices", T.ArrayType(T.StringType())).add("answers", T.ArrayType(T.StringType())).add("pid", "string")
 
 
-def items_in(text: str) -> list[str]:
-    """The task objects of a JSON file, each as JSON: of a list, of the list under data, or of an object's values, numbered keys first."""
-    payload = json.loads(text)
-    if isinstance(payload, dict):
-        listed = payload.get("data")
-        rank = lambda key: (0, str(int(key)).zfill(12)) if key.isdigit() else (1, key)
-        payload = listed if isinstance(listed, list) else [payload[key] for key in sorted(payload, key=rank)]
-    return [json.dumps(x, ensure_ascii=False) for x in payload if isinstance(x, dict)] if isinstance(payload, list) else []
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def items_of(payload: pd.Series) -> pd.Series:
-    return payload.map(items_in)
-
-
 def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """pos, item_json of a JSON file, which one task reads whole. Large collections are better kept as a table of these two columns."""
-    return spark.read.text(path, wholetext=True).select(F.posexplode(items_of("value")).alias("pos", "item_json")).withColumn("pos", F.col("pos").cast("long"))
+    """pos, item_json of a JSON file, which any number of tasks read in parts."""
+    return read_objects(spark, path)
 
 
 def _fields(item_json: str) -> dict:
@@ -81,11 +68,14 @@ def prepare_tasks(tasks: DataFrame, root: str, skip_list_answers: bool = True) -
 
 
 def load_tasks(spark: SparkSession, path: str, start: int, end: int, root: str | None = None, skip_list_answers: bool = True) -> DataFrame:
-    """Prepared tasks of a slice of a JSON file. Images lie beside the file unless root is given."""
+    """Prepared tasks of a slice of a JSON file; a slice without any is an error. Images lie beside the file unless root is given."""
     if end <= start:
         raise ValueError(f"the slice [{start}, {end}) is empty")
     items = slice_tasks(read_tasks(spark, path), start, end, "pos")
-    return prepare_tasks(task_fields(items), root or path.rpartition("/")[0], skip_list_answers)
+    ready = prepare_tasks(task_fields(items), root or path.rpartition("/")[0], skip_list_answers)
+    if not ready.take(1):
+        raise ValueError(f"no task is left of the slice [{start}, {end})")
+    return ready
 
 
 def shuffled(tasks: DataFrame, seed: int) -> DataFrame:
@@ -105,18 +95,21 @@ def shuffled(tasks: DataFrame, seed: int) -> DataFrame:
 MIME = {".svg": "image/svg+xml", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".webp": "image/webp", ".gif": "image/gif", ".bmp": "image/bmp", ".tif": "image/tiff", ".tiff": "image/tiff"}
 
 
+def mime_of(path: Column | str) -> Column:
+    mime = F.create_map(*[F.lit(x) for kv in MIME.items() for x in kv])
+    return F.coalesce(F.try_element_at(mime, F.lower(F.regexp_extract(path, r"\.[^./]+$", 0))), F.lit("image/png"))
+
+
 def data_urls(paths: DataFrame, images: DataFrame) -> DataFrame:
     """image_path, image_url for each different image_path of paths. URLs pass; file:// is taken off; '' where images (path, content) has none.
 
     Only images that are asked for are encoded, once each.
     """
-    asked = paths.select("image_path").distinct().withColumn("path", F.regexp_replace(F.trim("image_path"), "^file://", ""))
-    mime = F.create_map(*[F.lit(x) for kv in MIME.items() for x in kv])
-    kind = F.coalesce(F.try_element_at(mime, F.lower(F.regexp_extract("path", r"\.[^./]+$", 0))), F.lit("image/png"))
+    asked = paths.select("image_path").distinct().withColumn("path", F.regexp_replace(strip(F.col("image_path")), "^file://", ""))
     wanted = images.join(asked.select("path").distinct(), "path", "left_semi")
-    encoded = wanted.select("path", F.concat(F.lit("data:"), kind, F.lit(";base64,"), F.translate(F.base64("content"), "\r\n", "")).alias("url"))
-    passes = F.trim("image_path").rlike("^(data:|https?://)")
-    return asked.join(encoded, "path", "left").select("image_path", F.when(passes, F.trim("image_path")).otherwise(F.coalesce("url", F.lit(""))).alias("image_url"))
+    encoded = wanted.select("path", F.concat(F.lit("data:"), mime_of("path"), F.lit(";base64,"), F.translate(F.base64("content"), "\r\n", "")).alias("url"))
+    passes = strip(F.col("image_path")).rlike("^(data:|https?://)")
+    return asked.join(encoded, "path", "left").select("image_path", F.when(passes, strip(F.col("image_path"))).otherwise(F.coalesce("url", F.lit(""))).alias("image_url"))
 
 
 def attach_images(tasks: DataFrame, images: DataFrame) -> DataFrame:
@@ -124,9 +117,52 @@ def attach_images(tasks: DataFrame, images: DataFrame) -> DataFrame:
     return tasks.join(data_urls(tasks, images), "image_path", "left").withColumn("image_url", F.coalesce("image_url", F.lit("")))
 
 
+class ImageStore:
+    """Images by content: path/rows holds each different image's data once, under its digest, whatever paths it has and in whatever run it came first."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.table = BatchTable(spark, path, "digest string, data string, run string")
+
+    def add(self, run: str, images: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
+        """path, digest of images (path, content), after those whose content is not there yet were encoded, in tasks of about most_bytes. A run that was added before adds nothing."""
+        told = images.select("path", F.sha2("content", 256).alias("digest"), F.length("content").cast("long").alias("n"))
+        new = told.groupBy("digest").agg(F.min("path").alias("path"), F.max("n").alias("n")).join(self.table.read().select("digest"), "digest", "left_anti")
+        tasks = -(-(new.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + 1) // most_bytes)
+        wanted = images.join(new.select("path", "digest"), "path").repartition(tasks, "digest")
+        self.table.append(run, wanted.select("digest", F.translate(F.base64("content"), "\r\n", "").alias("data"), F.lit(run).alias("run")).dropDuplicates(["digest"]))
+        return told.select("path", "digest")
+
+    def urls(self, paths: DataFrame) -> DataFrame:
+        """path, image_url, run for paths (path, digest): the type goes by the path, so that one image may have several URLs."""
+        return paths.join(self.table.read(), "digest").select("path", F.concat(F.lit("data:"), mime_of("path"), F.lit(";base64,"), "data").alias("image_url"), "run")
+
+
+@F.pandas_udf(T.StringType())
+def result_text(row: pd.Series) -> pd.Series:
+    """A result as it is written: arguments as objects, images by their URL, an empty usage where there is none."""
+
+    def calls(each: list) -> None:
+        for c in each:
+            c["arguments"] = json.loads(c.pop("arguments_json"))
+
+    def one(text: str) -> str:
+        o = json.loads(text)
+        for t in o.get("turns", []):
+            calls(t["parsed"]["tool_calls"])
+            calls(t["tool_results"])
+            t.setdefault("policy_usage", {})
+        for m in o.get("messages", []):
+            m["content"] = [{"type": p["type"], "image_url": {"url": p["url"]}} if p["type"] == "image_url" else p for p in m.pop("parts")]
+            m.pop("pos", None)
+        return json.dumps(o, ensure_ascii=False)
+
+    return row.map(one)
+
+
 def write_results(results: DataFrame, path: str) -> None:
-    """A folder of JSON lines, a result each; nulls are left out."""
-    results.write.mode("overwrite").json(path)
+    """One JSON array of results() in order, as write_array() lays it out. What a result does not have, such as an error or a verdict of a turn, is left out."""
+    told = [F.col(c) for c in results.columns if c != "status"]
+    write_array(results.select("order", result_text(F.to_json(F.struct(*told))).alias("text")), path)
 
 
 def write_sft_turns(examples: DataFrame, path: str) -> None:
