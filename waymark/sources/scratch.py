@@ -25,3 +25,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
