@@ -597,3 +597,30 @@ def test_lm_counts_beyond_32_bits():
     table = pa.table({"chunk": pa.array([0, 1], pa.int64()), "part": pa.array([0, 0], pa.int32()), "entries": [hashes] * 2, "kinds": [bytes([3])] * 2, "n": [n] * 2})
     out = lm_scoring._count(table)
     assert [np.frombuffer(c, dtype="<i8").tolist() for c in out.column("c").to_pylist()[1:]] == [[6_000_000_000]] * 2
+
+
+def test_rollups_take_batch_ids_of_any_text_and_delete_what_a_compaction_covers(spark):
+    """Ids that are no folder names count, once, before and after compactions; what a failed attempt left does not."""
+    import glob
+
+    path = scratch_path(spark, "rollup")
+    r = token_counts.TokenRollup(spark, path)
+    one = spark.createDataFrame([("s", "l", "t", 1, 10)], token_counts.TokenRollup.SUMS)
+    ids = ["a/b", "a b/c", "__HIVE_DEFAULT_PARTITION__", "", "..", "k=1", "_x", "é\n", "1", "01"]
+    assert r.totals().collect() == []
+    for i, name in enumerate(ids):
+        assert r.apply(name, one)
+        if i % 4 == 3:
+            assert r.compact(f"compact/{i}")
+        assert not r.apply(ids[0], one) and [tuple(x) for x in r.totals().collect()] == [("s", "l", "t", i + 1, 10 * (i + 1))]
+    assert len(glob.glob(f"{path.removeprefix('file:')}/deltas/gen=*")) == 1
+    one.write.parquet(f"{path}/deltas/gen={r.generation()}/batch=left-by-a-failure")
+    assert not r.compact("compact/3") and r.totals().first().n_docs == len(ids)
+
+
+def test_real_token_counts_on_odd_rows(edge):
+    from public_tokenizers import path
+
+    rows = token_counts.bpe_counts(edge, path("byte_bpe_50k.json"), "v").collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in EDGE) and {r.n_tokens for r in rows if r.doc_id in (4, 5)} == {0}
+    assert token_counts.bpe_counts(edge.limit(0), path("byte_bpe_50k.json"), "v").collect() == []

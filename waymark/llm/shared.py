@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.places import before_parts, in_order, numbered  # noqa: F401
-from ..sources.scratch import materialize, scratch_path  # noqa: F401
+from ..sources.scratch import delete_folder, materialize, scratch_path  # noqa: F401
 
 #: The four readable columns of a document besides its id; what else a table has is carried along or left out, never read.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -18,11 +18,9 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_scratch(df: DataFrame) -> None:
     """Delete the folder of a scratch table that nothing reads any more."""
-    spark = df.sparkSession
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/waymark/" in name:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(df.sparkSession, name)
 
 
 def _width(value: Column, kind: T.DataType) -> Column:

@@ -2,18 +2,22 @@
 
 State is a log of signed changes by source, language and tokenizer version. A batch of inserts, deletes and
 revised counts is pre-aggregated to one row per group and committed under its id; a batch id that is committed
-already changes nothing, and what a failed attempt left is overwritten. Totals are sums over committed batches, of which
+already changes nothing, and what a failed attempt left is not read. Totals are sums over committed batches, of which
 compaction puts one in place of many.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.batches import folder_of
+from ..sources.scratch import delete_folder
 from .shared import broadcast_if_small, materialize
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -27,7 +31,11 @@ def sql_tokens(text: Column, tokenizer: str) -> Column:
 
 
 def bpe_counts(docs: DataFrame, tokenizer_path: str, tokenizer: str) -> DataFrame:
-    """doc_id, source, lang, tokenizer, n_tokens by a byte-level BPE tokenizer, in Arrow batches."""
+    """doc_id, source, lang, tokenizer, n_tokens by a byte-level BPE tokenizer, in Arrow batches.
+
+    A row for each row of docs. Null and empty texts have no tokens; texts of any length are counted whole; null ids, sources
+    and languages are carried; an empty table gives an empty table; columns besides doc_id, text, source and lang are not read.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .packing import byte_bpe
@@ -56,50 +64,69 @@ def revisions(counts: DataFrame, old: str = "old_tokens") -> DataFrame:
 
 
 class TokenRollup:
-    """path/deltas/batch=<id> holds a batch's sums; a row in path/commits makes it count, and what it covers no more."""
+    """path/deltas/gen=<n> holds the batches since a compaction, in a folder for each attempt; a folder in path/commits says which attempt counts.
 
-    COMMITS = "batch string, covers array<string>"
+    A batch's id can be any text: folders are named by its digest. What failed attempts leave is never read. A compaction is a batch too,
+    with the totals so far; once it counts, its generation is the one that is read, and the folder of the one before is deleted.
+    """
+
+    COMMITS = "id string, batch string, gen int"
+    SUMS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        spark.createDataFrame([], self.COMMITS).write.mode("ignore").parquet(f"{path}/commits")
+        spark.createDataFrame([], self.COMMITS).write.mode("ignore").parquet(f"{path}/commits/none")
 
     def committed(self) -> DataFrame:
-        return self.spark.read.schema(self.COMMITS).parquet(f"{self.path}/commits")
+        return self.spark.read.schema(self.COMMITS).option("recursiveFileLookup", "true").parquet(f"{self.path}/commits")
+
+    def generation(self) -> int:
+        return self.committed().agg(F.coalesce(F.max("gen"), F.lit(0))).first()[0]
 
     def live(self) -> DataFrame:
-        """Ids of the batches that totals add up: those committed and not covered since."""
-        done = self.committed()
-        return done.select("batch").distinct().join(done.select(F.explode("covers").alias("batch")), "batch", "left_anti")
+        """Ids of the batches that totals add up."""
+        return self.committed().where(F.col("gen") == self.generation()).select(F.col("id").alias("batch"))
 
-    def _commit(self, batch: str, sums: DataFrame, covers: list[str]) -> bool:
-        if self.committed().where(F.col("batch") == batch).take(1):
+    def _commit(self, batch: str, sums: DataFrame, gen: int) -> bool:
+        if self.committed().where(F.col("id") == batch).take(1):
+            return False
+        attempt = f"{folder_of(batch)}-{uuid.uuid4().hex}"
+        sums.write.parquet(f"{self.path}/deltas/gen={gen}/batch={attempt}")
+        try:
+            self.spark.createDataFrame([(batch, attempt, gen)], self.COMMITS).coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/{folder_of(batch)}")
+        except AnalysisException:
             return False
-        sums.write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch}")
-        self.spark.createDataFrame([(batch, covers)], self.COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return True
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
-        """changes: KEYS and signed TOTALS. False if the batch is committed already. One writer at a time."""
-        return self._commit(batch, changes.groupBy(*KEYS).agg(*[F.sum(F.coalesce(c, F.lit(0).cast("long"))).alias(c) for c in TOTALS]), [])
+        """changes: KEYS and signed TOTALS. False if the batch is committed already; nothing is written or counted then. No batch while a compaction runs."""
+        sums = changes.groupBy(*KEYS).agg(*[F.sum(F.coalesce(c, F.lit(0).cast("long"))).alias(c) for c in TOTALS])
+        return self._commit(batch, sums, self.generation())
 
     def compact(self, batch: str) -> bool:
-        """Puts one batch in place of all live ones; their ids stay known, so replaying them still changes nothing. The driver holds the ids since the last compaction."""
-        covers = [r["batch"] for r in self.live().collect()]
-        return self._commit(batch, self.totals(), covers)
+        """Puts one batch in place of all before it; their ids stay known, so replaying them still changes nothing."""
+        gen = self.generation()
+        if not self._commit(batch, self.totals(), gen + 1):
+            return False
+        delete_folder(self.spark, f"{self.path}/deltas/gen={gen}")
+        return True
 
     def totals(self) -> DataFrame:
-        """KEYS and TOTALS over live batches, without groups whose totals are all zero."""
-        schema = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch string"
-        if not self.committed().take(1):
-            return self.spark.createDataFrame([], schema).drop("batch")
-        deltas = self.spark.read.schema(schema).parquet(f"{self.path}/deltas")
-        kept = deltas.join(broadcast_if_small(self.live()), "batch", "left_semi")
+        """KEYS and TOTALS over the batches that count, without groups whose totals are all zero."""
+        gen = self.generation()
+        done = self.committed().where(F.col("gen") == gen).select("batch")
+        if not done.take(1):
+            return self.spark.createDataFrame([], self.SUMS)
+        deltas = self.spark.read.schema(f"{self.SUMS}, batch string").parquet(f"{self.path}/deltas/gen={gen}")
+        kept = deltas.join(broadcast_if_small(done), "batch", "left_semi")
         return kept.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in TOTALS]).where((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))
 
 
 def count_rollup(docs: DataFrame, path: str, tokenizer_path: str, tokenizer: str) -> DataFrame:
-    """The totals of one batch, counted by a byte-level BPE tokenizer."""
+    """The totals of one batch, counted by a byte-level BPE tokenizer.
+
+    Odd rows count as bpe_counts() says; equal rows count each; an empty table gives no totals.
+    """
     rollup = TokenRollup(docs.sparkSession, path)
     rollup.apply("1-counts", inserts(bpe_counts(docs, tokenizer_path, tokenizer)))
     return rollup.totals()
