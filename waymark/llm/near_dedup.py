@@ -37,6 +37,7 @@ FINE_SIZE = 1024
 FINE = [f"f{i}" for i in range(FINE_SIZE // 64)]
 MOST_FINE_BITS = 145
 LEADER_ROUNDS = 3
+BUCKET_BLOCK = 2000  # members of a bucket that are compared with as many others in one task
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -243,13 +244,17 @@ def group_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             spent += [mixed_members, fine]
             held = materialize(mixed_members.join(fine.join(bands, "key"), "key").select("bucket", F.struct("key", "label", "buckets", *FINE).alias("m")), "bag-held")
             spent.append(held)
-            largest = held.groupBy("bucket", F.col("m.label").alias("label")).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("top"))
-            small = held.join(largest, "bucket").where(F.col("m.label") != F.col("top")).select("bucket", "top", F.col("m").alias("l"))
+            largest = held.groupBy("bucket", F.col("m.label").alias("label")).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
+            # A bucket's members are dealt to blocks, and a task compares two of its blocks, so that none has a whole large bucket.
+            blocks = F.ceil(F.col("size") / BUCKET_BLOCK).cast("int")
+            sized = held.join(largest, "bucket").select("bucket", "m", F.col("top.label").alias("top"), F.pmod(F.xxhash64("m.key"), blocks).cast("int").alias("own"), F.sequence(F.lit(0), blocks - 1).alias("each"))
+            small = sized.where(F.col("m.label") != F.col("top")).select("bucket", "top", F.col("m").alias("l"), F.col("own").alias("i"), F.explode("each").alias("j"))
+            others = sized.select("bucket", "m", F.explode("each").alias("i"), F.col("own").alias("j"))
             apart = (F.col("m.label") != F.col("l.label")) & ((F.col("m.label") == F.col("top")) | (F.col("l.key") < F.col("m.key"))) & (differing("m", "l", FINE) <= MOST_FINE_BITS)
             # A pair is taken in the first of the buckets that it shares, and so once.
             before = F.array_position("m.buckets", F.col("x.bucket")).cast("int") - 1
             shared_before = F.exists(F.zip_with(F.slice("m.buckets", F.lit(1), before), F.slice("l.buckets", F.lit(1), before), lambda p, q: p == q), lambda same: same)
-            joined = small.alias("x").join(held.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & apart & ~shared_before)
+            joined = small.alias("x").join(others.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")) & apart & ~shared_before)
             pairs = joined.select(F.col("m.key").alias("a"), F.col("l.key").alias("b"))
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         if tested is not None:
