@@ -624,3 +624,12 @@ def test_real_token_counts_on_odd_rows(edge):
     rows = token_counts.bpe_counts(edge, path("byte_bpe_50k.json"), "v").collect()
     assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in EDGE) and {r.n_tokens for r in rows if r.doc_id in (4, 5)} == {0}
     assert token_counts.bpe_counts(edge.limit(0), path("byte_bpe_50k.json"), "v").collect() == []
+
+
+def test_classifier_takes_documents_that_are_worked_out_anew(spark):
+    """Rows dealt out by chance, which come in other partitions at every reading."""
+    rows = [(i, " ".join(PROSE.split()[i % 7 : 60 + i % 11]) if i % 5 else "zqxj " * 60, "en", "a") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(60)], "doc_id long, quality int")
+    told = lambda d: sorted((r.doc_id, r.n_scored, round(r.log10_prob, 5), r.kept) for r in kneser_ney.classify(d, labels).collect())
+    assert told(docs.repartition(5, F.rand())) == told(docs.coalesce(1))

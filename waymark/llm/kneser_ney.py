@@ -10,16 +10,15 @@ language's trusted documents that the model was not trained on are rejected.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, materialize, merge_sketches, sketch, sketch_quantiles, text_hash
+from .shared import broadcast_if_small, drop_scratch, materialize, merge_sketches, sketch, sketch_quantiles, text_hash
 
 ORDER, BITS = 4, 16  # an n-gram is a long of ORDER characters
 PAD = "\0" * (ORDER - 1)  # before a text
@@ -147,12 +146,6 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[
         yield number, parts, others
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for number, parts, _ in _dealt(batches):
-        codes, _ = merged([counted(ngram_codes(texts)[0]) for _, texts in parts])
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), number)), pa.array(codes)], names=["chunk", "code"])
-
-
 def _shipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each chunk: its documents' columns, and their texts, compressed part by part."""
     packer = zstandard.ZstdCompressor(level=3)
@@ -165,19 +158,31 @@ def _shipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["chunk", *told.column_names, "lens", "blobs"])
 
 
+def _texts(lens: list[list[int]], blobs: list[bytes]) -> Iterator[list[str]]:
+    """The texts of a chunk, part by part."""
+    unpacker = zstandard.ZstdDecompressor()
+    for own, blob in zip(lens, blobs):
+        joined, ends = unpacker.decompress(blob).decode("utf-8", "surrogatepass"), np.cumsum(own)
+        yield [joined[e - n : e] for n, e in zip(own, ends)]
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different n-grams of each chunk."""
+    for b in batches:
+        for i, number in enumerate(b.column("chunk").to_pylist()):
+            codes, _ = merged([counted(ngram_codes(texts)[0]) for texts in _texts(b.column("lens")[i].as_py(), b.column("blobs")[i].as_py())])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), number)), pa.array(codes)], names=["chunk", "code"])
+
+
 def _scored(left: pa.Table, right: pa.Table) -> pa.Table:
     """A chunk's documents with n_scored and log10_prob."""
     order = np.argsort(right.column("code").to_numpy())
     codes, values = right.column("code").to_numpy()[order], right.column("log10_p").to_numpy()[order]
-    sums, sizes, unpacker = [], [], zstandard.ZstdDecompressor()
-    for lens, blob in zip(left.column("lens")[0].as_py(), left.column("blobs")[0]):
-        joined, ends = unpacker.decompress(blob.as_py()).decode("utf-8", "surrogatepass"), np.cumsum(lens)
-        own, starts = ngram_codes([joined[e - n : e] for n, e in zip(lens, ends)])
+    sums, sizes = [], []
+    for texts in _texts(left.column("lens")[0].as_py(), left.column("blobs")[0].as_py()):
+        own, starts = ngram_codes(texts)
         coded = pa.array(own).dictionary_encode()
-        wanted = coded.dictionary.to_numpy()
-        at = np.minimum(np.searchsorted(codes, wanted), max(len(codes) - 1, 0))
-        if len(wanted) and not (codes[at] == wanted).all():
-            raise ValueError("the documents read differently the second time; give a table that is read from files")
+        at = np.searchsorted(codes, coded.dictionary.to_numpy())
         upto = np.concatenate([[0.0], np.cumsum(values[at][coded.indices.to_numpy()] if len(own) else own)])
         sums.append(upto[starts[1:]] - upto[starts[:-1]])
         sizes.append(np.diff(starts))
@@ -185,34 +190,23 @@ def _scored(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([*[left.column(c).combine_chunks().flatten() for c in names], pa.array(np.concatenate(sizes)), pa.array(np.concatenate(sums))], names=[*names, "n_scored", "log10_prob"])
 
 
-@contextmanager
-def steady_splits(spark: SparkSession) -> Iterator[None]:
-    """Files are cut into the same partitions as long as this holds, whatever executors come or go, on whose number the cutting depends else."""
-    setting = "spark.sql.files.minPartitionNum"
-    given = spark.conf.get(setting, None)
-    if given is None:
-        spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        if given is None:
-            spark.conf.unset(setting)
-
-
 def document_scores(docs: DataFrame, counts: DataFrame) -> DataFrame:
-    """doc_id, text_hash, lang, n_scored, log10_prob by the model of counts. docs is read twice and must read the same both times, as tables in files do."""
-    with steady_splits(docs.sparkSession):
-        return materialize(_document_scores(docs, counts), "kn-scored")
-
+    """doc_id, text_hash, lang, n_scored, log10_prob by the model of counts.
 
-def _document_scores(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    Documents are read once, into a scratch table of compressed chunks. A chunk has a row for each of its n-grams, so that
+    none of these, however common, has more rows than there are chunks.
+    """
     told = docs.select("doc_id", text_hash().alias("text_hash"), F.coalesce("lang", F.lit("")).alias("lang"), F.col("text").cast("string"))
     kind = told.schema["doc_id"].dataType.simpleString()
-    asked = materialize(told.mapInArrow(_asked, "chunk long, code long"), "kn-asked")
-    table = probabilities(materialize(asked.select("code").distinct().join(counts, "code", "left").select("code", F.coalesce("n", F.lit(0)).alias("n")).unionByName(counts.join(asked.select("code").distinct(), "code", "left_anti")), "kn-counts"))
+    shipped = materialize(told.mapInArrow(_shipped, f"chunk long, doc_id array<{kind}>, text_hash array<long>, lang array<string>, lens array<array<int>>, blobs array<binary>"), "kn-shipped")
+    asked = materialize(shipped.select("chunk", "lens", "blobs").mapInArrow(_asked, "chunk long, code long"), "kn-asked")
+    every = asked.select("code").distinct().join(counts, "code", "full_outer").select("code", F.coalesce("n", F.lit(0)).alias("n"))
+    table = probabilities(materialize(every, "kn-counts"))
     values = asked.join(table.select("code", F.log10("p").alias("log10_p")), "code")
-    shipped = told.mapInArrow(_shipped, f"chunk long, doc_id array<{kind}>, text_hash array<long>, lang array<string>, lens array<array<int>>, blobs array<binary>")
-    return shipped.groupBy("chunk").cogroup(values.groupBy("chunk")).applyInArrow(_scored, f"doc_id {kind}, text_hash long, lang string, n_scored long, log10_prob double")
+    scored = materialize(shipped.groupBy("chunk").cogroup(values.groupBy("chunk")).applyInArrow(_scored, f"doc_id {kind}, text_hash long, lang string, n_scored long, log10_prob double"), "kn-scored")
+    drop_scratch(shipped)
+    drop_scratch(asked)
+    return scored
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 1.05) -> DataFrame:
@@ -223,7 +217,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack:
     of all languages; where no trusted document was left out, of those trained on. Null and empty texts have no perplexity
     and are not kept; texts of any length are scored whole; a perplexity equal to the cutoff is kept; null languages are one
     group; without trusted documents nothing is kept; equal rows get equal results; an empty table gives an empty table;
-    other columns are not read. docs is read twice, see document_scores().
+    other columns are not read.
     """
     held = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
     trusted = materialize(labels.where("quality = 1").select("doc_id").distinct().withColumn("held", held), "kn-trusted")
