@@ -11,27 +11,47 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and their group's cutoffs. Null, empty and very short texts go; equal rows are kept or go together; a value equal to a cutoff passes."""
+    """Documents that pass the base rules and their group's cutoffs.
+
+    Null, empty and very short texts go; texts of any length are measured whole; equal rows are kept or go together; a value
+    equal to a cutoff passes; null ids, sources and languages are carried; an empty table stays empty; only COLUMNS are read.
+    """
     return quality_rules.keep_good(docs).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near-duplicates and copies, that of the least doc_id. Null ids never stand for others; rows without an id are told apart by their texts."""
+    """One row of each class of near-duplicates and copies, that of the least doc_id.
+
+    Of equal rows one stays; empty texts are copies of each other, null texts of none; texts of any length are compared whole;
+    null ids never stand for others, and rows without an id are told apart by their texts; an empty table stays empty; only COLUMNS are read.
+    """
     return near_dedup.drop_near_duplicates(docs).select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item. Null and empty texts and items hold nothing; texts of any length are read whole."""
+    """Documents that hold no benchmark item.
+
+    Null and empty texts and items hold nothing; texts of any length are read whole; equal rows stay or go together; null ids
+    are carried; an empty table, or an empty benchmark, leaves all as it is; only COLUMNS are read.
+    """
     return decontamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def sanitise_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with personal data and what gives it away replaced in its text. A null text stays null; no other column changes."""
+    """Every document, with personal data and what gives it away replaced in its text.
+
+    A null text stays null, an empty one empty; texts of any length are searched whole; equal rows stay equal; null ids are
+    carried; no other column changes; an empty table stays empty; only COLUMNS are read.
+    """
     return pii.sanitise(docs).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences of at most 1024 token ids. A null or empty text is one id; equal rows are packed each; an empty table gives no pieces."""
+    """Pieces of packed sequences of at most 1024 token ids.
+
+    A null or empty text is one id; a text of any length is cut into as many pieces as it needs; equal rows are packed each;
+    null ids are carried; an empty table gives no pieces; of COLUMNS only doc_id and text are read.
+    """
     from public_tokenizers import path
 
     return packing.pack(docs, path("byte_bpe_50k.json"))

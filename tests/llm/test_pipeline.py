@@ -64,3 +64,30 @@ def test_every_stage_takes_an_empty_table_and_other_columns(spark, tmp_path):
         assert name == "packing" or out.columns == corpus_pipeline.COLUMNS
         assert 1 in {r.doc_id for r in out.collect()}, name
         assert stage(spark, wide.limit(0), folder).count() == 0, name
+
+
+def test_stages_on_an_empty_benchmark_and_very_long_and_repeated_texts(spark, tmp_path):
+    """Ten times the longest text of other tests, copies of it, rows that are equal in all columns."""
+    long = prose(21, 30_000) + " " + "y" * 300_000 + " reach me at long.one@mail.example now " + prose(22, 2000)
+    docs = [(1, long, "en", "a", 9), (2, long, "en", "a", 9), (2, long, "en", "a", 9), (3, prose(23, 200), None, None, None), (3, prose(23, 200), None, None, None), (None, prose(24, 200), "en", "a", 9)]
+    folder = tables(spark, tmp_path, docs)
+    spark.createDataFrame([], "item_id long, text string").write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
+    frame = spark.createDataFrame(docs, SCHEMA)
+    out = {name: stage(spark, frame, folder).collect() for name, stage in corpus_pipeline.STAGES}
+    assert [len(out[n]) for n in ("quality_rules", "near_dedup", "decontamination", "pii")] == [6, 3, 6, 6]
+    assert Counter(r.doc_id for r in out["near_dedup"]) == Counter([1, 3, None])
+    assert {r.text for r in out["pii"] if r.doc_id in (1, 2)} == {long.replace("long.one@mail.example", "[EMAIL]")}
+    ids = Counter()
+    for r in out["packing"]:
+        ids[r.doc_id] += r.length
+    by_doc = {r.doc_id: r.doc_tokens for r in out["packing"]}
+    assert ids == {d: n * Counter(x[0] for x in docs)[d] for d, n in by_doc.items()} and by_doc[1] > 30_000
+
+
+def test_classifier_and_leaks_without_labels_or_items(spark):
+    from waymark.llm import decontamination, kneser_ney
+
+    docs = spark.createDataFrame([(1, prose(1), "en", "a", 9), (2, None, None, None, None)], SCHEMA)
+    assert decontamination.contaminated(docs, spark.createDataFrame([], "item_id long, text string")).collect() == []
+    out = kneser_ney.classify(docs, spark.createDataFrame([], "doc_id long, quality int")).collect()
+    assert sorted(r.doc_id for r in out) == [1, 2] and not any(r.kept for r in out)
