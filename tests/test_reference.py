@@ -339,6 +339,14 @@ def test_results_are_one_array_in_order(spark, tmp_path):
     assert array_in(tmp_path / "none") == []
 
 
+def test_arrays_take_places_that_are_equal_or_missing(spark, tmp_path):
+    from waymark.sources.json_array import write_array
+
+    rows = [(0, '"a"'), (0, '"a"'), (None, '"n"'), (2, '{"x,":"]"}'), (1, "3")]
+    write_array(spark.createDataFrame(rows, "order long, text string").repartition(3), str(tmp_path / "a"))
+    assert array_in(tmp_path / "a") == ["n", "a", "a", 3, {"x,": "]"}]
+
+
 def test_an_empty_slice_is_an_error(spark, tmp_path):
     (tmp_path / "t.json").write_text(json.dumps([{"question": " "}, {"question": "q"}]))
     assert tasks.load_tasks(spark, str(tmp_path / "t.json"), 0, 5, "/r").count() == 1

@@ -266,6 +266,7 @@ class Canvas:
         if node is None:
             return
         if not node.attrs.get("id"):
+            # The names of elements that come without an id.
             node.attrs["id"] = "initial_svg" if node.tag == "svg" else f"elem_{AROUND + sum(1 for _ in self.body.below())}"
         where = args.get("rootId")
         parent = self.body.find(where) if where else self.body
@@ -489,7 +490,7 @@ def views_by_edit(history: DataFrame) -> DataFrame:
 
 
 def base_fragment(image_url: Column) -> Column:
-    """The figure that a notebook begins with; null where the image was not found."""
+    """The figure that a notebook begins with, a fixed value around its image; null where the image was not found."""
     return F.when(F.coalesce(image_url, F.lit("")) != "", F.concat(F.lit("<figure id='base_figure'><img id='base_image' src='"), image_url, F.lit("'/></figure>")))
 
 

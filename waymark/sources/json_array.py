@@ -110,12 +110,11 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_array(rows: DataFrame, path: str, order: str = "order", text: str = "text") -> None:
-    """A folder of files that, one after the other in their names' order, are one JSON array of the texts in order.
+    """A folder of files that, one after the other in their names' order, are one JSON array of the texts in order; rows of one place stand next to each other.
 
-    Rows are dealt by ranges of order, so that no task writes all; a row after all others closes the array. The folder counts once its _SUCCESS is there.
+    Rows are numbered and dealt by ranges of their number, so that no task writes all; a row after all others closes the array. The folder counts once its _SUCCESS is there.
     """
-    place = F.col(order).cast("long")
-    first = rows.agg(F.min(place)).first()[0]
-    each = rows.select(F.lit(0).alias("end"), place.alias("at"), F.concat(F.when(place == F.lit(first), "[").otherwise(","), F.col(text)).alias("value"))
-    last = rows.sparkSession.createDataFrame([(1, 0, "]" if first is not None else "[]")], "end int, at long, value string")
+    placed = numbered(rows.select(F.col(order).alias("place_of"), F.col(text).alias("value")), [F.col("place_of")], "array-rows", "at")
+    each = placed.select(F.lit(0).alias("end"), "at", F.concat(F.when(F.col("at") == 0, "[").otherwise(","), "value").alias("value"))
+    last = rows.sparkSession.createDataFrame([(1, 0, "]" if placed.take(1) else "[]")], "end int, at long, value string")
     each.unionByName(last).repartitionByRange("end", "at").sortWithinPartitions("end", "at").select("value").write.mode("overwrite").text(path)
