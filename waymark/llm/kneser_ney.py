@@ -148,7 +148,7 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[
 
 def _shipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each chunk: its documents' columns, and their texts, compressed part by part."""
-    packer = zstandard.ZstdCompressor(level=3)
+    packer = zstandard.ZstdCompressor(level=9)
     for number, parts, others in _dealt(batches):
         told = pa.Table.from_batches(others)
         blobs = [packer.compress("".join(texts).encode("utf-8", "surrogatepass")) for _, texts in parts]
