@@ -90,6 +90,15 @@ def test_manifest_against_a_plain_tree(spark):
     assert {r.verified for r in got} == {True, False}
 
 
+def test_a_block_keeps_each_preimage_once(spark, monkeypatch):
+    """A stored block is as wide as its leaves and their parents; with a path for each leaf, of some 270 KB, tasks ran out of memory."""
+    kept, write = {}, merkle.materialize
+    monkeypatch.setattr(merkle, "materialize", lambda df, label, *more: kept.setdefault(label, write(df, label, *more)))
+    rows = [(i, f"text {i}", "en", "many", i) for i in range(merkle.BLOCK)]
+    assert merkle.manifest(documents(spark, rows)).count() == merkle.BLOCK
+    assert kept["merkle-blocks"].select(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 100_000
+
+
 def test_manifest_does_not_depend_on_partitions_and_takes_an_empty_table(spark):
     rows = [(i, f"t{i}", "en", f"s{i % 5}", i) for i in range(600)]
     both = [sorted(map(str, merkle.manifest(documents(spark, rows).repartition(n)).collect())) for n in (1, 7)]

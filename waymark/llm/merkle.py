@@ -6,7 +6,8 @@ from, its children's hashes one after the other, is stored per parent. A leaf's
 cutting its own slot of 64 characters out of each gives its siblings, splicing another hash in and hashing folds it upward.
 
 Nodes are grouped by BLOCK consecutive ones of a source, so that a source of any size is many bounded groups, several
-levels are made in a row without a shuffle, and each further round has a BLOCK-th of the rows.
+levels are made in a row without a shuffle, and each further round has a BLOCK-th of the rows. A block keeps each preimage
+once; its nodes' paths are put together as it is taken apart, and are never stored, sorted or sent.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from .shared import in_order, before_parts, join_to_groups, materialize, numbere
 FAN, LEVELS = 3, 5
 BLOCK = FAN**LEVELS
 DIGEST = 64  # characters of a hash
+#: Of a stored row group of blocks, each some 70 KB.
+GROUP_BYTES = 16 << 20
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: A step of a path: where a node's slot begins in its parent's preimage, counted from 0, and the preimage.
 PATH = "array<struct<slot:int,preimage:string>>"
@@ -61,9 +64,9 @@ def levels_above(n: Column) -> Column:
 
 
 def blocks(nodes: DataFrame, label: str) -> DataFrame:
-    """group, block, root, above, e for nodes (group, idx, n, hash, own), where idx counts from 0 to n - 1 within a group.
+    """group, block, root, above, pre, e for nodes (group, idx, n, hash, own), where idx counts from 0 to n - 1 within a group.
 
-    e: the block's nodes in order (idx, hash, own, path up to the block's top); above: the path from there to the group's root.
+    e: the block's nodes in order (idx, hash, own); pre: the block's preimages by level; above: the path from the block's top to the group's root.
     """
     entry = F.struct("idx", "hash", "own")
     made = nodes.groupBy("group", "n", F.floor(F.col("idx") / BLOCK).alias("block")).agg(F.array_sort(F.collect_list(entry)).alias("e"))
@@ -71,22 +74,23 @@ def blocks(nodes: DataFrame, label: str) -> DataFrame:
     for k in range(LEVELS):  # each level is a projection of its own, so that no hash is worked out twice; beyond the last, hashes pass on
         runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(f"h{k}") - 1) / FAN).cast("int")), lambda i: F.array_join(F.slice(f"h{k}", i * FAN + 1, F.lit(FAN)), ""))  # noqa: B023
         made = made.withColumn(f"p{k}", F.when(F.col("levels") > k, runs)).withColumn(f"h{k + 1}", F.when(F.col("levels") > k, F.transform(f"p{k}", sha256)).otherwise(F.col(f"h{k}")))
-    step = lambda k, i: F.struct(F.pmod(F.floor(i / FAN**k), F.lit(FAN)).cast("int").alias("slot"), F.element_at(f"p{k}", (F.floor(i / FAN ** (k + 1)) + 1).cast("int")).alias("preimage"))
-    path = lambda i: F.filter(F.array(*[F.when(F.col("levels") > k, step(k, i)) for k in range(LEVELS)]), lambda s: s.isNotNull()).cast(PATH)
-    placed = F.transform("e", lambda e, i: F.struct(e["idx"].alias("idx"), e["hash"].alias("hash"), e["own"].alias("own"), path(i).alias("path")))
-    made = materialize(made.select("group", "n", "block", F.element_at(f"h{LEVELS}", 1).alias("top"), placed.alias("e")), label)
+    pre = F.filter(F.array(*[f"p{k}" for k in range(LEVELS)]), lambda p: p.isNotNull())
+    made = materialize(made.select("group", "n", "block", F.element_at(f"h{LEVELS}", 1).alias("top"), pre.alias("pre"), "e"), label, GROUP_BYTES)
     none = F.array().cast(PATH)
     upper = made.where(F.col("n") > BLOCK).select("group", F.col("block").alias("idx"), F.ceil(F.col("n") / BLOCK).alias("n"), F.col("top").alias("hash"), F.lit(0).alias("own"))
     if not upper.take(1):
-        return made.select("group", "block", F.col("top").alias("root"), none.alias("above"), "e")
+        return made.select("group", "block", F.col("top").alias("root"), none.alias("above"), "pre", "e")
     above = nodes_of(blocks(upper, f"{label}-above")).select("group", F.col("idx").alias("block"), F.col("path").alias("above"), "root")
-    return made.join(above, ["group", "block"], "left").select("group", "block", F.coalesce("root", "top").alias("root"), F.coalesce("above", none).alias("above"), "e")
+    return made.join(above, ["group", "block"], "left").select("group", "block", F.coalesce("root", "top").alias("root"), F.coalesce("above", none).alias("above"), "pre", "e")
 
 
 def nodes_of(made: DataFrame, *more: str) -> DataFrame:
     """group, root, idx, hash, own, path and more for each node of blocks()."""
-    each = made.select("group", "root", "above", *more, F.explode("e").alias("e"))
-    return each.select("group", "root", *more, "e.idx", "e.hash", "e.own", F.concat("e.path", "above").alias("path"))
+    slot = lambda k, i: F.pmod(F.floor(i / F.pow(F.lit(FAN), k)), F.lit(FAN)).cast("int")
+    step = lambda p, k, i: F.struct(slot(k, i).alias("slot"), F.element_at(p, (F.floor(i / F.pow(F.lit(FAN), k + 1)) + 1).cast("int")).alias("preimage"))
+    placed = F.transform("e", lambda e, i: F.struct(e["idx"].alias("idx"), e["hash"].alias("hash"), e["own"].alias("own"), F.transform("pre", lambda p, k: step(p, k, i)).alias("path")))
+    each = made.select("group", "root", "above", *more, F.explode(placed).alias("e"))
+    return each.select("group", "root", *more, "e.idx", "e.hash", "e.own", F.concat("e.path", "above").cast(PATH).alias("path"))
 
 
 def manifest(docs: DataFrame, **carried: Column) -> DataFrame:

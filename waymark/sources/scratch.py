@@ -20,10 +20,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/waymark/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write to the shared scratch folder and read back, so that a lost executor costs no earlier stage."""
+def materialize(df: DataFrame, label: str, group_bytes: int = 128 << 20) -> DataFrame:
+    """Cut the lineage: write to the shared scratch folder and read back, so that a lost executor costs no earlier stage.
+
+    A task holds a row group of group_bytes as it writes and, in batches of 4096 rows at most, as it reads; wide rows want less than Spark's 128 MB.
+    """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", group_bytes).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
