@@ -165,6 +165,18 @@ def test_trees_of_sessions_in_spark(spark):
     assert sorted(r.element_id for r in canvas.body_children(canvas.replay_tree(below)).collect()) == ["e3", "e4", "e5"]
 
 
+def test_sessions_are_dealt_to_tasks_and_have_one_base(spark):
+    """Few bytes of edits are much work: Spark's own choice of partitions by bytes left all sessions to one task. A base that comes twice doubles no edit."""
+    edits = [(s, q, "insert_element", '{"fragment":"<p id=a>x</p>","rootId":"root"}', True) for s in range(64) for q in (1, 2)]
+    df = spark.createDataFrame(edits, "session_id long, seq long, action string, args_json string, render_ok boolean")
+    twice = spark.createDataFrame([(s, "data:q") for s in range(64)] * 2, "session_id long, image_url string")
+    state = canvas.replay_state(df.where("seq = 1"), twice)
+    for folded in (state, canvas.replay_history(df), canvas.resumed(state.cache(), df.where("seq = 2"))):
+        assert folded.select(F.spark_partition_id()).distinct().count() > 1
+    assert canvas.replay_tree(df, twice).count() == 64 * 5
+    assert canvas.replay_tree(df).count() == 64 * 3
+
+
 def test_blocked_images_keep_the_rest():
     html = '<div id=a>x &lt; <img alt="a>b" src="https://e.x/i?a=1&amp;b=2"/></div><img src=local.png>'
     assert canvas.sanitized(html) == '<div id="a">x &lt; <div style="color:#ED2633;font-size:14px;padding:8px 0;word-break:break-word;">[blocked external image] https://e.x/i?a=1&amp;b=2</div></div><img src="local.png"/>'

@@ -6,8 +6,10 @@ import json
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -379,25 +381,65 @@ HISTORY = (
     "versions array<struct<node:long,parent:long,rank:long,from_seq:long,to_seq:long,tag:string,element_id:string,attrs:string,text:string>>, "
     "views array<struct<seq:long,place:int,node:long,element_id:string>>"
 )
+#: The columns of STATE and HISTORY as Arrow has them.
+LONG, TEXT = pa.int64(), pa.string()
+STATE_TYPES = {"pos": LONG, "parent": LONG, "tag": TEXT, "element_id": TEXT, "attrs": TEXT, "text": TEXT, "children": TEXT, "last_seq": LONG, "base": TEXT}
+VERSION = {"node": LONG, "parent": LONG, "rank": LONG, "from_seq": LONG, "to_seq": LONG, "tag": TEXT, "element_id": TEXT, "attrs": TEXT, "text": TEXT}
+VIEW = {"seq": LONG, "place": pa.int32(), "node": LONG, "element_id": TEXT}
+HISTORY_TYPES = {"versions": pa.list_(pa.struct(list(VERSION.items()))), "views": pa.list_(pa.struct(list(VIEW.items())))}
+#: Rows, read and made, after which what was made goes on to Spark.
+AT_ONCE = 4096
+
+
+def edits_with_bases(edits: DataFrame, live: DataFrame, bases: DataFrame | None) -> DataFrame:
+    """session_id, seq, action, args_json, base: of each session a row with its base and no seq, and a row for each live edit."""
+    sessions = edits.select("session_id").distinct()
+    if bases is None:
+        sessions = sessions.withColumn("base", F.lit(None).cast("string"))
+    else:
+        sessions = bases.select("session_id", base_fragment(F.col("image_url")).alias("base")).join(sessions, "session_id", "full_outer")
+    return sessions.unionByName(numbered_edits(live), allowMissingColumns=True).select("session_id", "seq", "action", "args_json", "base")
 
 
-def with_bases(edits: DataFrame, live: DataFrame, bases: DataFrame | None) -> DataFrame:
-    """session_id, e (null for a session without a live edit), base."""
-    every = edits.select("session_id").distinct().join(live.select("session_id", F.struct("seq", "action", "args_json").alias("e")), "session_id", "left")
-    if bases is None:
-        return every.withColumn("base", F.lit(None).cast("string"))
-    return bases.select("session_id", base_fragment(F.col("image_url")).alias("base")).join(every, "session_id", "full_outer")
+def numbered_edits(edits: DataFrame) -> DataFrame:
+    """Edits of a known session and place."""
+    return edits.where(F.col("session_id").isNotNull() & F.col("seq").isNotNull()).select("session_id", F.col("seq").cast("long").alias("seq"), "action", "args_json")
+
 
+def fold_sessions(rows: DataFrame, order: list[str | Column], fold, schema: str, types: dict[str, pa.DataType]) -> DataFrame:
+    """session_id and the columns of schema: what fold makes of each session's rows (tuples in the columns' order), given in order.
+
+    Sessions are dealt to as many tasks as Spark shuffles to, few bytes of edits being much work. A task goes through its sessions one
+    after the other and holds one at a time, as one stream: a pandas frame or a stream of its own for each costs more than its edits.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = rows.schema["session_id"].dataType.simpleString()
+    dealt = rows.repartition(n, "session_id").sortWithinPartitions("session_id", *order)
 
-def in_order(edits: pd.Series) -> list[dict]:
-    return sorted((e for e in edits if e is not None), key=lambda e: e["seq"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, own = ["session_id", *types], []
 
+        def each() -> Iterator[tuple]:
+            for b in batches:
+                own[:] = [b.schema.field(0).type]
+                yield from zip(*(c.to_pylist() for c in b.columns))
 
-def state_frame(session, canvas: Canvas, last_seq: int) -> pd.DataFrame:
-    out = pd.DataFrame(canvas.state(last_seq), columns=["pos", "parent", "tag", "element_id", "attrs", "text", "children", "last_seq", "base"])
-    out["parent"] = out["parent"].astype("Int64")
-    out.insert(0, "session_id", session)
-    return out
+        def batch(made: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), [*own, *types.values()])], names=names)
+
+        made, took = [], 0
+        for session, steps in groupby(each(), key=lambda r: r[0]):
+            steps = list(steps)
+            out = fold(steps)
+            made += [(session, *r) for r in out]
+            took += len(steps) + len(out)
+            if took >= AT_ONCE:
+                yield batch(made)
+                made, took = [], 0
+        if made:
+            yield batch(made)
+
+    return dealt.mapInArrow(run, f"session_id {kind}, {schema}")
 
 
 def replay_state(edits: DataFrame, bases: DataFrame | None = None, allow_external: bool = False) -> DataFrame:
@@ -409,17 +451,16 @@ def replay_state(edits: DataFrame, bases: DataFrame | None = None, allow_externa
     base alone. An edit whose arguments are null, no object or not usable leaves no trace, and the session goes on.
     """
     live = since_clear(effective(edits), F.col("action").isin("clear", "clear_element"))
-    told = with_bases(edits, live, bases)
-    kind = told.schema["session_id"].dataType.simpleString()
 
-    def fold(own: pd.DataFrame) -> pd.DataFrame:
-        canvas, last = Canvas(own["base"].iloc[0], allow_external), 0
-        for e in in_order(own["e"]):
-            canvas.try_apply(e["action"], e["args_json"])
-            last = e["seq"]
-        return state_frame(own["session_id"].iloc[0], canvas, last)
+    def fold(steps: list[tuple]) -> list[tuple]:
+        canvas, last = Canvas(steps[0][4], allow_external), 0
+        for _, seq, action, args_json, _ in steps:
+            if seq is not None:
+                canvas.try_apply(action, args_json)
+                last = seq
+        return canvas.state(last)
 
-    return told.groupBy("session_id").applyInPandas(fold, f"session_id {kind}, {STATE}")
+    return fold_sessions(edits_with_bases(edits, live, bases), ["seq", F.desc_nulls_last("base")], fold, STATE, STATE_TYPES)
 
 
 def tree_of(state: DataFrame) -> DataFrame:
@@ -437,21 +478,22 @@ def resumed(state: DataFrame, edits: DataFrame, allow_external: bool = False) ->
     Edits up to a notebook's last_seq are passed over, so that a batch that comes again changes nothing. Sessions
     without a state begin anew, without a base.
     """
-    new = effective(edits).select("session_id", "seq", "action", "args_json")
+    new = numbered_edits(effective(edits))
     touched = new.select("session_id").distinct()
-    kind = state.schema["session_id"].dataType.simpleString()
-
-    def go_on(own: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
-        session = (own if len(own) else more)["session_id"].iloc[0]
-        canvas = Canvas.stored(own.to_dict("records"), allow_external) if len(own) else Canvas(None, allow_external)
-        last = int(own["last_seq"].iloc[0]) if len(own) else 0
-        for e in sorted(more.to_dict("records"), key=lambda e: e["seq"]):
-            if e["seq"] > last:
-                canvas.try_apply(e["action"], e["args_json"])
-                last = e["seq"]
-        return state_frame(session, canvas, last)
-
-    folded = state.join(touched, "session_id", "left_semi").groupBy("session_id").cogroup(new.groupBy("session_id")).applyInPandas(go_on, f"session_id {kind}, {STATE}")
+    own = state.join(touched, "session_id", "left_semi").select("session_id", "pos", "tag", "attrs", "children", "last_seq", "base")
+    rows = own.unionByName(new, allowMissingColumns=True).select("session_id", "seq", "action", "args_json", *own.columns[1:])
+
+    def go_on(steps: list[tuple]) -> list[tuple]:
+        stored = [dict(zip(("pos", "tag", "attrs", "children", "last_seq", "base"), r[4:])) for r in steps if r[1] is None]
+        canvas = Canvas.stored(stored, allow_external) if stored else Canvas(None, allow_external)
+        last = stored[0]["last_seq"] if stored else 0
+        for _, seq, action, args_json, *_ in steps:
+            if seq is not None and seq > last:
+                canvas.try_apply(action, args_json)
+                last = seq
+        return canvas.state(last)
+
+    folded = fold_sessions(rows, ["seq", "pos"], go_on, STATE, STATE_TYPES)
     return state.join(touched, "session_id", "left_anti").unionByName(folded)
 
 
@@ -461,18 +503,15 @@ def replay_history(edits: DataFrame, bases: DataFrame | None = None, allow_exter
     An element stands, as told, from the edit from_seq on until the edit to_seq; 0 is the start. At any edit the elements that stand, each
     parent's by rank, are the notebook. The table grows with what edits change, not with the notebook for each edit.
     """
-    told = with_bases(edits, effective(edits), bases)
-    kind = told.schema["session_id"].dataType.simpleString()
-
-    def fold(own: pd.DataFrame) -> pd.DataFrame:
-        canvas = History(own["base"].iloc[0], allow_external, last)
-        for e in in_order(own["e"]):
-            canvas.step(e["seq"], e["action"], e["args_json"])
-        names = ("node", "parent", "rank", "from_seq", "to_seq", "tag", "element_id", "attrs", "text")
-        row = {"session_id": [own["session_id"].iloc[0]], "versions": [[dict(zip(names, v)) for v in canvas.versions()]], "views": [[dict(zip(("seq", "place", "node", "element_id"), v)) for v in canvas.views]]}
-        return pd.DataFrame(row)
-
-    return told.groupBy("session_id").applyInPandas(fold, f"session_id {kind}, {HISTORY}")
+
+    def fold(steps: list[tuple]) -> list[tuple]:
+        canvas = History(steps[0][4], allow_external, last)
+        for _, seq, action, args_json, _ in steps:
+            if seq is not None:
+                canvas.step(seq, action, args_json)
+        return [([dict(zip(VERSION, v)) for v in canvas.versions()], [dict(zip(VIEW, v)) for v in canvas.views])]
+
+    return fold_sessions(edits_with_bases(edits, effective(edits), bases), ["seq", F.desc_nulls_last("base")], fold, HISTORY, HISTORY_TYPES)
 
 
 def element_versions(history: DataFrame) -> DataFrame:
