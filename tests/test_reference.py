@@ -177,6 +177,24 @@ def test_sessions_are_dealt_to_tasks_and_have_one_base(spark):
     assert canvas.replay_tree(df).count() == 64 * 3
 
 
+def test_sessions_stay_whole_where_spark_merges_partitions(spark):
+    """Spark takes a union of tables dealt by session as dealt, and merges the partitions of each by bytes: a session's base and edits came apart."""
+    told = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    was = {k: spark.conf.get(k, None) for k in told}
+    fragment = F.concat(F.lit('{"fragment":"<p id=a>'), F.md5(F.col("id").cast("string")), F.lit('</p>","rootId":"root"}'))
+    df = spark.range(5000).select((F.col("id") % 1000).alias("session_id"), (F.col("id") / 1000 + 1).cast("long").alias("seq"), F.lit("insert_element").alias("action"), fragment.alias("args_json"), F.lit(True).alias("render_ok"))
+    try:
+        for k, v in told.items():
+            spark.conf.set(k, v)
+        made = [canvas.replay_tree(df).collect(), canvas.tree_of(canvas.resumed(canvas.replay_state(df.where("seq < 3")), df)).collect()]
+        histories = canvas.replay_history(df).count()
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert [(len(rows), len({(r.session_id, r.pos) for r in rows})) for rows in made] == [(6000, 6000)] * 2
+    assert histories == 1000
+
+
 def test_blocked_images_keep_the_rest():
     html = '<div id=a>x &lt; <img alt="a>b" src="https://e.x/i?a=1&amp;b=2"/></div><img src=local.png>'
     assert canvas.sanitized(html) == '<div id="a">x &lt; <div style="color:#ED2633;font-size:14px;padding:8px 0;word-break:break-word;">[blocked external image] https://e.x/i?a=1&amp;b=2</div></div><img src="local.png"/>'

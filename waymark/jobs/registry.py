@@ -398,7 +398,7 @@ def canvas_versions(spark, sf_dir):
 
 def canvas_resume(spark, sf_dir):
     """Trees that go on from stored ones: two batches of edits after the first, the second of which comes twice."""
-    edits = view(spark, sf_dir, "tree_fx")
+    edits = materialize(view(spark, sf_dir, "tree_fx"), "canvas-edits")  # read for each batch, and for the sessions it has
     state = materialize(canvas.replay_state(edits.where("seq <= 20")), "canvas-state")
     state = materialize(canvas.resumed(state, edits.where("seq > 20 and seq <= 45")), "canvas-state")
     state = materialize(canvas.resumed(state, edits.where("seq > 45")), "canvas-state")
